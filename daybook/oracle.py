@@ -57,19 +57,162 @@ _Q: dict[str, str] = {}
 
 
 def _reg(name: str, body: str) -> None:
-    _Q[name] = BASE + body.strip() + "\n"
+    """Register ``body`` after the shared CTEs; a body starting with ',' adds CTEs."""
+    body = body.strip()
+    _Q[name] = BASE.rstrip() + ("\n" if body.startswith(",") else "\n") + body + "\n"
 
 
-_reg("silver_clean", """
-SELECT event_id, user_id, event_type, product_id, amount,
+D = f"DATE '{FIXED_DATE}'"
+MONEY_SUM = "SUM(TRY_CAST(amount AS DECIMAL(18,2)))"
+SILVER_OUT = """SELECT event_id, user_id, event_type, product_id, amount,
        CAST(event_timestamp AS TIMESTAMP) AS event_timestamp, event_date, day_of_week
-FROM silver
+FROM silver"""
+GOLD_OUT = """SELECT process_date, event_date, daily_active_users, total_revenue, top_product_id,
+       top_product_revenue
+FROM gold"""
+MART_OUT = """SELECT metric_date, daily_active_users, total_revenue, top_product_id,
+       top_product_revenue
+FROM mart"""
+TOP_BY_EVENT_DATE = f"""
+, pp AS (SELECT event_date, product_id, {MONEY_SUM} AS r FROM silver
+         GROUP BY event_date, product_id),
+kk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_date
+                                    ORDER BY r DESC NULLS LAST, product_id) AS rn FROM pp)
+SELECT event_date, product_id AS top_product_id, CAST(r AS DOUBLE) AS top_product_revenue
+FROM kk WHERE rn = 1
+"""
+
+_reg("bronze_scan", """
+SELECT event_id, user_id, event_type, product_id, event_timestamp, amount FROM bronze
+""")
+_reg("silver_clean", SILVER_OUT)
+_reg("silver_by_date", SILVER_OUT + f" WHERE process_date = {D}")
+_reg("gold_by_date", GOLD_OUT + f" WHERE process_date = {D}")
+_reg("partition_columns", """
+SELECT process_date, strftime(process_date, '%Y') AS year, strftime(process_date, '%m') AS month,
+       strftime(process_date, '%d') AS day, COUNT(*) AS n
+FROM silver GROUP BY process_date
+""")
+_reg("daily_totals", f"""
+SELECT event_date, COUNT(DISTINCT user_id) AS daily_active_users,
+       CAST({MONEY_SUM} AS DOUBLE) AS total_revenue
+FROM silver GROUP BY event_date
+""")
+_reg("product_revenue", f"""
+SELECT event_date, product_id, CAST({MONEY_SUM} AS DOUBLE) AS product_revenue
+FROM silver GROUP BY event_date, product_id
+""")
+_reg("top_product", TOP_BY_EVENT_DATE)
+_reg("top_product_max_by", TOP_BY_EVENT_DATE)
+_reg("gold_daily_metrics", GOLD_OUT)
+_reg("backfill_gold", GOLD_OUT)
+_reg("mart_rows", MART_OUT)
+_reg("mart_replace", MART_OUT)
+_reg("dashboard_table", MART_OUT + " ORDER BY metric_date")
+_reg("mart_by_date", MART_OUT + f" WHERE metric_date = {D}")
+_reg("mart_count_by_date", f"SELECT COUNT(*) AS row_count FROM mart WHERE metric_date = {D}")
+_reg("mart_summary", """
+SELECT COUNT(*) AS row_count, CAST(SUM(daily_active_users) AS BIGINT) AS dau_sum FROM mart
+""")
+_reg("mart_revenue_rounded", f"""
+SELECT metric_date, daily_active_users,
+       CAST(ROUND(CAST(total_revenue AS DECIMAL(38,6)), 2) AS DOUBLE) AS revenue, top_product_id
+FROM mart WHERE metric_date = {D}
+""")
+_reg("mart_preview", MART_OUT + " ORDER BY metric_date LIMIT 3")
+_reg("kpi_latest", """
+SELECT metric_date, daily_active_users, total_revenue,
+       COALESCE(top_product_revenue, CAST(0.0 AS DOUBLE)) AS top_product_revenue
+FROM mart ORDER BY metric_date DESC LIMIT 1
+""")
+_reg("dau_series", "SELECT metric_date, daily_active_users FROM mart ORDER BY metric_date")
+_reg("revenue_series", "SELECT metric_date, total_revenue FROM mart ORDER BY metric_date")
+_reg("layer_counts", """
+SELECT 'bronze' AS layer, process_date, COUNT(*) AS row_count FROM bronze GROUP BY process_date
+UNION ALL
+SELECT 'silver' AS layer, process_date, COUNT(*) AS row_count FROM silver GROUP BY process_date
+UNION ALL
+SELECT 'gold' AS layer, process_date, COUNT(*) AS row_count FROM gold GROUP BY process_date
+""")
+_reg("dq_null_counts", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM bronze"
+    for c in ["event_id", "user_id", "event_type", "product_id", "event_timestamp", "amount"]))
+_reg("dq_reconcile", """
+, b AS (SELECT process_date, COUNT(*) AS n FROM bronze GROUP BY process_date),
+s AS (SELECT process_date, COUNT(*) AS n FROM silver GROUP BY process_date),
+r AS (SELECT process_date, COUNT(*) AS n FROM parsed
+      WHERE event_id IS NULL OR user_id IS NULL OR product_id IS NULL OR ts_parsed IS NULL
+      GROUP BY process_date),
+g AS (SELECT process_date, COUNT(*) AS n FROM gold GROUP BY process_date),
+j AS (SELECT b.process_date, b.n AS bronze_rows, COALESCE(s.n, 0) AS silver_rows,
+             COALESCE(r.n, 0) AS rejected_rows, COALESCE(g.n, 0) AS gold_rows
+      FROM b LEFT JOIN s ON b.process_date = s.process_date
+             LEFT JOIN r ON b.process_date = r.process_date
+             LEFT JOIN g ON b.process_date = g.process_date)
+SELECT process_date, CAST(bronze_rows AS BIGINT) AS bronze_rows,
+       CAST(silver_rows AS BIGINT) AS silver_rows, CAST(rejected_rows AS BIGINT) AS rejected_rows,
+       CAST(gold_rows AS BIGINT) AS gold_rows,
+       bronze_rows = silver_rows + rejected_rows AND gold_rows >= 1 AS passed
+FROM j
+""")
+_NUMERIC = {
+    "user_id_in_range": "user_id IS NOT NULL AND NOT (user_id BETWEEN 1 AND 100000)",
+    "product_id_in_range": "product_id IS NOT NULL AND NOT (product_id BETWEEN 1 AND 5000)",
+    "amount_finite": "amount IS NOT NULL AND NOT isfinite(amount)",
+    "amount_not_negative": "amount < 0",
+    "purchase_amount_in_range": "event_type = 'purchase' AND amount IS NOT NULL "
+                                "AND NOT (amount BETWEEN 5.0 AND 500.0)",
+    "non_purchase_amount_zero": "event_type IS NOT NULL AND event_type <> 'purchase' "
+                                "AND amount IS NOT NULL AND amount <> 0",
+    "event_type_known": "event_type IS NOT NULL "
+                        "AND event_type NOT IN ('view', 'click', 'purchase')",
+}
+_reg("dq_numeric", " UNION ALL ".join(
+    f"SELECT '{name}' AS \"check\", COUNT(*) FILTER (WHERE {cond}) AS failures, "
+    f"COUNT(*) FILTER (WHERE {cond}) = 0 AS passed FROM bronze"
+    for name, cond in _NUMERIC.items()))
+_CASTS = {
+    "user_id": "TRY_CAST(CAST(user_id AS VARCHAR) AS INT)",
+    "product_id": "TRY_CAST(CAST(product_id AS VARCHAR) AS INT)",
+    "amount": "TRY_CAST(CAST(amount AS VARCHAR) AS DOUBLE)",
+    "event_timestamp": "TRY_CAST(event_timestamp AS TIMESTAMP)",
+}
+_reg("dq_cast_failures", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {typed} IS NULL) "
+    f"AS failures FROM bronze" for c, typed in _CASTS.items()))
+_reg("dq_duplicate_ids", """
+, per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM bronze
+             WHERE event_id IS NOT NULL GROUP BY process_date, event_id)
+SELECT process_date, CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicate_rows
+FROM per_id GROUP BY process_date
+""")
+_reg("dq_date_spill", """
+SELECT process_date, COUNT(*) FILTER (WHERE event_date <> process_date) AS spilled_rows
+FROM silver GROUP BY process_date
 """)
 
-_reg("gold_daily_metrics", """
-SELECT process_date, event_date, daily_active_users, total_revenue, top_product_id,
-       top_product_revenue
-FROM gold
+
+def _draw(salt: str) -> str:
+    return (f"CAST('0x' || substr(md5('{FIXED_DATE}:{salt}:' || CAST(event_id AS VARCHAR)), 1, 8)"
+            f" AS BIGINT)")
+
+
+_reg("gen_events", f"""
+, g AS (
+  SELECT md5('{FIXED_DATE}:event:' || CAST(event_id AS VARCHAR)) AS h,
+         {_draw('user')} AS du, {_draw('type')} % 100 AS dt, {_draw('product')} AS dp,
+         {_draw('time')} AS ds, {_draw('amount')} AS da
+  FROM events)
+SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
+         || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS event_id,
+       CAST(1 + du % 100000 AS INT) AS user_id,
+       CASE WHEN dt < 70 THEN 'view' WHEN dt < 90 THEN 'click' ELSE 'purchase' END AS event_type,
+       CAST(1 + dp % 5000 AS INT) AS product_id,
+       strftime(TIMESTAMP '{FIXED_DATE} 00:00:00' + to_seconds(ds % 86400),
+                '%Y-%m-%dT%H:%M:%S') AS event_timestamp,
+       CASE WHEN dt >= 90 THEN CAST(500 + da % 49501 AS DOUBLE) / CAST(100 AS DOUBLE)
+            ELSE CAST(0.0 AS DOUBLE) END AS amount
+FROM g
 """)
 
 

@@ -1,7 +1,9 @@
 """The registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
-Each reads the given tables (through the Bronze fixture mapping) and returns a
-DataFrame whose columns match the oracle SQL of the same key.
+Every query reads the given ``events`` table through the Bronze fixture mapping,
+either directly as a DataFrame plan or through the warehouse that writes it as
+Bronze CSV and runs the pipeline over all of it. Column names match the oracle
+SQL of the same key (``daybook.oracle``).
 """
 
 from __future__ import annotations
@@ -9,11 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators import gold, silver
-from daybook.plans import fixture
+from daybook.operators import dashboard, generate, gold, quality, silver
+from daybook.plans import fixture, pipeline, warehouse
+from daybook.schema import BRONZE_COLUMNS, SILVER_COLUMNS
 from daybook.session import configure
+from daybook.sources import bronze, layers, mart
 
-GOLD_KEYS = ["process_date", "event_date"]
+GOLD_KEYS = pipeline.GOLD_KEYS
+
+# The arrival date the single-date keys ask for, and the preview size.
+FIXED_DATE = "2024-01-12"
+PREVIEW_ROWS = 3
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,20 +29,213 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.transform_to_silver(fixture.bronze(spark, sf_dir))
 
 
-def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _silver(spark, sf_dir)
-    return s.select("event_id", "user_id", "event_type", "product_id", "amount",
-                    F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
-                    "event_date", "day_of_week")
+def _silver_out(df: DataFrame) -> DataFrame:
+    # Timestamps leave as wall-clock values (timestamp_ntz) for engine-neutral compare.
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "event_timestamp"
+                       else F.col(c) for c in SILVER_COLUMNS])
+
+
+def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, _ = warehouse.build(spark, sf_dir)
+    return mart.mart_view(spark, paths.mart)
+
+
+# --- Silver and Gold as plans over the table -------------------------------------------
+
+def silver_clean(spark, sf_dir):
+    return _silver_out(_silver(spark, sf_dir))
+
+
+def daily_totals(spark, sf_dir):
+    return gold.daily_totals(_silver(spark, sf_dir))
+
 
+def product_revenue(spark, sf_dir):
+    return gold.product_revenue(_silver(spark, sf_dir))
 
-def gold_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def top_product(spark, sf_dir):
+    return gold.top_product(gold.product_revenue_exact(_silver(spark, sf_dir)))
+
+
+def top_product_max_by(spark, sf_dir):
+    return gold.top_product_max_by(gold.product_revenue_exact(_silver(spark, sf_dir)))
+
+
+def gold_daily_metrics(spark, sf_dir):
     return gold.aggregate_to_gold(_silver(spark, sf_dir), GOLD_KEYS)
 
 
+# --- Files: Bronze CSV, Silver/Gold Parquet ----------------------------------------------
+
+def bronze_scan(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    return bronze.read_bronze(spark, paths.bronze).select(*BRONZE_COLUMNS)
+
+
+def silver_by_date(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    return _silver_out(pipeline.silver_for(spark, paths, [FIXED_DATE]))
+
+
+def gold_by_date(spark, sf_dir):
+    """The daily run of one arrival date into fresh Silver/Gold folders."""
+    paths, _ = warehouse.fresh_layers(spark, sf_dir)
+    pipeline.daily_run(spark, paths, FIXED_DATE)
+    return pipeline.gold_for(spark, paths, [FIXED_DATE]).select(*pipeline.GOLD_COLUMNS)
+
+
+def partition_columns(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    from daybook.schema import SILVER_SCHEMA
+    rows = layers.read_layout(spark, paths.silver, SILVER_SCHEMA)
+    return rows.groupBy("process_date", "year", "month", "day").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def backfill_gold(spark, sf_dir):
+    """All arrival dates in one job per layer, into fresh folders."""
+    paths, dates = warehouse.fresh_layers(spark, sf_dir)
+    pipeline.backfill(spark, paths, min(dates), max(dates))
+    return pipeline.gold_for(spark, paths).select(*pipeline.GOLD_COLUMNS)
+
+
+# --- Mart -----------------------------------------------------------------------------------
+
+def mart_rows(spark, sf_dir):
+    return _mart(spark, sf_dir)
+
+
+def mart_replace(spark, sf_dir):
+    """Load every date twice into a fresh mart: the second load replaces the first."""
+    base, dates = warehouse.build(spark, sf_dir)
+    paths, _ = warehouse.fresh_layers(spark, sf_dir)
+    target = pipeline.Paths(bronze=base.bronze, silver=base.silver, gold=base.gold,
+                            mart=paths.mart)
+    pipeline.load(spark, target, dates)
+    pipeline.load(spark, target, dates)
+    return mart.mart_view(spark, target.mart)
+
+
+def dashboard_table(spark, sf_dir):
+    return dashboard.table(_mart(spark, sf_dir))
+
+
+def mart_by_date(spark, sf_dir):
+    return dashboard.by_date(_mart(spark, sf_dir), FIXED_DATE)
+
+
+def mart_count_by_date(spark, sf_dir):
+    return dashboard.count_by_date(_mart(spark, sf_dir), FIXED_DATE)
+
+
+def mart_summary(spark, sf_dir):
+    return dashboard.summary(_mart(spark, sf_dir))
+
+
+def mart_revenue_rounded(spark, sf_dir):
+    return dashboard.revenue_rounded(_mart(spark, sf_dir), FIXED_DATE)
+
+
+def mart_preview(spark, sf_dir):
+    return dashboard.preview(_mart(spark, sf_dir), PREVIEW_ROWS)
+
+
+def kpi_latest(spark, sf_dir):
+    return dashboard.latest(_mart(spark, sf_dir))
+
+
+def dau_series(spark, sf_dir):
+    return dashboard.series(_mart(spark, sf_dir), "daily_active_users")
+
+
+def revenue_series(spark, sf_dir):
+    return dashboard.series(_mart(spark, sf_dir), "total_revenue")
+
+
+# --- Quality --------------------------------------------------------------------------------
+
+def _layers(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    return (paths, bronze.read_bronze(spark, paths.bronze),
+            pipeline.silver_for(spark, paths, None), pipeline.gold_for(spark, paths))
+
+
+def layer_counts(spark, sf_dir):
+    _, b, s, g = _layers(spark, sf_dir)
+    return quality.layer_counts({"bronze": b, "silver": s, "gold": g})
+
+
+def dq_null_counts(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    return quality.null_counts(bronze.read_bronze(spark, paths.bronze))
+
+
+def dq_reconcile(spark, sf_dir):
+    _, b, s, g = _layers(spark, sf_dir)
+    return quality.reconcile(b, s, g)
+
+
+def dq_numeric(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    return quality.numeric_validity(bronze.read_bronze(spark, paths.bronze))
+
+
+def dq_cast_failures(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    return quality.cast_failures(bronze.read_bronze_text(spark, paths.bronze))
+
+
+def dq_duplicate_ids(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    return quality.duplicate_ids(bronze.read_bronze(spark, paths.bronze))
+
+
+def dq_date_spill(spark, sf_dir):
+    paths, _ = warehouse.build(spark, sf_dir)
+    return quality.date_spill(pipeline.silver_for(spark, paths, None))
+
+
+# --- Event source ---------------------------------------------------------------------------
+
+def gen_events(spark, sf_dir):
+    """One synthetic event per row of the given events table, on the fixed date."""
+    configure(spark)
+    ids = fixture.read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    return generate.events_for_ids(ids, FIXED_DATE).select(*BRONZE_COLUMNS)
+
+
 _QUERIES = {
+    "bronze_scan": bronze_scan,
     "silver_clean": silver_clean,
+    "silver_by_date": silver_by_date,
+    "gold_by_date": gold_by_date,
+    "partition_columns": partition_columns,
+    "daily_totals": daily_totals,
+    "product_revenue": product_revenue,
+    "top_product": top_product,
+    "top_product_max_by": top_product_max_by,
     "gold_daily_metrics": gold_daily_metrics,
+    "backfill_gold": backfill_gold,
+    "mart_rows": mart_rows,
+    "mart_replace": mart_replace,
+    "dashboard_table": dashboard_table,
+    "mart_by_date": mart_by_date,
+    "mart_count_by_date": mart_count_by_date,
+    "mart_summary": mart_summary,
+    "mart_revenue_rounded": mart_revenue_rounded,
+    "mart_preview": mart_preview,
+    "kpi_latest": kpi_latest,
+    "dau_series": dau_series,
+    "revenue_series": revenue_series,
+    "layer_counts": layer_counts,
+    "dq_null_counts": dq_null_counts,
+    "dq_reconcile": dq_reconcile,
+    "dq_numeric": dq_numeric,
+    "dq_cast_failures": dq_cast_failures,
+    "dq_duplicate_ids": dq_duplicate_ids,
+    "dq_date_spill": dq_date_spill,
+    "gen_events": gen_events,
 }
 
 

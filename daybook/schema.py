@@ -43,3 +43,25 @@ MART_SCHEMA = T.StructType([
 
 # Silver and Gold are laid out by arrival date as year=YYYY/month=MM/day=DD.
 LAYOUT_COLUMNS = ["year", "month", "day"]
+
+SILVER_SCHEMA = T.StructType([
+    T.StructField("event_id", T.StringType(), True),
+    T.StructField("user_id", T.IntegerType(), True),
+    T.StructField("event_type", T.StringType(), True),
+    T.StructField("product_id", T.IntegerType(), True),
+    T.StructField("amount", T.DoubleType(), True),
+    T.StructField("event_timestamp", T.TimestampType(), True),
+    T.StructField("event_date", T.DateType(), True),
+    T.StructField("day_of_week", T.StringType(), True),
+])
+
+GOLD_SCHEMA = T.StructType([
+    T.StructField("event_date", T.DateType(), True),
+    T.StructField("daily_active_users", T.LongType(), True),
+    T.StructField("total_revenue", T.DoubleType(), True),
+    T.StructField("top_product_id", T.IntegerType(), True),
+    T.StructField("top_product_revenue", T.DoubleType(), True),
+])
+
+# The mart as stored (process_date is the partition, see MART_SCHEMA for the view).
+MART_STORED_SCHEMA = T.StructType([f for f in MART_SCHEMA.fields if f.name != "process_date"])
