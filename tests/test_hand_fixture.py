@@ -1,0 +1,83 @@
+"""The 12-row Bronze file of FIXTURES.md §2 through Silver and Gold."""
+
+import datetime as dt
+
+from conftest import write_csv
+from daybook.operators import gold, silver
+from daybook.plans import pipeline
+from daybook.sources import bronze
+
+HAND = """event_id,user_id,event_type,product_id,event_timestamp,amount
+a,1,view,10,2026-01-12T00:00:01,0.0
+b,2,purchase,10,2026-01-12T23:59:59,12.34
+c,abc,purchase,11,2026-01-12T01:00:00,5.0
+d,3,purchase,,2026-01-12T01:00:00,5.0
+,3,purchase,11,2026-01-12T01:00:00,5.0
+e,4,purchase,11,garbage,5.0
+f,5,purchase,11,,5.0
+g,6,purchase,12,2026-01-12T02:00:00,
+h,7,,12,2026-01-13T00:00:00,20.0
+i,8,purchase,12,2026-01-12 03:00:00,1.5
+j,9,purchase
+k,10,purchase,12,2026-01-12T02:00:00,7.5,extra
+"""
+DAY = "2026-01-12"
+
+
+def _land(root):
+    paths = pipeline.Paths.under(root)
+    write_csv(bronze.date_path(paths.bronze, DAY), "a.csv", HAND)
+    return paths
+
+
+def test_bronze_reads_positionally(spark, root):
+    paths = _land(root)
+    b = bronze.read_bronze(spark, paths.bronze, DAY)
+    assert b.count() == 12
+    row_c = b.where("event_id = 'c'").first()
+    assert row_c.user_id is None  # bad int → NULL
+    row_j = b.where("event_id = 'j'").first()
+    assert row_j.product_id is None and row_j.event_timestamp is None  # short row
+    row_k = b.where("event_id = 'k'").first()
+    assert row_k.amount == 7.5  # extra field ignored
+    assert {r.process_date for r in b.collect()} == {dt.date(2026, 1, 12)}
+
+
+def test_silver_keeps_expected_rows(spark, root):
+    paths = _land(root)
+    s = silver.transform_to_silver(bronze.read_bronze(spark, paths.bronze, DAY))
+    rows = {r.event_id: r for r in s.collect()}
+    assert sorted(rows) == ["a", "b", "g", "h", "i", "k"]
+    assert rows["g"].amount is None
+    assert rows["h"].event_type is None
+    assert rows["h"].event_date == dt.date(2026, 1, 13)
+    assert rows["h"].day_of_week == "Tue"
+    assert {rows[k].day_of_week for k in "abgik"} == {"Mon"}
+    assert rows["i"].event_timestamp == dt.datetime(2026, 1, 12, 3, 0, 0) or \
+        rows["i"].event_timestamp.replace(tzinfo=None).hour == 3
+
+
+def test_gold_values(spark, root):
+    paths = _land(root)
+    s = silver.transform_to_silver(bronze.read_bronze(spark, paths.bronze, DAY))
+    g = {r.event_date.isoformat(): r for r in gold.aggregate_to_gold(s).collect()}
+    assert set(g) == {"2026-01-12", "2026-01-13"}
+    a, b = g["2026-01-12"], g["2026-01-13"]
+    assert (a.daily_active_users, a.total_revenue, a.top_product_id, a.top_product_revenue) \
+        == (5, 21.34, 10, 12.34)
+    assert (b.daily_active_users, b.total_revenue, b.top_product_id, b.top_product_revenue) \
+        == (1, 20.0, 12, 20.0)
+
+
+def test_pipeline_files_the_spill_under_arrival_date(spark, root):
+    paths = _land(root)
+    res = pipeline.daily_run(spark, paths, DAY)
+    assert res.dates == [DAY] and not res.missing
+    g = pipeline.gold_for(spark, paths, [DAY]).collect()
+    assert sorted((r.process_date.isoformat(), r.event_date.isoformat()) for r in g) == \
+        [(DAY, "2026-01-12"), (DAY, "2026-01-13")]
+    pipeline.load(spark, paths, [DAY])
+    from daybook.sources import mart
+    view = mart.mart_view(spark, paths.mart).collect()
+    assert [r.metric_date.isoformat() for r in view] == [DAY]
+    assert mart.read_mart(spark, paths.mart).count() == 2
