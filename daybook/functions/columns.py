@@ -42,5 +42,9 @@ def layout_columns(date_col="process_date") -> dict[str, Column]:
 
 
 def process_date_from_layout() -> Column:
-    """Inverse of :func:`layout_columns` on the partition columns of a read."""
-    return F.to_date(F.concat_ws("-", F.col("year"), F.col("month"), F.col("day")))
+    """Inverse of :func:`layout_columns` on partition columns read as integers.
+
+    Integer arithmetic per row, no text parsing: the partition values are
+    constant per file and typed once by the read schema.
+    """
+    return F.make_date(F.col("year"), F.col("month"), F.col("day"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.silver import rejected_rows
+from daybook.operators.silver import rejected
 from daybook.schema import BRONZE_COLUMNS
 
 # The ranges the event source draws from.
@@ -113,13 +113,13 @@ def reconcile(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFram
     Inputs are aggregated to one row per date before the join, so the join is
     between per-date counts (rows = dates).
     """
-    b = counts_by_date(bronze, "bronze_rows")
+    # Bronze rows and rejected rows in one pass over Bronze.
+    b = bronze.groupBy("process_date").agg(F.count(F.lit(1)).alias("bronze_rows"),
+                                           F.count_if(rejected(bronze)).alias("rejected_rows"))
     s = counts_by_date(silver, "silver_rows")
-    r = counts_by_date(rejected_rows(bronze), "rejected_rows")
     g = counts_by_date(gold, "gold_rows")
     zero = F.lit(0).cast("bigint")
-    out = (b.join(s, "process_date", "full").join(r, "process_date", "full")
-            .join(g, "process_date", "full")
+    out = (b.join(s, "process_date", "full").join(g, "process_date", "full")
             .select("process_date",
                     *[F.coalesce(c, zero).alias(c) for c in
                       ["bronze_rows", "silver_rows", "rejected_rows", "gold_rows"]]))

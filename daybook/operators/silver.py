@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import day_name, parse_event_time
@@ -31,12 +31,15 @@ def transform_to_silver(bronze: DataFrame) -> DataFrame:
     )
 
 
-def rejected_rows(bronze: DataFrame) -> DataFrame:
-    """The Bronze rows that cleaning drops (for the quality report)."""
-    parsed = bronze.withColumn("event_timestamp_ts", parse_event_time("event_timestamp"))
+def rejected(bronze: DataFrame) -> Column:
+    """True for a Bronze row that cleaning drops (a key is NULL after typing)."""
     cond = None
     for c in KEY_COLUMNS:
-        name = "event_timestamp_ts" if c == "event_timestamp" else c
-        term = F.col(name).isNull()
+        term = (parse_event_time(c) if c == "event_timestamp" else F.col(c)).isNull()
         cond = term if cond is None else (cond | term)
-    return parsed.where(cond).drop("event_timestamp_ts")
+    return cond
+
+
+def rejected_rows(bronze: DataFrame) -> DataFrame:
+    """The Bronze rows that cleaning drops (for the quality report)."""
+    return bronze.where(rejected(bronze))

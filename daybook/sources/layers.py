@@ -61,7 +61,8 @@ def read_layer(spark: SparkSession, root: str, schema: T.StructType,
     """
     if isinstance(dates, str):
         dates = [dates]
-    full = T.StructType(schema.fields + [T.StructField(c, T.StringType(), True)
+    # The directory text "01" is typed as the integer 1 by the schema.
+    full = T.StructType(schema.fields + [T.StructField(c, T.IntegerType(), True)
                                          for c in LAYOUT_COLUMNS])
     reader = spark.read.schema(full)
     if dates is None:
@@ -75,11 +76,11 @@ def read_layer(spark: SparkSession, root: str, schema: T.StructType,
 
 
 def read_layout(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Rows with the raw ``year/month/day`` partition text kept."""
+    """Rows with the raw ``year/month/day`` partition text kept (as written)."""
     full = T.StructType(schema.fields + [T.StructField(c, T.StringType(), True)
                                          for c in LAYOUT_COLUMNS])
     return spark.read.schema(full).parquet(root).withColumn(
-        "process_date", process_date_from_layout())
+        "process_date", F.to_date(F.concat_ws("-", *LAYOUT_COLUMNS)))
 
 
 def where_dates(df: DataFrame, dates: Iterable[str]) -> DataFrame:
