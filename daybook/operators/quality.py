@@ -146,3 +146,12 @@ def date_spill(silver: DataFrame) -> DataFrame:
     """(process_date, spilled_rows): cleaned rows whose event date is not the arrival date."""
     return silver.groupBy("process_date").agg(
         F.count_if(F.col("event_date") != F.col("process_date")).alias("spilled_rows"))
+
+
+def difference_counts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(only_in_first, only_in_second): multiset differences, both ways, one row."""
+    side = F.col("_side")
+    both = (a.exceptAll(b).select(F.lit(1).alias("_side"))
+            .unionByName(b.exceptAll(a).select(F.lit(2).alias("_side"))))
+    return both.agg(F.count_if(side == 1).alias("only_in_first"),
+                    F.count_if(side == 2).alias("only_in_second"))

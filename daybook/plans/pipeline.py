@@ -115,6 +115,32 @@ def check_layers(spark: SparkSession, paths: Paths, date: str) -> dict[str, int]
     return counts
 
 
+def check_mart_count(spark: SparkSession, paths: Paths, date: str, expected: int = 1) -> int:
+    """Gate: the dashboard view holds exactly ``expected`` rows for the date."""
+    from daybook.operators import dashboard
+    n = dashboard.count_by_date(mart.mart_view(spark, paths.mart), date).first()["row_count"]
+    if n != expected:
+        raise GateError(f"mart has {n} rows for {date}, expected {expected}")
+    return n
+
+
+def verify_idempotent(spark: SparkSession, paths: Paths, dates) -> dict[str, int]:
+    """Run the dates again and compare Gold with the previous result.
+
+    The previous Gold is checkpointed to the shared checkpoint folder first (a
+    rerun replaces its files, and a lost executor must be able to re-read it).
+    Returns the numbers of rows only in the old / only in the new result.
+    """
+    from daybook.operators import quality
+    from daybook.session import checkpoint_root
+    checkpoint_root(spark)
+    dates = list(dates)
+    before = gold_for(spark, paths, dates).checkpoint(eager=True)
+    run_dates(spark, paths, dates)
+    diff = quality.difference_counts(before, gold_for(spark, paths, dates)).first()
+    return {"only_before": diff["only_in_first"], "only_after": diff["only_in_second"]}
+
+
 def run_gated(spark: SparkSession, paths: Paths, date: str, generate=None) -> dict:
     """generate → Bronze present → transform → layers not empty → load.
 
@@ -129,6 +155,7 @@ def run_gated(spark: SparkSession, paths: Paths, date: str, generate=None) -> di
     steps["run"] = run_dates(spark, paths, [date])
     steps["layers"] = check_layers(spark, paths, date)
     steps["load"] = load(spark, paths, [date])
+    steps["mart_rows"] = check_mart_count(spark, paths, date)
     return steps
 
 

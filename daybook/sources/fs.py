@@ -33,6 +33,20 @@ def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(out)
 
 
+def first_data_file(spark: SparkSession, path: str) -> str | None:
+    """Full path of one data file below ``path`` (stops listing at the first); None if none."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return None
+    it = fs.listStatusIterator(p)
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith(("_", ".")):
+            return st.getPath().toString()
+    return None
+
+
 def subdirs(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):

@@ -38,15 +38,17 @@ def replace_dates(spark: SparkSession, df: DataFrame, root: str, dates: Iterable
     """Write ``df`` and make every date in ``dates`` hold exactly its new rows.
 
     Returns the dates that were cleared because the new data had no row for them.
-    A partition the write replaced has only new file names (each write job names
-    its files uniquely); one whose file list is unchanged was not rewritten.
+    The commit of a dynamic overwrite empties every partition it writes before
+    moving the new files in, so a partition still holding a file it held before
+    the write was not rewritten. One file name per date is remembered: the check
+    costs one metadata call per date, whatever the number of files.
     """
     dates = list(dict.fromkeys(dates))
-    before = {d: fs.data_files(spark, partition_path(root, d)) for d in dates}
+    before = {d: fs.first_data_file(spark, partition_path(root, d)) for d in dates}
     write_layer(df, root, date_col)
     cleared = []
     for d in dates:
-        if before[d] and fs.data_files(spark, partition_path(root, d)) == before[d]:
+        if before[d] is not None and fs.exists(spark, before[d]):
             fs.delete(spark, partition_path(root, d))
             cleared.append(d)
     return cleared

@@ -110,3 +110,21 @@ def test_partition_pruning_in_plan(spark, landed):
     plan = silver._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "year" in plan
     assert silver.count() > 0
+
+
+def test_idempotency_check_and_mart_count_gate(spark, landed):
+    p = _fresh(spark, landed)
+    pipeline.run_dates(spark, p, DATES)
+    assert pipeline.verify_idempotent(spark, p, DATES) == {"only_before": 0, "only_after": 0}
+    pipeline.load(spark, p, DATES)
+    assert pipeline.check_mart_count(spark, p, DATES[1]) == 1
+    with pytest.raises(pipeline.GateError):
+        pipeline.check_mart_count(spark, p, "2023-01-01")
+
+
+def test_bronze_file_listing(spark, landed):
+    files = bronze.bronze_files(spark, landed.bronze, DATES[0])
+    assert files.columns == ["path", "length"]
+    rows = files.collect()
+    assert rows and all(r.length > 0 and "date=2024-01-03" in r.path for r in rows)
+    assert bronze.require_bronze(spark, landed.bronze, DATES[0]) == len(rows)
