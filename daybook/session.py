@@ -59,7 +59,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="daybook-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # a core setting may be fixed for the running session
+            pass
+    elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -74,6 +74,26 @@ def bronze_header(spark: SparkSession, root: str, date: str) -> list[str]:
     return [n.strip() for n in lines[0]["names"]] if lines else []
 
 
+def header_report(spark: SparkSession, root: str, dates: Iterable[str] | str) -> DataFrame:
+    """(file, header, matches): the first line of every Bronze file of the dates.
+
+    The first line of a file is the first line of its split at offset 0; within a
+    split line positions increase, so ``min_by(value, position)`` per file is
+    exact however the files are split. One row per file, never per line.
+    """
+    if isinstance(dates, str):
+        dates = [dates]
+    present = [p for p in (date_path(root, d) for d in dates) if fs.exists(spark, p)]
+    if not present:
+        return spark.createDataFrame([], "file string, header string, matches boolean")
+    lines = spark.read.text(present).select(
+        F.input_file_name().alias("file"), F.input_file_block_start().alias("start"),
+        F.monotonically_increasing_id().alias("pos"), "value")
+    heads = (lines.where(F.col("start") == 0).groupBy("file")
+             .agg(F.min_by("value", "pos").alias("header")))
+    return heads.withColumn("matches", F.col("header") == F.lit(",".join(BRONZE_COLUMNS)))
+
+
 def write_bronze(df: DataFrame, root: str) -> None:
     """Write Bronze rows (with ``process_date``) as CSV with a header, one folder per
     arrival date. A rerun replaces only the dates it writes."""
@@ -100,5 +120,5 @@ def present_dates(spark: SparkSession, root: str, dates: Iterable[str]) -> tuple
     """Split requested dates into (with files, without files)."""
     have, missing = [], []
     for d in dates:
-        (have if fs.data_files(spark, date_path(root, d)) else missing).append(d)
+        (have if fs.first_data_file(spark, date_path(root, d)) else missing).append(d)
     return have, missing

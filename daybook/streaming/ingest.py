@@ -32,7 +32,7 @@ DATE_IN_PATH = r"date=(\d{4}-\d{2}-\d{2})"
 def landed_dates(spark: SparkSession, bronze_root: str) -> DataFrame:
     """A stream of (process_date) for every newly landed Bronze file."""
     files = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
-             .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+             .option("recursiveFileLookup", "true")
              .load(bronze_root))
     return files.select(F.regexp_extract("path", DATE_IN_PATH, 1).alias("process_date")) \
         .where(F.col("process_date") != "")

@@ -86,6 +86,12 @@ def test_reordered_header_is_detected(spark, root):
     header = bronze.bronze_header(spark, paths.bronze, "2026-02-10")
     assert quality.header_mismatches(header) == [(0, "event_id", "user_id"),
                                                  (1, "user_id", "event_id")]
+    write_csv(bronze.date_path(paths.bronze, "2026-02-10"), "b.csv",
+              HEADER + "b,2,view,8,2026-02-10T02:00:00,0.0\n")
+    report = {r.file.rsplit("/", 1)[-1]: r for r in
+              bronze.header_report(spark, paths.bronze, "2026-02-10").collect()}
+    assert report["a.csv"].matches is False and report["b.csv"].matches is True
+    assert report["a.csv"].header.startswith("user_id,event_id")
     text = bronze.read_bronze_text(spark, paths.bronze, "2026-02-10")
     fails = {r.column_name: r.failures for r in quality.cast_failures(text).collect()}
     assert fails["user_id"] == 1  # the id text "a" landed in user_id
@@ -134,3 +140,17 @@ def test_rerun_with_spill_does_not_duplicate(spark, root):
         == ["2026-03-07"]
     spill = quality.date_spill(pipeline.silver_for(spark, paths, None)).collect()
     assert [(r.process_date.isoformat(), r.spilled_rows) for r in spill] == [("2026-03-07", 1)]
+
+
+def test_header_report_with_many_splits_per_file(spark, root):
+    paths = pipeline.Paths.under(root)
+    body = "".join(f"e{i},{i % 9 + 1},view,8,2026-02-11T01:00:00,0.0\n" for i in range(3000))
+    write_csv(bronze.date_path(paths.bronze, "2026-02-11"), "big.csv", HEADER + body)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rep = bronze.header_report(spark, paths.bronze, "2026-02-11").collect()
+        assert bronze.read_bronze(spark, paths.bronze, "2026-02-11").rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rep) == 1 and rep[0].matches is True
