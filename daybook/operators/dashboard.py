@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schema import MART_COLUMNS
@@ -58,3 +58,23 @@ def revenue_rounded(mart: DataFrame, date: str) -> DataFrame:
 def is_empty_message(mart: DataFrame) -> str | None:
     """The page's message for an empty mart, else None (reads at most one row)."""
     return "No data available yet." if mart.isEmpty() else None
+
+
+# The dashboard's and the checks' SQL, runnable as written against the view
+# registered by register_view (Spark SQL dialect).
+VIEW_NAME = "daily_metrics"
+DASHBOARD_SQL = ("SELECT metric_date, daily_active_users, total_revenue, "
+                 "top_product_id, top_product_revenue "
+                 "FROM daily_metrics ORDER BY metric_date")
+COUNT_SQL = "SELECT COUNT(*) AS row_count FROM daily_metrics WHERE metric_date = '{date}'"
+SUMMARY_SQL = "SELECT COUNT(*), SUM(daily_active_users) FROM daily_metrics"
+PREVIEW_SQL = "SELECT * FROM daily_metrics WHERE metric_date = '{date}' LIMIT 5"
+ROUNDED_SQL = ("SELECT metric_date, daily_active_users, "
+               "ROUND(CAST(total_revenue AS DECIMAL(38,6)), 2) AS revenue, top_product_id "
+               "FROM daily_metrics WHERE metric_date = '{date}'")
+
+
+def register_view(spark: SparkSession, mart: DataFrame, name: str = VIEW_NAME) -> str:
+    """Expose the mart view to SQL under ``name`` (a session temp view)."""
+    mart.select(*MART_COLUMNS).createOrReplaceTempView(name)
+    return name

@@ -128,3 +128,30 @@ def test_bronze_file_listing(spark, landed):
     rows = files.collect()
     assert rows and all(r.length > 0 and "date=2024-01-03" in r.path for r in rows)
     assert bronze.require_bronze(spark, landed.bronze, DATES[0]) == len(rows)
+
+
+def test_dashboard_sql_on_registered_view(spark, landed):
+    p = _fresh(spark, landed)
+    pipeline.run_dates(spark, p, DATES)
+    pipeline.load(spark, p, DATES)
+    view = mart.mart_view(spark, p.mart)
+    dashboard.register_view(spark, view)
+    assert spark.sql(dashboard.DASHBOARD_SQL).collect() == dashboard.table(view).collect()
+    assert spark.sql(dashboard.COUNT_SQL.format(date=DATES[1])).first()[0] == 1
+    n, dau = spark.sql(dashboard.SUMMARY_SQL).first()
+    s = dashboard.summary(view).first()
+    assert (n, dau) == (s.row_count, s.dau_sum)
+    assert len(spark.sql(dashboard.PREVIEW_SQL.format(date=DATES[0])).collect()) == 1
+    r = spark.sql(dashboard.ROUNDED_SQL.format(date=DATES[2])).first()
+    assert float(r.revenue) == dashboard.revenue_rounded(view, DATES[2]).first().revenue
+
+
+def test_bronze_rewrite_of_a_date_replaces_it(spark, root):
+    from daybook.operators import generate
+    paths = pipeline.Paths.under(root)
+    bronze.write_bronze(generate.generate_events(spark, "2026-01-12", 1_000), paths.bronze)
+    bronze.write_bronze(generate.generate_events(spark, "2026-01-13", 500), paths.bronze)
+    bronze.write_bronze(generate.generate_events(spark, "2026-01-12", 300), paths.bronze)
+    counts = {r.process_date.isoformat(): r["count"] for r in
+              bronze.read_bronze(spark, paths.bronze).groupBy("process_date").count().collect()}
+    assert counts == {"2026-01-12": 300, "2026-01-13": 500}
