@@ -103,9 +103,18 @@ def write_bronze(df: DataFrame, root: str) -> None:
 
 
 def bronze_files(spark: SparkSession, root: str, date: str) -> DataFrame:
-    """(path, length) of the files of one arrival date; contents are not read."""
-    return (spark.read.format("binaryFile").load(date_path(root, date))
-            .select("path", "length"))
+    """(path, length) of the files of one arrival date; contents are not read.
+
+    A date without a folder raises :class:`MissingBronzeError`.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        return (spark.read.format("binaryFile").load(date_path(root, date))
+                .select("path", "length"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            raise MissingBronzeError(f"No bronze files found for {date}") from e
+        raise
 
 
 def require_bronze(spark: SparkSession, root: str, date: str) -> int:

@@ -155,3 +155,14 @@ def test_bronze_rewrite_of_a_date_replaces_it(spark, root):
     counts = {r.process_date.isoformat(): r["count"] for r in
               bronze.read_bronze(spark, paths.bronze).groupBy("process_date").count().collect()}
     assert counts == {"2026-01-12": 300, "2026-01-13": 500}
+
+
+def test_cli_gated_run_with_generation(spark, root):
+    from daybook.__main__ import main
+    out = main(["run", "--root", root, "--process-date", "2026-01-12", "--generate", "5000"])
+    assert out["silver_rows"] == 5000 and out["gold_rows"] == 1 and out["mart_rows"] == 1
+    out = main(["backfill", "--root", root, "--start", "2026-01-11", "--end", "2026-01-12",
+                "--load"])
+    assert out["dates"] == ["2026-01-12"] and out["missing"] == ["2026-01-11"]
+    with pytest.raises(bronze.MissingBronzeError):
+        bronze.bronze_files(spark, pipeline.Paths.under(root).bronze, "2026-01-11")
