@@ -166,3 +166,24 @@ def test_cli_gated_run_with_generation(spark, root):
     assert out["dates"] == ["2026-01-12"] and out["missing"] == ["2026-01-11"]
     with pytest.raises(bronze.MissingBronzeError):
         bronze.bronze_files(spark, pipeline.Paths.under(root).bronze, "2026-01-11")
+
+
+def test_streaming_ingest_only_handles_new_dates(spark, root):
+    from daybook.operators import generate
+    from daybook.session import scratch_dir as sd
+    paths = pipeline.Paths.under(root)
+    ckpt = sd(spark, "ckpt")
+    bronze.write_bronze(generate.generate_events(spark, "2026-01-12", 2_000), paths.bronze)
+    q = ingest.start(spark, paths, checkpoint=ckpt)
+    q.awaitTermination(300)
+    first = [p["numInputRows"] for p in q.recentProgress]
+    assert sum(first) > 0
+    assert mart.mart_view(spark, paths.mart).count() == 1
+    bronze.write_bronze(generate.generate_events(spark, "2026-01-13", 1_000), paths.bronze)
+    q2 = ingest.start(spark, paths, checkpoint=ckpt)
+    q2.awaitTermination(300)
+    # Only the new date's files are new input; both dates are in the mart once.
+    new_files = sum(p["numInputRows"] for p in q2.recentProgress)
+    assert 0 < new_files <= len(bronze.bronze_files(spark, paths.bronze, "2026-01-13").collect())
+    view = mart.mart_view(spark, paths.mart).collect()
+    assert sorted(r.metric_date.isoformat() for r in view) == ["2026-01-12", "2026-01-13"]
