@@ -11,7 +11,6 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from daybook.operators import gold as gold_ops
 from daybook.operators import silver as silver_ops
@@ -157,7 +156,3 @@ def run_gated(spark: SparkSession, paths: Paths, date: str, generate=None) -> di
     steps["load"] = load(spark, paths, [date])
     steps["mart_rows"] = check_mart_count(spark, paths, date)
     return steps
-
-
-def process_date_lit(date: str):
-    return F.lit(date).cast("date")

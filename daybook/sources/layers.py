@@ -83,7 +83,3 @@ def read_layout(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
                                          for c in LAYOUT_COLUMNS])
     return spark.read.schema(full).parquet(root).withColumn(
         "process_date", F.to_date(F.concat_ws("-", *LAYOUT_COLUMNS)))
-
-
-def where_dates(df: DataFrame, dates: Iterable[str]) -> DataFrame:
-    return df.where(F.col("process_date").isin([F.lit(d).cast("date") for d in dates]))
