@@ -57,24 +57,34 @@ def numeric_validity(bronze: DataFrame) -> DataFrame:
             .withColumn("passed", F.col("failures") == 0))
 
 
-def cast_failures(bronze_text: DataFrame) -> DataFrame:
+def _cast_failure_columns() -> dict[str, Column]:
+    def bad(c: Column, typed: Column) -> Column:
+        return c.isNotNull() & typed.isNull()
+
+    return {
+        "user_id": bad(F.col("user_id"), F.col("user_id").try_cast("int")),
+        "product_id": bad(F.col("product_id"), F.col("product_id").try_cast("int")),
+        "amount": bad(F.col("amount"), F.col("amount").try_cast("double")),
+        "event_timestamp": bad(F.col("event_timestamp"), F.try_to_timestamp("event_timestamp")),
+    }
+
+
+def cast_failures(bronze_text, grouped: bool = False) -> DataFrame:
     """(column_name, failures): text present in the file that does not type-check.
 
     ``bronze_text`` is Bronze read with every column as a string, so a value the
-    typed read would silently turn into NULL is counted here.
+    typed read would silently turn into NULL is counted here. With
+    ``grouped=True`` it is a GroupedData and the result is, per group, the number
+    of rows with at least one such value (``cast_failures``).
     """
-    def bad(c: Column, typed: Column) -> Column:
-        return F.count_if(c.isNotNull() & typed.isNull())
-
-    agg = bronze_text.agg(
-        bad(F.col("user_id"), F.col("user_id").try_cast("int")).alias("user_id"),
-        bad(F.col("product_id"), F.col("product_id").try_cast("int")).alias("product_id"),
-        bad(F.col("amount"), F.col("amount").try_cast("double")).alias("amount"),
-        bad(F.col("event_timestamp"), F.try_to_timestamp("event_timestamp"))
-        .alias("event_timestamp"),
-    )
-    return _unpivot(agg, ["user_id", "product_id", "amount", "event_timestamp"],
-                    "column_name", "failures")
+    checks = _cast_failure_columns()
+    if grouped:
+        any_bad = None
+        for cond in checks.values():
+            any_bad = cond if any_bad is None else (any_bad | cond)
+        return bronze_text.agg(F.count_if(any_bad).alias("cast_failures"))
+    agg = bronze_text.agg(*[F.count_if(cond).alias(name) for name, cond in checks.items()])
+    return _unpivot(agg, list(checks), "column_name", "failures")
 
 
 def header_mismatches(header: list[str], expected=None) -> list[tuple[int, str, str]]:
@@ -155,3 +165,68 @@ def difference_counts(a: DataFrame, b: DataFrame) -> DataFrame:
             .unionByName(b.exceptAll(a).select(F.lit(2).alias("_side"))))
     return both.agg(F.count_if(side == 1).alias("only_in_first"),
                     F.count_if(side == 2).alias("only_in_second"))
+
+
+# The checks of the daily report and what each must equal. The three
+# row counts of the layers must be at least their expected value, all others equal it.
+AT_LEAST = {"bronze_rows": 1, "silver_rows": 1, "gold_rows": 1}
+EXACT = {"mart_rows": 1, "rows_reconciled": 0, "rejected_rows": 0, "silver_null_keys": 0,
+         "cast_failures": 0, "duplicate_event_ids": 0, "date_spill_rows": 0}
+NUMERIC_CHECKS = ["user_id_in_range", "product_id_in_range", "amount_finite",
+                  "amount_not_negative", "purchase_amount_in_range", "non_purchase_amount_zero",
+                  "event_type_known"]
+REPORT_CHECKS = [*AT_LEAST, *EXACT, *NUMERIC_CHECKS]
+
+
+def _any_null(cols) -> Column:
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNull() if cond is None else (cond | F.col(c).isNull())
+    return cond
+
+
+def report(bronze: DataFrame, bronze_text: DataFrame, silver: DataFrame, gold: DataFrame,
+           mart_view: DataFrame) -> DataFrame:
+    """All checks as one report: (process_date, check, observed, expected, passed).
+
+    Every source is aggregated to one row per arrival date in a single pass (the
+    typed Bronze pass also counts rejected rows and the numeric checks); the
+    per-date rows are joined and unpivoted. Duplicate ids need their own
+    shuffle on (date, event_id), with partial counts.
+    """
+    numeric = _numeric_checks()
+    assert list(numeric) == NUMERIC_CHECKS
+    zero = F.lit(0).cast("bigint")
+    b = bronze.groupBy("process_date").agg(
+        F.count(F.lit(1)).alias("bronze_rows"),
+        F.count_if(rejected(bronze)).alias("rejected_rows"),
+        *[F.count_if(c).alias(n) for n, c in numeric.items()])
+    casts = cast_failures(bronze_text.groupBy("process_date"), grouped=True)
+    s = silver.groupBy("process_date").agg(
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count_if(_any_null(["event_id", "user_id", "product_id", "event_timestamp"]))
+        .alias("silver_null_keys"),
+        F.count_if(F.col("event_date") != F.col("process_date")).alias("date_spill_rows"))
+    g = gold.groupBy("process_date").agg(F.count(F.lit(1)).alias("gold_rows"))
+    d = duplicate_ids(bronze).withColumnRenamed("duplicate_rows", "duplicate_event_ids")
+    m = mart_view.groupBy(F.col("metric_date").alias("process_date")) \
+        .agg(F.count(F.lit(1)).alias("mart_rows"))
+    wide = b
+    for part in (casts, s, g, d, m):
+        wide = wide.join(part, "process_date", "left")
+    wide = wide.select(
+        "process_date",
+        *[F.coalesce(F.col(c), zero).alias(c) for c in
+          ["bronze_rows", "silver_rows", "gold_rows", "mart_rows", "rejected_rows",
+           "silver_null_keys", "cast_failures", "duplicate_event_ids", "date_spill_rows",
+           *numeric]],
+    ).withColumn("rows_reconciled",
+                 F.col("bronze_rows") - F.col("silver_rows") - F.col("rejected_rows"))
+    long = wide.unpivot(["process_date"], REPORT_CHECKS, "check", "observed")
+    expected = F.lit(0).cast("bigint")
+    for name, value in {**AT_LEAST, **EXACT}.items():
+        expected = F.when(F.col("check") == name, F.lit(value).cast("bigint")).otherwise(expected)
+    at_least = F.col("check").isin(list(AT_LEAST))
+    return long.withColumn("expected", expected).withColumn(
+        "passed", F.when(at_least, F.col("observed") >= F.col("expected"))
+        .otherwise(F.col("observed") == F.col("expected")))

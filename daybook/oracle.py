@@ -191,6 +191,57 @@ SELECT process_date, COUNT(*) FILTER (WHERE event_date <> process_date) AS spill
 FROM silver GROUP BY process_date
 """)
 
+_ANY_NULL_KEY = "event_id IS NULL OR user_id IS NULL OR product_id IS NULL"
+_AT_LEAST = {"bronze_rows": 1, "silver_rows": 1, "gold_rows": 1}
+_EXACT = {"mart_rows": 1, "rows_reconciled": 0, "rejected_rows": 0, "silver_null_keys": 0,
+          "cast_failures": 0, "duplicate_event_ids": 0, "date_spill_rows": 0}
+_numeric_cols = ",\n       ".join(f"COUNT(*) FILTER (WHERE {c}) AS {n}" for n, c in _NUMERIC.items())
+_any_cast = " OR ".join(f"({c} IS NOT NULL AND {t} IS NULL)" for c, t in _CASTS.items())
+_report_checks = [*_AT_LEAST, *_EXACT, *_NUMERIC]
+_union = "\nUNION ALL\n".join(
+    f"SELECT process_date, '{c}' AS \"check\", {c} AS observed, "
+    f"CAST({_AT_LEAST.get(c, _EXACT.get(c, 0))} AS BIGINT) AS expected, "
+    f"{c} {'>=' if c in _AT_LEAST else '='} {_AT_LEAST.get(c, _EXACT.get(c, 0))} AS passed FROM w"
+    for c in _report_checks)
+_reg("dq_report", f"""
+, rb AS (
+  SELECT process_date, COUNT(*) AS bronze_rows,
+         COUNT(*) FILTER (WHERE {_ANY_NULL_KEY} OR TRY_CAST(event_timestamp AS TIMESTAMP) IS NULL)
+           AS rejected_rows,
+         COUNT(*) FILTER (WHERE {_any_cast}) AS cast_failures,
+         {_numeric_cols}
+  FROM bronze GROUP BY process_date),
+rs AS (
+  SELECT process_date, COUNT(*) AS silver_rows,
+         COUNT(*) FILTER (WHERE {_ANY_NULL_KEY} OR event_timestamp IS NULL) AS silver_null_keys,
+         COUNT(*) FILTER (WHERE event_date <> process_date) AS date_spill_rows
+  FROM silver GROUP BY process_date),
+rg AS (SELECT process_date, COUNT(*) AS gold_rows FROM gold GROUP BY process_date),
+per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM bronze
+           WHERE event_id IS NOT NULL GROUP BY process_date, event_id),
+rd AS (SELECT process_date, COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS dup
+       FROM per_id GROUP BY process_date),
+rm AS (SELECT metric_date AS process_date, COUNT(*) AS mart_rows FROM mart GROUP BY metric_date),
+w AS (
+  SELECT rb.process_date,
+         CAST(bronze_rows AS BIGINT) AS bronze_rows,
+         CAST(COALESCE(silver_rows, 0) AS BIGINT) AS silver_rows,
+         CAST(COALESCE(gold_rows, 0) AS BIGINT) AS gold_rows,
+         CAST(COALESCE(mart_rows, 0) AS BIGINT) AS mart_rows,
+         CAST(rejected_rows AS BIGINT) AS rejected_rows,
+         CAST(bronze_rows - COALESCE(silver_rows, 0) - rejected_rows AS BIGINT) AS rows_reconciled,
+         CAST(COALESCE(silver_null_keys, 0) AS BIGINT) AS silver_null_keys,
+         CAST(cast_failures AS BIGINT) AS cast_failures,
+         CAST(COALESCE(dup, 0) AS BIGINT) AS duplicate_event_ids,
+         CAST(COALESCE(date_spill_rows, 0) AS BIGINT) AS date_spill_rows,
+         {", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in _NUMERIC)}
+  FROM rb LEFT JOIN rs ON rb.process_date = rs.process_date
+          LEFT JOIN rg ON rb.process_date = rg.process_date
+          LEFT JOIN rd ON rb.process_date = rd.process_date
+          LEFT JOIN rm ON rb.process_date = rm.process_date)
+{_union}
+""")
+
 
 def _draw(salt: str) -> str:
     return (f"CAST('0x' || substr(md5('{FIXED_DATE}:{salt}:' || CAST(event_id AS VARCHAR)), 1, 8)"

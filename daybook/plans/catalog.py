@@ -186,6 +186,15 @@ def dq_cast_failures(spark, sf_dir):
     return quality.cast_failures(bronze.read_bronze_text(spark, paths.bronze))
 
 
+def dq_report(spark, sf_dir):
+    """Every check per arrival date in one report."""
+    paths, _ = warehouse.build(spark, sf_dir)
+    return quality.report(bronze.read_bronze(spark, paths.bronze),
+                          bronze.read_bronze_text(spark, paths.bronze),
+                          pipeline.silver_for(spark, paths, None),
+                          pipeline.gold_for(spark, paths), mart.mart_view(spark, paths.mart))
+
+
 def dq_duplicate_ids(spark, sf_dir):
     paths, _ = warehouse.build(spark, sf_dir)
     return quality.duplicate_ids(bronze.read_bronze(spark, paths.bronze))
@@ -234,6 +243,7 @@ _QUERIES = {
     "dq_numeric": dq_numeric,
     "dq_cast_failures": dq_cast_failures,
     "dq_duplicate_ids": dq_duplicate_ids,
+    "dq_report": dq_report,
     "dq_date_spill": dq_date_spill,
     "gen_events": gen_events,
 }

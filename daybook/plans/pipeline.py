@@ -140,6 +140,35 @@ def verify_idempotent(spark: SparkSession, paths: Paths, dates) -> dict[str, int
     return {"only_before": diff["only_in_first"], "only_after": diff["only_in_second"]}
 
 
+# The report checks a run must pass; the others are reported, not enforced.
+REQUIRED_CHECKS = ("bronze_rows", "silver_rows", "gold_rows", "rows_reconciled",
+                   "silver_null_keys")
+
+
+def quality_report(spark: SparkSession, paths: Paths, dates=None):
+    """The per-date quality report over all four layers (see operators.quality.report)."""
+    from daybook.operators import quality
+    return quality.report(bronze.read_bronze(spark, paths.bronze, dates),
+                          bronze.read_bronze_text(spark, paths.bronze, dates),
+                          silver_for(spark, paths, dates), gold_for(spark, paths, dates),
+                          mart.mart_view(spark, paths.mart))
+
+
+def check_report(spark: SparkSession, paths: Paths, dates, required=REQUIRED_CHECKS) -> list:
+    """Gate: raise when a required check fails for one of the dates.
+
+    Collects only the failed rows of the required checks (at most dates × checks).
+    """
+    from pyspark.sql import functions as F
+    dates = list(dates)
+    rep = quality_report(spark, paths, dates)
+    failed = (rep.where(F.col("check").isin(list(required)) & ~F.col("passed"))
+              .select("process_date", "check", "observed", "expected").collect())
+    if failed:
+        raise GateError(f"quality checks failed: {[tuple(r) for r in failed]}")
+    return failed
+
+
 def run_gated(spark: SparkSession, paths: Paths, date: str, generate=None) -> dict:
     """generate → Bronze present → transform → layers not empty → load.
 

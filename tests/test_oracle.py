@@ -26,3 +26,15 @@ def test_entry_smoke(spark):
     assert len(rows) == 30
     assert df.columns == ["process_date", "event_date", "daily_active_users", "total_revenue",
                           "top_product_id", "top_product_revenue"]
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+    from conftest import ROOT
+    code = ("import __spark_entry__ as E; q = E.queries(); o = E.oracle_sql(); "
+            "assert set(q) == set(o); print(len(q))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True,
+                         timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout.strip()) == len(KEYS)

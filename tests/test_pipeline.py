@@ -187,3 +187,20 @@ def test_streaming_ingest_only_handles_new_dates(spark, root):
     assert 0 < new_files <= len(bronze.bronze_files(spark, paths.bronze, "2026-01-13").collect())
     view = mart.mart_view(spark, paths.mart).collect()
     assert sorted(r.metric_date.isoformat() for r in view) == ["2026-01-12", "2026-01-13"]
+
+
+def test_quality_report_and_gate(spark, landed):
+    p = _fresh(spark, landed)
+    pipeline.run_dates(spark, p, DATES)
+    pipeline.load(spark, p, DATES)
+    rep = {(r.process_date.isoformat(), r.check): r
+           for r in pipeline.quality_report(spark, p, DATES).collect()}
+    assert len(rep) == 3 * 17
+    r = rep[(DATES[0], "rows_reconciled")]
+    assert r.observed == 0 and r.passed
+    assert rep[(DATES[0], "mart_rows")].observed == 1
+    # The fixture has event types outside view/click/purchase: reported, not required.
+    assert not rep[(DATES[0], "event_type_known")].passed
+    assert pipeline.check_report(spark, p, DATES) == []
+    with pytest.raises(pipeline.GateError):
+        pipeline.check_report(spark, p, DATES, required=("event_type_known",))
