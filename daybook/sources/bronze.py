@@ -36,7 +36,8 @@ def _load(spark: SparkSession, root: str, dates: Iterable[str] | None, base: T.S
         df = reader.csv(root)
     else:
         paths = [date_path(root, d) for d in dates]
-        present = [p for p in paths if fs.exists(spark, p)]
+        present = [p for p, ok in zip(paths, fs.map_paths(lambda p: fs.exists(spark, p), paths))
+                   if ok]
         if not present:
             return spark.createDataFrame([], _schema(base)).withColumnRenamed(
                 BRONZE_PARTITION, "process_date")
@@ -127,7 +128,9 @@ def require_bronze(spark: SparkSession, root: str, date: str) -> int:
 
 def present_dates(spark: SparkSession, root: str, dates: Iterable[str]) -> tuple[list, list]:
     """Split requested dates into (with files, without files)."""
-    have, missing = [], []
-    for d in dates:
-        (have if fs.first_data_file(spark, date_path(root, d)) else missing).append(d)
+    dates = list(dates)
+    found = fs.map_paths(lambda p: fs.first_data_file(spark, p),
+                         [date_path(root, d) for d in dates])
+    have = [d for d, f in zip(dates, found) if f]
+    missing = [d for d, f in zip(dates, found) if not f]
     return have, missing

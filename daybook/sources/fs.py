@@ -6,8 +6,24 @@ dates a run touches, never by the number of rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+# Metadata calls per date are independent round trips (slow on object stores);
+# a long backfill runs them concurrently.
+METADATA_THREADS = 16
+
+
+def map_paths(fn: Callable[[str], object], paths: Iterable[str]) -> list:
+    """``[fn(p) for p in paths]``, run on a small thread pool, order kept."""
+    paths = list(paths)
+    if len(paths) <= 1:
+        return [fn(p) for p in paths]
+    with ThreadPoolExecutor(max_workers=min(METADATA_THREADS, len(paths))) as pool:
+        return list(pool.map(fn, paths))
+
 
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm

@@ -44,13 +44,12 @@ def replace_dates(spark: SparkSession, df: DataFrame, root: str, dates: Iterable
     costs one metadata call per date, whatever the number of files.
     """
     dates = list(dict.fromkeys(dates))
-    before = {d: fs.first_data_file(spark, partition_path(root, d)) for d in dates}
+    before = fs.map_paths(lambda p: fs.first_data_file(spark, p),
+                          [partition_path(root, d) for d in dates])
     write_layer(df, root, date_col)
-    cleared = []
-    for d in dates:
-        if before[d] is not None and fs.exists(spark, before[d]):
-            fs.delete(spark, partition_path(root, d))
-            cleared.append(d)
+    still = fs.map_paths(lambda f: f is not None and fs.exists(spark, f), before)
+    cleared = [d for d, stale in zip(dates, still) if stale]
+    fs.map_paths(lambda d: fs.delete(spark, partition_path(root, d)), cleared)
     return cleared
 
 
@@ -70,7 +69,9 @@ def read_layer(spark: SparkSession, root: str, schema: T.StructType,
     if dates is None:
         df = reader.parquet(root) if fs.exists(spark, root) else None
     else:
-        present = [p for p in (partition_path(root, d) for d in dates) if fs.exists(spark, p)]
+        paths = [partition_path(root, d) for d in dates]
+        present = [p for p, ok in zip(paths, fs.map_paths(lambda p: fs.exists(spark, p), paths))
+                   if ok]
         df = reader.option("basePath", root).parquet(*present) if present else None
     if df is None:
         df = spark.createDataFrame([], full)
