@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook.operators import gold as gold_ops
 from daybook.operators import silver as silver_ops
 from daybook.schema import GOLD_SCHEMA, SILVER_SCHEMA
-from daybook.session import configure
-from daybook.sources import bronze, layers, mart
+from daybook.session import configure, shuffle_sized_for
+from daybook.sources import bronze, fs, layers, mart
 
 GOLD_KEYS = ["process_date", "event_date"]
 GOLD_COLUMNS = GOLD_KEYS + ["daily_active_users", "total_revenue", "top_product_id",
@@ -75,9 +75,13 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     cleaned = silver_ops.transform_to_silver(bronze.read_bronze(spark, paths.bronze, have))
     result.cleared_silver = layers.replace_dates(spark, cleaned, paths.silver, have)
     daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, have), GOLD_KEYS)
-    # Gold is tiny (rows = dates): one file per arrival date.
-    result.cleared_gold = layers.replace_dates(
-        spark, daily.repartition("process_date"), paths.gold, have)
+    # The Gold job's shuffles are sized from the input; Gold itself is tiny
+    # (rows = dates) and is written as one file per arrival date.
+    input_bytes = sum(fs.map_paths(lambda p: fs.content_length(spark, p),
+                                   [bronze.date_path(paths.bronze, d) for d in have]))
+    with shuffle_sized_for(spark, input_bytes):
+        result.cleared_gold = layers.replace_dates(
+            spark, daily.repartition("process_date"), paths.gold, have)
     return result
 
 

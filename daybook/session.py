@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +49,35 @@ def get_session(app: str = "daybook", master: str | None = None,
     return configure(spark)
 
 
+# Shuffle sizing: about this many input bytes per shuffle partition, so the
+# largest aggregation's partitions fit in task memory without spilling. AQE then
+# coalesces partitions that turn out small; it cannot split ones that are too big.
+BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions_for(input_bytes: int, configured: int) -> int:
+    """Partitions for a job reading ``input_bytes``: never fewer than configured."""
+    wanted = -(-int(input_bytes) // BYTES_PER_SHUFFLE_PARTITION)
+    return max(configured, min(MAX_SHUFFLE_PARTITIONS, wanted))
+
+
+@contextmanager
+def shuffle_sized_for(spark: SparkSession, input_bytes: int):
+    """Raise ``spark.sql.shuffle.partitions`` for the jobs run inside, then restore it."""
+    key = "spark.sql.shuffle.partitions"
+    current = int(spark.conf.get(key))
+    wanted = shuffle_partitions_for(input_bytes, current)
+    if wanted == current:
+        yield current
+        return
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(key, str(current))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -84,4 +114,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["RUNTIME_CONF", "configure", "get_session", "checkpoint_root", "scratch_dir",
-           "local_path"]
+           "local_path", "shuffle_partitions_for", "shuffle_sized_for"]

@@ -36,6 +36,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def content_length(spark: SparkSession, path: str) -> int:
+    """Total bytes below ``path`` (0 when absent)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return 0
+    return int(fs.getContentSummary(p).getLength())
+
+
 def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """(name, length) of the data files directly below ``path``; [] when absent."""
     fs, p = _fs_path(spark, path)

@@ -204,3 +204,15 @@ def test_quality_report_and_gate(spark, landed):
     assert pipeline.check_report(spark, p, DATES) == []
     with pytest.raises(pipeline.GateError):
         pipeline.check_report(spark, p, DATES, required=("event_type_known",))
+
+
+def test_shuffle_sizing_follows_input_size(spark):
+    from daybook.session import shuffle_partitions_for, shuffle_sized_for
+    gib = 1024 ** 3
+    assert shuffle_partitions_for(10 * 1024 ** 2, 200) == 200
+    assert shuffle_partitions_for(100 * gib, 200) == 400
+    assert shuffle_partitions_for(100 * 1024 * gib, 200) == 100_000  # 100 TB: capped
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with shuffle_sized_for(spark, 1024 * gib) as n:
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == n == 4096
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
