@@ -9,6 +9,7 @@ in a fresh folder below the shared checkpoint directory and is built once per
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,7 @@ from daybook.session import checkpoint_root, configure, scratch_dir
 from daybook.sources import bronze, fs
 
 _BUILT: dict[tuple, tuple[pipeline.Paths, list[str]]] = {}
+_LOCK = threading.Lock()
 
 
 def bronze_dates(spark: SparkSession, root: str) -> list[str]:
@@ -32,15 +34,16 @@ def write_fixture_bronze(spark: SparkSession, sf_dir: str, bronze_root: str) ->
 def build(spark: SparkSession, sf_dir: str) -> tuple[pipeline.Paths, list[str]]:
     configure(spark)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), checkpoint_root(spark))
-    hit = _BUILT.get(key)
-    if hit and fs.exists(spark, hit[0].mart):
-        return hit
-    paths = pipeline.Paths.under(scratch_dir(spark, "warehouse"))
-    dates = write_fixture_bronze(spark, sf_dir, paths.bronze)
-    pipeline.run_dates(spark, paths, dates)
-    pipeline.load(spark, paths, dates)
-    _BUILT[key] = (paths, dates)
-    return paths, dates
+    with _LOCK:  # queries called from several threads build it once
+        hit = _BUILT.get(key)
+        if hit and fs.exists(spark, hit[0].mart):
+            return hit
+        paths = pipeline.Paths.under(scratch_dir(spark, "warehouse"))
+        dates = write_fixture_bronze(spark, sf_dir, paths.bronze)
+        pipeline.run_dates(spark, paths, dates)
+        pipeline.load(spark, paths, dates)
+        _BUILT[key] = (paths, dates)
+        return paths, dates
 
 
 def fresh_layers(spark: SparkSession, sf_dir: str) -> tuple[pipeline.Paths, list[str]]:

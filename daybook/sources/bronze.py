@@ -66,15 +66,6 @@ def read_bronze_text(spark: SparkSession, root: str, dates=None) -> DataFrame:
     return _load(spark, root, dates, BRONZE_TEXT_SCHEMA)
 
 
-def bronze_header(spark: SparkSession, root: str, date: str) -> list[str]:
-    """The header line of a date's files, as column names (reads one line per file)."""
-    lines = (spark.read.text(date_path(root, date))
-             .where(F.col("value").isNotNull())
-             .select(F.split(F.col("value"), ",").alias("names"))
-             .limit(1).collect())
-    return [n.strip() for n in lines[0]["names"]] if lines else []
-
-
 def header_report(spark: SparkSession, root: str, dates: Iterable[str] | str) -> DataFrame:
     """(file, header, matches): the first line of every Bronze file of the dates.
 
