@@ -64,8 +64,9 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     """Bronze → Silver → Gold for many arrival dates: one Silver job, one Gold job.
 
     Dates without Bronze files are reported in ``missing`` and skipped. The
-    Silver write has no shuffle: each CSV split belongs to one date directory, so
-    each task writes one file into one partition.
+    Silver write has no shuffle: a CSV split is part of one file and so of one
+    date, so a task writes one file per date it read. Only small files are
+    packed several to a task.
     """
     configure(spark)
     have, missing = bronze.present_dates(spark, paths.bronze, dates)
