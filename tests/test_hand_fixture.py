@@ -81,3 +81,25 @@ def test_pipeline_files_the_spill_under_arrival_date(spark, root):
     view = mart.mart_view(spark, paths.mart).collect()
     assert [r.metric_date.isoformat() for r in view] == [DAY]
     assert mart.read_mart(spark, paths.mart).count() == 2
+
+
+def test_quality_report_on_hand_fixture(spark, root):
+    paths = _land(root)
+    pipeline.daily_run(spark, paths, DAY)
+    pipeline.load(spark, paths, [DAY])
+    rep = {r.check: (r.observed, r.expected, r.passed)
+           for r in pipeline.quality_report(spark, paths, [DAY]).collect()}
+    assert rep["bronze_rows"] == (12, 1, True)
+    assert rep["silver_rows"] == (6, 1, True)
+    assert rep["gold_rows"] == (2, 1, True)          # 2026-01-12 and the spilled 2026-01-13
+    assert rep["mart_rows"] == (1, 1, True)          # the dashboard shows the date once
+    assert rep["rejected_rows"] == (6, 0, False)     # c, d, no id, e, f, j
+    assert rep["rows_reconciled"] == (0, 0, True)
+    assert rep["silver_null_keys"] == (0, 0, True)
+    assert rep["cast_failures"] == (2, 0, False)     # user "abc", time "garbage"
+    assert rep["duplicate_event_ids"] == (0, 0, True)
+    assert rep["date_spill_rows"] == (1, 0, False)   # h
+    assert rep["purchase_amount_in_range"] == (1, 0, False)  # i: 1.50
+    for check in ["user_id_in_range", "product_id_in_range", "amount_finite",
+                  "amount_not_negative", "non_purchase_amount_zero", "event_type_known"]:
+        assert rep[check] == (0, 0, True), check
