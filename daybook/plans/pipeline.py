@@ -47,6 +47,13 @@ class RunResult:
     cleared_gold: list[str] = field(default_factory=list)
 
 
+def normalize_dates(dates) -> list[str]:
+    """ISO ``YYYY-MM-DD`` text, each date once, in the given order (bad text raises)."""
+    if isinstance(dates, str):
+        dates = [dates]
+    return list(dict.fromkeys(dt.date.fromisoformat(str(d)).isoformat() for d in dates))
+
+
 def date_range(start: str, end: str) -> list[str]:
     a, b = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
     return [(a + dt.timedelta(days=i)).isoformat() for i in range((b - a).days + 1)]
@@ -69,7 +76,7 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     packed several to a task.
     """
     configure(spark)
-    have, missing = bronze.present_dates(spark, paths.bronze, dates)
+    have, missing = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
     result = RunResult(dates=have, missing=missing)
     if not have:
         return result
@@ -100,7 +107,7 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str) -> RunResu
 def load(spark: SparkSession, paths: Paths, dates) -> list[str]:
     """Publish Gold rows of ``dates`` to the mart (replace per date)."""
     configure(spark)
-    dates = list(dates)
+    dates = normalize_dates(dates)
     return mart.load_mart(spark, gold_for(spark, paths, dates), paths.mart, dates)
 
 

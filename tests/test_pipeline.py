@@ -216,3 +216,14 @@ def test_shuffle_sizing_follows_input_size(spark):
     with shuffle_sized_for(spark, 1024 * gib) as n:
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) == n == 4096
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_repeated_dates_are_read_once(spark, landed):
+    p = _fresh(spark, landed)
+    res = pipeline.run_dates(spark, p, [DATES[0], DATES[0], DATES[0]])
+    assert res.dates == [DATES[0]]
+    q = _fresh(spark, landed)
+    pipeline.run_dates(spark, q, [DATES[0]])
+    assert _sorted_gold(spark, p) == _sorted_gold(spark, q)
+    with pytest.raises(ValueError):
+        pipeline.run_dates(spark, p, ["2024-1-3x"])
