@@ -35,7 +35,7 @@ def _load(spark: SparkSession, root: str, dates: Iterable[str] | None, base: T.S
     if dates is None:
         df = reader.csv(root)
     else:
-        paths = [date_path(root, d) for d in dates]
+        paths = list(dict.fromkeys(date_path(root, d) for d in dates))  # each folder once
         present = [p for p, ok in zip(paths, fs.map_paths(lambda p: fs.exists(spark, p), paths))
                    if ok]
         if not present:

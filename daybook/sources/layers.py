@@ -69,7 +69,7 @@ def read_layer(spark: SparkSession, root: str, schema: T.StructType,
     if dates is None:
         df = reader.parquet(root) if fs.exists(spark, root) else None
     else:
-        paths = [partition_path(root, d) for d in dates]
+        paths = list(dict.fromkeys(partition_path(root, d) for d in dates))  # each folder once
         present = [p for p, ok in zip(paths, fs.map_paths(lambda p: fs.exists(spark, p), paths))
                    if ok]
         df = reader.option("basePath", root).parquet(*present) if present else None
