@@ -227,3 +227,19 @@ def test_repeated_dates_are_read_once(spark, landed):
     assert _sorted_gold(spark, p) == _sorted_gold(spark, q)
     with pytest.raises(ValueError):
         pipeline.run_dates(spark, p, ["2024-1-3x"])
+
+
+def test_streaming_ingest_keeps_running_with_processing_time_trigger(spark, root):
+    from daybook.operators import generate
+    paths = pipeline.Paths.under(root)
+    bronze.write_bronze(generate.generate_events(spark, "2026-01-20", 500), paths.bronze)
+    q = ingest.start(spark, paths, available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+        assert mart.mart_view(spark, paths.mart).count() == 1
+        bronze.write_bronze(generate.generate_events(spark, "2026-01-21", 500), paths.bronze)
+        q.processAllAvailable()
+        assert mart.mart_view(spark, paths.mart).count() == 2
+        assert q.isActive
+    finally:
+        q.stop()
