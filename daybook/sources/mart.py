@@ -45,3 +45,35 @@ def mart_view(spark: SparkSession, root: str) -> DataFrame:
     """The dashboard's table: rows filed under their own date, 5 columns."""
     m = read_mart(spark, root)
     return m.where(F.col("process_date") == F.col("metric_date")).select(*MART_COLUMNS)
+
+
+STORED_TABLE = "mart_daily_metrics"
+
+
+def create_table(spark: SparkSession, root: str, name: str = STORED_TABLE) -> str:
+    """Register the stored mart in the session catalog (S8), then pick up its partitions.
+
+    ``CREATE TABLE IF NOT EXISTS ... PARTITIONED BY ... LOCATION`` over the mart
+    folder; call :func:`refresh_table` after loads to see new arrival dates.
+    """
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}"
+                     for f in MART_STORED_SCHEMA.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, year INT, month INT, day INT) "
+              f"USING parquet PARTITIONED BY (year, month, day) LOCATION '{root}'")
+    return refresh_table(spark, name)
+
+
+def refresh_table(spark: SparkSession, name: str = STORED_TABLE) -> str:
+    """Sync the catalog's partition list with the folders (new, replaced or cleared dates)."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+    return name
+
+
+def create_dashboard_view(spark: SparkSession, table: str = STORED_TABLE,
+                          view: str = "daily_metrics") -> str:
+    """The dashboard's table as a SQL view over the catalog table."""
+    cols = ", ".join(MART_COLUMNS)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS SELECT {cols} FROM {table} "
+              f"WHERE make_date(year, month, day) = metric_date")
+    return view

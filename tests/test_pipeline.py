@@ -243,3 +243,21 @@ def test_streaming_ingest_keeps_running_with_processing_time_trigger(spark, root
         assert q.isActive
     finally:
         q.stop()
+
+
+def test_mart_as_catalog_table_and_sql_view(spark, landed):
+    p = _fresh(spark, landed)
+    pipeline.run_dates(spark, p, DATES)
+    pipeline.load(spark, p, DATES)
+    name = mart.create_table(spark, p.mart, "mart_test_store")
+    try:
+        view = mart.create_dashboard_view(spark, name, "daily_metrics_sql")
+        got = sorted(spark.sql(f"SELECT * FROM {view}").collect())
+        assert got == sorted(mart.mart_view(spark, p.mart).collect())
+        # A date cleared by a later load disappears after a refresh.
+        pipeline.load(spark, pipeline.Paths(p.bronze, p.silver, p.gold + "-none", p.mart),
+                      [DATES[0]])
+        mart.refresh_table(spark, name)
+        assert spark.sql(f"SELECT COUNT(*) FROM {view}").first()[0] == 2
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
