@@ -31,9 +31,12 @@ def mart_rows_from_gold(gold: DataFrame) -> DataFrame:
 
 
 def load_mart(spark: SparkSession, gold: DataFrame, root: str, dates: Iterable[str]) -> list[str]:
-    """Replace the mart rows of ``dates`` with the given Gold rows (tiny: one file per date)."""
-    rows = mart_rows_from_gold(gold).repartition("process_date")
-    return layers.replace_dates(spark, rows, root, dates)
+    """Replace the mart rows of ``dates`` with the given Gold rows.
+
+    No shuffle: Gold holds one small file per arrival date and a file is never
+    split, so every task writes one mart file per date it reads.
+    """
+    return layers.replace_dates(spark, mart_rows_from_gold(gold), root, dates)
 
 
 def read_mart(spark: SparkSession, root: str, dates=None) -> DataFrame:

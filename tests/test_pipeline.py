@@ -261,3 +261,17 @@ def test_mart_as_catalog_table_and_sql_view(spark, landed):
         assert spark.sql(f"SELECT COUNT(*) FROM {view}").first()[0] == 2
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_gold_and_mart_hold_one_file_per_date(spark, landed):
+    from daybook.sources import fs, layers
+    p = _fresh(spark, landed)
+    dates = warehouse.bronze_dates(spark, landed.bronze)
+    pipeline.run_dates(spark, p, dates)
+    pipeline.load(spark, p, dates)
+    for root in (p.gold, p.mart):
+        counts = {len(fs.data_files(spark, layers.partition_path(root, d))) for d in dates}
+        assert counts == {1}, root
+    plan = mart.mart_rows_from_gold(pipeline.gold_for(spark, p))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Exchange" not in plan
