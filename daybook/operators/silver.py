@@ -8,36 +8,44 @@ from pyspark.sql import functions as F
 from daybook.functions import day_name, parse_event_time
 from daybook.schema import BRONZE_COLUMNS, KEY_COLUMNS
 
+_PARSED = "_parsed_ts"
+
+
+def keys_present(parsed_ts: Column) -> Column:
+    """True when every key is set: id, user, product and a parseable timestamp.
+
+    ``amount`` and ``event_type`` are not keys. Never NULL itself, so its
+    negation is exactly the set of rows cleaning drops.
+    """
+    cond = parsed_ts.isNotNull()
+    for c in KEY_COLUMNS:
+        if c != "event_timestamp":
+            cond = cond & F.col(c).isNotNull()
+    return cond
+
 
 def transform_to_silver(bronze: DataFrame) -> DataFrame:
-    """Parse the timestamp, drop rows with a NULL key, add event date and day name.
+    """Keep keyed rows; the timestamp becomes typed and gives the event date and day name.
 
-    ``amount`` and ``event_type`` are not keys: their NULLs stay. Columns that are
-    not Bronze columns (``process_date`` from the directory) are carried through.
-    Narrow only: no shuffle, so every output file belongs to one input split.
+    Columns that are not Bronze columns (``process_date`` from the directory) are
+    carried through. Narrow only: no shuffle, so every output file belongs to one
+    input split.
     """
     carried = [c for c in bronze.columns if c not in BRONZE_COLUMNS]
-    ts = F.col("event_timestamp_ts")
-    parsed = bronze.withColumn("event_timestamp_ts", parse_event_time("event_timestamp"))
-    kept = parsed.dropna(how="any", subset=[c if c != "event_timestamp" else "event_timestamp_ts"
-                                            for c in KEY_COLUMNS])
+    ts = F.col(_PARSED)
     event_date = F.to_date(ts)
-    return kept.select(
-        "event_id", "user_id", "event_type", "product_id", "amount",
-        ts.alias("event_timestamp"),
-        event_date.alias("event_date"),
-        day_name(event_date).alias("day_of_week"),
-        *carried,
-    )
+    return (bronze.withColumn(_PARSED, parse_event_time("event_timestamp"))
+            .where(keys_present(ts))
+            .select("event_id", "user_id", "event_type", "product_id", "amount",
+                    ts.alias("event_timestamp"),
+                    event_date.alias("event_date"),
+                    day_name(event_date).alias("day_of_week"),
+                    *carried))
 
 
 def rejected(bronze: DataFrame) -> Column:
-    """True for a Bronze row that cleaning drops (a key is NULL after typing)."""
-    cond = None
-    for c in KEY_COLUMNS:
-        term = (parse_event_time(c) if c == "event_timestamp" else F.col(c)).isNull()
-        cond = term if cond is None else (cond | term)
-    return cond
+    """True for a Bronze row that cleaning drops."""
+    return ~keys_present(parse_event_time("event_timestamp"))
 
 
 def rejected_rows(bronze: DataFrame) -> DataFrame:
