@@ -88,6 +88,10 @@ def test_jdbc_mart_replace_on_embedded_derby(spark, landed, tmp_path):
     cols = ["metric_date", "daily_active_users", "total_revenue", "top_product_id",
             "top_product_revenue"]
     assert sorted(got.select(*cols).collect()) == sorted(parquet.select(*cols).collect())
+    # Rows staged twice (a retried task) are inserted once.
+    twice = gold.unionByName(gold)
+    assert jdbc.load_mart_jdbc(spark, twice, url, DATES) == 3
+    assert jdbc.read_mart_jdbc(spark, url).count() == 3
     # An empty load for a date clears it.
     empty = gold.where(F.lit(False))
     jdbc.load_mart_jdbc(spark, empty, url, [DATES[0]])
