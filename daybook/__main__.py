@@ -5,6 +5,7 @@
     generate  --process-date D --rows N         synthetic Bronze for a date
     load      --process-date D                  publish Gold of a date to the mart
     ingest                                      process every newly landed Bronze date, then stop
+    explain   --process-date D | --start D --end D   print the formatted plans of a run
 
 Prints one JSON line with what was done. On a cluster the master comes from spark-submit.
 """
@@ -18,7 +19,7 @@ import sys
 
 def main(argv=None) -> dict:
     ap = argparse.ArgumentParser(prog="daybook")
-    ap.add_argument("command", choices=["run", "backfill", "generate", "load", "ingest"])
+    ap.add_argument("command", choices=["run", "backfill", "generate", "load", "ingest", "explain"])
     ap.add_argument("--root", required=True, help="lake root (bronze/, silver/, gold/, mart/)")
     ap.add_argument("--bronze-root", default=None, help="Bronze landing folder if elsewhere")
     ap.add_argument("--process-date")
@@ -64,6 +65,13 @@ def main(argv=None) -> dict:
         q = ingest.start(spark, paths, available_now=True)
         q.awaitTermination()
         out.update(batches=len(q.recentProgress))
+    elif args.command == "explain":
+        dates = ([args.process_date] if args.process_date
+                 else pipeline.date_range(args.start, args.end))
+        for name, df in pipeline.plans_for(spark, paths, dates).items():
+            print(f"== {name} ==", file=sys.stderr)
+            df.explain("formatted")
+        out.update(dates=dates)
     print(json.dumps(out))
     return out
 

@@ -93,6 +93,18 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     return result
 
 
+def plans_for(spark: SparkSession, paths: Paths, dates) -> dict[str, DataFrame]:
+    """The Silver and Gold DataFrames a run of ``dates`` would write (not executed).
+
+    Gold is planned over the current Silver of those dates; for ``explain()``.
+    """
+    configure(spark)
+    have, _ = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
+    cleaned = silver_ops.transform_to_silver(bronze.read_bronze(spark, paths.bronze, have))
+    daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, have), GOLD_KEYS)
+    return {"silver": cleaned, "gold": daily.repartition("process_date")}
+
+
 def daily_run(spark: SparkSession, paths: Paths, date: str) -> RunResult:
     """The run for one arrival date; a missing Bronze date is an error."""
     bronze.require_bronze(spark, paths.bronze, date)

@@ -279,3 +279,14 @@ def test_gold_and_mart_hold_one_file_per_date(spark, landed):
     plan = mart.mart_rows_from_gold(pipeline.gold_for(spark, p))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_cli_explain_prints_plans(spark, landed, capsys):
+    from daybook.__main__ import main
+    p = _fresh(spark, landed)
+    pipeline.run_dates(spark, p, DATES)
+    out = main(["explain", "--root", p.silver.rsplit("/silver", 1)[0],
+                "--bronze-root", landed.bronze, "--start", DATES[0], "--end", DATES[-1]])
+    assert out["dates"] == DATES
+    printed = capsys.readouterr().out
+    assert "Physical Plan" in printed and "HashAggregate" in printed
