@@ -54,3 +54,11 @@ def test_single_date_read_lists_one_partition(spark, wh):
 def test_no_unscalable_operators(spark, key):
     s = summarise(E.queries()[key](spark, SF_SMALL))
     assert s["bad"] == [], f"{key}: {s['bad']} (checked: {BAD})"
+
+
+def test_row_number_top1_is_limited_before_the_shuffle(spark):
+    plan = _plan(E.queries()["top_product"](spark, SF_SMALL))
+    # Partial limit below the exchange on the date, final limit above it.
+    below = plan.split("Exchange hashpartitioning(event_date")[1]
+    assert "WindowGroupLimit" in below.split("Exchange")[0] and "Partial" in below
+    assert "Final" in plan.split("Exchange hashpartitioning(event_date")[0]
