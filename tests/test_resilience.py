@@ -1,0 +1,74 @@
+"""A failed task attempt must not change what a write leaves behind.
+
+Runs in its own process: local mode retries a failed task only when the master
+says so (``local[N,F]``). One Silver write task fails on its first attempt after
+it has emitted rows; the job retries it and the written Silver must equal a
+clean run's, with no leftovers of the failed attempt.
+"""
+
+import json
+import subprocess
+import sys
+
+from conftest import ROOT
+
+SCRIPT = r'''
+import json, sys
+sys.path.insert(0, ROOT)
+from pyspark import TaskContext
+from daybook.session import get_session, scratch_dir
+from daybook.operators import generate, silver
+from daybook.plans import pipeline
+from daybook.sources import bronze, fs, layers
+
+spark = get_session(app="resilience", master="local[4,3]", shuffle_partitions=4)
+root = scratch_dir(spark, "resilience")
+paths = pipeline.Paths.under(root)
+DAY = "2026-01-12"
+bronze.write_bronze(generate.generate_events(spark, DAY, 20_000, partitions=4), paths.bronze)
+raw = bronze.read_bronze(spark, paths.bronze, DAY)
+
+def flaky(batches):
+    ctx = TaskContext.get()
+    first_try = ctx.partitionId() == 0 and ctx.attemptNumber() == 0
+    for pdf in batches:
+        yield pdf
+        if first_try:
+            raise RuntimeError("injected task failure")
+
+clean_root, flaky_root = root + "/clean", root + "/flaky"
+layers.replace_dates(spark, silver.transform_to_silver(raw), clean_root, [DAY])
+layers.replace_dates(spark, silver.transform_to_silver(
+    raw.mapInPandas(flaky, raw.schema)), flaky_root, [DAY])
+from daybook.schema import SILVER_SCHEMA
+a = layers.read_layer(spark, clean_root, SILVER_SCHEMA, [DAY])
+b = layers.read_layer(spark, flaky_root, SILVER_SCHEMA, [DAY])
+files = [n for n, _ in fs.data_files(spark, layers.partition_path(flaky_root, DAY))]
+from daybook.operators import gold
+keys = ["process_date", "event_date"]
+g_clean = gold.aggregate_to_gold(a, keys)
+g_flaky = gold.aggregate_to_gold(b.mapInPandas(flaky, b.schema), keys)
+layers.replace_dates(spark, g_flaky, root + "/gold", [DAY])
+from daybook.schema import GOLD_SCHEMA
+g_back = layers.read_layer(spark, root + "/gold", GOLD_SCHEMA, [DAY])
+gold_same = sorted(map(tuple, g_clean.collect())) == sorted(
+    map(tuple, g_back.select(*g_clean.columns).collect()))
+print(json.dumps({"clean": a.count(), "flaky": b.count(),
+                  "diff": a.exceptAll(b).count() + b.exceptAll(a).count(),
+                  "leftovers": fs.subdirs(spark, flaky_root + "/year=2026/month=01/day=12"),
+                  "staging": [d for d in fs.subdirs(spark, flaky_root) if d.startswith(".spark")],
+                  "files": len(files), "gold_same": gold_same}))
+'''
+
+
+def test_write_survives_a_failed_task_attempt():
+    code = f"ROOT = {ROOT!r}\n" + SCRIPT
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         timeout=600, cwd=ROOT)
+    assert out.returncode == 0, out.stderr[-3000:]
+    res = json.loads(out.stdout.strip().splitlines()[-1])
+    assert res["clean"] == res["flaky"] == 20_000
+    assert res["diff"] == 0
+    assert res["leftovers"] == [] and res["staging"] == []
+    assert res["gold_same"] is True
+    assert "injected task failure" in out.stderr  # the failure did happen
