@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.silver import rejected
-from daybook.schema import BRONZE_COLUMNS
+from daybook.schema import BRONZE_COLUMNS, BRONZE_TEXT_DDL, RAW_RECORD
 
 # The ranges the event source draws from.
 USER_ID_RANGE = (1, 100_000)
@@ -58,32 +58,43 @@ def numeric_validity(bronze: DataFrame) -> DataFrame:
 
 
 def _cast_failure_columns() -> dict[str, Column]:
-    def bad(c: Column, typed: Column) -> Column:
-        return c.isNotNull() & typed.isNull()
+    """Per checked column: the text was present in the file but the typed value is NULL.
+
+    Works on :func:`daybook.sources.bronze.read_bronze_checked`: the CSV reader's
+    own conversion failures are the rows with a raw line, whose fields are split
+    again with ``from_csv`` (only those rows). The timestamp stays text in Bronze,
+    so its check parses it the way cleaning does.
+    """
+    raw = F.from_csv(F.col(RAW_RECORD), BRONZE_TEXT_DDL)
+
+    def failed(name: str) -> Column:
+        return raw.getField(name).isNotNull() & F.col(name).isNull()
 
     return {
-        "user_id": bad(F.col("user_id"), F.col("user_id").try_cast("int")),
-        "product_id": bad(F.col("product_id"), F.col("product_id").try_cast("int")),
-        "amount": bad(F.col("amount"), F.col("amount").try_cast("double")),
-        "event_timestamp": bad(F.col("event_timestamp"), F.try_to_timestamp("event_timestamp")),
+        "user_id": failed("user_id"),
+        "product_id": failed("product_id"),
+        "amount": failed("amount"),
+        "event_timestamp": F.col("event_timestamp").isNotNull()
+        & F.try_to_timestamp("event_timestamp").isNull(),
     }
 
 
-def cast_failures(bronze_text, grouped: bool = False) -> DataFrame:
-    """(column_name, failures): text present in the file that does not type-check.
+def cast_failures(bronze_checked, grouped: bool = False) -> DataFrame:
+    """(column_name, failures): values present in the file that did not type-check.
 
-    ``bronze_text`` is Bronze read with every column as a string, so a value the
-    typed read would silently turn into NULL is counted here. With
-    ``grouped=True`` it is a GroupedData and the result is, per group, the number
-    of rows with at least one such value (``cast_failures``).
+    ``bronze_checked`` is Bronze read by ``read_bronze_checked``, so a value the
+    typed read silently turned into NULL is counted here, exactly as the CSV
+    reader judged it. With ``grouped=True`` it is a GroupedData and the result
+    is, per group, the number of rows with at least one such value
+    (``cast_failures``).
     """
     checks = _cast_failure_columns()
     if grouped:
         any_bad = None
         for cond in checks.values():
             any_bad = cond if any_bad is None else (any_bad | cond)
-        return bronze_text.agg(F.count_if(any_bad).alias("cast_failures"))
-    agg = bronze_text.agg(*[F.count_if(cond).alias(name) for name, cond in checks.items()])
+        return bronze_checked.agg(F.count_if(any_bad).alias("cast_failures"))
+    agg = bronze_checked.agg(*[F.count_if(cond).alias(name) for name, cond in checks.items()])
     return _unpivot(agg, list(checks), "column_name", "failures")
 
 
@@ -185,23 +196,28 @@ def _any_null(cols) -> Column:
     return cond
 
 
-def report(bronze: DataFrame, bronze_text: DataFrame, silver: DataFrame, gold: DataFrame,
+def report(bronze_checked: DataFrame, silver: DataFrame, gold: DataFrame,
            mart_view: DataFrame) -> DataFrame:
     """All checks as one report: (process_date, check, observed, expected, passed).
 
-    Every source is aggregated to one row per arrival date in a single pass (the
-    typed Bronze pass also counts rejected rows and the numeric checks); the
-    per-date rows are joined and unpivoted. Duplicate ids need their own
-    shuffle on (date, event_id), with partial counts.
+    Every source is aggregated to one row per arrival date in a single pass: one
+    Bronze scan (``read_bronze_checked``) yields the row count, rejected rows,
+    cast failures and numeric checks. The per-date rows are joined and
+    unpivoted. Duplicate ids need their own shuffle on (date, event_id), with
+    partial counts.
     """
+    bronze = bronze_checked
     numeric = _numeric_checks()
     assert list(numeric) == NUMERIC_CHECKS
     zero = F.lit(0).cast("bigint")
+    any_cast = None
+    for cond in _cast_failure_columns().values():
+        any_cast = cond if any_cast is None else (any_cast | cond)
     b = bronze.groupBy("process_date").agg(
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(rejected(bronze)).alias("rejected_rows"),
+        F.count_if(any_cast).alias("cast_failures"),
         *[F.count_if(c).alias(n) for n, c in numeric.items()])
-    casts = cast_failures(bronze_text.groupBy("process_date"), grouped=True)
     s = silver.groupBy("process_date").agg(
         F.count(F.lit(1)).alias("silver_rows"),
         F.count_if(_any_null(["event_id", "user_id", "product_id", "event_timestamp"]))
@@ -212,7 +228,7 @@ def report(bronze: DataFrame, bronze_text: DataFrame, silver: DataFrame, gold: D
     m = mart_view.groupBy(F.col("metric_date").alias("process_date")) \
         .agg(F.count(F.lit(1)).alias("mart_rows"))
     wide = b
-    for part in (casts, s, g, d, m):
+    for part in (s, g, d, m):
         wide = wide.join(part, "process_date", "left")
     wide = wide.select(
         "process_date",

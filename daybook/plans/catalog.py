@@ -183,14 +183,13 @@ def dq_numeric(spark, sf_dir):
 
 def dq_cast_failures(spark, sf_dir):
     paths, _ = warehouse.build(spark, sf_dir)
-    return quality.cast_failures(bronze.read_bronze_text(spark, paths.bronze))
+    return quality.cast_failures(bronze.read_bronze_checked(spark, paths.bronze))
 
 
 def dq_report(spark, sf_dir):
     """Every check per arrival date in one report."""
     paths, _ = warehouse.build(spark, sf_dir)
-    return quality.report(bronze.read_bronze(spark, paths.bronze),
-                          bronze.read_bronze_text(spark, paths.bronze),
+    return quality.report(bronze.read_bronze_checked(spark, paths.bronze),
                           pipeline.silver_for(spark, paths, None),
                           pipeline.gold_for(spark, paths), mart.mart_view(spark, paths.mart))
 

@@ -172,8 +172,7 @@ REQUIRED_CHECKS = ("bronze_rows", "silver_rows", "gold_rows", "rows_reconciled",
 def quality_report(spark: SparkSession, paths: Paths, dates=None):
     """The per-date quality report over all four layers (see operators.quality.report)."""
     from daybook.operators import quality
-    return quality.report(bronze.read_bronze(spark, paths.bronze, dates),
-                          bronze.read_bronze_text(spark, paths.bronze, dates),
+    return quality.report(bronze.read_bronze_checked(spark, paths.bronze, dates),
                           silver_for(spark, paths, dates), gold_for(spark, paths, dates),
                           mart.mart_view(spark, paths.mart))
 

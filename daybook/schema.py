@@ -13,8 +13,12 @@ BRONZE_SCHEMA = T.StructType([
 ])
 BRONZE_COLUMNS = [f.name for f in BRONZE_SCHEMA.fields]
 
-# Bronze read as text, for schema and cast checks.
-BRONZE_TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in BRONZE_COLUMNS])
+# A Bronze line split into text fields (DDL for ``from_csv``).
+BRONZE_TEXT_DDL = ", ".join(f"{c} STRING" for c in BRONZE_COLUMNS)
+
+# The raw line of a Bronze row in which a typed field failed to convert (the CSV
+# reader keeps the fields that did convert and stores the line here).
+RAW_RECORD = "_raw_record"
 
 # The arrival date is the Bronze directory: date=YYYY-MM-DD.
 BRONZE_PARTITION = "date"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.schema import BRONZE_COLUMNS, BRONZE_PARTITION, BRONZE_SCHEMA, BRONZE_TEXT_SCHEMA
+from daybook.schema import BRONZE_COLUMNS, BRONZE_PARTITION, BRONZE_SCHEMA, RAW_RECORD
 from daybook.sources import fs
 
 
@@ -26,8 +26,11 @@ def _schema(base: T.StructType) -> T.StructType:
 
 
 def _reader(spark: SparkSession, base: T.StructType, mode: str = "PERMISSIVE"):
-    return (spark.read.option("header", True).option("mode", mode)
-            .schema(_schema(base)))
+    reader = (spark.read.option("header", True).option("mode", mode)
+              .schema(_schema(base)))
+    if RAW_RECORD in base.fieldNames():
+        reader = reader.option("columnNameOfCorruptRecord", RAW_RECORD)
+    return reader
 
 
 def _load(spark: SparkSession, root: str, dates: Iterable[str] | None, base: T.StructType):
@@ -59,11 +62,15 @@ def read_bronze(spark: SparkSession, root: str, dates: Iterable[str] | str | Non
     return _load(spark, root, dates, BRONZE_SCHEMA)
 
 
-def read_bronze_text(spark: SparkSession, root: str, dates=None) -> DataFrame:
-    """Bronze with every column as text (for schema and cast checks)."""
+def read_bronze_checked(spark: SparkSession, root: str, dates=None) -> DataFrame:
+    """Typed Bronze plus ``_raw_record``: the raw line of every row in which a typed
+    field failed to convert (NULL otherwise). Same typed values as
+    :func:`read_bronze`; one scan serves both the pipeline's view and the checks.
+    """
     if isinstance(dates, str):
         dates = [dates]
-    return _load(spark, root, dates, BRONZE_TEXT_SCHEMA)
+    base = T.StructType(BRONZE_SCHEMA.fields + [T.StructField(RAW_RECORD, T.StringType(), True)])
+    return _load(spark, root, dates, base)
 
 
 def header_report(spark: SparkSession, root: str, dates: Iterable[str] | str) -> DataFrame:

@@ -92,8 +92,8 @@ def test_reordered_header_is_detected(spark, root):
               bronze.header_report(spark, paths.bronze, "2026-02-10").collect()}
     assert report["a.csv"].matches is False and report["b.csv"].matches is True
     assert report["a.csv"].header.startswith("user_id,event_id")
-    text = bronze.read_bronze_text(spark, paths.bronze, "2026-02-10")
-    fails = {r.column_name: r.failures for r in quality.cast_failures(text).collect()}
+    checked = bronze.read_bronze_checked(spark, paths.bronze, "2026-02-10")
+    fails = {r.column_name: r.failures for r in quality.cast_failures(checked).collect()}
     assert fails["user_id"] == 1  # the id text "a" landed in user_id
 
 
@@ -154,3 +154,21 @@ def test_header_report_with_many_splits_per_file(spark, root):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(rep) == 1 and rep[0].matches is True
+
+
+def test_cast_failures_are_the_csv_readers_own(spark, root):
+    """A padded number is rejected by the CSV reader (the pipeline sees NULL), so it
+    counts, even though a text cast would trim it; short and long rows do not."""
+    paths = pipeline.Paths.under(root)
+    write_csv(bronze.date_path(paths.bronze, "2026-02-12"), "a.csv", HEADER +
+              "a, 12,view,8,2026-02-12T01:00:00,0.0\n"
+              "b,3,view,x9,2026-02-12T01:00:00,abc\n"
+              "c,4,view\n"
+              "d,5,view,8,2026-02-12T01:00:00,0.0,extra\n"
+              "e,6,view,8,2026-02-12T01:00:00,\n")
+    checked = bronze.read_bronze_checked(spark, paths.bronze, "2026-02-12")
+    typed = bronze.read_bronze(spark, paths.bronze, "2026-02-12")
+    cols = ["event_id", "user_id", "product_id", "amount"]
+    assert sorted(checked.select(*cols).collect()) == sorted(typed.select(*cols).collect())
+    fails = {r.column_name: r.failures for r in quality.cast_failures(checked).collect()}
+    assert fails == {"user_id": 1, "product_id": 1, "amount": 1, "event_timestamp": 0}
