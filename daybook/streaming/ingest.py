@@ -8,6 +8,11 @@ files. The stream's checkpoint records which files were handled, so each file
 triggers work once; the per-date replace makes a retried batch harmless. With
 ``availableNow`` the query processes everything that has landed and stops,
 which is the daily job; with a processing-time trigger it keeps running.
+
+Costs to keep in mind at scale: the file source lists the folder on every
+trigger (``max_file_age`` bounds which files count as new, not the listing), and
+a batch rebuilds each touched date in full, so a trigger interval close to the
+landing cadence of a date (daily with ``availableNow``) does the least work.
 """
 
 from __future__ import annotations
@@ -29,11 +34,14 @@ FILE_SCHEMA = T.StructType([
 DATE_IN_PATH = r"date=(\d{4}-\d{2}-\d{2})"
 
 
-def landed_dates(spark: SparkSession, bronze_root: str) -> DataFrame:
+def landed_dates(spark: SparkSession, bronze_root: str,
+                 max_file_age: str | None = None) -> DataFrame:
     """A stream of (process_date) for every newly landed Bronze file."""
-    files = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
-             .option("recursiveFileLookup", "true")
-             .load(bronze_root))
+    reader = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+              .option("recursiveFileLookup", "true"))
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
+    files = reader.load(bronze_root)
     return files.select(F.regexp_extract("path", DATE_IN_PATH, 1).alias("process_date")) \
         .where(F.col("process_date") != "")
 
@@ -52,11 +60,12 @@ def _run_batch(paths: pipeline.Paths, load: bool):
 
 
 def start(spark: SparkSession, paths: pipeline.Paths, checkpoint: str | None = None,
-          available_now: bool = True, load: bool = True,
-          interval: str = "1 minute") -> StreamingQuery:
+          available_now: bool = True, load: bool = True, interval: str = "1 minute",
+          max_file_age: str | None = None) -> StreamingQuery:
+    """Start the ingest. Keep ``checkpoint`` fixed across runs: it records handled files."""
     configure(spark)
     checkpoint = checkpoint or scratch_dir(spark, "ingest-checkpoint")
-    writer = (landed_dates(spark, paths.bronze).writeStream
+    writer = (landed_dates(spark, paths.bronze, max_file_age).writeStream
               .foreachBatch(_run_batch(paths, load))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now \
