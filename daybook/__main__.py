@@ -28,6 +28,7 @@ def main(argv=None) -> dict:
     ap.add_argument("--rows", type=int, default=1_000_000)
     ap.add_argument("--generate", type=int, default=0, help="generate N events before a run")
     ap.add_argument("--load", action="store_true", help="backfill: also load the mart")
+    ap.add_argument("--checkpoint", default=None, help="ingest: stream checkpoint folder")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
@@ -62,9 +63,11 @@ def main(argv=None) -> dict:
         out.update(date=args.process_date,
                    cleared=pipeline.load(spark, paths, [args.process_date]))
     elif args.command == "ingest":
-        q = ingest.start(spark, paths, available_now=True)
+        q = ingest.start(spark, paths, checkpoint=args.checkpoint, available_now=True)
         q.awaitTermination()
-        out.update(batches=len(q.recentProgress))
+        progress = q.recentProgress
+        out.update(batches=sum(1 for p in progress if p["numInputRows"] > 0),
+                   new_files=sum(p["numInputRows"] for p in progress))
     elif args.command == "explain":
         dates = ([args.process_date] if args.process_date
                  else pipeline.date_range(args.start, args.end))

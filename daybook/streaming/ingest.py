@@ -17,13 +17,15 @@ landing cadence of a date (daily with ``availableNow``) does the least work.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from daybook.plans import pipeline
-from daybook.session import configure, scratch_dir
+from daybook.session import checkpoint_root, configure
 
 FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -59,12 +61,22 @@ def _run_batch(paths: pipeline.Paths, load: bool):
     return run
 
 
+def default_checkpoint(spark: SparkSession, paths: pipeline.Paths) -> str:
+    key = hashlib.sha1(paths.bronze.rstrip("/").encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/daybook/ingest-{key}"
+
+
 def start(spark: SparkSession, paths: pipeline.Paths, checkpoint: str | None = None,
           available_now: bool = True, load: bool = True, interval: str = "1 minute",
           max_file_age: str | None = None) -> StreamingQuery:
-    """Start the ingest. Keep ``checkpoint`` fixed across runs: it records handled files."""
+    """Start the ingest.
+
+    The checkpoint records which files were handled, so it must stay the same
+    across runs; by default it is a folder below the shared checkpoint directory
+    named after the Bronze folder.
+    """
     configure(spark)
-    checkpoint = checkpoint or scratch_dir(spark, "ingest-checkpoint")
+    checkpoint = checkpoint or default_checkpoint(spark, paths)
     writer = (landed_dates(spark, paths.bronze, max_file_age).writeStream
               .foreachBatch(_run_batch(paths, load))
               .option("checkpointLocation", checkpoint))

@@ -290,3 +290,14 @@ def test_cli_explain_prints_plans(spark, landed, capsys):
     assert out["dates"] == DATES
     printed = capsys.readouterr().out
     assert "Physical Plan" in printed and "HashAggregate" in printed
+
+
+def test_cli_ingest_runs_are_incremental(spark, root):
+    from daybook.__main__ import main
+    from daybook.operators import generate
+    paths = pipeline.Paths.under(root)
+    bronze.write_bronze(generate.generate_events(spark, "2026-01-25", 800), paths.bronze)
+    first = main(["ingest", "--root", root])
+    assert first["new_files"] >= 1 and mart.mart_view(spark, paths.mart).count() == 1
+    again = main(["ingest", "--root", root])  # nothing new landed
+    assert again["new_files"] == 0 and again["batches"] == 0
