@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.operators import generate
 from daybook.operators.silver import rejected
 from daybook.schema import BRONZE_COLUMNS, BRONZE_TEXT_DDL, RAW_RECORD
 
-# The ranges the event source draws from.
-USER_ID_RANGE = (1, 100_000)
-PRODUCT_ID_RANGE = (1, 5_000)
-PURCHASE_AMOUNT_RANGE = (5.00, 500.00)
-EVENT_TYPES = ["view", "click", "purchase"]
+# The ranges the event source draws from (its fixed values, see operators.generate).
+USER_ID_RANGE = (1, generate.USERS)
+PRODUCT_ID_RANGE = (1, generate.PRODUCTS)
+PURCHASE_AMOUNT_RANGE = tuple(c / 100 for c in generate.AMOUNT_CENTS)
+EVENT_TYPES = [name for name, _ in generate.TYPE_SHARES]
 
 
 def _unpivot(agg: DataFrame, names: list[str], name_col: str, value_col: str) -> DataFrame:
