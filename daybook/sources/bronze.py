@@ -82,11 +82,14 @@ def header_report(spark: SparkSession, root: str, dates: Iterable[str] | str) ->
     """
     if isinstance(dates, str):
         dates = [dates]
-    present = [p for p in (date_path(root, d) for d in dates) if fs.exists(spark, p)]
+    paths = list(dict.fromkeys(date_path(root, d) for d in dates))
+    present = [p for p, ok in zip(paths, fs.map_paths(lambda p: fs.exists(spark, p), paths))
+               if ok]
     if not present:
         return spark.createDataFrame([], "file string, header string, matches boolean")
     lines = spark.read.text(present).select(
-        F.input_file_name().alias("file"), F.input_file_block_start().alias("start"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("pos"), "value")
     heads = (lines.where(F.col("start") == 0).groupBy("file")
              .agg(F.min_by("value", "pos").alias("header")))
