@@ -8,6 +8,7 @@ CSV), Gold is written per arrival date, and the mart is loaded from Gold.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook.operators import gold as gold_ops
 from daybook.operators import silver as silver_ops
 from daybook.schema import GOLD_SCHEMA, SILVER_SCHEMA
-from daybook.session import configure, shuffle_sized_for
+from daybook.session import configure, shuffle_sized_for, split_target, splits_sized_for
 from daybook.sources import bronze, fs, layers, mart
 
 GOLD_KEYS = ["process_date", "event_date"]
@@ -67,26 +68,55 @@ def gold_for(spark: SparkSession, paths: Paths, dates=None) -> DataFrame:
     return layers.read_layer(spark, paths.gold, GOLD_SCHEMA, dates)
 
 
+def bronze_by_date(spark: SparkSession, paths: Paths, dates) -> DataFrame:
+    """Bronze of ``dates`` as one scan per date, unioned (no shuffle).
+
+    A single scan over many dates packs small files of different dates into one
+    task, and each such task writes one small file per date it touched. With a
+    scan per date every task reads one date and writes one file.
+    """
+    frames = [bronze.read_bronze(spark, paths.bronze, [d]) for d in dates]
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+def bronze_for_write(spark: SparkSession, paths: Paths, dates, input_bytes: int,
+                     input_files: int, target: int) -> DataFrame:
+    """Bronze for the Silver job, laid out so that no task mixes dates needlessly.
+
+    A scan per date only pays when dates have several files smaller than a
+    split (a single scan would pack them across dates); otherwise one scan
+    already gives one date per split, with less planning.
+    """
+    dates = list(dates)
+    packed = input_files > len(dates) > 1 and input_bytes < target * input_files
+    if packed:
+        return bronze_by_date(spark, paths, dates)
+    return bronze.read_bronze(spark, paths.bronze, dates)
+
+
 def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     """Bronze → Silver → Gold for many arrival dates: one Silver job, one Gold job.
 
     Dates without Bronze files are reported in ``missing`` and skipped. The
-    Silver write has no shuffle: a CSV split is part of one file and so of one
-    date, so a task writes one file per date it read. Only small files are
-    packed several to a task.
+    Silver write has no shuffle: every task reads splits of one date (a scan per
+    date, splits sized from the whole job) and writes one Parquet file.
     """
     configure(spark)
     have, missing = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
     result = RunResult(dates=have, missing=missing)
     if not have:
         return result
-    cleaned = silver_ops.transform_to_silver(bronze.read_bronze(spark, paths.bronze, have))
-    result.cleared_silver = layers.replace_dates(spark, cleaned, paths.silver, have)
+    sizes = fs.map_paths(lambda p: fs.content_size(spark, p),
+                         [bronze.date_path(paths.bronze, d) for d in have])
+    input_bytes, input_files = sum(b for b, _ in sizes), sum(n for _, n in sizes)
+    target = split_target(spark, input_bytes, input_files)
+    cleaned = silver_ops.transform_to_silver(
+        bronze_for_write(spark, paths, have, input_bytes, input_files, target))
+    with splits_sized_for(spark, target):
+        result.cleared_silver = layers.replace_dates(spark, cleaned, paths.silver, have)
     daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, have), GOLD_KEYS)
     # The Gold job's shuffles are sized from the input; Gold itself is tiny
     # (rows = dates) and is written as one file per arrival date.
-    input_bytes = sum(fs.map_paths(lambda p: fs.content_length(spark, p),
-                                   [bronze.date_path(paths.bronze, d) for d in have]))
     with shuffle_sized_for(spark, input_bytes):
         result.cleared_gold = layers.replace_dates(
             spark, daily.repartition("process_date"), paths.gold, have)
@@ -100,7 +130,12 @@ def plans_for(spark: SparkSession, paths: Paths, dates) -> dict[str, DataFrame]:
     """
     configure(spark)
     have, _ = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
-    cleaned = silver_ops.transform_to_silver(bronze.read_bronze(spark, paths.bronze, have))
+    sizes = fs.map_paths(lambda p: fs.content_size(spark, p),
+                         [bronze.date_path(paths.bronze, d) for d in have])
+    input_bytes, input_files = sum(b for b, _ in sizes), sum(n for _, n in sizes)
+    cleaned = silver_ops.transform_to_silver(bronze_for_write(
+        spark, paths, have, input_bytes, input_files,
+        split_target(spark, input_bytes, input_files)))
     daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, have), GOLD_KEYS)
     return {"silver": cleaned, "gold": daily.repartition("process_date")}
 

@@ -78,6 +78,43 @@ def shuffle_sized_for(spark: SparkSession, input_bytes: int):
         spark.conf.set(key, str(current))
 
 
+def split_target(spark: SparkSession, input_bytes: int, input_files: int = 0) -> int:
+    """Split size for a job reading ``input_bytes`` in ``input_files`` files.
+
+    Spark's rule for one scan, applied to the whole job: bytes per core, every
+    file counting its open cost, between the open cost and the configured maximum.
+    """
+    conf = spark._jsparkSession.sessionState().conf()
+    cap, open_cost = int(conf.filesMaxPartitionBytes()), int(conf.filesOpenCostInBytes())
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    weighted = int(input_bytes) + int(input_files) * open_cost
+    return max(open_cost, min(cap, -(-weighted // cores)))
+
+
+@contextmanager
+def splits_sized_for(spark: SparkSession, target: int):
+    """Cut every scan of the jobs run inside into splits of at most ``target`` bytes.
+
+    Spark sizes the splits of each scan from that scan's bytes alone, so a job
+    that reads many small dates as separate scans would cut every date into
+    ``cores`` tiny splits. With ``minPartitionNum=1`` and the job-wide target
+    (:func:`split_target`) a small scan may be a single split.
+    """
+    keys = {"spark.sql.files.maxPartitionBytes": str(int(target)),
+            "spark.sql.files.minPartitionNum": "1"}
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield target
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -114,4 +151,5 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["RUNTIME_CONF", "configure", "get_session", "checkpoint_root", "scratch_dir",
-           "local_path", "shuffle_partitions_for", "shuffle_sized_for"]
+           "local_path", "shuffle_partitions_for", "shuffle_sized_for", "split_target",
+           "splits_sized_for"]

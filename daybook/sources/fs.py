@@ -36,12 +36,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def content_length(spark: SparkSession, path: str) -> int:
-    """Total bytes below ``path`` (0 when absent)."""
+def content_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(total bytes, number of files) below ``path``; (0, 0) when absent."""
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):
-        return 0
-    return int(fs.getContentSummary(p).getLength())
+        return 0, 0
+    summary = fs.getContentSummary(p)
+    return int(summary.getLength()), int(summary.getFileCount())
 
 
 def data_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:

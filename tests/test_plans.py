@@ -62,3 +62,23 @@ def test_row_number_top1_is_limited_before_the_shuffle(spark):
     below = plan.split("Exchange hashpartitioning(event_date")[1]
     assert "WindowGroupLimit" in below.split("Exchange")[0] and "Partial" in below
     assert "Final" in plan.split("Exchange hashpartitioning(event_date")[0]
+
+
+def test_backfill_of_small_dates_writes_few_single_date_silver_files(spark, root):
+    """Each task reads one date; splits are sized from the whole job (bytes plus open
+    cost per file, per core), so tiny dates are spread over the cores but never mixed."""
+    from daybook.operators import generate
+    from daybook.sources import fs, layers
+    paths = pipeline.Paths.under(root)
+    dates = [f"2026-06-{d:02d}" for d in range(1, 7)]
+    for d in dates:
+        bronze.write_bronze(generate.generate_events(spark, d, 4_000, partitions=4),
+                            paths.bronze)
+    union = pipeline.bronze_by_date(spark, paths, dates)
+    assert "Exchange" not in _plan(silver.transform_to_silver(union))
+    pipeline.run_dates(spark, paths, dates)
+    per_date = [len(fs.data_files(spark, layers.partition_path(paths.silver, d))) for d in dates]
+    assert max(per_date) <= 2  # 4 Bronze files per date; a single scan mixes dates instead
+    assert sum(per_date) <= max(len(dates), spark.sparkContext.defaultParallelism) * 2
+    # The session's split settings are restored after the job.
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) in (None, "")
