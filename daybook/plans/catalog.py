@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import dashboard, generate, gold, quality, silver
 from daybook.plans import fixture, pipeline, warehouse
-from daybook.schema import BRONZE_COLUMNS, SILVER_COLUMNS
+from daybook.schema import BRONZE_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA
 from daybook.session import configure
 from daybook.sources import bronze, layers, mart
 
@@ -87,7 +87,6 @@ def gold_by_date(spark, sf_dir):
 
 def partition_columns(spark, sf_dir):
     paths, _ = warehouse.build(spark, sf_dir)
-    from daybook.schema import SILVER_SCHEMA
     rows = layers.read_layout(spark, paths.silver, SILVER_SCHEMA)
     return rows.groupBy("process_date", "year", "month", "day").agg(
         F.count(F.lit(1)).alias("n"))
