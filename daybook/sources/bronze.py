@@ -98,10 +98,16 @@ def header_report(spark: SparkSession, root: str, dates: Iterable[str] | str) ->
 
 def write_bronze(df: DataFrame, root: str) -> None:
     """Write Bronze rows (with ``process_date``) as CSV with a header, one folder per
-    arrival date. A rerun replaces only the dates it writes."""
+    arrival date. A rerun replaces only the dates it writes.
+
+    Values are written as they are: Spark's CSV writer trims surrounding spaces
+    unless told not to, and the reader (which does not trim) must get them back.
+    """
     out = df.select(*BRONZE_COLUMNS, F.col("process_date").alias(BRONZE_PARTITION))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("header", True).partitionBy(BRONZE_PARTITION).csv(root))
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .partitionBy(BRONZE_PARTITION).csv(root))
 
 
 def bronze_files(spark: SparkSession, root: str, date: str) -> DataFrame:

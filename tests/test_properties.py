@@ -2,6 +2,7 @@
 brute-force computation in plain Python."""
 
 import datetime as dt
+from collections import Counter
 import math
 from decimal import Decimal
 
@@ -81,3 +82,24 @@ def test_gold_equals_brute_force(spark, data, parts):
         w = want[(r.process_date, r.event_date)]
         assert (None if r.s is None else float(r.s)) == w[1]
         assert (None if r.m is None else float(r.m)) == w[3]
+
+
+text = st.text(alphabet=st.sampled_from(list("ab,\"' \\;x1")), min_size=1, max_size=8)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(text, st.one_of(st.none(), st.integers(1, 9)), text,
+                          st.one_of(st.none(), st.integers(1, 9)),
+                          st.one_of(st.none(), st.integers(0, 10_000).map(lambda c: c / 100))),
+                min_size=1, max_size=20))
+def test_bronze_csv_round_trip(spark, rows):
+    """What write_bronze writes, read_bronze reads back unchanged (quotes, commas, NULLs)."""
+    from daybook.session import scratch_dir
+    from daybook.sources import bronze
+    day = DAYS[0]
+    data = [(eid, uid, et, pid, f"{day.isoformat()}T01:02:03", amt, day)
+            for eid, uid, et, pid, amt in rows]
+    root = scratch_dir(spark, "csv-prop")
+    bronze.write_bronze(spark.createDataFrame(data, SCHEMA), root)
+    back = bronze.read_bronze(spark, root, day.isoformat()).collect()
+    assert Counter(repr(tuple(r)) for r in back) == Counter(repr(r) for r in data)
