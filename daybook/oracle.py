@@ -158,7 +158,7 @@ FROM j
 _NUMERIC = {
     "user_id_in_range": "user_id IS NOT NULL AND NOT (user_id BETWEEN 1 AND 100000)",
     "product_id_in_range": "product_id IS NOT NULL AND NOT (product_id BETWEEN 1 AND 5000)",
-    "amount_finite": "amount IS NOT NULL AND NOT isfinite(amount)",
+    "amount_summable": "amount IS NOT NULL AND TRY_CAST(amount AS DECIMAL(18,2)) IS NULL",
     "amount_not_negative": "amount < 0",
     "purchase_amount_in_range": "event_type = 'purchase' AND amount IS NOT NULL "
                                 "AND NOT (amount BETWEEN 5.0 AND 500.0)",

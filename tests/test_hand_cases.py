@@ -172,3 +172,51 @@ def test_cast_failures_are_the_csv_readers_own(spark, root):
     assert sorted(checked.select(*cols).collect()) == sorted(typed.select(*cols).collect())
     fails = {r.column_name: r.failures for r in quality.cast_failures(checked).collect()}
     assert fails == {"user_id": 1, "product_id": 1, "amount": 1, "event_timestamp": 0}
+
+
+def test_amounts_the_exact_sum_cannot_use_are_reported(spark, root):
+    paths = pipeline.Paths.under(root)
+    write_csv(bronze.date_path(paths.bronze, "2026-02-13"), "a.csv", HEADER +
+              "a,1,purchase,8,2026-02-13T01:00:00,NaN\n"
+              "b,2,purchase,8,2026-02-13T01:00:00,Infinity\n"
+              "c,3,purchase,8,2026-02-13T01:00:00,1.0E17\n"
+              "d,4,purchase,8,2026-02-13T01:00:00,12.5\n")
+    b = bronze.read_bronze(spark, paths.bronze, "2026-02-13")
+    checks = {r.check: r.failures for r in quality.numeric_validity(b).collect()}
+    assert checks["amount_summable"] == 3
+    s = silver.transform_to_silver(b)
+    (g,) = gold.aggregate_to_gold(s).collect()
+    assert g.total_revenue == 12.5
+
+
+# FIXTURES.md §3: timestamp text and what it becomes (session zone UTC).
+TIMESTAMPS = [
+    ("2026", "2026-01-01 00:00:00"),
+    ("2026-01", "2026-01-01 00:00:00"),
+    ("2026-01-12", "2026-01-12 00:00:00"),
+    ("2026-01-12T01:02:03Z", "2026-01-12 01:02:03"),
+    ("2026-01-12T01:02:03+02:00", "2026-01-11 23:02:03"),
+    (" 2026-01-12 01:02:03 ", "2026-01-12 01:02:03"),
+    ("2026-01-12T01:02:03.123456789", "2026-01-12 01:02:03.123456"),
+    ("2026-13-01", None),
+    ("garbage", None),
+]
+
+
+def test_timestamp_text_accepted_by_cleaning(spark, root):
+    import datetime as dt
+    paths = pipeline.Paths.under(root)
+    body = "".join(f'id{i},1,view,1,"{text}",0.0\n' for i, (text, _) in enumerate(TIMESTAMPS))
+    body += "today,1,view,1,12:30,0.0\n"
+    write_csv(bronze.date_path(paths.bronze, "2026-01-12"), "a.csv", HEADER + body)
+    rows = {r.event_id: r for r in silver.transform_to_silver(
+        bronze.read_bronze(spark, paths.bronze, "2026-01-12")).collect()}
+    for i, (text, want) in enumerate(TIMESTAMPS):
+        got = rows.get(f"id{i}")
+        if want is None:
+            assert got is None, text
+        else:
+            got_text = got.event_timestamp.replace(tzinfo=None).isoformat(sep=" ")
+            assert got_text.rstrip("0").rstrip(".") == want.rstrip("0").rstrip("."), text
+    # A time without a date is taken as today (the documented Spark behaviour).
+    assert rows["today"].event_date == dt.datetime.now(dt.timezone.utc).date()

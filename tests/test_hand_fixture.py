@@ -100,6 +100,6 @@ def test_quality_report_on_hand_fixture(spark, root):
     assert rep["duplicate_event_ids"] == (0, 0, True)
     assert rep["date_spill_rows"] == (1, 0, False)   # h
     assert rep["purchase_amount_in_range"] == (1, 0, False)  # i: 1.50
-    for check in ["user_id_in_range", "product_id_in_range", "amount_finite",
+    for check in ["user_id_in_range", "product_id_in_range", "amount_summable",
                   "amount_not_negative", "non_purchase_amount_zero", "event_type_known"]:
         assert rep[check] == (0, 0, True), check
