@@ -220,3 +220,13 @@ def test_timestamp_text_accepted_by_cleaning(spark, root):
             assert got_text.rstrip("0").rstrip(".") == want.rstrip("0").rstrip("."), text
     # A time without a date is taken as today (the documented Spark behaviour).
     assert rows["today"].event_date == dt.datetime.now(dt.timezone.utc).date()
+
+
+def test_windows_line_endings(spark, root):
+    paths = pipeline.Paths.under(root)
+    write_csv(bronze.date_path(paths.bronze, "2026-02-14"), "a.csv",
+              HEADER.replace("\n", "\r\n") + "a,1,view,10,2026-02-14T00:00:01,1.5\r\n")
+    (row,) = bronze.read_bronze(spark, paths.bronze, "2026-02-14").collect()
+    assert row.amount == 1.5 and row.event_id == "a"
+    (head,) = bronze.header_report(spark, paths.bronze, "2026-02-14").collect()
+    assert head.matches is True
