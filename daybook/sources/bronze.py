@@ -92,7 +92,8 @@ def header_report(spark: SparkSession, root: str, dates: Iterable[str] | str) ->
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("pos"), "value")
     heads = (lines.where(F.col("start") == 0).groupBy("file")
-             .agg(F.min_by("value", "pos").alias("header")))
+             .agg(F.min_by("value", "pos").alias("header"))
+             .withColumn("header", F.regexp_replace("header", "^\ufeff", "")))  # byte-order mark
     return heads.withColumn("matches", F.col("header") == F.lit(",".join(BRONZE_COLUMNS)))
 
 

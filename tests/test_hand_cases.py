@@ -230,3 +230,13 @@ def test_windows_line_endings(spark, root):
     assert row.amount == 1.5 and row.event_id == "a"
     (head,) = bronze.header_report(spark, paths.bronze, "2026-02-14").collect()
     assert head.matches is True
+
+
+def test_byte_order_mark_in_header(spark, root):
+    paths = pipeline.Paths.under(root)
+    write_csv(bronze.date_path(paths.bronze, "2026-02-15"), "a.csv",
+              "\ufeff" + HEADER + "a,1,view,10,2026-02-15T00:00:01,1.5\n")
+    (row,) = bronze.read_bronze(spark, paths.bronze, "2026-02-15").collect()
+    assert row.event_id == "a" and row.amount == 1.5
+    (head,) = bronze.header_report(spark, paths.bronze, "2026-02-15").collect()
+    assert head.matches is True
