@@ -55,6 +55,25 @@ def revenue_rounded(mart: DataFrame, date: str) -> DataFrame:
                                       rounded.alias("revenue"), "top_product_id")
 
 
+def page(mart: DataFrame) -> dict:
+    """Everything the dashboard page shows, from one read of the mart.
+
+    The mart view has one row per date, so it is cached for the page (bounded by
+    the number of dates) and released afterwards. The ordered table also gives
+    both series; the KPI row is the latest date with NULL top revenue as 0.0.
+    """
+    view = mart.select(*MART_COLUMNS).cache()
+    try:
+        if view.isEmpty():
+            return {"message": "No data available yet.", "kpi": None, "table": []}
+        rows = table(view).collect()
+        return {"message": None, "kpi": latest(view).first().asDict(), "table": rows,
+                "dau_series": [(r.metric_date, r.daily_active_users) for r in rows],
+                "revenue_series": [(r.metric_date, r.total_revenue) for r in rows]}
+    finally:
+        view.unpersist()
+
+
 def is_empty_message(mart: DataFrame) -> str | None:
     """The page's message for an empty mart, else None (reads at most one row)."""
     return "No data available yet." if mart.isEmpty() else None

@@ -104,6 +104,20 @@ def test_dashboard_on_empty_mart(spark, root):
     assert m.count() == 0
     assert dashboard.is_empty_message(m) == "No data available yet."
     assert dashboard.latest(m).count() == 0
+    assert dashboard.page(m)["message"] == "No data available yet."
+
+
+def test_dashboard_page_matches_the_queries(spark, landed):
+    p = _fresh(spark, landed)
+    pipeline.run_dates(spark, p, DATES)
+    pipeline.load(spark, p, DATES)
+    view = mart.mart_view(spark, p.mart)
+    pg = dashboard.page(view)
+    assert pg["table"] == dashboard.table(view).collect()
+    assert pg["kpi"] == dashboard.latest(view).first().asDict()
+    assert pg["dau_series"] == [tuple(r) for r in
+                                dashboard.series(view, "daily_active_users").collect()]
+    assert not view.is_cached
 
 
 def test_partition_pruning_in_plan(spark, landed):
