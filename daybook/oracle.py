@@ -181,7 +181,7 @@ _reg("dq_cast_failures", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {typed} IS NULL) "
     f"AS failures FROM bronze" for c, typed in _CASTS.items()))
 _reg("dq_duplicate_ids", """
-, per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM bronze
+, per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM silver
              WHERE event_id IS NOT NULL GROUP BY process_date, event_id)
 SELECT process_date, CAST(COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS duplicate_rows
 FROM per_id GROUP BY process_date
@@ -217,7 +217,7 @@ rs AS (
          COUNT(*) FILTER (WHERE event_date <> process_date) AS date_spill_rows
   FROM silver GROUP BY process_date),
 rg AS (SELECT process_date, COUNT(*) AS gold_rows FROM gold GROUP BY process_date),
-per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM bronze
+per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM silver
            WHERE event_id IS NOT NULL GROUP BY process_date, event_id),
 rd AS (SELECT process_date, COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS dup
        FROM per_id GROUP BY process_date),

@@ -195,7 +195,7 @@ def dq_report(spark, sf_dir):
 
 def dq_duplicate_ids(spark, sf_dir):
     paths, _ = warehouse.build(spark, sf_dir)
-    return quality.duplicate_ids(bronze.read_bronze(spark, paths.bronze))
+    return quality.duplicate_ids(pipeline.silver_for(spark, paths, None))
 
 
 def dq_date_spill(spark, sf_dir):

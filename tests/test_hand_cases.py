@@ -68,7 +68,8 @@ def test_duplicate_event_ids_are_kept_and_reported(spark, root):
                         "a,1,purchase,8,2026-02-08T01:00:00,2.0\n"
                         "a,1,purchase,8,2026-02-08T01:00:00,2.0\n")
     assert g["2026-02-08"].total_revenue == 4.0
-    d = quality.duplicate_ids(bronze.read_bronze(spark, paths.bronze)).collect()
+    cleaned = silver.transform_to_silver(bronze.read_bronze(spark, paths.bronze))
+    d = quality.duplicate_ids(cleaned).collect()
     assert [(r.process_date.isoformat(), r.duplicate_rows) for r in d] == [("2026-02-08", 2)]
 
 
