@@ -18,7 +18,8 @@ import sys
 
 
 def main(argv=None) -> dict:
-    ap = argparse.ArgumentParser(prog="daybook")
+    ap = argparse.ArgumentParser(prog="daybook", description=__doc__,
+                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("command", choices=["run", "backfill", "generate", "load", "ingest", "explain"])
     ap.add_argument("--root", required=True, help="lake root (bronze/, silver/, gold/, mart/)")
     ap.add_argument("--bronze-root", default=None, help="Bronze landing folder if elsewhere")
