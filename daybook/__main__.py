@@ -6,6 +6,7 @@
     load      --process-date D                  publish Gold of a date to the mart
     ingest                                      process every newly landed Bronze date, then stop
     explain   --process-date D | --start D --end D   print the formatted plans of a run
+    report    --process-date D | --start D --end D   the quality report (failed checks listed)
 
 Prints one JSON line with what was done. On a cluster the master comes from spark-submit.
 """
@@ -20,7 +21,7 @@ import sys
 def main(argv=None) -> dict:
     ap = argparse.ArgumentParser(prog="daybook", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
-    ap.add_argument("command", choices=["run", "backfill", "generate", "load", "ingest", "explain"])
+    ap.add_argument("command", choices=["run", "backfill", "generate", "load", "ingest", "explain", "report"])
     ap.add_argument("--root", required=True, help="lake root (bronze/, silver/, gold/, mart/)")
     ap.add_argument("--bronze-root", default=None, help="Bronze landing folder if elsewhere")
     ap.add_argument("--process-date")
@@ -76,6 +77,13 @@ def main(argv=None) -> dict:
             print(f"== {name} ==", file=sys.stderr)
             df.explain("formatted")
         out.update(dates=dates)
+    elif args.command == "report":
+        dates = ([args.process_date] if args.process_date
+                 else pipeline.date_range(args.start, args.end))
+        rows = pipeline.quality_report(spark, paths, dates).collect()  # dates x checks rows
+        out.update(dates=dates, checks=len(rows),
+                   failed=sorted([r.process_date.isoformat(), r.check, r.observed, r.expected]
+                                 for r in rows if not r.passed))
     print(json.dumps(out))
     return out
 

@@ -184,6 +184,8 @@ def test_cli_gated_run_with_generation(spark, root):
     assert out["dates"] == ["2026-01-12"] and out["missing"] == ["2026-01-11"]
     with pytest.raises(bronze.MissingBronzeError):
         bronze.bronze_files(spark, pipeline.Paths.under(root).bronze, "2026-01-11")
+    rep = main(["report", "--root", root, "--process-date", "2026-01-12"])
+    assert rep["checks"] == 17 and rep["failed"] == []
 
 
 def test_streaming_ingest_only_handles_new_dates(spark, root):
