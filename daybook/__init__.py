@@ -8,4 +8,6 @@ Every step is a DataFrame plan; only writers and gates run actions.
 
 from daybook.session import get_session, configure, scratch_dir
 
-__all__ = ["get_session", "configure", "scratch_dir"]
+__version__ = "0.1.0"
+
+__all__ = ["get_session", "configure", "scratch_dir", "__version__"]
