@@ -1,6 +1,7 @@
 """Edge cases of cleaning, aggregation and replace semantics."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import write_csv
 from daybook.operators import gold, quality, silver
@@ -241,3 +242,18 @@ def test_byte_order_mark_in_header(spark, root):
     assert row.event_id == "a" and row.amount == 1.5
     (head,) = bronze.header_report(spark, paths.bronze, "2026-02-15").collect()
     assert head.matches is True
+
+
+def test_replacing_a_date_from_its_own_rows(spark, root):
+    """Overwriting a partition that the same job reads (e.g. re-cleaning Silver in
+    place): the new files are staged and swapped in at commit, after the read."""
+    from daybook.sources import layers
+    paths = pipeline.Paths.under(root)
+    write_csv(bronze.date_path(paths.bronze, "2026-02-16"), "a.csv", HEADER +
+              "a,1,view,10,2026-02-16T00:00:01,1.5\nb,2,view,11,2026-02-16T00:00:02,2.5\n")
+    pipeline.daily_run(spark, paths, "2026-02-16")
+    current = pipeline.silver_for(spark, paths, ["2026-02-16"])
+    layers.replace_dates(spark, current.where(F.col("event_id") == "a"), paths.silver,
+                         ["2026-02-16"])
+    assert [r.event_id for r in pipeline.silver_for(spark, paths, ["2026-02-16"]).collect()] \
+        == ["a"]
