@@ -79,8 +79,9 @@ def is_empty_message(mart: DataFrame) -> str | None:
     return "No data available yet." if mart.isEmpty() else None
 
 
-# The dashboard's and the checks' SQL, runnable as written against the view
-# registered by register_view (Spark SQL dialect).
+# The SQL statements the dashboard and the manual checks run against
+# the metrics table. They must run unchanged against the view registered by
+# register_view (the rounding check is in Spark SQL's cast syntax).
 VIEW_NAME = "daily_metrics"
 DASHBOARD_SQL = ("SELECT metric_date, daily_active_users, total_revenue, "
                  "top_product_id, top_product_revenue "
