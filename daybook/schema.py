@@ -2,7 +2,9 @@
 
 from pyspark.sql import types as T
 
-# Bronze: CSV with a header; columns bind by position, all nullable.
+# The Bronze columns and types in file order (CSV with a header;
+# columns bind by position, all nullable), the key columns cleaning requires, and
+# the column orders of Silver, Gold and the mart.
 BRONZE_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType(), True),
     T.StructField("user_id", T.IntegerType(), True),
