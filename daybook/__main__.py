@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import sys
 
 
@@ -32,7 +33,10 @@ def main(argv=None) -> dict:
     ap.add_argument("--load", action="store_true", help="backfill: also load the mart")
     ap.add_argument("--checkpoint", default=None, help="ingest: stream checkpoint folder")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--verbose", action="store_true", help="log the pipeline's steps")
     args = ap.parse_args(argv)
+    if args.verbose:
+        logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
     from daybook.operators import generate
     from daybook.plans import pipeline

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from daybook.schema import GOLD_SCHEMA, SILVER_SCHEMA
 from daybook.session import configure, shuffle_sized_for, split_target, splits_sized_for
 from daybook.sources import bronze, fs, layers, mart
 
+log = logging.getLogger("daybook.pipeline")
+
 GOLD_KEYS = ["process_date", "event_date"]
 GOLD_COLUMNS = GOLD_KEYS + ["daily_active_users", "total_revenue", "top_product_id",
                             "top_product_revenue"]
@@ -104,12 +107,16 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     configure(spark)
     have, missing = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
     result = RunResult(dates=have, missing=missing)
+    if missing:
+        log.warning("no Bronze files for %d date(s): %s", len(missing), missing)
     if not have:
         return result
     sizes = fs.map_paths(lambda p: fs.content_size(spark, p),
                          [bronze.date_path(paths.bronze, d) for d in have])
     input_bytes, input_files = sum(b for b, _ in sizes), sum(n for _, n in sizes)
     target = split_target(spark, input_bytes, input_files)
+    log.info("run %d date(s) %s..%s: %d Bronze bytes in %d files, split target %d bytes",
+             len(have), have[0], have[-1], input_bytes, input_files, target)
     cleaned = silver_ops.transform_to_silver(
         bronze_for_write(spark, paths, have, input_bytes, input_files, target))
     with splits_sized_for(spark, target):
@@ -117,9 +124,11 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, have), GOLD_KEYS)
     # The Gold job's shuffles are sized from the input; Gold itself is tiny
     # (rows = dates) and is written as one file per arrival date.
-    with shuffle_sized_for(spark, input_bytes):
+    with shuffle_sized_for(spark, input_bytes) as partitions:
         result.cleared_gold = layers.replace_dates(
             spark, daily.repartition("process_date"), paths.gold, have)
+    log.info("Gold written with %d shuffle partitions; cleared Silver %s, Gold %s",
+             partitions, result.cleared_silver, result.cleared_gold)
     return result
 
 
@@ -155,7 +164,9 @@ def load(spark: SparkSession, paths: Paths, dates) -> list[str]:
     """Publish Gold rows of ``dates`` to the mart (replace per date)."""
     configure(spark)
     dates = normalize_dates(dates)
-    return mart.load_mart(spark, gold_for(spark, paths, dates), paths.mart, dates)
+    cleared = mart.load_mart(spark, gold_for(spark, paths, dates), paths.mart, dates)
+    log.info("mart loaded for %d date(s); cleared %s", len(dates), cleared)
+    return cleared
 
 
 class GateError(ValueError):
