@@ -42,57 +42,57 @@ def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Silver and Gold as plans over the table -------------------------------------------
 
-def silver_clean(spark, sf_dir):
+def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_out(_silver(spark, sf_dir))
 
 
-def daily_totals(spark, sf_dir):
+def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.daily_totals(_silver(spark, sf_dir))
 
 
-def product_revenue(spark, sf_dir):
+def product_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.product_revenue(_silver(spark, sf_dir))
 
 
-def top_product(spark, sf_dir):
+def top_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.top_product(gold.product_revenue_exact(_silver(spark, sf_dir)))
 
 
-def top_product_max_by(spark, sf_dir):
+def top_product_max_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.top_product_max_by(gold.product_revenue_exact(_silver(spark, sf_dir)))
 
 
-def gold_daily_metrics(spark, sf_dir):
+def gold_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.aggregate_to_gold(_silver(spark, sf_dir), GOLD_KEYS)
 
 
 # --- Files: Bronze CSV, Silver/Gold Parquet ----------------------------------------------
 
-def bronze_scan(spark, sf_dir):
+def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     return bronze.read_bronze(spark, paths.bronze).select(*BRONZE_COLUMNS)
 
 
-def silver_by_date(spark, sf_dir):
+def silver_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     return _silver_out(pipeline.silver_for(spark, paths, [FIXED_DATE]))
 
 
-def gold_by_date(spark, sf_dir):
+def gold_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily run of one arrival date into fresh Silver/Gold folders."""
     paths, _ = warehouse.fresh_layers(spark, sf_dir)
     pipeline.daily_run(spark, paths, FIXED_DATE)
     return pipeline.gold_for(spark, paths, [FIXED_DATE]).select(*pipeline.GOLD_COLUMNS)
 
 
-def partition_columns(spark, sf_dir):
+def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     rows = layers.read_layout(spark, paths.silver, SILVER_SCHEMA)
     return rows.groupBy("process_date", "year", "month", "day").agg(
         F.count(F.lit(1)).alias("n"))
 
 
-def backfill_gold(spark, sf_dir):
+def backfill_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All arrival dates in one job per layer, into fresh folders."""
     paths, dates = warehouse.fresh_layers(spark, sf_dir)
     pipeline.backfill(spark, paths, min(dates), max(dates))
@@ -101,11 +101,11 @@ def backfill_gold(spark, sf_dir):
 
 # --- Mart -----------------------------------------------------------------------------------
 
-def mart_rows(spark, sf_dir):
+def mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart(spark, sf_dir)
 
 
-def mart_replace(spark, sf_dir):
+def mart_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load every date twice into a fresh mart: the second load replaces the first."""
     base, dates = warehouse.build(spark, sf_dir)
     paths, _ = warehouse.fresh_layers(spark, sf_dir)
@@ -116,76 +116,76 @@ def mart_replace(spark, sf_dir):
     return mart.mart_view(spark, target.mart)
 
 
-def dashboard_table(spark, sf_dir):
+def dashboard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.table(_mart(spark, sf_dir))
 
 
-def mart_by_date(spark, sf_dir):
+def mart_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.by_date(_mart(spark, sf_dir), FIXED_DATE)
 
 
-def mart_count_by_date(spark, sf_dir):
+def mart_count_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.count_by_date(_mart(spark, sf_dir), FIXED_DATE)
 
 
-def mart_summary(spark, sf_dir):
+def mart_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.summary(_mart(spark, sf_dir))
 
 
-def mart_revenue_rounded(spark, sf_dir):
+def mart_revenue_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.revenue_rounded(_mart(spark, sf_dir), FIXED_DATE)
 
 
-def mart_preview(spark, sf_dir):
+def mart_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.preview(_mart(spark, sf_dir), PREVIEW_ROWS)
 
 
-def kpi_latest(spark, sf_dir):
+def kpi_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.latest(_mart(spark, sf_dir))
 
 
-def dau_series(spark, sf_dir):
+def dau_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.series(_mart(spark, sf_dir), "daily_active_users")
 
 
-def revenue_series(spark, sf_dir):
+def revenue_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.series(_mart(spark, sf_dir), "total_revenue")
 
 
 # --- Quality --------------------------------------------------------------------------------
 
-def _layers(spark, sf_dir):
+def _layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     return (paths, bronze.read_bronze(spark, paths.bronze),
             pipeline.silver_for(spark, paths, None), pipeline.gold_for(spark, paths))
 
 
-def layer_counts(spark, sf_dir):
+def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, b, s, g = _layers(spark, sf_dir)
     return quality.layer_counts({"bronze": b, "silver": s, "gold": g})
 
 
-def dq_null_counts(spark, sf_dir):
+def dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     return quality.null_counts(bronze.read_bronze(spark, paths.bronze))
 
 
-def dq_reconcile(spark, sf_dir):
+def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, b, s, g = _layers(spark, sf_dir)
     return quality.reconcile(b, s, g)
 
 
-def dq_numeric(spark, sf_dir):
+def dq_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     return quality.numeric_validity(bronze.read_bronze(spark, paths.bronze))
 
 
-def dq_cast_failures(spark, sf_dir):
+def dq_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     return quality.cast_failures(bronze.read_bronze_checked(spark, paths.bronze))
 
 
-def dq_report(spark, sf_dir):
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every check per arrival date in one report."""
     paths, _ = warehouse.build(spark, sf_dir)
     return quality.report(bronze.read_bronze_checked(spark, paths.bronze),
@@ -193,19 +193,19 @@ def dq_report(spark, sf_dir):
                           pipeline.gold_for(spark, paths), mart.mart_view(spark, paths.mart))
 
 
-def dq_duplicate_ids(spark, sf_dir):
+def dq_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     return quality.duplicate_ids(pipeline.silver_for(spark, paths, None))
 
 
-def dq_date_spill(spark, sf_dir):
+def dq_date_spill(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.build(spark, sf_dir)
     return quality.date_spill(pipeline.silver_for(spark, paths, None))
 
 
 # --- Event source ---------------------------------------------------------------------------
 
-def gen_events(spark, sf_dir):
+def gen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One synthetic event per row of the given events table, on the fixed date."""
     configure(spark)
     ids = fixture.read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
