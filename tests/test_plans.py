@@ -82,3 +82,8 @@ def test_backfill_of_small_dates_writes_few_single_date_silver_files(spark, root
     assert sum(per_date) <= max(len(dates), spark.sparkContext.defaultParallelism) * 2
     # The session's split settings are restored after the job.
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) in (None, "")
+
+
+def test_quality_report_parses_bronze_csv_once(spark):
+    plan = _plan(E.queries()["dq_report"](spark, SF_SMALL))
+    assert plan.count("FileScan csv") == 1
