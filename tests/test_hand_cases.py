@@ -257,6 +257,10 @@ def test_replacing_a_date_from_its_own_rows(spark, root):
                          ["2026-02-16"])
     assert [r.event_id for r in pipeline.silver_for(spark, paths, ["2026-02-16"]).collect()] \
         == ["a"]
+    # The layout is derived from process_date again, so no unpadded twin folder appears.
+    from daybook.sources import fs
+    assert fs.subdirs(spark, f"{paths.silver}/year=2026") == ["month=02"]
+    assert fs.subdirs(spark, f"{paths.silver}/year=2026/month=02") == ["day=16"]
 
 
 def test_layout_across_a_year_boundary(spark, root):
