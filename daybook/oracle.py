@@ -133,6 +133,9 @@ UNION ALL
 SELECT 'silver' AS layer, process_date, COUNT(*) AS row_count FROM silver GROUP BY process_date
 UNION ALL
 SELECT 'gold' AS layer, process_date, COUNT(*) AS row_count FROM gold GROUP BY process_date
+UNION ALL
+SELECT 'mart' AS layer, metric_date AS process_date, COUNT(*) AS row_count FROM mart
+GROUP BY metric_date
 """)
 _reg("dq_null_counts", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM bronze"

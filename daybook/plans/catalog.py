@@ -161,8 +161,9 @@ def _layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, b, s, g = _layers(spark, sf_dir)
-    return quality.layer_counts({"bronze": b, "silver": s, "gold": g})
+    paths, b, s, g = _layers(spark, sf_dir)
+    m = mart.mart_view(spark, paths.mart).withColumnRenamed("metric_date", "process_date")
+    return quality.layer_counts({"bronze": b, "silver": s, "gold": g, "mart": m})
 
 
 def dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
