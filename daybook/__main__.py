@@ -1,6 +1,7 @@
 """Command line: ``python -m daybook <command> --root <lake> ...``.
 
-    run       --process-date D [--generate N]   gated daily run (Bronze check → transform → checks → load)
+    run       [--process-date D] [--generate N] gated daily run (Bronze check → transform → checks
+                                                → load); the date defaults to yesterday (UTC)
     backfill  --start D --end D [--load]        all dates in one job per layer; missing dates reported
     generate  --process-date D --rows N         synthetic Bronze for a date
     load      --process-date D                  publish Gold of a date to the mart
@@ -14,6 +15,7 @@ Prints one JSON line with what was done. On a cluster the master comes from spar
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 import logging
 import sys
@@ -52,6 +54,9 @@ def main(argv=None) -> dict:
 
     out: dict = {"command": args.command}
     if args.command == "run":
+        if not args.process_date:
+            today = datetime.datetime.now(datetime.timezone.utc).date()
+            args.process_date = (today - datetime.timedelta(days=1)).isoformat()
         steps = pipeline.run_gated(
             spark, paths, args.process_date,
             generate=(lambda s, p, d: gen(s, p, d, args.generate)) if args.generate else None)

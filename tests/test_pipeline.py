@@ -317,3 +317,11 @@ def test_cli_ingest_runs_are_incremental(spark, root):
     assert first["new_files"] >= 1 and mart.mart_view(spark, paths.mart).count() == 1
     again = main(["ingest", "--root", root])  # nothing new landed
     assert again["new_files"] == 0 and again["batches"] == 0
+
+
+def test_cli_run_defaults_to_yesterday(spark, root):
+    import datetime as dt
+    from daybook.__main__ import main
+    yesterday = (dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()
+    out = main(["run", "--root", root, "--generate", "500"])
+    assert out["date"] == yesterday and out["mart_rows"] == 1
