@@ -1,8 +1,9 @@
 """Command line: ``python -m daybook <command> --root <lake> ...``.
 
-    run       [--process-date D] [--generate N] gated daily run (Bronze check → transform → checks
-                                                → load); the date defaults to yesterday (UTC)
-    backfill  --start D --end D [--load]        all dates in one job per layer; missing dates reported
+    run       [--process-date D] [--generate N] gated daily run: Bronze check, transform,
+                                                checks, load; the date defaults to yesterday
+    backfill  --start D --end D [--load]        all dates in one job per layer; missing dates
+                                                are reported
     generate  --process-date D --rows N         synthetic Bronze for a date
     load      --process-date D                  publish Gold of a date to the mart
     ingest                                      process every newly landed Bronze date, then stop
@@ -24,7 +25,8 @@ import sys
 def main(argv=None) -> dict:
     ap = argparse.ArgumentParser(prog="daybook", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
-    ap.add_argument("command", choices=["run", "backfill", "generate", "load", "ingest", "explain", "report"])
+    ap.add_argument("command", choices=["run", "backfill", "generate", "load", "ingest",
+                                        "explain", "report"])
     ap.add_argument("--root", required=True, help="lake root (bronze/, silver/, gold/, mart/)")
     ap.add_argument("--bronze-root", default=None, help="Bronze landing folder if elsewhere")
     ap.add_argument("--process-date")

@@ -198,7 +198,8 @@ _ANY_NULL_KEY = "event_id IS NULL OR user_id IS NULL OR product_id IS NULL"
 _AT_LEAST = {"bronze_rows": 1, "silver_rows": 1, "gold_rows": 1}
 _EXACT = {"mart_rows": 1, "rows_reconciled": 0, "rejected_rows": 0, "silver_null_keys": 0,
           "cast_failures": 0, "duplicate_event_ids": 0, "date_spill_rows": 0}
-_numeric_cols = ",\n       ".join(f"COUNT(*) FILTER (WHERE {c}) AS {n}" for n, c in _NUMERIC.items())
+_numeric_cols = ",\n       ".join(f"COUNT(*) FILTER (WHERE {c}) AS {n}"
+                                  for n, c in _NUMERIC.items())
 _any_cast = " OR ".join(f"({c} IS NOT NULL AND {t} IS NULL)" for c, t in _CASTS.items())
 _report_checks = [*_AT_LEAST, *_EXACT, *_NUMERIC]
 _union = "\nUNION ALL\n".join(

@@ -22,6 +22,11 @@ from daybook.sources import bronze, fs, layers, mart
 
 log = logging.getLogger("daybook.pipeline")
 
+# Splits per core for the Gold job's Silver scans (see session.split_target): 10-15%
+# faster than one per core on 27M events. The Silver write keeps one per core,
+# because there each split is a file (three per core: 14% faster, 2.4x the files).
+GOLD_TASKS_PER_CORE = 3
+
 GOLD_KEYS = ["process_date", "event_date"]
 GOLD_COLUMNS = GOLD_KEYS + ["daily_active_users", "total_revenue", "top_product_id",
                             "top_product_revenue"]
@@ -122,9 +127,16 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     with splits_sized_for(spark, target):
         result.cleared_silver = layers.replace_dates(spark, cleaned, paths.silver, have)
     daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, have), GOLD_KEYS)
-    # The Gold job's shuffles are sized from the input; Gold itself is tiny
-    # (rows = dates) and is written as one file per arrival date.
-    with shuffle_sized_for(spark, input_bytes) as partitions:
+    # The Gold job's scans get about three splits per core (no files depend on
+    # them, and a short last wave keeps cores busy); its shuffles are sized from
+    # the input. Gold itself is tiny (rows = dates): one file per arrival date.
+    silver_sizes = fs.map_paths(lambda p: fs.content_size(spark, p),
+                                [layers.partition_path(paths.silver, d) for d in have])
+    scan_target = split_target(spark, sum(b for b, _ in silver_sizes),
+                               sum(n for _, n in silver_sizes),
+                               tasks_per_core=GOLD_TASKS_PER_CORE)
+    with splits_sized_for(spark, scan_target), \
+            shuffle_sized_for(spark, input_bytes) as partitions:
         result.cleared_gold = layers.replace_dates(
             spark, daily.repartition("process_date"), paths.gold, have)
     log.info("Gold written with %d shuffle partitions; cleared Silver %s, Gold %s",
