@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -49,6 +50,10 @@ def get_session(app: str = "daybook", master: str | None = None,
     return configure(spark)
 
 
+# Runs that set session-wide sizing for their jobs hold this lock, so two runs in one
+# session from different threads never restore each other's temporary values.
+_SIZING_LOCK = threading.RLock()
+
 # Shuffle sizing: about this many input bytes per shuffle partition, so the
 # largest aggregation's partitions fit in task memory without spilling. AQE then
 # coalesces partitions that turn out small; it cannot split ones that are too big.
@@ -66,16 +71,17 @@ def shuffle_partitions_for(input_bytes: int, configured: int) -> int:
 def shuffle_sized_for(spark: SparkSession, input_bytes: int):
     """Raise ``spark.sql.shuffle.partitions`` for the jobs run inside, then restore it."""
     key = "spark.sql.shuffle.partitions"
-    current = int(spark.conf.get(key))
-    wanted = shuffle_partitions_for(input_bytes, current)
-    if wanted == current:
-        yield current
-        return
-    spark.conf.set(key, str(wanted))
-    try:
-        yield wanted
-    finally:
-        spark.conf.set(key, str(current))
+    with _SIZING_LOCK:
+        current = int(spark.conf.get(key))
+        wanted = shuffle_partitions_for(input_bytes, current)
+        if wanted == current:
+            yield current
+            return
+        spark.conf.set(key, str(wanted))
+        try:
+            yield wanted
+        finally:
+            spark.conf.set(key, str(current))
 
 
 def split_target(spark: SparkSession, input_bytes: int, input_files: int = 0,
@@ -105,17 +111,18 @@ def splits_sized_for(spark: SparkSession, target: int):
     """
     keys = {"spark.sql.files.maxPartitionBytes": str(int(target)),
             "spark.sql.files.minPartitionNum": "1"}
-    saved = {k: spark.conf.get(k, None) for k in keys}
-    for k, v in keys.items():
-        spark.conf.set(k, v)
-    try:
-        yield target
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    with _SIZING_LOCK:
+        saved = {k: spark.conf.get(k, None) for k in keys}
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        try:
+            yield target
+        finally:
+            for k, v in saved.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

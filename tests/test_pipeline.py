@@ -325,3 +325,16 @@ def test_cli_run_defaults_to_yesterday(spark, root):
     yesterday = (dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()
     out = main(["run", "--root", root, "--generate", "500"])
     assert out["date"] == yesterday and out["mart_rows"] == 1
+
+
+def test_concurrent_runs_restore_session_settings(spark, landed):
+    from concurrent.futures import ThreadPoolExecutor
+    before = {k: spark.conf.get(k, None) for k in
+              ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+               "spark.sql.files.minPartitionNum"]}
+    targets = [_fresh(spark, landed) for _ in range(3)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda p: pipeline.run_dates(spark, p, DATES), targets))
+    after = {k: spark.conf.get(k, None) for k in before}
+    assert after == before
+    assert len({tuple(_sorted_gold(spark, p)) for p in targets}) == 1
