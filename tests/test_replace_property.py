@@ -31,7 +31,8 @@ def _state(spark, paths):
     return g, m
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, derandomize=True,
+          suppress_health_check=list(HealthCheck))
 @given(steps)
 def test_any_rerun_sequence_equals_a_fresh_build(spark, ops):
     root = scratch_dir(spark, "replace-prop")
