@@ -17,7 +17,7 @@ def _run(args, env=None, timeout=900):
 
 def test_bench_prints_one_json_line():
     lines = _run(["bench.py"], env={"BENCH_SF_DIR": SF_SMALL, "BENCH_CPUS": "4",
-                                    "BENCH_GEN_ROWS": "20000"})
+                                    "BENCH_GEN_ROWS": "5000"})
     assert len(lines) == 1
     res = json.loads(lines[0])
     assert res["unit"] == "sec" and res["value"] > 0 and res["sf"] == 0.001
@@ -25,7 +25,8 @@ def test_bench_prints_one_json_line():
 
 
 def test_stress_tool_reports_stages():
-    lines = _run(["tools/stress.py", "300000", "3"])
+    lines = _run(["tools/stress.py", "100000", "3"])
     head = json.loads(lines[0])
-    assert head["rows"] == 300000 and head["gold_rows"] == 3 and head["missing"] == []
+    assert abs(head["rows"] - 100000) < 3  # integer split of the rows over the dates
+    assert head["gold_rows"] == 3 and head["missing"] == []
     assert all("max_s" in json.loads(line) for line in lines[1:])
