@@ -25,3 +25,24 @@ def test_gold_matches_published_values(spark, sf_dir):
     (day1,) = [r for r in rows if r.event_date == dt.date(2024, 1, 1)]
     assert (day1.daily_active_users, day1.total_revenue, day1.top_product_id,
             day1.top_product_revenue) == first
+
+
+# FIXTURES.md §5 (rejected rows; NULL user, product and amount; number of
+# (date, product) groups).
+PUBLISHED_COUNTS = {
+    "/root/testdata/sf0.001": (71, (20, 28, 19), 800),
+    "/root/testdata/sf0.01": (698, (200, 271, 189), 2867),
+    "/root/testdata/sf0.1": (6975, (2000, 2703, 1887), 3000),
+}
+
+
+@pytest.mark.parametrize("sf_dir", sorted(PUBLISHED_COUNTS))
+def test_counts_match_published_values(spark, sf_dir):
+    from daybook.operators import quality, silver
+    from daybook.plans import fixture
+    rejected, nulls, groups = PUBLISHED_COUNTS[sf_dir]
+    bronze = fixture.bronze(spark, sf_dir)
+    assert silver.rejected_rows(bronze).count() == rejected
+    counts = {r.column_name: r.null_count for r in quality.null_counts(bronze).collect()}
+    assert (counts["user_id"], counts["product_id"], counts["amount"]) == nulls
+    assert E.queries()["product_revenue"](spark, sf_dir).count() == groups
