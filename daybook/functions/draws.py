@@ -13,5 +13,6 @@ from pyspark.sql import functions as F
 
 
 def draw(date_text: str, salt: str, id_col: Column) -> Column:
+    """An integer in [0, 2^32) from md5("<date>:<salt>:<id>")."""
     key = F.concat_ws(":", F.lit(date_text), F.lit(salt), id_col.cast("string"))
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")

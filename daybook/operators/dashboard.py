@@ -27,23 +27,28 @@ def latest(mart: DataFrame) -> DataFrame:
 
 
 def series(mart: DataFrame, value: str) -> DataFrame:
+    """A chart series: (metric_date, value) ordered by date."""
     return mart.select("metric_date", value).orderBy("metric_date")
 
 
 def preview(mart: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows by date (ordered, so the answer is defined)."""
     return mart.select(*MART_COLUMNS).orderBy("metric_date").limit(n)
 
 
 def by_date(mart: DataFrame, date: str) -> DataFrame:
+    """The rows of one metric date (prunes to that arrival-date partition)."""
     return mart.where(F.col("metric_date") == F.lit(date).cast("date")).select(*MART_COLUMNS)
 
 
 def count_by_date(mart: DataFrame, date: str) -> DataFrame:
+    """(row_count): rows of one metric date; the mart check expects exactly one."""
     return mart.where(F.col("metric_date") == F.lit(date).cast("date")) \
         .agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def summary(mart: DataFrame) -> DataFrame:
+    """(row_count, dau_sum) over the whole mart view."""
     return mart.agg(F.count(F.lit(1)).alias("row_count"),
                     F.sum("daily_active_users").cast("bigint").alias("dau_sum"))
 

@@ -44,6 +44,7 @@ def product_revenue_exact(silver: DataFrame, keys=None) -> DataFrame:
 
 
 def product_revenue(silver: DataFrame, keys=None) -> DataFrame:
+    """Summed revenue per (date, product) as a double ``product_revenue``."""
     return product_revenue_exact(silver, keys).select(
         *_keys(keys), "product_id", to_double("revenue").alias("product_revenue"))
 

@@ -272,4 +272,5 @@ FROM g
 
 
 def oracle_sql() -> dict[str, str]:
+    """Key → DuckDB SQL over the given tables."""
     return dict(_Q)

@@ -20,6 +20,7 @@ BAD_TIMESTAMP_TEXT = "garbage"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables, ``<sf_dir>/<name>.parquet``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -43,4 +44,5 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given ``events`` table as Bronze rows with ``process_date``."""
     return bronze_from_events(read_table(spark, sf_dir, "events"))

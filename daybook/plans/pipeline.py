@@ -64,15 +64,18 @@ def normalize_dates(dates) -> list[str]:
 
 
 def date_range(start: str, end: str) -> list[str]:
+    """Every ISO date from ``start`` to ``end``, both included."""
     a, b = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
     return [(a + dt.timedelta(days=i)).isoformat() for i in range((b - a).days + 1)]
 
 
 def silver_for(spark: SparkSession, paths: Paths, dates) -> DataFrame:
+    """Silver rows of ``dates`` (all dates when None) with ``process_date``."""
     return layers.read_layer(spark, paths.silver, SILVER_SCHEMA, dates)
 
 
 def gold_for(spark: SparkSession, paths: Paths, dates=None) -> DataFrame:
+    """Gold rows of ``dates`` (all dates when None) with ``process_date``."""
     return layers.read_layer(spark, paths.gold, GOLD_SCHEMA, dates)
 
 

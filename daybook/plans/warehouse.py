@@ -22,16 +22,19 @@ _LOCK = threading.Lock()
 
 
 def bronze_dates(spark: SparkSession, root: str) -> list[str]:
+    """Arrival dates that have a Bronze folder below ``root`` (one listing)."""
     prefix = "date="
     return [d[len(prefix):] for d in fs.subdirs(spark, root) if d.startswith(prefix)]
 
 
 def write_fixture_bronze(spark: SparkSession, sf_dir: str, bronze_root: str) -> list[str]:
+    """Land the given ``events`` table as Bronze CSV; returns the arrival dates."""
     bronze.write_bronze(fixture.bronze(spark, sf_dir), bronze_root)
     return bronze_dates(spark, bronze_root)
 
 
 def build(spark: SparkSession, sf_dir: str) -> tuple[pipeline.Paths, list[str]]:
+    """The warehouse for ``sf_dir`` in this session: built on first use, then reused."""
     configure(spark)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), checkpoint_root(spark))
     with _LOCK:  # queries called from several threads build it once

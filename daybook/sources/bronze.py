@@ -17,6 +17,7 @@ class MissingBronzeError(ValueError):
 
 
 def date_path(root: str, date: str) -> str:
+    """The Bronze folder of one arrival date."""
     return f"{root.rstrip('/')}/{BRONZE_PARTITION}={date}"
 
 

@@ -32,6 +32,7 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists (one metadata call)."""
     fs, p = _fs_path(spark, path)
     return bool(fs.exists(p))
 
@@ -73,6 +74,7 @@ def first_data_file(spark: SparkSession, path: str) -> str | None:
 
 
 def subdirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; [] when absent."""
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):
         return []
@@ -80,5 +82,6 @@ def subdirs(spark: SparkSession, path: str) -> list[str]:
 
 
 def delete(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` and everything below it."""
     fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True))

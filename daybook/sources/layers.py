@@ -28,6 +28,7 @@ PARQUET_CODEC = "zstd"
 
 
 def partition_path(root: str, date: str) -> str:
+    """The ``year=/month=/day=`` folder of one arrival date (zero-padded)."""
     y, m, d = date[:4], date[5:7], date[8:10]
     return f"{root.rstrip('/')}/year={y}/month={m}/day={d}"
 

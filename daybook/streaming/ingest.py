@@ -62,6 +62,7 @@ def _run_batch(paths: pipeline.Paths, load: bool):
 
 
 def default_checkpoint(spark: SparkSession, paths: pipeline.Paths) -> str:
+    """A stable checkpoint folder for the ingest of one Bronze folder."""
     key = hashlib.sha1(paths.bronze.rstrip("/").encode()).hexdigest()[:16]
     return f"{checkpoint_root(spark)}/daybook/ingest-{key}"
 
