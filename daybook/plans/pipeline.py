@@ -109,8 +109,9 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
     """Bronze → Silver → Gold for many arrival dates: one Silver job, one Gold job.
 
     Dates without Bronze files are reported in ``missing`` and skipped. The
-    Silver write has no shuffle: every task reads splits of one date (a scan per
-    date, splits sized from the whole job) and writes one Parquet file.
+    Silver write has no shuffle, and splits are sized from the whole job. A task
+    reads splits of one date, or whole dates that fit in a split, and writes one
+    Parquet file per date it read (see :func:`bronze_for_write`).
     """
     configure(spark)
     have, missing = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
