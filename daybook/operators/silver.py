@@ -28,8 +28,8 @@ def transform_to_silver(bronze: DataFrame) -> DataFrame:
     """Keep keyed rows; the timestamp becomes typed and gives the event date and day name.
 
     Columns that are not Bronze columns (``process_date`` from the directory) are
-    carried through. Narrow only: no shuffle, so every output file belongs to one
-    input split.
+    carried through. Narrow only (no shuffle): rows stay in the task that read
+    them.
     """
     carried = [c for c in bronze.columns if c not in BRONZE_COLUMNS]
     ts = F.col(_PARSED)
