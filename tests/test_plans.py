@@ -76,6 +76,8 @@ def test_backfill_of_small_dates_writes_few_single_date_silver_files(spark, root
                             paths.bronze)
     union = pipeline.bronze_by_date(spark, paths, dates)
     assert "Exchange" not in _plan(silver.transform_to_silver(union))
+    single = bronze.read_bronze(spark, paths.bronze, dates)
+    assert union.exceptAll(single).isEmpty() and single.exceptAll(union).isEmpty()
     pipeline.run_dates(spark, paths, dates)
     per_date = [len(fs.data_files(spark, layers.partition_path(paths.silver, d))) for d in dates]
     assert max(per_date) <= 2  # 4 Bronze files per date; a single scan mixes dates instead
