@@ -338,3 +338,15 @@ def test_concurrent_runs_restore_session_settings(spark, landed):
     after = {k: spark.conf.get(k, None) for k in before}
     assert after == before
     assert len({tuple(_sorted_gold(spark, p)) for p in targets}) == 1
+
+
+def test_sizing_settings_are_restored_when_a_job_fails(spark):
+    from daybook.session import shuffle_sized_for, splits_sized_for
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.files.minPartitionNum"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    with pytest.raises(RuntimeError):
+        with splits_sized_for(spark, 1 << 20), shuffle_sized_for(spark, 1 << 40):
+            assert spark.conf.get("spark.sql.files.minPartitionNum") == "1"
+            raise RuntimeError("job failed")
+    assert {k: spark.conf.get(k, None) for k in keys} == before
