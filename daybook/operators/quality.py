@@ -7,6 +7,8 @@ map-side partial aggregation, and the reports hold one row per check or date.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -202,14 +204,15 @@ def _any_null(cols) -> Column:
 
 
 def report(bronze_checked: DataFrame, silver: DataFrame, gold: DataFrame,
-           mart_view: DataFrame) -> DataFrame:
+           mart_view: DataFrame, dates=None) -> DataFrame:
     """All checks as one report: (process_date, check, observed, expected, passed).
 
     Every source is aggregated to one row per arrival date in a single pass: one
     Bronze scan (``read_bronze_checked``) yields the row count, rejected rows,
     cast failures and numeric checks. The per-date rows are joined and
     unpivoted. Duplicate ids are counted on Silver (one Parquet column) with their
-    own shuffle on (date, event_id) and partial counts.
+    own shuffle on (date, event_id) and partial counts. With ``dates`` every
+    requested date gets its rows, so a date without Bronze shows zero counts.
     """
     bronze = bronze_checked
     numeric = _numeric_checks()
@@ -233,6 +236,10 @@ def report(bronze_checked: DataFrame, silver: DataFrame, gold: DataFrame,
     m = mart_view.groupBy(F.col("metric_date").alias("process_date")) \
         .agg(F.count(F.lit(1)).alias("mart_rows"))
     wide = b
+    if dates is not None:
+        asked = bronze.sparkSession.createDataFrame(
+            [(dt.date.fromisoformat(x),) for x in dates], "process_date date")
+        wide = asked.join(b, "process_date", "left")
     for part in (s, g, d, m):
         wide = wide.join(part, "process_date", "left")
     wide = wide.select(

@@ -234,9 +234,11 @@ REQUIRED_CHECKS = ("bronze_rows", "silver_rows", "gold_rows", "rows_reconciled",
 def quality_report(spark: SparkSession, paths: Paths, dates=None):
     """The per-date quality report over all four layers (see operators.quality.report)."""
     from daybook.operators import quality
+    if dates is not None:
+        dates = normalize_dates(dates)
     return quality.report(bronze.read_bronze_checked(spark, paths.bronze, dates),
                           silver_for(spark, paths, dates), gold_for(spark, paths, dates),
-                          mart.mart_view(spark, paths.mart))
+                          mart.mart_view(spark, paths.mart), dates)
 
 
 def check_report(spark: SparkSession, paths: Paths, dates, required=REQUIRED_CHECKS) -> list:

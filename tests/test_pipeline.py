@@ -350,3 +350,14 @@ def test_sizing_settings_are_restored_when_a_job_fails(spark):
             assert spark.conf.get("spark.sql.files.minPartitionNum") == "1"
             raise RuntimeError("job failed")
     assert {k: spark.conf.get(k, None) for k in keys} == before
+
+
+def test_report_lists_requested_dates_without_bronze(spark, landed):
+    p = _fresh(spark, landed)
+    pipeline.run_dates(spark, p, DATES[:1])
+    rep = {(r.process_date.isoformat(), r.check): r
+           for r in pipeline.quality_report(spark, p, [DATES[0], "2023-12-31"]).collect()}
+    assert rep[("2023-12-31", "bronze_rows")].observed == 0
+    assert rep[("2023-12-31", "bronze_rows")].passed is False
+    assert rep[(DATES[0], "bronze_rows")].passed is True
+    assert len(rep) == 2 * 17
