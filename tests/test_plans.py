@@ -89,3 +89,26 @@ def test_backfill_of_small_dates_writes_few_single_date_silver_files(spark, root
 def test_quality_report_parses_bronze_csv_once(spark):
     plan = _plan(E.queries()["dq_report"](spark, SF_SMALL))
     assert plan.count("FileScan csv") == 1
+
+
+def test_bronze_layout_decision(spark, root):
+    """A scan per date only when dates hold several files smaller than a split."""
+    from daybook.session import split_target
+    from daybook.sources import fs
+    from daybook.operators import generate
+    paths = pipeline.Paths.under(root)
+    dates = ["2026-07-01", "2026-07-02", "2026-07-03"]
+    for d in dates:
+        bronze.write_bronze(generate.generate_events(spark, d, 3_000, partitions=3),
+                            paths.bronze)
+    sizes = [fs.content_size(spark, bronze.date_path(paths.bronze, d)) for d in dates]
+    b, n = sum(x for x, _ in sizes), sum(y for _, y in sizes)
+    target = split_target(spark, b, n)
+    packed = pipeline.bronze_for_write(spark, paths, dates, b, n, target)
+    assert _plan(packed).count("FileScan csv") == len(dates)
+    # One file per date: a single scan already keeps every date in its own split.
+    single = pipeline.bronze_for_write(spark, paths, dates, b, len(dates), target)
+    assert _plan(single).count("FileScan csv") == 1
+    # Files already as large as a split: a single scan as well.
+    big = pipeline.bronze_for_write(spark, paths, dates, target * n, n, target)
+    assert _plan(big).count("FileScan csv") == 1
