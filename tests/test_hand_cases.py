@@ -280,3 +280,14 @@ def test_layout_across_a_year_boundary(spark, root):
     assert got == [(dt.date(2025, 12, 31), dt.date(2025, 12, 31)),
                    (dt.date(2026, 1, 1), dt.date(2026, 1, 1))]
     assert layers.partition_path(paths.gold, "2026-01-01").endswith("year=2026/month=01/day=01")
+
+
+def test_folder_with_only_a_success_marker_is_missing(spark, root):
+    paths = pipeline.Paths.under(root)
+    write_csv(bronze.date_path(paths.bronze, "2026-02-17"), "_SUCCESS", "")
+    write_csv(bronze.date_path(paths.bronze, "2026-02-18"), "a.csv",
+              HEADER + "a,1,view,10,2026-02-18T00:00:01,1.5\n")
+    have, missing = bronze.present_dates(spark, paths.bronze, ["2026-02-17", "2026-02-18"])
+    assert have == ["2026-02-18"] and missing == ["2026-02-17"]
+    with pytest.raises(bronze.MissingBronzeError):
+        bronze.require_bronze(spark, paths.bronze, "2026-02-17")
