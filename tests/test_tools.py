@@ -22,6 +22,7 @@ def test_bench_prints_one_json_line():
     res = json.loads(lines[0])
     assert res["unit"] == "sec" and res["value"] > 0 and res["sf"] == 0.001
     assert {"transform_1m_bronze_to_gold", "gold_daily_metrics", "dq_report"} <= set(res["queries"])
+    assert abs(res["value"] - sum(res["queries"][k] for k in res["headline_steps"])) < 0.01
 
 
 def test_stress_tool_reports_stages():
