@@ -24,8 +24,19 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, out)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import url_filter
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import fingerprints
+    return fingerprints.fingerprint_documents(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op4_token_files": op4_token_files}
+    return {"op1_packing": op1_packing, "op4_token_files": op4_token_files,
+            "op6_url_filter": op6_url_filter, "op7_fingerprints": op7_fingerprints}
 
 
 def oracle_sql() -> dict[str, str]:
