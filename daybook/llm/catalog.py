@@ -34,9 +34,20 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(documents(spark, sf_dir))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import simhash
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import toxicity
+    return toxicity.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_packing": op1_packing, "op4_token_files": op4_token_files,
-            "op6_url_filter": op6_url_filter, "op7_fingerprints": op7_fingerprints}
+            "op6_url_filter": op6_url_filter, "op7_fingerprints": op7_fingerprints,
+            "op8_simhash": op8_simhash, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
