@@ -17,6 +17,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import suffix_array
+    found = suffix_array.repeated_bytes(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed",
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm import token_files
     out = scratch_dir(spark, "token-files")
@@ -24,6 +31,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, out)
 
 
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import suffix_tree
+    found = suffix_tree.without_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed",
+                        F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm import url_filter
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
@@ -45,8 +59,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op4_token_files": op4_token_files,
-            "op6_url_filter": op6_url_filter, "op7_fingerprints": op7_fingerprints,
+    return {"op1_packing": op1_packing, "op3_suffix_array": op3_suffix_array,
+            "op4_token_files": op4_token_files,
+            "op5_suffix_tree": op5_suffix_tree, "op6_url_filter": op6_url_filter, "op7_fingerprints": op7_fingerprints,
             "op8_simhash": op8_simhash, "op10_toxicity": op10_toxicity}
 
 

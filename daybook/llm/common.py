@@ -13,12 +13,14 @@ from daybook.session import scratch_dir
 # Rows handed to Python at a time: long texts make batches of the default 10,000 rows
 # larger than a worker should hold.
 BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 
 def session_of(df: DataFrame) -> SparkSession:
     """The session of ``df``, set to hand texts to Python in small batches."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
