@@ -53,6 +53,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import language_model
+    return language_model.score_documents(documents(spark, sf_dir))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm import toxicity
     return toxicity.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -62,7 +67,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_packing": op1_packing, "op3_suffix_array": op3_suffix_array,
             "op4_token_files": op4_token_files,
             "op5_suffix_tree": op5_suffix_tree, "op6_url_filter": op6_url_filter, "op7_fingerprints": op7_fingerprints,
-            "op8_simhash": op8_simhash, "op10_toxicity": op10_toxicity}
+            "op8_simhash": op8_simhash,
+            "op9_language_model": op9_language_model, "op10_toxicity": op10_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:

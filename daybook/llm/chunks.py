@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,26 @@ def texts_in(rows: pa.Table, at: int) -> list[bytes]:
     return [t or b"" for t in rows.column(at).cast(pa.binary()).to_pylist()]
 
 
+# Words whose hashes a worker keeps.
+_CACHE_WORDS = 1_000_000
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > _CACHE_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word, 1)
+        return value
+
+
+_WORDS = _WordHashes()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+
+
 def owners_for(chunks: DataFrame, bytes_each: int) -> int:
     """As many owners as give each the hashes of about ``bytes_each`` text bytes."""
     total = chunks.agg(F.sum("n_bytes")).head()[0] or 0

@@ -17,12 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
 from daybook.llm import anchors
 from daybook.llm.chunks import (ANSWER_SCHEMA, answered, asked, chunk_rows, owners_for, release,
-                                texts_in, write_chunks)
+                                texts_in, word_hashes, write_chunks)
 from daybook.llm.common import id_and_text, materialize
 
 WINDOW_WORDS = 35
@@ -31,19 +30,6 @@ CHUNK_BYTES = 4 << 20
 OWNER_BYTES = 8 << 20
 # Suffixes of the prefix groups whose subtrees are built together.
 GROUP_SUFFIXES = 250_000
-# Words whose hashes a worker keeps.
-_CACHE = 1_000_000
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 1)
-        return value
-
-
-_HASHES = _Hashes()
 
 
 def _word_symbols(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -53,8 +39,7 @@ def _word_symbols(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         mine = text.split()
         words += mine
         sizes.append(len(mine))
-    symbols = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    return symbols, np.array(sizes, np.int64), words
+    return word_hashes(words), np.array(sizes, np.int64), words
 
 
 def prefix_groups(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: int
