@@ -17,6 +17,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import decontamination
+    return decontamination.judged(documents(spark, sf_dir),
+                                  spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daybook.llm import suffix_array
     found = suffix_array.repeated_bytes(documents(spark, sf_dir))
@@ -64,7 +70,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_packing": op1_packing, "op3_suffix_array": op3_suffix_array,
+    return {"op1_packing": op1_packing, "op2_decontamination": op2_decontamination,
+            "op3_suffix_array": op3_suffix_array,
             "op4_token_files": op4_token_files,
             "op5_suffix_tree": op5_suffix_tree, "op6_url_filter": op6_url_filter, "op7_fingerprints": op7_fingerprints,
             "op8_simhash": op8_simhash,

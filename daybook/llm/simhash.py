@@ -137,3 +137,39 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX
     by_fp = labelled.join(ids, "root").select("fp", "component_id")
     return found.join(by_fp, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs``, all columns, with one row of each group of linked rows: that of the least id.
+
+    A group without any id keeps the row of the least text hash. Repeated rows of the kept id
+    and text count once (the least of them by text, then the other columns).
+    """
+    names, text_hash = docs.columns, F.xxhash64(F.coalesce("text", F.lit("")))
+    session_of(docs)
+
+    def hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.array([simhash(t, n) for t in batch.column("text").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
+                "fp": pa.array(values.view(np.int64))})
+
+    found = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                                    text_hash.alias("text_hash"))
+                        .mapInArrow(hash_texts, "doc_id long, text_hash long, fp long"), "simhash")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    distinct = found.groupBy("fp").agg(F.min(row).alias("first"))
+    roots = components(links(distinct.select("fp"), max_bits))
+    kept = (distinct.join(roots, F.col("fp") == F.col("node"), "left")
+            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+            .select("first.*"))
+    # a null id joins as 0 beside its flag
+    keys = [F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), text_hash]
+    marked = docs.select(*[k.alias(f"_k{i}") for i, k in enumerate(keys)],
+                         F.struct("text", *[c for c in names if c != "text"]).alias("_row"))
+    wanted = kept.select(F.col("no_id").alias("_k0"), F.coalesce("doc_id", F.lit(0)).alias("_k1"),
+                         F.col("text_hash").alias("_k2"))
+    by = ["_k0", "_k1", "_k2"]
+    one = marked.join(wanted, by, "left_semi").groupBy(*by).agg(F.min("_row").alias("_row"))
+    return one.select(*[F.col("_row")[c].alias(c) for c in names])
