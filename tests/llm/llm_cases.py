@@ -1,0 +1,40 @@
+"""Small inputs with every awkward case, shared by the tests of the operators."""
+
+import random
+
+from pyspark.sql import functions as F
+
+WORDS = ("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho "
+         "sigma tau upsilon phi chi psi omega Straße naïve Ünder don't x1 42").split()
+
+
+def sentence(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice(WORDS) + (rng.choice(".,") if rng.random() < 0.1 else "")
+                    for _ in range(n))
+
+
+def texts(seed: int = 1, n: int = 40) -> list[tuple]:
+    """(doc_id, text): nulls, empties, repeated ids and rows, copies, shared passages, a long text."""
+    rng = random.Random(seed)
+    passage, other = sentence(rng, 60), sentence(rng, 45)
+    rows = [(i * 3, sentence(rng, rng.randint(1, 120))) for i in range(n)]
+    rows += [(200 + i, f"{sentence(rng, 7)} {passage} {sentence(rng, 5)}") for i in range(4)]
+    rows += [(210, f"{other}\n{other}\t{sentence(rng, 3)}")]
+    rows += [(300, None), (301, ""), (302, " \n\t "), (303, "word"), (None, None),
+             (None, rows[5][1]), (400, rows[5][1]), (400, rows[5][1]), (401, rows[5][1] + " omega"),
+             (400, "another text of the same id"), (500, sentence(rng, 6000)),
+             (501, "abc " * 400), (502, "é" * 300), (503, "A\x1cB\x85C D\x0bE  F\r\nG")]
+    return rows
+
+
+def messy(spark, rows=None, partitions: int = 3):
+    """The rows with extra columns under names that the operators use themselves."""
+    df = spark.createDataFrame(texts() if rows is None else rows, "doc_id long, text string")
+    clash = ["chunk_id", "rows", "owner", "body", "fp", "root", "node", "bucket", "sketch",
+             "text_hash", "_row", "_k0", "sequence_id", "start", "length", "score", "label",
+             "features", "item_id", "coverage", "kept", "n_words", "toxic", "count", "value"]
+    return df.repartition(partitions).withColumns({c: F.lit(7) for c in clash})
+
+
+def empty(spark):
+    return messy(spark, [])

@@ -1,0 +1,141 @@
+"""Suffix arrays (op3) and suffix trees (op5) against brute force."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from daybook.llm import suffix_array, suffix_tree
+from daybook.llm.anchors import spans_of, window_hashes
+from llm_cases import empty, messy, texts
+
+
+def brute_bytes(rows, n):
+    """(id, size, removed, spans, sha256) by comparing every string with every document."""
+    first = {}
+    for doc_id, text in rows:
+        body, key = (text or "").encode(), float("inf") if doc_id is None else doc_id
+        for i in range(len(body) - n + 1):
+            s = body[i:i + n]
+            first[s] = min(first.get(s, float("inf")), key)
+    out = []
+    for doc_id, text in rows:
+        body, key = (text or "").encode(), float("inf") if doc_id is None else doc_id
+        gone = np.zeros(len(body), bool)
+        for i in range(len(body) - n + 1):
+            if first[body[i:i + n]] < key:
+                gone[i:i + n] = True
+        edges = np.flatnonzero(np.diff(gone.astype(int), prepend=0, append=0))
+        kept = np.frombuffer(body, np.uint8)[~gone].tobytes()
+        out.append((doc_id, len(body), int(gone.sum()), len(edges) // 2,
+                    hashlib.sha256(kept).hexdigest()))
+    return Counter(out)
+
+
+def brute_words(rows, n):
+    words = [(doc_id, (text or "").encode().split()) for doc_id, text in rows]
+    seen = Counter(tuple(w[i:i + n]) for _, w in words for i in range(len(w) - n + 1))
+    out = []
+    for doc_id, w in words:
+        gone = [False] * len(w)
+        for i in range(len(w) - n + 1):
+            if seen[tuple(w[i:i + n])] > 1:
+                gone[i:i + n] = [True] * n
+        out.append((doc_id, len(w), sum(gone),
+                    b" ".join(x for x, g in zip(w, gone) if not g).decode()))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("chunk_bytes,crowd,n", [(1 << 20, 2000, 50), (700, 1, 50), (3000, 2, 23)])
+def test_repeated_bytes(spark, chunk_bytes, crowd, n):
+    got = suffix_array.repeated_bytes(messy(spark), n, chunk_bytes, crowd).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256)
+                   for r in got) == brute_bytes(texts(), n)
+
+
+@pytest.mark.parametrize("chunk_bytes,crowd,n", [(1 << 20, 2000, 35), (700, 1, 35), (3000, 2, 9)])
+def test_repeated_words(spark, chunk_bytes, crowd, n):
+    got = suffix_tree.without_repeats(messy(spark), n, chunk_bytes, crowd).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == \
+        brute_words(texts(), n)
+
+
+def test_empty_tables(spark):
+    assert suffix_array.repeated_bytes(empty(spark)).count() == 0
+    assert suffix_tree.without_repeats(empty(spark)).count() == 0
+    assert suffix_array.without_repeats(empty(spark)).count() == 0
+
+
+def test_text_without_repeats_keeps_columns(spark):
+    docs = messy(spark)
+    out = suffix_array.without_repeats(docs)
+    assert out.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    assert (300, None) in got and got[(301, "")] == 1 and sum(got.values()) == docs.count()
+    assert all(r["owner"] == 7 for r in out.collect())
+    long = {r.doc_id: r.text for r in out.collect()}
+    assert "é" not in long[502] or long[502] == "é" * 300  # no broken characters
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_suffix_order_equals_sorting(seed):
+    rng = np.random.default_rng(seed)
+    alphabet = [1, 2, 4, 255][seed % 4]
+    body = rng.integers(0, alphabet, 900).astype(np.uint8)
+    body[300:420] = body[100:220]  # long ties
+    body[600:720] = body[100:220]
+    text = np.concatenate([body, np.zeros(512, np.uint8)])
+    depth = [50, 20, 64, 5][seed % 4]
+    starts = rng.choice(len(body), 400, replace=False)
+    order, same = suffix_array.sort_suffixes(text, starts, depth)
+    whole = text.tobytes()
+    keys = [whole[s:s + max(depth, 16)] for s in starts[order]]
+    assert keys == sorted(keys)
+    cut = [k[:depth] for k in keys]
+    assert same.tolist() == [False] + [a == b for a, b in zip(cut, cut[1:])]
+
+
+def test_cover_reaches_every_pair_of_residues():
+    assert suffix_array._TO_BOTH.max() < suffix_array.PERIOD
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_spans_hold_every_window_once(seed):
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(0, 40, 30)
+    symbols = rng.integers(0, 3, int(sizes.sum())).astype(np.uint8)
+    spans = spans_of(symbols, sizes, 12, 4)
+    got = sorted(s for a, n in zip(spans.first, spans.count) for s in range(a, a + n))
+    want, at = [], 0
+    for n in sizes.tolist():
+        want += range(at, at + max(0, n - 12 + 1))
+        at += n
+    assert got == want
+    hashes = window_hashes(symbols, 12)
+    by_window = {}
+    for a, n, place, h in zip(spans.first, spans.count, spans.anchor, spans.hash):
+        for s in range(a, a + n):  # equal windows: same anchor, same place in them
+            assert by_window.setdefault(int(hashes[s]), (int(place) - s, int(h))) == \
+                (int(place) - s, int(h))
+
+
+def test_deep_nodes_group_equal_sequences():
+    rng = random.Random(5)
+    words = np.array([rng.randint(0, 2) for _ in range(400)])
+    starts = np.arange(380)
+    node = suffix_tree.deep_nodes(words, starts, 7)
+    seen = Counter(tuple(words[s:s + 7]) for s in starts)
+    by_node = {}
+    for s, k in zip(starts, node):
+        key = tuple(words[s:s + 7])
+        assert (k >= 0) == (seen[key] > 1)
+        if k >= 0:
+            assert by_node.setdefault(k, key) == key
+    groups = list(suffix_tree.prefix_groups(words, starts, starts + 3, 50))
+    assert sorted(np.concatenate(groups).tolist()) == starts.tolist()
+    where = {}
+    for g, part in enumerate(groups):
+        for i in part.tolist():
+            assert where.setdefault(tuple(words[i:i + 3]), g) == g
