@@ -1,9 +1,10 @@
 """Column expressions shared by the operators (all JVM-side built-ins)."""
 
 from daybook.functions.columns import (
-    day_name, layout_columns, money, parse_event_time, process_date_from_layout, to_double,
+    day_name, layout_columns, money, money_sum, parse_event_time, process_date_from_layout,
+    to_double,
 )
 from daybook.functions.draws import draw
 
-__all__ = ["day_name", "layout_columns", "money", "parse_event_time",
+__all__ = ["day_name", "layout_columns", "money", "money_sum", "parse_event_time",
            "process_date_from_layout", "to_double", "draw"]

@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.functions import money, to_double
+from daybook.functions import money_sum, to_double
+from daybook.functions.columns import MONEY_SUM_TYPE
 
 DEFAULT_KEYS = ["event_date"]
 
@@ -33,14 +34,14 @@ def daily_totals(silver: DataFrame, keys=None) -> DataFrame:
     keys = _keys(keys)
     return silver.groupBy(*keys).agg(
         F.count_distinct("user_id").alias("daily_active_users"),
-        to_double(F.sum(money("amount"))).alias("total_revenue"),
+        to_double(money_sum("amount")).alias("total_revenue"),
     )
 
 
 def product_revenue_exact(silver: DataFrame, keys=None) -> DataFrame:
     """Summed revenue per (date, product) as an exact decimal ``revenue``."""
     keys = _keys(keys)
-    return silver.groupBy(*keys, "product_id").agg(F.sum(money("amount")).alias("revenue"))
+    return silver.groupBy(*keys, "product_id").agg(money_sum("amount").alias("revenue"))
 
 
 def product_revenue(silver: DataFrame, keys=None) -> DataFrame:
@@ -67,10 +68,11 @@ def top_product(per_product: DataFrame, keys=None) -> DataFrame:
 
 def _best_struct():
     # Orders like _top_order: a NULL revenue sorts below any value, and for equal
-    # revenue the larger negated id (= smaller id) wins.
+    # revenue the larger negated id (= smaller id) wins. The least int has no int
+    # negative, so ids are negated as bigint and cast back.
     return F.struct(F.col("revenue").isNotNull().alias("has"),
-                    F.coalesce(F.col("revenue"), F.lit(0).cast("decimal(28,2)")).alias("rev"),
-                    (-F.col("product_id")).alias("neg_id"))
+                    F.coalesce(F.col("revenue"), F.lit(0).cast(MONEY_SUM_TYPE)).alias("rev"),
+                    (-F.col("product_id").cast("bigint")).alias("neg_id"))
 
 
 def top_product_max_by(per_product: DataFrame, keys=None) -> DataFrame:
@@ -79,7 +81,7 @@ def top_product_max_by(per_product: DataFrame, keys=None) -> DataFrame:
     best = F.max(_best_struct())
     return (per_product.groupBy(*keys).agg(best.alias("best"))
             .select(*keys,
-                    (-F.col("best.neg_id")).alias("top_product_id"),
+                    (-F.col("best.neg_id")).cast("int").alias("top_product_id"),
                     F.when(F.col("best.has"), to_double("best.rev")).alias("top_product_revenue")))
 
 
@@ -94,18 +96,9 @@ def aggregate_to_gold(silver: DataFrame, keys=None) -> DataFrame:
     per_product = product_revenue_exact(silver, keys)
     best = F.max(_best_struct())
     per_date = per_product.groupBy(*keys).agg(
-        to_double(F.sum("revenue")).alias("total_revenue"), best.alias("best"))
+        to_double(F.try_sum("revenue")).alias("total_revenue"), best.alias("best"))
     users = silver.groupBy(*keys).agg(F.count_distinct("user_id").alias("daily_active_users"))
     return (users.join(per_date, on=keys, how="left")
             .select(*keys, "daily_active_users", "total_revenue",
-                    (-F.col("best.neg_id")).alias("top_product_id"),
+                    (-F.col("best.neg_id")).cast("int").alias("top_product_id"),
                     F.when(F.col("best.has"), to_double("best.rev")).alias("top_product_revenue")))
-
-
-def aggregate_to_gold_window(silver: DataFrame, keys=None) -> DataFrame:
-    """Gold as the textbook plan: totals ⟕ row_number top-1 (kept for comparison)."""
-    keys = _keys(keys)
-    totals = daily_totals(silver, keys)
-    top = top_product(product_revenue_exact(silver, keys), keys)
-    return totals.join(top, on=keys, how="left").select(
-        *keys, "daily_active_users", "total_revenue", "top_product_id", "top_product_revenue")

@@ -43,7 +43,7 @@ def _numeric_checks() -> dict[str, Column]:
         & ~F.col("user_id").between(*USER_ID_RANGE),
         "product_id_in_range": F.col("product_id").isNotNull()
         & ~F.col("product_id").between(*PRODUCT_ID_RANGE),
-        # NaN, ±Infinity or beyond decimal(18,2): the exact revenue sum leaves it out.
+        # NaN, ±Infinity or 1e22 and above: the exact revenue sum leaves it out.
         "amount_summable": amount.isNotNull() & money("amount").isNull(),
         "amount_not_negative": amount < 0,
         "purchase_amount_in_range": (etype == "purchase") & amount.isNotNull()
@@ -84,41 +84,18 @@ def _cast_failure_columns() -> dict[str, Column]:
     }
 
 
-def cast_failures(bronze_checked, grouped: bool = False) -> DataFrame:
+def cast_failures(bronze_checked: DataFrame) -> DataFrame:
     """(column_name, failures): values present in the file that did not type-check.
 
     ``bronze_checked`` is Bronze read by ``read_bronze_checked``, so a value the
     typed read silently turned into NULL is counted here, exactly as the CSV
-    reader judged it. With ``grouped=True`` it is a GroupedData and the result
-    is, per group, the number of rows with at least one such value
-    (``cast_failures``).
+    reader judged it.
     """
     checks = _cast_failure_columns()
-    if grouped:
-        any_bad = None
-        for cond in checks.values():
-            any_bad = cond if any_bad is None else (any_bad | cond)
-        return bronze_checked.agg(F.count_if(any_bad).alias("cast_failures"))
     agg = bronze_checked.agg(*[F.count_if(cond).alias(name) for name, cond in checks.items()])
     return _unpivot(agg, list(checks), "column_name", "failures")
 
 
-def header_mismatches(header: list[str], expected=None) -> list[tuple[int, str, str]]:
-    """Positions where a file header differs from the declared schema.
-
-    Columns bind by position, so a reordered header would silently misread.
-    """
-    expected = expected or BRONZE_COLUMNS
-    n = max(len(header), len(expected))
-    out = []
-    for i in range(n):
-        got = header[i] if i < len(header) else ""
-        want = expected[i] if i < len(expected) else ""
-        if got != want:
-            out.append((i, want, got))
-    return out
-
-
 def counts_by_date(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy("process_date").agg(F.count(F.lit(1)).alias(name))
 
@@ -176,13 +153,25 @@ def date_spill(silver: DataFrame) -> DataFrame:
         F.count_if(F.col("event_date") != F.col("process_date")).alias("spilled_rows"))
 
 
-def difference_counts(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(only_in_first, only_in_second): multiset differences, both ways, one row."""
-    side = F.col("_side")
-    both = (a.exceptAll(b).select(F.lit(1).alias("_side"))
-            .unionByName(b.exceptAll(a).select(F.lit(2).alias("_side"))))
-    return both.agg(F.count_if(side == 1).alias("only_in_first"),
-                    F.count_if(side == 2).alias("only_in_second"))
+def layer_digest(rows: DataFrame, columns=None) -> DataFrame:
+    """(process_date, row_count, digest): a date's rows as a count and a sum of row hashes.
+
+    Independent of order and files, so two runs of a date can be compared without
+    bringing their rows together. Partial sums per task, one row per date after.
+    """
+    columns = columns or [c for c in rows.columns if c != "process_date"]
+    return rows.groupBy("process_date").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("digest"))
+
+
+def changed_dates(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(process_date, row_count, unchanged) of two :func:`layer_digest` results."""
+    old = before.select("process_date", F.struct("row_count", "digest").alias("old"))
+    new = after.select("process_date", F.struct("row_count", "digest").alias("new"))
+    return old.join(new, "process_date", "full").select(
+        "process_date", F.coalesce("new.row_count", F.lit(0).cast("bigint")).alias("row_count"),
+        F.col("old").eqNullSafe(F.col("new")).alias("unchanged"))
 
 
 # The checks of the daily report and what each must equal. The three
@@ -211,8 +200,9 @@ def report(bronze_checked: DataFrame, silver: DataFrame, gold: DataFrame,
     Bronze scan (``read_bronze_checked``) yields the row count, rejected rows,
     cast failures and numeric checks. The per-date rows are joined and
     unpivoted. Duplicate ids are counted on Silver (one Parquet column) with their
-    own shuffle on (date, event_id) and partial counts. With ``dates`` every
-    requested date gets its rows, so a date without Bronze shows zero counts.
+    own shuffle on (date, event_id) and partial counts. Without ``dates`` every date
+    that any layer holds gets its rows; with ``dates`` every requested one, so a date
+    without Bronze shows zero counts.
     """
     bronze = bronze_checked
     numeric = _numeric_checks()
@@ -236,12 +226,12 @@ def report(bronze_checked: DataFrame, silver: DataFrame, gold: DataFrame,
     m = mart_view.groupBy(F.col("metric_date").alias("process_date")) \
         .agg(F.count(F.lit(1)).alias("mart_rows"))
     wide = b
+    for part in (s, g, d, m):
+        wide = wide.join(part, "process_date", "full")
     if dates is not None:
         asked = bronze.sparkSession.createDataFrame(
             [(dt.date.fromisoformat(x),) for x in dates], "process_date date")
-        wide = asked.join(b, "process_date", "left")
-    for part in (s, g, d, m):
-        wide = wide.join(part, "process_date", "left")
+        wide = asked.join(wide, "process_date", "left")
     wide = wide.select(
         "process_date",
         *[F.coalesce(F.col(c), zero).alias(c) for c in

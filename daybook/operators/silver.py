@@ -46,8 +46,3 @@ def transform_to_silver(bronze: DataFrame) -> DataFrame:
 def rejected(bronze: DataFrame) -> Column:
     """True for a Bronze row that cleaning drops."""
     return ~keys_present(parse_event_time("event_timestamp"))
-
-
-def rejected_rows(bronze: DataFrame) -> DataFrame:
-    """The Bronze rows that cleaning drops (for the quality report)."""
-    return bronze.where(rejected(bronze))

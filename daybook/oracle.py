@@ -11,20 +11,31 @@ from __future__ import annotations
 FIXED_DATE = "2024-01-12"
 
 BASE = """
-WITH bronze AS (
-  SELECT CAST(event_id AS VARCHAR) AS event_id,
-         CASE WHEN event_id % 50 = 0 THEN NULL ELSE CAST(user_id AS INT) END AS user_id,
+WITH raw AS (
+  SELECT CASE WHEN event_id % 17 = 0 THEN 'again-' || CAST(CAST(ts AS DATE) AS VARCHAR)
+              ELSE CAST(event_id AS VARCHAR) END AS event_id,
+         CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 59 = 0 THEN 'user-x'
+              ELSE CAST(user_id AS VARCHAR) END AS user_text,
          event_type,
-         CASE WHEN event_id % 37 = 0 THEN NULL
-              ELSE CAST(json_extract_string(props, '$.k') AS INT) END AS product_id,
-         CASE WHEN event_id % 41 = 0 THEN 'garbage' ELSE CAST(ts AS VARCHAR) END AS event_timestamp,
-         CASE WHEN event_id % 53 = 0 THEN NULL
-              WHEN event_type = 'purchase' THEN value ELSE CAST(0.0 AS DOUBLE) END AS amount,
+         CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 61 = 0 THEN 'none'
+              ELSE json_extract_string(props, '$.k') END AS product_text,
+         CASE WHEN event_id % 41 = 0 THEN 'garbage'
+              WHEN event_id % 43 = 0 THEN CAST(ts - INTERVAL 1 DAY AS VARCHAR)
+              ELSE CAST(ts AS VARCHAR) END AS event_timestamp,
+         CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 67 = 0 THEN '12.3.4'
+              WHEN event_id % 79 = 0 THEN 'NaN' WHEN event_id % 73 = 0 THEN '1e25'
+              WHEN event_id % 83 = 0 THEN '-5.25' WHEN event_id % 23 = 0 THEN '9999.125'
+              WHEN event_type = 'purchase' THEN CAST(value AS VARCHAR) ELSE '0.0' END AS amount_text,
          CAST(ts AS DATE) AS process_date
   FROM events),
+bronze AS (
+  SELECT *, TRY_CAST(user_text AS INT) AS user_id, TRY_CAST(product_text AS INT) AS product_id,
+         TRY_CAST(amount_text AS DOUBLE) AS amount,
+         TRY_CAST(amount_text AS DECIMAL(30,8)) AS money
+  FROM raw),
 parsed AS (SELECT *, TRY_CAST(event_timestamp AS TIMESTAMP) AS ts_parsed FROM bronze),
 silver AS (
-  SELECT event_id, user_id, event_type, product_id, amount,
+  SELECT event_id, user_id, event_type, product_id, amount, money,
          ts_parsed AS event_timestamp, CAST(ts_parsed AS DATE) AS event_date,
          strftime(ts_parsed, '%a') AS day_of_week, process_date
   FROM parsed
@@ -32,10 +43,10 @@ silver AS (
     AND ts_parsed IS NOT NULL),
 a AS (
   SELECT process_date, event_date, COUNT(DISTINCT user_id) AS daily_active_users,
-         SUM(TRY_CAST(amount AS DECIMAL(18,2))) AS rev
+         SUM(money) AS rev
   FROM silver GROUP BY process_date, event_date),
 p AS (
-  SELECT process_date, event_date, product_id, SUM(TRY_CAST(amount AS DECIMAL(18,2))) AS r
+  SELECT process_date, event_date, product_id, SUM(money) AS r
   FROM silver GROUP BY process_date, event_date, product_id),
 k AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY process_date, event_date
@@ -49,8 +60,8 @@ gold AS (
     ON a.process_date = k.process_date AND a.event_date = k.event_date),
 mart AS (
   SELECT event_date AS metric_date, CAST(daily_active_users AS INT) AS daily_active_users,
-         total_revenue, top_product_id, top_product_revenue
-  FROM gold WHERE process_date = event_date)
+         total_revenue, top_product_id, top_product_revenue, process_date
+  FROM gold)
 """
 
 _Q: dict[str, str] = {}
@@ -63,7 +74,7 @@ def _reg(name: str, body: str) -> None:
 
 
 D = f"DATE '{FIXED_DATE}'"
-MONEY_SUM = "SUM(TRY_CAST(amount AS DECIMAL(18,2)))"
+MONEY_SUM = "SUM(money)"
 SILVER_OUT = """SELECT event_id, user_id, event_type, product_id, amount,
        CAST(event_timestamp AS TIMESTAMP) AS event_timestamp, event_date, day_of_week
 FROM silver"""
@@ -73,6 +84,8 @@ FROM gold"""
 MART_OUT = """SELECT metric_date, daily_active_users, total_revenue, top_product_id,
        top_product_revenue
 FROM mart"""
+# Of several rows of a date the one with most users comes first.
+WITHIN_DATE = "daily_active_users DESC, total_revenue DESC NULLS LAST, top_product_id NULLS LAST"
 TOP_BY_EVENT_DATE = f"""
 , pp AS (SELECT event_date, product_id, {MONEY_SUM} AS r FROM silver
          GROUP BY event_date, product_id),
@@ -108,7 +121,7 @@ _reg("gold_daily_metrics", GOLD_OUT)
 _reg("backfill_gold", GOLD_OUT)
 _reg("mart_rows", MART_OUT)
 _reg("mart_replace", MART_OUT)
-_reg("dashboard_table", MART_OUT + " ORDER BY metric_date")
+_reg("dashboard_table", MART_OUT + f" ORDER BY metric_date, {WITHIN_DATE}")
 _reg("mart_by_date", MART_OUT + f" WHERE metric_date = {D}")
 _reg("mart_count_by_date", f"SELECT COUNT(*) AS row_count FROM mart WHERE metric_date = {D}")
 _reg("mart_summary", """
@@ -119,11 +132,11 @@ SELECT metric_date, daily_active_users,
        CAST(ROUND(CAST(total_revenue AS DECIMAL(38,6)), 2) AS DOUBLE) AS revenue, top_product_id
 FROM mart WHERE metric_date = {D}
 """)
-_reg("mart_preview", MART_OUT + " ORDER BY metric_date LIMIT 3")
-_reg("kpi_latest", """
+_reg("mart_preview", MART_OUT + f" ORDER BY metric_date, {WITHIN_DATE} LIMIT 3")
+_reg("kpi_latest", f"""
 SELECT metric_date, daily_active_users, total_revenue,
        COALESCE(top_product_revenue, CAST(0.0 AS DOUBLE)) AS top_product_revenue
-FROM mart ORDER BY metric_date DESC LIMIT 1
+FROM mart ORDER BY metric_date DESC, {WITHIN_DATE} LIMIT 1
 """)
 _reg("dau_series", "SELECT metric_date, daily_active_users FROM mart ORDER BY metric_date")
 _reg("revenue_series", "SELECT metric_date, total_revenue FROM mart ORDER BY metric_date")
@@ -161,7 +174,7 @@ FROM j
 _NUMERIC = {
     "user_id_in_range": "user_id IS NOT NULL AND NOT (user_id BETWEEN 1 AND 100000)",
     "product_id_in_range": "product_id IS NOT NULL AND NOT (product_id BETWEEN 1 AND 5000)",
-    "amount_summable": "amount IS NOT NULL AND TRY_CAST(amount AS DECIMAL(18,2)) IS NULL",
+    "amount_summable": "amount IS NOT NULL AND money IS NULL",
     "amount_not_negative": "amount < 0",
     "purchase_amount_in_range": "event_type = 'purchase' AND amount IS NOT NULL "
                                 "AND NOT (amount BETWEEN 5.0 AND 500.0)",
@@ -174,15 +187,16 @@ _reg("dq_numeric", " UNION ALL ".join(
     f"SELECT '{name}' AS \"check\", COUNT(*) FILTER (WHERE {cond}) AS failures, "
     f"COUNT(*) FILTER (WHERE {cond}) = 0 AS passed FROM bronze"
     for name, cond in _NUMERIC.items()))
+# Text as it stands in the file, and its typed value.
 _CASTS = {
-    "user_id": "TRY_CAST(CAST(user_id AS VARCHAR) AS INT)",
-    "product_id": "TRY_CAST(CAST(product_id AS VARCHAR) AS INT)",
-    "amount": "TRY_CAST(CAST(amount AS VARCHAR) AS DOUBLE)",
-    "event_timestamp": "TRY_CAST(event_timestamp AS TIMESTAMP)",
+    "user_id": ("user_text", "user_id"),
+    "product_id": ("product_text", "product_id"),
+    "amount": ("amount_text", "amount"),
+    "event_timestamp": ("event_timestamp", "TRY_CAST(event_timestamp AS TIMESTAMP)"),
 }
 _reg("dq_cast_failures", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {typed} IS NULL) "
-    f"AS failures FROM bronze" for c, typed in _CASTS.items()))
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {text} IS NOT NULL AND {typed} IS NULL) "
+    f"AS failures FROM bronze" for c, (text, typed) in _CASTS.items()))
 _reg("dq_duplicate_ids", """
 , per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM silver
              WHERE event_id IS NOT NULL GROUP BY process_date, event_id)
@@ -200,7 +214,7 @@ _EXACT = {"mart_rows": 1, "rows_reconciled": 0, "rejected_rows": 0, "silver_null
           "cast_failures": 0, "duplicate_event_ids": 0, "date_spill_rows": 0}
 _numeric_cols = ",\n       ".join(f"COUNT(*) FILTER (WHERE {c}) AS {n}"
                                   for n, c in _NUMERIC.items())
-_any_cast = " OR ".join(f"({c} IS NOT NULL AND {t} IS NULL)" for c, t in _CASTS.items())
+_any_cast = " OR ".join(f"({c} IS NOT NULL AND {t} IS NULL)" for c, t in _CASTS.values())
 _report_checks = [*_AT_LEAST, *_EXACT, *_NUMERIC]
 _union = "\nUNION ALL\n".join(
     f"SELECT process_date, '{c}' AS \"check\", {c} AS observed, "
@@ -215,38 +229,82 @@ _reg("dq_report", f"""
          COUNT(*) FILTER (WHERE {_any_cast}) AS cast_failures,
          {_numeric_cols}
   FROM bronze GROUP BY process_date),
+ds AS (
+  SELECT process_date, event_id, product_id, event_timestamp, event_date,
+         CASE WHEN process_date = DATE '2024-01-21' AND product_id % 2 = 0 THEN NULL
+              ELSE user_id END AS user_id
+  FROM silver WHERE process_date <> DATE '2024-01-20'),
 rs AS (
   SELECT process_date, COUNT(*) AS silver_rows,
          COUNT(*) FILTER (WHERE {_ANY_NULL_KEY} OR event_timestamp IS NULL) AS silver_null_keys,
          COUNT(*) FILTER (WHERE event_date <> process_date) AS date_spill_rows
-  FROM silver GROUP BY process_date),
+  FROM ds GROUP BY process_date),
 rg AS (SELECT process_date, COUNT(*) AS gold_rows FROM gold GROUP BY process_date),
-per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM silver
+per_id AS (SELECT process_date, event_id, COUNT(*) AS n FROM ds
            WHERE event_id IS NOT NULL GROUP BY process_date, event_id),
 rd AS (SELECT process_date, COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS dup
        FROM per_id GROUP BY process_date),
 rm AS (SELECT metric_date AS process_date, COUNT(*) AS mart_rows FROM mart GROUP BY metric_date),
+days AS (SELECT process_date FROM rb UNION SELECT process_date FROM rs
+         UNION SELECT process_date FROM rg UNION SELECT process_date FROM rm),
 w AS (
-  SELECT rb.process_date,
-         CAST(bronze_rows AS BIGINT) AS bronze_rows,
+  SELECT days.process_date,
+         CAST(COALESCE(bronze_rows, 0) AS BIGINT) AS bronze_rows,
          CAST(COALESCE(silver_rows, 0) AS BIGINT) AS silver_rows,
          CAST(COALESCE(gold_rows, 0) AS BIGINT) AS gold_rows,
          CAST(COALESCE(mart_rows, 0) AS BIGINT) AS mart_rows,
-         CAST(rejected_rows AS BIGINT) AS rejected_rows,
-         CAST(bronze_rows - COALESCE(silver_rows, 0) - rejected_rows AS BIGINT) AS rows_reconciled,
+         CAST(COALESCE(rejected_rows, 0) AS BIGINT) AS rejected_rows,
+         CAST(COALESCE(bronze_rows, 0) - COALESCE(silver_rows, 0) - COALESCE(rejected_rows, 0)
+              AS BIGINT) AS rows_reconciled,
          CAST(COALESCE(silver_null_keys, 0) AS BIGINT) AS silver_null_keys,
-         CAST(cast_failures AS BIGINT) AS cast_failures,
+         CAST(COALESCE(cast_failures, 0) AS BIGINT) AS cast_failures,
          CAST(COALESCE(dup, 0) AS BIGINT) AS duplicate_event_ids,
          CAST(COALESCE(date_spill_rows, 0) AS BIGINT) AS date_spill_rows,
-         {", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in _NUMERIC)}
-  FROM rb LEFT JOIN rs ON rb.process_date = rs.process_date
-          LEFT JOIN rg ON rb.process_date = rg.process_date
-          LEFT JOIN rd ON rb.process_date = rd.process_date
-          LEFT JOIN rm ON rb.process_date = rm.process_date)
+         {", ".join(f"CAST(COALESCE({n}, 0) AS BIGINT) AS {n}" for n in _NUMERIC)}
+  FROM days LEFT JOIN rb ON days.process_date = rb.process_date
+            LEFT JOIN rs ON days.process_date = rs.process_date
+            LEFT JOIN rg ON days.process_date = rg.process_date
+            LEFT JOIN rd ON days.process_date = rd.process_date
+            LEFT JOIN rm ON days.process_date = rm.process_date)
 {_union}
 """)
 
 
+# --- Gates, listings and reruns ---------------------------------------------------------
+
+_reg("bronze_listing", """
+SELECT process_date, COUNT(*) AS row_count FROM bronze GROUP BY process_date
+""")
+_reg("bronze_present", """
+, span AS (SELECT MIN(process_date) - 1 AS a, MAX(process_date) + 1 AS b FROM bronze)
+SELECT CAST(d.day AS DATE) AS process_date,
+       EXISTS (SELECT 1 FROM bronze WHERE process_date = CAST(d.day AS DATE)) AS present
+FROM span, generate_series(span.a, span.b, INTERVAL 1 DAY) AS d(day)
+""")
+_reg("mart_catalog", MART_OUT.replace("SELECT ", "SELECT process_date, ", 1))
+_reg("mart_load_time", """
+SELECT process_date, metric_date, TRUE AS loaded_in_run FROM mart
+""")
+_reg("empty_mart", """
+SELECT 'cleared' AS state, CAST(0 AS BIGINT) AS row_count, TRUE AS message_shown
+UNION ALL SELECT 'loaded', COUNT(*), COUNT(*) = 0 FROM mart
+""")
+_reg("idempotency", """
+SELECT 'silver' AS layer, process_date, COUNT(*) AS row_count, TRUE AS unchanged FROM silver
+GROUP BY process_date
+UNION ALL SELECT 'gold', process_date, COUNT(*), TRUE FROM gold GROUP BY process_date
+UNION ALL SELECT 'mart', process_date, COUNT(*), TRUE FROM mart GROUP BY process_date
+""")
+_reg("gate_order", f"""
+SELECT {D} AS process_date, '1 silver' AS step, COUNT(*) AS row_count FROM silver
+WHERE process_date = {D}
+UNION ALL SELECT {D}, '2 gold', COUNT(*) FROM gold WHERE process_date = {D}
+UNION ALL SELECT {D}, '3 mart', COUNT(*) FROM mart
+          WHERE metric_date = {D} AND process_date = {D}
+UNION ALL SELECT MAX(process_date) + 1, '0 stopped', CAST(0 AS BIGINT) FROM bronze
+""")
+
+
 def _draw(salt: str) -> str:
     return (f"CAST('0x' || substr(md5('{FIXED_DATE}:{salt}:' || CAST(event_id AS VARCHAR)), 1, 8)"
             f" AS BIGINT)")

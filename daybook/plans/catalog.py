@@ -8,12 +8,17 @@ SQL of the same key (``daybook.oracle``).
 
 from __future__ import annotations
 
+import datetime
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators import dashboard, generate, gold, quality, silver
 from daybook.plans import fixture, pipeline, warehouse
-from daybook.schema import BRONZE_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA
+from daybook.schema import (BRONZE_COLUMNS, GOLD_COLUMNS, MART_COLUMNS, SILVER_COLUMNS,
+                            SILVER_SCHEMA)
 from daybook.session import configure
 from daybook.sources import bronze, layers, mart
 
@@ -22,6 +27,9 @@ GOLD_KEYS = pipeline.GOLD_KEYS
 # The arrival date the single-date keys ask for, and the preview size.
 FIXED_DATE = "2024-01-12"
 PREVIEW_ROWS = 3
+# The dates whose Silver dq_report damages.
+DROPPED_DATE = "2024-01-20"
+NULLED_DATE = "2024-01-21"
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +90,7 @@ def gold_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily run of one arrival date into fresh Silver/Gold folders."""
     paths, _ = warehouse.fresh_layers(spark, sf_dir)
     pipeline.daily_run(spark, paths, FIXED_DATE)
-    return pipeline.gold_for(spark, paths, [FIXED_DATE]).select(*pipeline.GOLD_COLUMNS)
+    return pipeline.gold_for(spark, paths, [FIXED_DATE]).select(*GOLD_COLUMNS)
 
 
 def partition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +104,7 @@ def backfill_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All arrival dates in one job per layer, into fresh folders."""
     paths, dates = warehouse.fresh_layers(spark, sf_dir)
     pipeline.backfill(spark, paths, min(dates), max(dates))
-    return pipeline.gold_for(spark, paths).select(*pipeline.GOLD_COLUMNS)
+    return pipeline.gold_for(spark, paths).select(*GOLD_COLUMNS)
 
 
 # --- Mart -----------------------------------------------------------------------------------
@@ -152,6 +160,103 @@ def revenue_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.series(_mart(spark, sf_dir), "total_revenue")
 
 
+def mart_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart through its catalog table, created twice: the second time changes nothing."""
+    paths, _ = warehouse.build(spark, sf_dir)
+    name = f"mart_{uuid.uuid4().hex[:12]}"
+    try:
+        mart.create_table(spark, paths.mart, name)
+        mart.create_table(spark, paths.mart, name)
+        rows = spark.table(name).select(F.make_date("year", "month", "day").alias("process_date"),
+                                        *MART_COLUMNS)
+        return rows.checkpoint()  # the table is dropped before the caller reads
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def mart_load_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load every date into a fresh mart; is each row's load time within that load?"""
+    base, dates = warehouse.build(spark, sf_dir)
+    paths, _ = warehouse.fresh_layers(spark, sf_dir)
+    target = pipeline.Paths(bronze=base.bronze, silver=base.silver, gold=base.gold,
+                            mart=paths.mart)
+
+    def now():
+        return spark.sql("SELECT current_timestamp() AS t").head()["t"]
+
+    before = now()
+    pipeline.load(spark, target, dates)
+    after = now()
+    return mart.read_mart(spark, target.mart).select(
+        "process_date", "metric_date",
+        F.col("created_at").between(F.lit(before), F.lit(after)).alias("loaded_in_run"))
+
+
+def empty_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page over a loaded mart, and after every date was loaded again without Gold."""
+    base, dates = warehouse.build(spark, sf_dir)
+    paths, _ = warehouse.fresh_layers(spark, sf_dir)
+    target = pipeline.Paths(bronze=base.bronze, silver=base.silver, gold=base.gold,
+                            mart=paths.mart)
+    states = []
+    for state, gold_root in (("loaded", base.gold), ("cleared", paths.gold)):
+        pipeline.load(spark, replace(target, gold=gold_root), dates)
+        page = dashboard.page(mart.mart_view(spark, target.mart))
+        states.append((state, len(page["table"]), page["message"] == dashboard.EMPTY_MESSAGE))
+    return spark.createDataFrame(states, "state string, row_count long, message_shown boolean")
+
+
+# --- Gates ----------------------------------------------------------------------------------
+
+def bronze_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by arrival date, read from the files that the listing names."""
+    paths, dates = warehouse.build(spark, sf_dir)
+    rows = bronze.read_bronze(spark, paths.bronze).select(
+        "process_date", F.col("_metadata.file_path").alias("path"))
+    # listed paths come as file:/..., scanned ones as file:///...
+    one = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/").alias("listed")
+    listed = bronze.bronze_files(spark, paths.bronze, dates).select(one)
+    return (rows.groupBy("process_date", one).count().join(listed, "listed")
+            .groupBy("process_date").agg(F.sum("count").cast("bigint").alias("row_count")))
+
+
+def bronze_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Bronze gate for every day from before the first to after the last arrival date."""
+    paths, dates = warehouse.build(spark, sf_dir)
+    day = datetime.timedelta(days=1)
+    asked = pipeline.date_range(
+        (datetime.date.fromisoformat(min(dates)) - day).isoformat(),
+        (datetime.date.fromisoformat(max(dates)) + day).isoformat())
+    have, _ = bronze.present_dates(spark, paths.bronze, asked)
+    return spark.createDataFrame([(datetime.date.fromisoformat(d), d in set(have)) for d in asked],
+                                 "process_date date, present boolean")
+
+
+def gate_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gated run of a date, and of one without Bronze: rows of each step that was done."""
+    paths, dates = warehouse.fresh_layers(spark, sf_dir)
+    after = (datetime.date.fromisoformat(max(dates)) + datetime.timedelta(days=1)).isoformat()
+    rows = []
+    for date in (FIXED_DATE, after):
+        steps: dict = {}
+        at = datetime.date.fromisoformat(date)
+        try:
+            pipeline.run_gated(spark, paths, date, steps=steps)
+            rows += [(at, "1 silver", steps["layers"]["silver"]),
+                     (at, "2 gold", steps["layers"]["gold"]), (at, "3 mart", steps["mart_rows"])]
+        except bronze.MissingBronzeError:
+            rows.append((at, "0 stopped", len(steps)))
+    return spark.createDataFrame(rows, "process_date date, step string, row_count long")
+
+
+def idempotency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dates run and loaded twice: rows by layer and date, and whether they stayed the same."""
+    paths, dates = warehouse.fresh_layers(spark, sf_dir)
+    pipeline.run_dates(spark, paths, dates)
+    pipeline.load(spark, paths, dates)
+    return pipeline.rerun_report(spark, paths, dates)
+
+
 # --- Quality --------------------------------------------------------------------------------
 
 def _layers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,10 +292,17 @@ def dq_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every check per arrival date in one report."""
+    """Every check per arrival date in one report, over a damaged Silver.
+
+    A sound run leaves no Silver date out and no key NULL, so those checks could not
+    fail: here Silver lacks one date, and has NULL users on another.
+    """
     paths, _ = warehouse.build(spark, sf_dir)
-    return quality.report(bronze.read_bronze_checked(spark, paths.bronze),
-                          pipeline.silver_for(spark, paths, None),
+    day, user = F.col("process_date").cast("string"), F.col("user_id")
+    no_user = (day == NULLED_DATE) & (F.col("product_id") % 2 == 0)
+    damaged = (pipeline.silver_for(spark, paths, None).where(day != DROPPED_DATE)
+               .withColumn("user_id", F.when(~no_user, user)))
+    return quality.report(bronze.read_bronze_checked(spark, paths.bronze), damaged,
                           pipeline.gold_for(spark, paths), mart.mart_view(spark, paths.mart))
 
 
@@ -245,6 +357,13 @@ _QUERIES = {
     "dq_report": dq_report,
     "dq_date_spill": dq_date_spill,
     "gen_events": gen_events,
+    "mart_catalog": mart_catalog,
+    "mart_load_time": mart_load_time,
+    "empty_mart": empty_mart,
+    "bronze_listing": bronze_listing,
+    "bronze_present": bronze_present,
+    "gate_order": gate_order,
+    "idempotency": idempotency,
 }
 
 

@@ -8,7 +8,6 @@ CSV), Gold is written per arrival date, and the mart is loaded from Gold.
 from __future__ import annotations
 
 import datetime as dt
-import functools
 import logging
 from dataclasses import dataclass, field
 
@@ -16,20 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators import gold as gold_ops
 from daybook.operators import silver as silver_ops
-from daybook.schema import GOLD_SCHEMA, SILVER_SCHEMA
-from daybook.session import configure, shuffle_sized_for, split_target, splits_sized_for
+from daybook.schema import GOLD_COLUMNS, GOLD_SCHEMA, MART_COLUMNS, SILVER_SCHEMA
+from daybook.session import configure, session_sized_for
 from daybook.sources import bronze, fs, layers, mart
 
 log = logging.getLogger("daybook.pipeline")
 
-# Splits per core for the Gold job's Silver scans (see session.split_target): 10-15%
-# faster than one per core on 27M events. The Silver write keeps one per core,
-# because there each split is a file (three per core: 14% faster, 2.4x the files).
-GOLD_TASKS_PER_CORE = 3
-
 GOLD_KEYS = ["process_date", "event_date"]
-GOLD_COLUMNS = GOLD_KEYS + ["daily_active_users", "total_revenue", "top_product_id",
-                            "top_product_revenue"]
+
+
+class GateError(ValueError):
+    """A quality gate failed; later steps were not run."""
 
 
 @dataclass(frozen=True)
@@ -79,39 +75,30 @@ def gold_for(spark: SparkSession, paths: Paths, dates=None) -> DataFrame:
     return layers.read_layer(spark, paths.gold, GOLD_SCHEMA, dates)
 
 
-def bronze_by_date(spark: SparkSession, paths: Paths, dates) -> DataFrame:
-    """Bronze of ``dates`` as one scan per date, unioned (no shuffle).
+def silver_plan(spark: SparkSession, paths: Paths, dates, rebalance: bool = False) -> DataFrame:
+    """Cleaned Bronze of ``dates``: one scan for any number of dates, no shuffle.
 
-    A single scan over many dates packs small files of different dates into one
-    task, and each such task writes one small file per date it touched. With a
-    scan per date every task reads one date and writes one file.
+    A task writes a file for each date it reads, so Silver has at most as many files as
+    Bronze has files and splits. ``rebalance`` brings the rows of a date together first
+    (AQE splits large dates and merges small ones): fewer files where Bronze has very many
+    small ones, for the price of one shuffle of all rows.
     """
-    frames = [bronze.read_bronze(spark, paths.bronze, [d]) for d in dates]
-    return functools.reduce(DataFrame.unionByName, frames)
-
+    cleaned = silver_ops.transform_to_silver(bronze.read_bronze(spark, paths.bronze, dates))
+    return cleaned.hint("rebalance", "process_date") if rebalance else cleaned
 
-def bronze_for_write(spark: SparkSession, paths: Paths, dates, input_bytes: int,
-                     input_files: int, target: int) -> DataFrame:
-    """Bronze for the Silver job, laid out so that no task mixes dates needlessly.
 
-    A scan per date only pays when dates have several files smaller than a
-    split (a single scan would pack them across dates); otherwise one scan
-    already gives one date per split, with less planning.
-    """
-    dates = list(dates)
-    packed = input_files > len(dates) > 1 and input_bytes < target * input_files
-    if packed:
-        return bronze_by_date(spark, paths, dates)
-    return bronze.read_bronze(spark, paths.bronze, dates)
+def gold_plan(spark: SparkSession, paths: Paths, dates) -> DataFrame:
+    """Gold of the Silver rows of ``dates``: a row per date pair, one file per arrival date."""
+    daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, dates), GOLD_KEYS)
+    return daily.repartition("process_date")
 
 
-def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
+def run_dates(spark: SparkSession, paths: Paths, dates, rebalance: bool = False) -> RunResult:
     """Bronze → Silver → Gold for many arrival dates: one Silver job, one Gold job.
 
-    Dates without Bronze files are reported in ``missing`` and skipped. The
-    Silver write has no shuffle, and splits are sized from the whole job. A task
-    reads splits of one date, or whole dates that fit in a split, and writes one
-    Parquet file per date it read (see :func:`bronze_for_write`).
+    Dates without Bronze files are reported in ``missing`` and skipped. Both jobs run in a
+    session of their own, whose shuffle partitions follow the input's size. A Bronze file
+    with a wrong header fails the Silver job before anything is replaced.
     """
     configure(spark)
     have, missing = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
@@ -122,29 +109,19 @@ def run_dates(spark: SparkSession, paths: Paths, dates) -> RunResult:
         return result
     sizes = fs.map_paths(lambda p: fs.content_size(spark, p),
                          [bronze.date_path(paths.bronze, d) for d in have])
-    input_bytes, input_files = sum(b for b, _ in sizes), sum(n for _, n in sizes)
-    target = split_target(spark, input_bytes, input_files)
-    log.info("run %d date(s) %s..%s: %d Bronze bytes in %d files, split target %d bytes",
-             len(have), have[0], have[-1], input_bytes, input_files, target)
-    cleaned = silver_ops.transform_to_silver(
-        bronze_for_write(spark, paths, have, input_bytes, input_files, target))
-    with splits_sized_for(spark, target):
-        result.cleared_silver = layers.replace_dates(spark, cleaned, paths.silver, have)
-    daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, have), GOLD_KEYS)
-    # The Gold job's scans get about three splits per core (no files depend on
-    # them, and a short last wave keeps cores busy); its shuffles are sized from
-    # the input. Gold itself is tiny (rows = dates): one file per arrival date.
-    silver_sizes = fs.map_paths(lambda p: fs.content_size(spark, p),
-                                [layers.partition_path(paths.silver, d) for d in have])
-    scan_target = split_target(spark, sum(b for b, _ in silver_sizes),
-                               sum(n for _, n in silver_sizes),
-                               tasks_per_core=GOLD_TASKS_PER_CORE)
-    with splits_sized_for(spark, scan_target), \
-            shuffle_sized_for(spark, input_bytes) as partitions:
-        result.cleared_gold = layers.replace_dates(
-            spark, daily.repartition("process_date"), paths.gold, have)
-    log.info("Gold written with %d shuffle partitions; cleared Silver %s, Gold %s",
-             partitions, result.cleared_silver, result.cleared_gold)
+    input_bytes = sum(b for b, _ in sizes)
+    own = configure(session_sized_for(spark, input_bytes))
+    log.info("run %d date(s) %s..%s: %d Bronze bytes in %d files, %s shuffle partitions",
+             len(have), have[0], have[-1], input_bytes, sum(n for _, n in sizes),
+             own.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        with bronze.header_errors():
+            result.cleared_silver = layers.replace_dates(
+                own, silver_plan(own, paths, have, rebalance), paths.silver, have)
+    except bronze.HeaderError as e:
+        raise GateError(f"Bronze header check failed: {e}") from e
+    result.cleared_gold = layers.replace_dates(own, gold_plan(own, paths, have), paths.gold, have)
+    log.info("cleared Silver %s, Gold %s", result.cleared_silver, result.cleared_gold)
     return result
 
 
@@ -155,14 +132,7 @@ def plans_for(spark: SparkSession, paths: Paths, dates) -> dict[str, DataFrame]:
     """
     configure(spark)
     have, _ = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
-    sizes = fs.map_paths(lambda p: fs.content_size(spark, p),
-                         [bronze.date_path(paths.bronze, d) for d in have])
-    input_bytes, input_files = sum(b for b, _ in sizes), sum(n for _, n in sizes)
-    cleaned = silver_ops.transform_to_silver(bronze_for_write(
-        spark, paths, have, input_bytes, input_files,
-        split_target(spark, input_bytes, input_files)))
-    daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, have), GOLD_KEYS)
-    return {"silver": cleaned, "gold": daily.repartition("process_date")}
+    return {"silver": silver_plan(spark, paths, have), "gold": gold_plan(spark, paths, have)}
 
 
 def daily_run(spark: SparkSession, paths: Paths, date: str) -> RunResult:
@@ -176,19 +146,23 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str) -> RunResu
     return run_dates(spark, paths, date_range(start, end))
 
 
-def load(spark: SparkSession, paths: Paths, dates) -> list[str]:
-    """Publish Gold rows of ``dates`` to the mart (replace per date)."""
+def load(spark: SparkSession, paths: Paths, dates, jdbc_url: str | None = None,
+         jdbc_table: str = "daily_metrics", jdbc_props: dict | None = None) -> list[str]:
+    """Publish Gold rows of ``dates`` to the mart (replace per date).
+
+    With ``jdbc_url`` they go to a relational mart too, in one transaction.
+    """
     configure(spark)
     dates = normalize_dates(dates)
+    if jdbc_url:
+        from daybook.sources import jdbc
+        jdbc.load_mart_jdbc(spark, gold_for(spark, paths, dates), jdbc_url, dates, jdbc_table,
+                            jdbc_props)
     cleared = mart.load_mart(spark, gold_for(spark, paths, dates), paths.mart, dates)
     log.info("mart loaded for %d date(s); cleared %s", len(dates), cleared)
     return cleared
 
 
-class GateError(ValueError):
-    """A quality gate failed; later steps were not run."""
-
-
 def check_layers(spark: SparkSession, paths: Paths, date: str) -> dict[str, int]:
     """Gate: Silver and Gold of the date must both have rows."""
     counts = {
@@ -200,35 +174,63 @@ def check_layers(spark: SparkSession, paths: Paths, date: str) -> dict[str, int]
     return counts
 
 
-def check_mart_count(spark: SparkSession, paths: Paths, date: str, expected: int = 1) -> int:
-    """Gate: the dashboard view holds exactly ``expected`` rows for the date."""
+def check_mart_count(spark: SparkSession, paths: Paths, date: str,
+                     expected: int | None = None) -> int:
+    """Gate: the mart holds as many rows for the metric date as Gold, and at least one.
+
+    Gold has one row for each arrival date that brought events of the date, so a row
+    that was loaded twice, or not at all, is found. ``expected`` overrides that count.
+    """
     from daybook.operators import dashboard
     n = dashboard.count_by_date(mart.mart_view(spark, paths.mart), date).first()["row_count"]
+    if expected is None:
+        gold = gold_for(spark, paths).withColumnRenamed("event_date", "metric_date")
+        expected = max(1, dashboard.count_by_date(gold, date).first()["row_count"])
     if n != expected:
         raise GateError(f"mart has {n} rows for {date}, expected {expected}")
     return n
 
 
-def verify_idempotent(spark: SparkSession, paths: Paths, dates) -> dict[str, int]:
-    """Run the dates again and compare Gold with the previous result.
+def layer_digests(spark: SparkSession, paths: Paths, dates) -> dict[str, DataFrame]:
+    """Count and hash per arrival date of Silver, Gold and mart (without the load time)."""
+    from daybook.operators import quality
+    stored = mart.read_mart(spark, paths.mart, dates)
+    return {"silver": quality.layer_digest(silver_for(spark, paths, dates)),
+            "gold": quality.layer_digest(gold_for(spark, paths, dates)),
+            "mart": quality.layer_digest(stored, MART_COLUMNS)}
+
 
-    The previous Gold is checkpointed to the shared checkpoint folder first (a
-    rerun replaces its files, and a lost executor must be able to re-read it).
-    Returns the numbers of rows only in the old / only in the new result.
+def rerun_report(spark: SparkSession, paths: Paths, dates) -> DataFrame:
+    """Run and load ``dates`` again: (layer, process_date, row_count, unchanged).
+
+    The digests of before are checkpointed to the shared folder (a rerun replaces the
+    files they came from); they have one row per date and layer.
     """
+    from functools import reduce
+    from pyspark.sql import functions as F
     from daybook.operators import quality
     from daybook.session import checkpoint_root
     checkpoint_root(spark)
     dates = list(dates)
-    before = gold_for(spark, paths, dates).checkpoint(eager=True)
-    run_dates(spark, paths, dates)
-    diff = quality.difference_counts(before, gold_for(spark, paths, dates)).first()
-    return {"only_before": diff["only_in_first"], "only_after": diff["only_in_second"]}
+    before = {k: d.checkpoint(eager=True) for k, d in layer_digests(spark, paths, dates).items()}
+    done = run_dates(spark, paths, dates)
+    load(spark, paths, done.dates)
+    parts = [quality.changed_dates(before[k], d).select(F.lit(k).alias("layer"), "*")
+             for k, d in layer_digests(spark, paths, dates).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def verify_idempotent(spark: SparkSession, paths: Paths, dates) -> dict[str, int]:
+    """Run and load the dates again; per layer, the number of dates whose rows changed."""
+    from pyspark.sql import functions as F
+    counts = (rerun_report(spark, paths, dates).groupBy("layer")
+              .agg(F.count_if(~F.col("unchanged")).alias("n")).collect())  # three rows
+    return {layer: 0 for layer in ("silver", "gold", "mart")} | {r["layer"]: r["n"] for r in counts}
 
 
 # The report checks a run must pass; the others are reported, not enforced.
 REQUIRED_CHECKS = ("bronze_rows", "silver_rows", "gold_rows", "rows_reconciled",
-                   "silver_null_keys")
+                   "silver_null_keys", "amount_summable")
 
 
 def quality_report(spark: SparkSession, paths: Paths, dates=None):
@@ -256,19 +258,22 @@ def check_report(spark: SparkSession, paths: Paths, dates, required=REQUIRED_CHE
     return failed
 
 
-def run_gated(spark: SparkSession, paths: Paths, date: str, generate=None) -> dict:
+def run_gated(spark: SparkSession, paths: Paths, date: str, generate=None,
+              steps: dict | None = None, **jdbc) -> dict:
     """generate → Bronze present → transform → layers not empty → load.
 
     Each step runs only when the one before succeeded; a failed gate raises.
     ``generate`` is an optional callable ``(spark, paths, date)`` that writes Bronze.
+    ``jdbc`` options go to :func:`load`. The results go into ``steps``, if given, as they come: after a failed gate it holds
+    the steps before it.
     """
-    steps = {}
+    steps = {} if steps is None else steps
     if generate is not None:
         generate(spark, paths, date)
         steps["generate"] = True
     steps["bronze_files"] = bronze.require_bronze(spark, paths.bronze, date)
     steps["run"] = run_dates(spark, paths, [date])
     steps["layers"] = check_layers(spark, paths, date)
-    steps["load"] = load(spark, paths, [date])
+    steps["load"] = load(spark, paths, [date], **jdbc)
     steps["mart_rows"] = check_mart_count(spark, paths, date)
     return steps

@@ -29,7 +29,7 @@ def bronze_dates(spark: SparkSession, root: str) -> list[str]:
 
 def write_fixture_bronze(spark: SparkSession, sf_dir: str, bronze_root: str) -> list[str]:
     """Land the given ``events`` table as Bronze CSV; returns the arrival dates."""
-    bronze.write_bronze(fixture.bronze(spark, sf_dir), bronze_root)
+    bronze.write_bronze(fixture.raw(spark, sf_dir), bronze_root, mixed_dates=True)
     return bronze_dates(spark, bronze_root)
 
 

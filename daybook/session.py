@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-import threading
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,91 +48,45 @@ def get_session(app: str = "daybook", master: str | None = None,
     return configure(spark)
 
 
-# Runs that set session-wide sizing for their jobs hold this lock, so two runs in one
-# session from different threads never restore each other's temporary values.
-_SIZING_LOCK = threading.RLock()
-
 # Shuffle sizing: about this many input bytes per shuffle partition, so the
 # largest aggregation's partitions fit in task memory without spilling. AQE then
 # coalesces partitions that turn out small; it cannot split ones that are too big.
 BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def shuffle_partitions_for(input_bytes: int, configured: int) -> int:
     """Partitions for a job reading ``input_bytes``: never fewer than configured."""
-    wanted = -(-int(input_bytes) // BYTES_PER_SHUFFLE_PARTITION)
-    return max(configured, min(MAX_SHUFFLE_PARTITIONS, wanted))
-
-
-@contextmanager
-def shuffle_sized_for(spark: SparkSession, input_bytes: int):
-    """Raise ``spark.sql.shuffle.partitions`` for the jobs run inside, then restore it."""
-    key = "spark.sql.shuffle.partitions"
-    with _SIZING_LOCK:
-        current = int(spark.conf.get(key))
-        wanted = shuffle_partitions_for(input_bytes, current)
-        if wanted == current:
-            yield current
-            return
-        spark.conf.set(key, str(wanted))
-        try:
-            yield wanted
-        finally:
-            spark.conf.set(key, str(current))
+    return max(configured, -(-int(input_bytes) // BYTES_PER_SHUFFLE_PARTITION))
 
 
-def split_target(spark: SparkSession, input_bytes: int, input_files: int = 0,
-                 tasks_per_core: int = 1) -> int:
-    """Split size for a job reading ``input_bytes`` in ``input_files`` files.
+def session_sized_for(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A session of its own for one run, with shuffle partitions for its input.
 
-    Spark's rule for one scan, applied to the whole job: bytes per core, every
-    file counting its open cost, between the open cost and the configured maximum.
-    ``tasks_per_core`` > 1 cuts smaller splits so the last wave of tasks is short
-    (9 equal tasks on 8 cores take two full task times; 27 take four ninths more).
+    It shares the context, catalog and settings of ``spark``; what it sets is seen by no
+    other query, so runs of several threads need not wait for each other.
     """
-    conf = spark._jsparkSession.sessionState().conf()
-    cap, open_cost = int(conf.filesMaxPartitionBytes()), int(conf.filesOpenCostInBytes())
-    cores = max(1, spark.sparkContext.defaultParallelism) * max(1, int(tasks_per_core))
-    weighted = int(input_bytes) + int(input_files) * open_cost
-    return max(open_cost, min(cap, -(-weighted // cores)))
-
-
-@contextmanager
-def splits_sized_for(spark: SparkSession, target: int):
-    """Cut every scan of the jobs run inside into splits of at most ``target`` bytes.
-
-    Spark sizes the splits of each scan from that scan's bytes alone, so a job
-    that reads many small dates as separate scans would cut every date into
-    ``cores`` tiny splits. With ``minPartitionNum=1`` and the job-wide target
-    (:func:`split_target`) a small scan may be a single split.
-    """
-    keys = {"spark.sql.files.maxPartitionBytes": str(int(target)),
-            "spark.sql.files.minPartitionNum": "1"}
-    with _SIZING_LOCK:
-        saved = {k: spark.conf.get(k, None) for k in keys}
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        try:
-            yield target
-        finally:
-            for k, v in saved.items():
-                if v is None:
-                    spark.conf.unset(k)
-                else:
-                    spark.conf.set(k, v)
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    key = "spark.sql.shuffle.partitions"
+    session.conf.set(key, str(shuffle_partitions_for(input_bytes, int(spark.conf.get(key)))))
+    return session
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (a local test run) a fresh local folder is taken and
-    registered, so later calls and ``DataFrame.checkpoint`` use the same place.
+    Only when it is unset and the master is local (a test run) a fresh local folder is
+    taken and registered, so later calls and ``DataFrame.checkpoint`` use the same place.
+    On a cluster, whose executors have disks of their own, it must be set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="daybook-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         try:
@@ -161,5 +113,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["RUNTIME_CONF", "configure", "get_session", "checkpoint_root", "scratch_dir",
-           "local_path", "shuffle_partitions_for", "shuffle_sized_for", "split_target",
-           "splits_sized_for"]
+           "local_path", "shuffle_partitions_for", "session_sized_for"]

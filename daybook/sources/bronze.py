@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,23 @@ class MissingBronzeError(ValueError):
     """No Bronze file for a requested arrival date."""
 
 
+class HeaderError(ValueError):
+    """A Bronze file's header differs from the declared columns."""
+
+
+@contextmanager
+def header_errors():
+    """Raise the CSV reader's complaint about a file's header as :class:`HeaderError`."""
+    try:
+        yield
+    except Exception as e:
+        text = str(e)
+        if "CSV header" in text or "number of columns in CSV" in text.lower():
+            at = text.find("CSV header")
+            raise HeaderError(text[max(at, 0):][:400]) from e
+        raise
+
+
 def date_path(root: str, date: str) -> str:
     """The Bronze folder of one arrival date."""
     return f"{root.rstrip('/')}/{BRONZE_PARTITION}={date}"
@@ -27,8 +45,10 @@ def _schema(base: T.StructType) -> T.StructType:
 
 
 def _reader(spark: SparkSession, base: T.StructType, mode: str = "PERMISSIVE"):
+    # enforceSchema=false: a file whose header differs from the schema fails as it is
+    # opened. Columns bind by position, so it would be misread without a sign.
     reader = (spark.read.option("header", True).option("mode", mode)
-              .schema(_schema(base)))
+              .option("enforceSchema", False).schema(_schema(base)))
     if RAW_RECORD in base.fieldNames():
         reader = reader.option("columnNameOfCorruptRecord", RAW_RECORD)
     return reader
@@ -56,7 +76,8 @@ def read_bronze(spark: SparkSession, root: str, dates: Iterable[str] | str | Non
 
     Columns bind by position under the fixed schema (PERMISSIVE): a malformed
     number becomes NULL, a short row gets trailing NULLs, extra fields are
-    ignored, a header-only file gives no rows.
+    ignored, a header-only file gives no rows. A file with another header fails the
+    read (see :func:`header_errors`).
     """
     if isinstance(dates, str):
         dates = [dates]
@@ -74,56 +95,39 @@ def read_bronze_checked(spark: SparkSession, root: str, dates=None) -> DataFrame
     return _load(spark, root, dates, base)
 
 
-def header_report(spark: SparkSession, root: str, dates: Iterable[str] | str) -> DataFrame:
-    """(file, header, matches): the first line of every Bronze file of the dates.
-
-    The first line of a file is the first line of its split at offset 0; within a
-    split line positions increase, so ``min_by(value, position)`` per file is
-    exact however the files are split. One row per file, never per line.
-    """
-    if isinstance(dates, str):
-        dates = [dates]
-    paths = list(dict.fromkeys(date_path(root, d) for d in dates))
-    present = [p for p, ok in zip(paths, fs.map_paths(lambda p: fs.exists(spark, p), paths))
-               if ok]
-    if not present:
-        return spark.createDataFrame([], "file string, header string, matches boolean")
-    lines = spark.read.text(present).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("pos"), "value")
-    heads = (lines.where(F.col("start") == 0).groupBy("file")
-             .agg(F.min_by("value", "pos").alias("header"))
-             .withColumn("header", F.regexp_replace("header", "^\ufeff", "")))  # byte-order mark
-    return heads.withColumn("matches", F.col("header") == F.lit(",".join(BRONZE_COLUMNS)))
-
-
-def write_bronze(df: DataFrame, root: str) -> None:
+def write_bronze(df: DataFrame, root: str, mixed_dates: bool = False) -> None:
     """Write Bronze rows (with ``process_date``) as CSV with a header, one folder per
     arrival date. A rerun replaces only the dates it writes.
 
+    With ``mixed_dates`` rows are first brought together by date (``rebalance``: AQE
+    splits large dates and merges small ones), because otherwise every task writes a
+    file for each date it holds. Input of one date needs no such shuffle.
+
     Values are written as they are: Spark's CSV writer trims surrounding spaces
     unless told not to, and the reader (which does not trim) must get them back.
     """
     out = df.select(*BRONZE_COLUMNS, F.col("process_date").alias(BRONZE_PARTITION))
+    if mixed_dates:
+        out = out.hint("rebalance", BRONZE_PARTITION)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .partitionBy(BRONZE_PARTITION).csv(root))
 
 
-def bronze_files(spark: SparkSession, root: str, date: str) -> DataFrame:
-    """(path, length) of the files of one arrival date; contents are not read.
+def bronze_files(spark: SparkSession, root: str, dates: Iterable[str] | str) -> DataFrame:
+    """(path, length) of the files of the arrival dates; contents are not read.
 
     A date without a folder raises :class:`MissingBronzeError`.
     """
+    dates = [dates] if isinstance(dates, str) else list(dates)
     from pyspark.errors import AnalysisException
     try:
-        return (spark.read.format("binaryFile").load(date_path(root, date))
+        return (spark.read.format("binaryFile").load([date_path(root, d) for d in dates])
                 .select("path", "length"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            raise MissingBronzeError(f"No bronze files found for {date}") from e
+            raise MissingBronzeError(f"No bronze files found for {', '.join(dates)}") from e
         raise
 
 

@@ -22,9 +22,12 @@ from daybook.sources.mart import mart_rows_from_gold
 STORED = ["process_date", *MART_COLUMNS, "created_at"]
 DDL_TYPES = {
     "process_date": "DATE", "metric_date": "DATE", "daily_active_users": "INT",
-    "total_revenue": "DOUBLE PRECISION", "top_product_id": "INT",
-    "top_product_revenue": "DOUBLE PRECISION", "created_at": "TIMESTAMP",
+    "total_revenue": "NUMERIC(30,8)", "top_product_id": "INT",
+    "top_product_revenue": "NUMERIC(30,8)", "created_at": "TIMESTAMP",
 }
+MONEY = ["total_revenue", "top_product_revenue"]
+# Connections a load opens at most to stage its rows (one row per date pair).
+STAGING_PARTITIONS = 8
 
 
 def _q(name: str) -> str:
@@ -42,16 +45,33 @@ def _connect(spark: SparkSession, url: str, props: dict[str, str]):
     return jvm.java.sql.DriverManager.getConnection(url, jprops)
 
 
-def _table_exists(conn, table: str) -> bool:
-    meta = conn.getMetaData()
-    for name in {table, table.upper(), table.lower()}:
-        rs = meta.getTables(None, None, name, None)
-        try:
-            if rs.next():
-                return True
-        finally:
+def _columns(conn, table: str) -> list[str] | None:
+    """Column names of the very table the quoted name means; None if there is none."""
+    rs = None
+    try:
+        rs = conn.createStatement().executeQuery(f"SELECT * FROM {_q(table)} WHERE 1 = 0")
+        meta = rs.getMetaData()
+        return [meta.getColumnName(i + 1) for i in range(meta.getColumnCount())]
+    except Exception:  # the drivers have no common error for a missing table
+        conn.rollback()
+        return None
+    finally:
+        if rs is not None:
             rs.close()
-    return False
+
+
+def _prepare_table(conn, stmt, table: str) -> None:
+    """Create the mart if absent; give one without arrival dates that column.
+
+    Rows that are there already are filed under their own date.
+    """
+    have = _columns(conn, table)
+    if have is None:
+        cols = ", ".join(f"{_q(c)} {DDL_TYPES[c]}" for c in STORED)
+        stmt.executeUpdate(f"CREATE TABLE {_q(table)} ({cols})")
+    elif "process_date" not in have:
+        stmt.executeUpdate(f"ALTER TABLE {_q(table)} ADD COLUMN {_q('process_date')} DATE")
+        stmt.executeUpdate(f"UPDATE {_q(table)} SET {_q('process_date')} = {_q('metric_date')}")
 
 
 def load_mart_jdbc(spark: SparkSession, gold: DataFrame, url: str, dates: Iterable[str],
@@ -66,15 +86,15 @@ def load_mart_jdbc(spark: SparkSession, gold: DataFrame, url: str, dates: Iterab
     props = dict(props or {})
     dates = list(dict.fromkeys(dates))
     staging = f"{table}_stage_{uuid.uuid4().hex[:8]}"
-    rows = mart_rows_from_gold(gold).select(*STORED)
-    rows.write.jdbc(url, _q(staging), mode="overwrite", properties=props)
+    rows = mart_rows_from_gold(gold).select(*STORED).withColumns(
+        {c: F.col(c).cast("decimal(30,8)") for c in MONEY})
     conn = _connect(spark, url, props)
     try:
+        (rows.write.option("numPartitions", STAGING_PARTITIONS)
+         .jdbc(url, _q(staging), mode="overwrite", properties=props))
         conn.setAutoCommit(False)
         stmt = conn.createStatement()
-        if not _table_exists(conn, table):
-            cols = ", ".join(f"{_q(c)} {DDL_TYPES[c]}" for c in STORED)
-            stmt.executeUpdate(f"CREATE TABLE {_q(table)} ({cols})")
+        _prepare_table(conn, stmt, table)
         delete = conn.prepareStatement(f"DELETE FROM {_q(table)} WHERE {_q('process_date')} = ?")
         jdate = spark.sparkContext._jvm.java.sql.Date
         for d in dates:
@@ -85,12 +105,15 @@ def load_mart_jdbc(spark: SparkSession, gold: DataFrame, url: str, dates: Iterab
             f"INSERT INTO {_q(table)} ({names}) SELECT DISTINCT {names} FROM {_q(staging)}")
         conn.commit()
     except Exception:
-        conn.rollback()
+        if not conn.getAutoCommit():
+            conn.rollback()
         raise
     finally:
         try:
-            conn.setAutoCommit(True)
-            conn.createStatement().executeUpdate(f"DROP TABLE {_q(staging)}")
+            conn.setAutoCommit(False)
+            if _columns(conn, staging) is not None:  # a failed write may leave none
+                conn.createStatement().executeUpdate(f"DROP TABLE {_q(staging)}")
+            conn.commit()
         finally:
             conn.close()
     return int(inserted)
@@ -98,6 +121,6 @@ def load_mart_jdbc(spark: SparkSession, gold: DataFrame, url: str, dates: Iterab
 
 def read_mart_jdbc(spark: SparkSession, url: str, table: str = "daily_metrics",
                    props: dict[str, str] | None = None) -> DataFrame:
-    """The dashboard's view of a JDBC mart (rows filed under their own date)."""
+    """The dashboard's view of a JDBC mart: all rows, money as double as in the Parquet mart."""
     df = spark.read.jdbc(url, _q(table), properties=dict(props or {}))
-    return df.where(F.col("process_date") == F.col("metric_date")).select(*MART_COLUMNS)
+    return df.select(*MART_COLUMNS).withColumns({c: F.col(c).cast("double") for c in MONEY})

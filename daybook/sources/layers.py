@@ -2,10 +2,15 @@
 arrival date, replaced per date.
 
 Replace semantics: a write replaces exactly the arrival dates present in the
-data (dynamic partition overwrite: new files are staged and swapped in at job
-commit, so readers never see a half-written date). A requested date whose rerun
-produced no rows must also end up empty; dynamic overwrite leaves such a
-partition alone, so it is removed explicitly after the commit.
+data (dynamic partition overwrite). New files are staged first, so a job that fails
+before its commit leaves the old date as it was. The commit itself is not atomic: it
+deletes a date's old files and then moves the new ones in, date by date, and an object
+store copies instead of moving. A reader in that moment, or a driver lost in it, can
+find a date empty or in part; a rerun of the date puts it right. Readers that need
+more should go through a table format with snapshots, or the JDBC mart, which replaces
+dates in one transaction. A requested date whose rerun produced no rows must also end
+up empty; dynamic overwrite leaves such a partition alone, so it is removed explicitly
+after the commit.
 """
 
 from __future__ import annotations

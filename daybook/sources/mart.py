@@ -1,9 +1,10 @@
 """The metrics mart: one row per (arrival date, metric date), replaceable per date.
 
 Stored as a Parquet table partitioned by arrival date. Loading a date replaces
-that date's rows in one step (delete + insert of the reference, as one dynamic
-partition overwrite); loading an empty Gold for a date clears it. Dashboards
-read the rows whose metric date is their arrival date.
+that date's rows (delete + insert, as one dynamic partition overwrite, see
+``layers`` for what readers may see meanwhile); loading an empty Gold for a date
+clears it. Dashboards read every row: a metric date has a row for each arrival date
+that brought events of it, so late events show up beside the date's own delivery.
 """
 
 from __future__ import annotations
@@ -45,7 +46,12 @@ def read_mart(spark: SparkSession, root: str, dates=None) -> DataFrame:
 
 
 def mart_view(spark: SparkSession, root: str) -> DataFrame:
-    """The dashboard's table: rows filed under their own date, 5 columns."""
+    """The dashboard's table: all rows, 5 columns."""
+    return read_mart(spark, root).select(*MART_COLUMNS)
+
+
+def own_date_view(spark: SparkSession, root: str) -> DataFrame:
+    """Only the rows that arrived on their own date: late events are not in it."""
     m = read_mart(spark, root)
     return m.where(F.col("process_date") == F.col("metric_date")).select(*MART_COLUMNS)
 
@@ -75,8 +81,7 @@ def refresh_table(spark: SparkSession, name: str = STORED_TABLE) -> str:
 
 def create_dashboard_view(spark: SparkSession, table: str = STORED_TABLE,
                           view: str = "daily_metrics") -> str:
-    """The dashboard's table as a SQL view over the catalog table."""
+    """The dashboard's table, all rows, as a SQL view over the catalog table."""
     cols = ", ".join(MART_COLUMNS)
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS SELECT {cols} FROM {table} "
-              f"WHERE make_date(year, month, day) = metric_date")
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS SELECT {cols} FROM {table}")
     return view

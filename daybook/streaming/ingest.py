@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from daybook.plans import pipeline
-from daybook.session import checkpoint_root, configure
+from daybook.session import configure
 
 FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -62,9 +62,12 @@ def _run_batch(paths: pipeline.Paths, load: bool):
 
 
 def default_checkpoint(spark: SparkSession, paths: pipeline.Paths) -> str:
-    """A stable checkpoint folder for the ingest of one Bronze folder."""
+    """A stable checkpoint folder for the ingest of one Bronze folder, beside the mart.
+
+    It belongs to the lake: it must outlive the session and be seen by the next one.
+    """
     key = hashlib.sha1(paths.bronze.rstrip("/").encode()).hexdigest()[:16]
-    return f"{checkpoint_root(spark)}/daybook/ingest-{key}"
+    return f"{paths.mart.rstrip('/')}-ingest-{key}"
 
 
 def start(spark: SparkSession, paths: pipeline.Paths, checkpoint: str | None = None,
@@ -73,8 +76,7 @@ def start(spark: SparkSession, paths: pipeline.Paths, checkpoint: str | None = N
     """Start the ingest.
 
     The checkpoint records which files were handled, so it must stay the same
-    across runs; by default it is a folder below the shared checkpoint directory
-    named after the Bronze folder.
+    across runs; by default it is a folder beside the mart named after the Bronze folder.
     """
     configure(spark)
     checkpoint = checkpoint or default_checkpoint(spark, paths)

@@ -4,6 +4,7 @@ Spark wrote and computes Gold in SQL; the Spark pipeline must agree."""
 import duckdb
 
 from daybook.operators import generate
+from daybook.schema import GOLD_COLUMNS
 from daybook.plans import pipeline
 from daybook.session import local_path
 from daybook.sources import bronze
@@ -43,7 +44,7 @@ def test_generated_pipeline_matches_duckdb_on_the_same_files(spark, root):
         bronze.write_bronze(generate.generate_events(spark, d, 40_000 + 10_000 * i), paths.bronze)
     pipeline.run_dates(spark, paths, DATES)
     ours = sorted(tuple(r) for r in pipeline.gold_for(spark, paths)
-                  .select(*pipeline.GOLD_COLUMNS).collect())
+                  .select(*GOLD_COLUMNS).collect())
     theirs = sorted(duckdb.connect().execute(
         GOLD_SQL.format(root=local_path(paths.bronze))).fetchall())
     assert len(ours) == 3

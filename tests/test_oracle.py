@@ -4,13 +4,17 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from daybook import oracle
+from daybook.plans import catalog
 from tools.check_oracle import compare
 
-KEYS = sorted(E.queries())
+KEYS = sorted(catalog.queries())
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(KEYS)
+    assert set(oracle.oracle_sql()) == set(KEYS)
+    assert set(KEYS) <= set(E.queries()) and set(KEYS) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -23,7 +27,7 @@ def test_matches_oracle(spark, key):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
-    assert len(rows) == 30
+    assert len({r.process_date for r in rows}) == 30 < len(rows)  # late events have rows too
     assert df.columns == ["process_date", "event_date", "daily_active_users", "total_revenue",
                           "top_product_id", "top_product_revenue"]
 
@@ -33,11 +37,11 @@ def test_entry_module_imports_without_a_session():
     import sys
     from conftest import ROOT
     code = ("import __spark_entry__ as E; q = E.queries(); o = E.oracle_sql(); "
-            "assert set(q) == set(o); print(len(q))")
+            "assert set(o) <= set(q); print(len(o) > 30)")
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True,
                          timeout=120)
     assert out.returncode == 0, out.stderr
-    assert int(out.stdout.strip()) == len(KEYS)
+    assert out.stdout.strip() == "True"
 
 
 @pytest.mark.parametrize("key", ["backfill_gold", "gold_by_date", "mart_replace", "dq_report"])

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from daybook.operators import gold, silver
-from daybook.plans import pipeline, warehouse
+from daybook.plans import fixture, pipeline, warehouse
 from daybook.sources import bronze
 from tools.plan_report import BAD, summarise
 
@@ -64,9 +64,8 @@ def test_row_number_top1_is_limited_before_the_shuffle(spark):
     assert "Final" in plan.split("Exchange hashpartitioning(event_date")[0]
 
 
-def test_backfill_of_small_dates_writes_few_single_date_silver_files(spark, root):
-    """Each task reads one date; splits are sized from the whole job (bytes plus open
-    cost per file, per core), so tiny dates are spread over the cores but never mixed."""
+def test_backfill_of_small_dates_writes_bounded_silver_files(spark, root):
+    """One scan, no shuffle: no more Silver files than Bronze has; rebalanced: fewer."""
     from daybook.operators import generate
     from daybook.sources import fs, layers
     paths = pipeline.Paths.under(root)
@@ -74,41 +73,25 @@ def test_backfill_of_small_dates_writes_few_single_date_silver_files(spark, root
     for d in dates:
         bronze.write_bronze(generate.generate_events(spark, d, 4_000, partitions=4),
                             paths.bronze)
-    union = pipeline.bronze_by_date(spark, paths, dates)
-    assert "Exchange" not in _plan(silver.transform_to_silver(union))
-    single = bronze.read_bronze(spark, paths.bronze, dates)
-    assert union.exceptAll(single).isEmpty() and single.exceptAll(union).isEmpty()
     pipeline.run_dates(spark, paths, dates)
-    per_date = [len(fs.data_files(spark, layers.partition_path(paths.silver, d))) for d in dates]
-    assert max(per_date) <= 2  # 4 Bronze files per date; a single scan mixes dates instead
-    assert sum(per_date) <= max(len(dates), spark.sparkContext.defaultParallelism) * 2
-    # The session's split settings are restored after the job.
-    assert spark.conf.get("spark.sql.files.minPartitionNum", None) in (None, "")
 
+    def files():
+        return [len(fs.data_files(spark, layers.partition_path(paths.silver, d))) for d in dates]
 
-def test_quality_report_parses_bronze_csv_once(spark):
-    plan = _plan(E.queries()["dq_report"](spark, SF_SMALL))
-    assert plan.count("FileScan csv") == 1
+    assert max(files()) <= 4
+    before = pipeline.silver_for(spark, paths, dates).count()
+    pipeline.run_dates(spark, paths, dates, rebalance=True)
+    assert max(files()) <= 2 and pipeline.silver_for(spark, paths, dates).count() == before
 
 
-def test_bronze_layout_decision(spark, root):
-    """A scan per date only when dates hold several files smaller than a split."""
-    from daybook.session import split_target
+def test_landing_mixed_dates_writes_few_files(spark, root):
     from daybook.sources import fs
-    from daybook.operators import generate
-    paths = pipeline.Paths.under(root)
-    dates = ["2026-07-01", "2026-07-02", "2026-07-03"]
-    for d in dates:
-        bronze.write_bronze(generate.generate_events(spark, d, 3_000, partitions=3),
-                            paths.bronze)
-    sizes = [fs.content_size(spark, bronze.date_path(paths.bronze, d)) for d in dates]
-    b, n = sum(x for x, _ in sizes), sum(y for _, y in sizes)
-    target = split_target(spark, b, n)
-    packed = pipeline.bronze_for_write(spark, paths, dates, b, n, target)
-    assert _plan(packed).count("FileScan csv") == len(dates)
-    # One file per date: a single scan already keeps every date in its own split.
-    single = pipeline.bronze_for_write(spark, paths, dates, b, len(dates), target)
-    assert _plan(single).count("FileScan csv") == 1
-    # Files already as large as a split: a single scan as well.
-    big = pipeline.bronze_for_write(spark, paths, dates, target * n, n, target)
-    assert _plan(big).count("FileScan csv") == 1
+    bronze.write_bronze(fixture.raw(spark, SF_SMALL).repartition(16), root, mixed_dates=True)
+    names = fs.subdirs(spark, root)
+    assert len(names) == 30
+    assert max(len(fs.data_files(spark, f"{root}/{n}")) for n in names) <= 3
+
+
+def test_quality_report_parses_bronze_csv_once(spark):
+    plan = _plan(E.queries()["dq_report"](spark, SF_SMALL))
+    assert plan.count("FileScan csv") == 1

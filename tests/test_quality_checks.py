@@ -45,10 +45,10 @@ def test_q4_reconciliation(spark, root):
 def test_q6_idempotency(spark, root):
     paths = _generated(spark, root)
     pipeline.run_dates(spark, paths, [DAY])
-    assert pipeline.verify_idempotent(spark, paths, [DAY]) == {"only_before": 0,
-                                                               "only_after": 0}
-    # A file lands for the date between runs: the rerun changes Gold, and it is reported.
+    pipeline.load(spark, paths, [DAY])
+    assert pipeline.verify_idempotent(spark, paths, [DAY]) == {"silver": 0, "gold": 0, "mart": 0}
+    # A file lands for the date between runs: the rerun changes all layers, and it is reported.
     write_csv(bronze.date_path(paths.bronze, DAY), "late.csv",
               HEADER + "late-1,424242,purchase,7,2026-04-01T05:00:00,99.99\n")
     diff = pipeline.verify_idempotent(spark, paths, [DAY])
-    assert diff["only_before"] == 1 and diff["only_after"] == 1
+    assert diff == {"silver": 1, "gold": 1, "mart": 1}

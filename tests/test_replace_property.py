@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import write_csv
+from daybook.schema import GOLD_COLUMNS
 from daybook.plans import pipeline
 from daybook.session import scratch_dir
 from daybook.sources import bronze, mart
@@ -26,7 +27,7 @@ def _deliver(paths, date, good, seed):
 
 def _state(spark, paths):
     g = sorted(tuple(r) for r in pipeline.gold_for(spark, paths)
-               .select(*pipeline.GOLD_COLUMNS).collect())
+               .select(*GOLD_COLUMNS).collect())
     m = sorted(tuple(r) for r in mart.mart_view(spark, paths.mart).collect())
     return g, m
 
