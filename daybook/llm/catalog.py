@@ -78,5 +78,64 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "op9_language_model": op9_language_model, "op10_toxicity": op10_toxicity}
 
 
+# Bytes of all texts, windows of 50 of them by sha256, and what a window of a document with
+# a smaller id covers.
+_OP3 = r"""
+WITH bytes AS (
+  SELECT doc_id, unnest(range(1, octet_length(b) + 1)) AS i,
+         unnest(regexp_extract_all(hex(b), '..')) AS byte
+  FROM (SELECT doc_id, encode(COALESCE(text, '')) AS b FROM documents)),
+windows AS (
+  SELECT doc_id, i, byte,
+         COUNT(*) OVER ahead AS n, sha256(STRING_AGG(byte, '') OVER ahead) AS h
+  FROM bytes
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+marked AS (
+  SELECT doc_id, i, byte, n = 50 AND MIN(doc_id) OVER (PARTITION BY n, h) < doc_id AS again
+  FROM windows),
+judged AS (
+  SELECT doc_id, i, byte, BOOL_OR(again) OVER (
+           PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM marked),
+edges AS (
+  SELECT *, gone AND NOT COALESCE(LAG(gone) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS opens
+  FROM judged),
+totals AS (
+  SELECT doc_id, COUNT(*) AS n_bytes, COUNT(*) FILTER (WHERE gone) AS n_removed,
+         COUNT(*) FILTER (WHERE opens) AS n_spans,
+         STRING_AGG(byte, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM edges GROUP BY doc_id)
+SELECT d.doc_id, COALESCE(n_bytes, 0) AS n_bytes, COALESCE(n_removed, 0) AS n_removed,
+       COALESCE(n_spans, 0) AS n_spans, sha256(unhex(COALESCE(kept, ''))) AS kept_sha256
+FROM documents d LEFT JOIN totals USING (doc_id)
+"""
+
+# The same for windows of 35 words that stand at two places or more.
+_OP5 = r"""
+WITH words AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents)),
+windows AS (
+  SELECT doc_id, i, word,
+         COUNT(*) OVER ahead AS n, sha256(STRING_AGG(word, ' ') OVER ahead) AS h
+  FROM words
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+marked AS (
+  SELECT doc_id, i, word, n = 35 AND COUNT(*) OVER (PARTITION BY n, h) > 1 AS again FROM windows),
+judged AS (
+  SELECT doc_id, i, word, BOOL_OR(again) OVER (
+           PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM marked),
+totals AS (
+  SELECT doc_id, COUNT(*) AS n_words, COUNT(*) FILTER (WHERE gone) AS n_removed,
+         STRING_AGG(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM judged GROUP BY doc_id)
+SELECT d.doc_id, COALESCE(n_words, 0) AS n_words, COALESCE(n_removed, 0) AS n_removed,
+       sha256(COALESCE(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN totals USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the operators that SQL can express; tests hold the others to brute force."""
+    return {"op3_suffix_array": _OP3, "op5_suffix_tree": _OP5}

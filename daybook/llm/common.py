@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +19,16 @@ BATCH_BYTES = 8 << 20
 
 
 def session_of(df: DataFrame) -> SparkSession:
-    """The session of ``df``, set to hand texts to Python in small batches."""
+    """The session of ``df``, set to hand texts to Python in small batches.
+
+    Python workers of a local master find this package where the driver found it; a
+    cluster gets it with the application.
+    """
     spark = df.sparkSession
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
