@@ -89,7 +89,11 @@ def spans_of(symbols: np.ndarray, sizes: np.ndarray, length: int, gram: int) ->
     stop = np.flatnonzero(~inside | np.append(new, True))
     count = stop[np.searchsorted(stop, first, side="right")] - first
     place = anchor[first]
-    return Spans(first, count, place, grams[place])
+    # anchors have the smallest hashes about them: mixed anew, they spread over all owners
+    with np.errstate(over="ignore"):
+        spread = grams[place] * _MIX
+        spread ^= spread >> np.uint64(32)
+    return Spans(first, count, place, spread * _BASE)
 
 
 def repeated_anchors(chunks: DataFrame, symbols_of, length: int, gram: int, owners: int,
