@@ -112,7 +112,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     at = [i / n for i in range(1, n)] or [0.5]
     found = rows.agg(F.percentile_approx("doc_id", at, 10_000).alias("b")).head()["b"]
     rows = rows.withColumn("bucket", _bucket(F.col("doc_id"), sorted(set(found or []))))
-    tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top"))
+    # one row for each range: without the hint the texts are shuffled to find their heads
+    tops = F.broadcast(rows.groupBy("bucket").agg(F.max("doc_id").alias("top")))
     heads = (rows.alias("r").join(tops.alias("t"), F.col("r.doc_id").eqNullSafe(F.col("t.top"))
                                   & (F.col("r.bucket") == F.col("t.bucket")))
              .groupBy("r.bucket").agg(F.max("r.text").alias("text")))
