@@ -26,10 +26,9 @@ from daybook.llm.common import crc32_mod, id_and_text, rows_of, session_of
 SLOTS = 1 << 18
 FACTORS = 4
 PER_CLASS = 6_000
-# Of the slots that so many sampled texts have, those that tell the labels apart best by
-# chi-square get weights; the others stay at 0.
-LEAST_TEXTS = 4
-ACTIVE_SLOTS = 2_048
+# Sampled texts that a slot's factors need to count by half: a term of few texts cannot pair
+# up with the rest of its text and so learn that text by heart.
+TRUST_TEXTS = 100
 STEMS = (4, 6)
 EPOCHS = 12
 MINI_BATCH = 64
@@ -86,12 +85,14 @@ class Machine:
 
 
 def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float, factors: int = FACTORS,
-        epochs: int = EPOCHS, rate: float = 0.1, lasso: float = 3e-4, ridge: float = 1e-3,
-        seed: int = 11) -> Machine:
+        epochs: int = EPOCHS, rate: float = 0.3, lasso: float = 3e-4,
+        group_lasso: float = 5e-4, seed: int = 11) -> Machine:
     """Fit by AdaGrad on the logistic loss; ``prior`` is the share of label 1 to reckon with.
 
-    Linear weights are drawn to zero by ``lasso``, factors by ``ridge``. Without texts, or
-    with one label only, the machine is the prior alone.
+    Every slot of the texts has a weight and factors. In every step, also where no text of
+    the batch has the slot, weights are drawn to zero by ``lasso`` and a slot's factors as a
+    group by ``group_lasso``: what a slot keeps is what its texts bear out. Without texts,
+    or with one label only, the machine is the prior alone.
     """
     prior = min(max(prior, 1e-4), 1 - 1e-4)
     machine = Machine(math.log(prior / (1 - prior)), np.zeros(SLOTS, np.float32),
@@ -99,15 +100,28 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float, factors: int
     labels = np.asarray(labels, np.float64)
     if len(texts) == 0 or labels.min() == labels.max():
         return machine
-    active = _telling(texts, labels)
+    seen = np.bincount(np.concatenate(texts), minlength=SLOTS)
+    active = np.flatnonzero(seen)
     place = np.full(SLOTS, -1)
     place[active] = np.arange(len(active))
-    rows = [(p := place[t])[p >= 0] for t in texts]
+    rows = [place[t] for t in texts]
+    trust = (seen[active] / (seen[active] + TRUST_TEXTS))[:, None]
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(active)), rng.normal(0, 0.01, (len(active), factors))
-    gw, gv = np.full(len(active), 1e-6), np.full((len(active), factors), 1e-6)
+    w, v = np.zeros(len(active)), rng.normal(0, 0.05, (len(active), factors))
+    gw, gv = np.full(len(active), 1e-3), np.full(len(active), 1e-3)
+    step, drawn = 0, np.zeros(len(active), np.int64)  # steps whose lasso a slot has had
     share = labels.mean()
     w0 = math.log(share / (1 - share))
+
+    def draw(slots: np.ndarray) -> None:
+        due = step - drawn[slots]
+        pull = rate / np.sqrt(gw[slots]) * lasso * due
+        w[slots] = np.sign(w[slots]) * np.maximum(np.abs(w[slots]) - pull, 0)
+        length = np.sqrt((v[slots] ** 2).sum(1)) + 1e-12
+        pull = rate / np.sqrt(gv[slots]) * group_lasso * due
+        v[slots] *= np.maximum(1 - pull / length, 0)[:, None]
+        drawn[slots] = step
+
     for _ in range(epochs):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), MINI_BATCH):
@@ -117,44 +131,32 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float, factors: int
             index = np.concatenate([rows[i] for i in batch])
             sizes = np.array([len(rows[i]) for i in batch])
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            vx = v[index]
+            slots, inverse = np.unique(index, return_inverse=True)
+            draw(slots)
+            vx = v[index] * trust[index]
             sums = np.add.reduceat(vx, starts)
             margin = (w0 + np.add.reduceat(w[index], starts) + 0.5 * (
                 (sums ** 2).sum(1) - np.add.reduceat((vx ** 2).sum(1), starts)))
             miss = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[batch]
             miss_at = np.repeat(miss, sizes)
-            slots, inverse = np.unique(index, return_inverse=True)
             by_slot = np.argsort(inverse, kind="stable")
             heads = np.searchsorted(inverse[by_slot], np.arange(len(slots)))
             step_w = np.add.reduceat(miss_at[by_slot], heads) / len(batch)
-            step_v = miss_at[:, None] * (np.repeat(sums, sizes, axis=0) - vx)
-            step_v = np.add.reduceat(step_v[by_slot], heads) / len(batch) + ridge * v[slots]
+            step_v = miss_at[:, None] * trust[index] * (np.repeat(sums, sizes, axis=0) - vx)
+            step_v = np.add.reduceat(step_v[by_slot], heads) / len(batch)
             gw[slots] += step_w ** 2
-            gv[slots] += step_v ** 2
-            pace = rate / np.sqrt(gw[slots])
-            moved = w[slots] - pace * step_w
-            w[slots] = np.sign(moved) * np.maximum(np.abs(moved) - pace * lasso, 0)
-            v[slots] -= 0.1 * rate / np.sqrt(gv[slots]) * step_v
+            gv[slots] += (step_v ** 2).sum(1)
+            w[slots] -= rate / np.sqrt(gw[slots]) * step_w
+            v[slots] -= (rate / np.sqrt(gv[slots]))[:, None] * step_v
             w0 -= 0.1 * rate * miss.mean()
+            step += 1
+    draw(np.arange(len(active)))
     # the sample's label share is not that of all labelled rows
     machine.w0 = w0 + math.log(prior / (1 - prior)) - math.log(share / (1 - share))
-    machine.w[active], machine.v[active] = w, v
+    machine.w[active], machine.v[active] = w, v * trust
     return machine
 
 
-def _telling(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Slots of at least ``LEAST_TEXTS`` texts with the highest chi-square, ascending."""
-    toxic = [t for t, y in zip(texts, labels) if y]
-    seen = np.bincount(np.concatenate(texts), minlength=SLOTS).astype(float)
-    bad = np.bincount(np.concatenate(toxic), minlength=SLOTS)
-    n, share = len(texts), labels.mean()
-    usual = seen * share
-    spread = usual * (1 - share) * np.maximum(1 - seen / n, 1e-9)
-    chi = np.where(seen >= LEAST_TEXTS, (bad - usual) ** 2 / np.maximum(spread, 1e-9), -1.0)
-    best = np.argsort(-chi, kind="stable")[:ACTIVE_SLOTS]
-    return np.sort(best[chi[best] >= 0])
-
-
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
           per_class: int = PER_CLASS) -> Machine:
     """Fit on the labelled rows for which ``usable`` (over doc_id) holds.

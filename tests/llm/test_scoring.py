@@ -123,6 +123,34 @@ def test_pairs_of_terms_are_learned(spark):
     assert right >= np.mean([(linear.score(slots[i]) >= 0.5) == y[i] for i in test])
 
 
+def test_rare_pair_among_many_terms_is_learned():
+    """Terms that alone tell nothing, and over 10,000 others, at the epochs of production."""
+    rng = random.Random(5)
+
+    def text(*more):
+        return " ".join([*(f"word{rng.randrange(12000)}" for _ in range(40)), *more])
+
+    rows = []
+    for i in range(4000):
+        u = rng.random()
+        if i % 180 == 7:  # both terms are as frequent in toxic texts as in clean ones
+            rows.append((text("jerk", "tribe"), 1))
+        elif u < 0.11:
+            rows.append((text(f"slur{rng.randrange(20)}"), 1))
+        else:
+            rows.append((text(*["tribe"] * (u < 0.16), *["jerk"] * (0.16 <= u < 0.21)), 0))
+    terms = toxicity._Terms()
+    slots, y = [terms.of(t) for t, _ in rows], np.array([t for _, t in rows])
+    assert len(np.unique(np.concatenate(slots))) > 10_000
+    machine = toxicity.fit(slots, y, y.mean())
+
+    def called_toxic(*more):
+        return np.mean([machine.score(terms.of(text(*more))) >= 0.5 for _ in range(200)])
+
+    assert called_toxic("jerk", "tribe") > 0.5 and called_toxic("slur3") > 0.9
+    assert max(called_toxic("jerk"), called_toxic("tribe"), called_toxic()) < 0.02
+
+
 def test_toxicity_learns_only_from_training_rows(spark):
     rows, labels = [], []
     for i in range(600):
