@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"),
          ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
-# The trees are fitted on at most this many labelled urls, those of the smallest hashes;
-# everything else covers all rows.
+# The trees are fitted on at most this many distinct labelled urls, half of them of each
+# verdict, those of the smallest hashes, weighted by their rows and by their verdict's share
+# of all labelled rows; everything else covers all rows.
 TRAIN_ROWS = 20_000
 TREES = 12
 DEPTH = 3
@@ -90,12 +91,13 @@ def with_features(pages: DataFrame) -> DataFrame:
         "suffix": F.substring_index(host, ".", -1)})
 
 
-def with_suffix_statistics(pages: DataFrame) -> DataFrame:
+def with_suffix_statistics(pages: DataFrame) -> tuple[DataFrame, int, int]:
     """Add, by host suffix, the share of all urls and the blocked share of labelled ones.
 
     Both come from all rows; the blocked share is drawn to that of all labelled urls by the
     weight of ten of them, so a suffix without labels gets just that. The statistics have a
-    row for each suffix; Spark joins them by their real size.
+    row for each suffix; Spark joins them by their real size. Also returned are the numbers
+    of all labelled and all blocked rows.
     """
     by = pages.groupBy("suffix").agg(
         F.count("*").alias("n"), F.count("rule_verdict").alias("labelled"),
@@ -103,11 +105,35 @@ def with_suffix_statistics(pages: DataFrame) -> DataFrame:
     total = by.agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"),
                    F.sum("blocked").alias("blocked")).head()
     n = total["n"] or 1
-    prior = (total["blocked"] or 0) / (total["labelled"] or 1)
+    labelled, blocked = total["labelled"] or 0, total["blocked"] or 0
+    prior = blocked / (labelled or 1)
     stats = by.select("suffix", (F.col("n") / n).alias("suffix_share"),
                       ((F.col("blocked") + 10 * prior) / (F.col("labelled") + 10))
                       .alias("suffix_blocked"))
-    return pages.join(stats, "suffix", "left")
+    return pages.join(stats, "suffix", "left"), labelled, blocked
+
+
+def training_urls(rows: DataFrame, n_labelled: int, n_blocked: int,
+                  train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """Distinct labelled urls with features, label and weight, half of ``train_rows`` a verdict.
+
+    A url weighs as many rows as it has; all of a verdict together weigh its share of all
+    labelled rows, a row 1 on average over the sample's urls.
+    """
+    urls = (rows.filter("rule_verdict IS NOT NULL").groupBy("url")
+            .agg(F.count("*").alias("n"), F.first("rule_verdict").alias("rule_verdict"),
+                 *[F.first(c).alias(c) for c in FEATURES]))
+    picks = [urls.filter(F.col("rule_verdict") == kind).orderBy(F.xxhash64("url"), "url")
+             .limit(max(train_rows // 2, 1)) for kind in ("allow", "block")]
+    picked = (picks[0].unionByName(picks[1])
+              .withColumn("label", (F.col("rule_verdict") == "block").cast("double")).cache())
+    held = {r["label"]: r for r in picked.groupBy("label")
+            .agg(F.sum("n").alias("n"), F.count("*").alias("urls")).collect()}
+    total = sum(r["urls"] for r in held.values())
+    share = {1.0: n_blocked / n_labelled, 0.0: 1 - n_blocked / n_labelled}
+    each = {kind: share[kind] * total / r["n"] for kind, r in held.items()}
+    return picked.withColumn("weight", F.col("n") * F.when(F.col("label") == 1.0, each[1.0])
+                             .otherwise(each[0.0]))
 
 
 def judge(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -118,20 +144,18 @@ def judge(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS) -> DataFr
     If the rules label no url, or all alike, there is nothing to tell apart: the rest gets the
     one verdict seen, or ``allow``. ``p_block`` is the trees' probability, null for rules.
     """
-    rows = with_suffix_statistics(with_features(with_rule(with_parts(pages), rules)))
-    labelled = (rows.filter("rule_verdict IS NOT NULL")
-                .withColumn("label", (F.col("rule_verdict") == "block").cast("double"))
-                .orderBy(F.xxhash64("url"), "url").limit(train_rows))
-    kinds = [r["label"] for r in labelled.select("label").distinct().collect()]
+    rows, n_labelled, n_blocked = with_suffix_statistics(
+        with_features(with_rule(with_parts(pages), rules)))
     columns = ["page_id", "host", "path", "rule"]
-    if len(kinds) < 2:
-        rest = "block" if kinds == [1.0] else "allow"
+    if n_blocked in (0, n_labelled):
+        rest = "block" if n_blocked else "allow"
         return rows.select(*columns, F.coalesce("rule_verdict", F.lit(rest)).alias("verdict"),
                            F.lit(None).cast("double").alias("p_block"))
+    train = training_urls(rows, n_labelled, n_blocked, train_rows)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = assembler.transform(labelled).select("features", "label").cache()
-    model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES,
-                          maxDepth=DEPTH, seed=7).fit(train)
+    train = assembler.transform(train).select("features", "label", "weight").cache()
+    model = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
+                          maxIter=TREES, maxDepth=DEPTH, seed=7).fit(train)
     train.unpersist()
     scored = model.transform(assembler.transform(rows))
     p_block = F.when(F.col("rule").isNull(), vector_to_array("probability")[1])

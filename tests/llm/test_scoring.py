@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from daybook.llm import language_model as lm
@@ -240,6 +241,20 @@ def test_trees_learn_what_the_rules_show(spark):
     assert sum((r.verdict == "block") == bool(r.page_id % 2) for r in rest) > 380
 
 
+def test_copies_of_a_url_leave_room_for_the_others(spark):
+    rules = [("allow", "good.org", "/"), ("block", "bad.org", "/")]
+    good = [f"http://good.org/{w}" for w in "abcdefghijklmnopqrst"]
+    bad = [f"http://bad.org/{i}?a={i}&b=1&c=2" for i in range(10, 30)]
+    hashes = {u: xxhash.xxh64_intdigest(u, 42) for u in good + bad}
+    hot = min(good + bad, key=lambda u: (hashes[u] + (1 << 63)) % (1 << 64))
+    rows = list(enumerate(good + bad + [hot] * 300 + ["http://x.net/abc", "http://x.net/7?a=7&b=1&c=2"]))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(pages, rules, train_rows=40).collect()}
+    assert len(got) == len(rows)
+    assert (got[340].verdict, got[341].verdict) == ("allow", "block")
+    assert got[340].p_block is not None
+
+
 def test_url_edges(spark):
     def pages(rows):
         return spark.createDataFrame(rows, "page_id long, url string")
