@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import crc32_mod, id_and_text, rows_of, session_of
+from daybook.llm.common import BATCH_ROWS, crc32_mod, id_and_text, rows_of, session_of
 
 SLOTS = 1 << 18
 FACTORS = 4
@@ -163,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
 
     ``labels`` needs ``doc_id`` and ``toxic``. Rows with a null id or label are no labels;
     of several labels of an id the highest counts. The sample is joined to the texts as a
-    broadcast of at most twice ``per_class`` ids.
+    broadcast of at most twice ``per_class`` ids; of several rows of an id the one of the
+    least text hash counts.
     """
     session_of(docs)
     marked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -179,15 +180,24 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
     picked = F.broadcast(picks[0].unionByName(picks[1]))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = _Terms()
-        for batch in batches:
+        terms, least = _Terms(), {}  # at most the picked ids
+        for doc_id, toxic, text_hash, text in rows_of(batches, "doc_id", "toxic", "text_hash",
+                                                      "text"):
+            if doc_id not in least or text_hash < least[doc_id][1]:
+                least[doc_id] = toxic, text_hash, terms.of(text).astype("<i4").tobytes()
+        held = list(least.items())
+        for at in range(0, len(held), BATCH_ROWS):
+            ids, rows = zip(*held[at:at + BATCH_ROWS])
+            toxic, hashes, slots = zip(*rows)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"),
-                "slots": pa.array([terms.of(t).astype("<i4").tobytes()
-                                   for t in batch.column("text").to_pylist()], pa.binary())})
+                "doc_id": pa.array(ids, pa.int64()), "toxic": pa.array(toxic, pa.int32()),
+                "text_hash": pa.array(hashes, pa.int64()), "slots": pa.array(slots, pa.binary())})
 
     found = (id_and_text(docs).join(picked, "doc_id")
-             .mapInArrow(features, "doc_id long, toxic int, slots binary").collect())
+             .select("doc_id", "toxic", F.xxhash64("text").alias("text_hash"), "text")
+             .mapInArrow(features, "doc_id long, toxic int, text_hash long, slots binary")
+             .groupBy("doc_id").agg(F.min(F.struct("text_hash", "toxic", "slots")).alias("row"))
+             .select("doc_id", "row.toxic", "row.slots").collect())
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), bytes(r["slots"])))
     return fit([np.frombuffer(r["slots"], "<i4").astype(np.int64) for r in found],
                np.array([r["toxic"] for r in found]), counts.get(1, 0) / total if total else 0.5)

@@ -152,6 +152,22 @@ def test_rare_pair_among_many_terms_is_learned():
     assert max(called_toxic("jerk"), called_toxic("tribe"), called_toxic()) < 0.02
 
 
+def test_repeated_id_gives_the_fit_one_row(spark, monkeypatch):
+    rows = [(i, f"words of {i} {'nasty' if i % 2 else 'kind'}") for i in range(20)]
+    hot = [(3, f"another text {i % 7}") for i in range(1500)]
+    marks = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, prior: seen.append(
+        sorted((bytes(t), int(y)) for t, y in zip(texts, labels))))
+    for partitions in (1, 5):
+        toxicity.train(messy(spark, rows + hot, partitions), marks)
+    text = min({t for i, t in rows + hot if i == 3},
+               key=lambda t: (xxhash.xxh64_intdigest(t, 42) + (1 << 63)) % (1 << 64))
+    terms = toxicity._Terms()
+    want = sorted((bytes(terms.of(t if i != 3 else text)), i % 2) for i, t in rows)
+    assert seen == [want, want]
+
+
 def test_toxicity_learns_only_from_training_rows(spark):
     rows, labels = [], []
     for i in range(600):
