@@ -69,13 +69,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import centroids
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label)
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daybook.llm import mixing
+    return mixing.mixed_documents(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_packing": op1_packing, "op2_decontamination": op2_decontamination,
             "op3_suffix_array": op3_suffix_array,
             "op4_token_files": op4_token_files,
             "op5_suffix_tree": op5_suffix_tree, "op6_url_filter": op6_url_filter, "op7_fingerprints": op7_fingerprints,
             "op8_simhash": op8_simhash,
-            "op9_language_model": op9_language_model, "op10_toxicity": op10_toxicity}
+            "op9_language_model": op9_language_model, "op10_toxicity": op10_toxicity,
+            "op11_centroids": op11_centroids, "op12_hard_negatives": op12_hard_negatives,
+            "op13_mixing": op13_mixing}
 
 
 # Bytes of all texts, windows of 50 of them by sha256, and what a window of a document with
@@ -136,6 +154,74 @@ FROM documents d LEFT JOIN totals USING (doc_id)
 """
 
 
+_OP11_ROUND = """
+a{0} AS MATERIALIZED (
+  SELECT v.row, MIN(STRUCT_PACK(d := {2}, k := c.k)) AS best
+  FROM v CROSS JOIN c{0} c GROUP BY v.row),
+c{1} AS MATERIALIZED (
+  SELECT c.k, COALESCE(m.c, c.c) AS c
+  FROM c{0} c LEFT JOIN (
+    SELECT k, LIST(mean ORDER BY i) AS c
+    FROM (SELECT k, i, (s - ((s % n) + n) % n) // n AS mean
+          FROM (SELECT a.best.k AS k, u.i, SUM(u.x) AS s, COUNT(*) AS n
+                FROM a{0} a JOIN u USING (row) GROUP BY a.best.k, u.i)) GROUP BY k) m
+  USING (k)),"""
+_OP11_DISTANCE = ("CAST(list_sum(list_transform(list_zip(v.c, c.c), "
+                  "lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)")
+
+
+def _op11(rounds: int = 10) -> str:
+    """Lloyd's rounds one after another, every vector against all eight centroids."""
+    steps = "".join(_OP11_ROUND.format(r, r + 1, _OP11_DISTANCE) for r in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT ROW_NUMBER() OVER () AS row, vec_id, sha256('3:' || COALESCE(CAST(vec_id AS VARCHAR), '')) AS h,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS MATERIALIZED (SELECT row, unnest(c) AS x, unnest(range(64)) AS i FROM v),
+c0 AS MATERIALIZED (
+  SELECT ROW_NUMBER() OVER (ORDER BY h, vec_id, c) - 1 AS k, c FROM v ORDER BY h, vec_id, c LIMIT 8),
+{steps}
+last AS MATERIALIZED (
+  SELECT v.row, v.vec_id, MIN(STRUCT_PACK(d := {_OP11_DISTANCE}, k := c.k)) AS best
+  FROM v CROSS JOIN c{rounds} c GROUP BY v.row, v.vec_id)
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, best.d AS distance,
+       CAST(SUM(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia,
+       CAST(SUM(best.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM last JOIN c{rounds} c ON c.k = best.k
+"""
+
+
+# Every anchor against all rows.
+_OP12 = """
+WITH r AS MATERIALIZED (
+  SELECT ROW_NUMBER() OVER () AS row, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.row, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.c, b.c) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.row <> b.row WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS at
+  FROM s WHERE same),
+n AS (
+  SELECT p.row, p.at, p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
+         p.score AS positive_score, s.score AS negative_score,
+         ROW_NUMBER() OVER (PARTITION BY p.row, p.at ORDER BY s.score DESC, s.vec_id NULLS LAST) AS rank
+  FROM p JOIN s ON s.row = p.row AND NOT s.same
+  WHERE p.at <= 5 AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+       negative_score
+FROM n WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the operators that SQL can express; tests hold the others to brute force."""
-    return {"op3_suffix_array": _OP3, "op5_suffix_tree": _OP5}
+    return {"op3_suffix_array": _OP3, "op5_suffix_tree": _OP5, "op11_centroids": _op11(),
+            "op12_hard_negatives": _OP12}
