@@ -5,14 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are summed as decimals, which keeps totals exact and independent of
-# partitioning and row order. Eight decimals hold what the events carry, so no amount
-# is rounded to cents before it is added; 22 digits stand before the point.
-MONEY_TYPE = "decimal(30,8)"
-# Type of a sum of amounts.
-MONEY_SUM_TYPE = "decimal(38,8)"
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -27,20 +19,6 @@ def day_name(c) -> Column:
     return F.date_format(_col(c), "E")
 
 
-def money(c) -> Column:
-    """Double amount → exact decimal; NaN, ±Infinity and overflow → NULL."""
-    return _col(c).try_cast(MONEY_TYPE)
-
-
-def money_sum(c) -> Column:
-    """Exact sum of double amounts; NULL if there is none, or the sum has over 30 digits."""
-    return F.try_sum(money(c))
-
-
-def to_double(c) -> Column:
-    return _col(c).cast("double")
-
-
 def layout_columns(date_col="process_date") -> dict[str, Column]:
     """Zero-padded year / month / day text for the directory layout."""
     d = _col(date_col)

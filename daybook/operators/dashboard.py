@@ -76,6 +76,12 @@ def revenue_rounded(mart: DataFrame, date: str) -> DataFrame:
                                       rounded.alias("revenue"), "top_product_id")
 
 
+def status(mart: DataFrame) -> DataFrame:
+    """(row_count, message): what the page has to show, or the message if that is nothing."""
+    count = F.count(F.lit(1))
+    return mart.agg(count.alias("row_count"), F.when(count == 0, F.lit(EMPTY_MESSAGE)).alias("message"))
+
+
 def page(mart: DataFrame) -> dict:
     """Everything the dashboard page shows, from one read of the mart.
 
@@ -85,8 +91,9 @@ def page(mart: DataFrame) -> dict:
     """
     view = mart.select(*MART_COLUMNS).cache()
     try:
-        if view.isEmpty():
-            return {"message": EMPTY_MESSAGE, "kpi": None, "table": []}
+        message = status(view).first()["message"]
+        if message:
+            return {"message": message, "kpi": None, "table": []}
         rows = table(view).collect()
         return {"message": None, "kpi": latest(view).first().asDict(), "table": rows,
                 "dau_series": [(r.metric_date, r.daily_active_users) for r in rows],

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from daybook.functions import money
+from daybook.functions.exact import summable
 from daybook.operators import generate
 from daybook.operators.silver import rejected
 from daybook.schema import BRONZE_COLUMNS, BRONZE_TEXT_DDL, RAW_RECORD
@@ -43,8 +43,8 @@ def _numeric_checks() -> dict[str, Column]:
         & ~F.col("user_id").between(*USER_ID_RANGE),
         "product_id_in_range": F.col("product_id").isNotNull()
         & ~F.col("product_id").between(*PRODUCT_ID_RANGE),
-        # NaN, ±Infinity or 1e22 and above: the exact revenue sum leaves it out.
-        "amount_summable": amount.isNotNull() & money("amount").isNull(),
+        # NaN or ±Infinity: the exact revenue sum leaves it out.
+        "amount_summable": amount.isNotNull() & ~summable("amount"),
         "amount_not_negative": amount < 0,
         "purchase_amount_in_range": (etype == "purchase") & amount.isNotNull()
         & ~amount.between(lo, hi),
@@ -165,6 +165,42 @@ def layer_digest(rows: DataFrame, columns=None) -> DataFrame:
         F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("digest"))
 
 
+# Metrics of so many dates go into one observation; more dates take several.
+OBSERVED_DATES = 64
+
+
+class WriteDigest:
+    """Row count and digest of each date, observed while the rows are written.
+
+    The metrics are conditional aggregates in the write's own job (``DataFrame.observe``):
+    the hash is computed once a row, for its own date. Nothing is read again.
+    """
+
+    def __init__(self, dates, columns):
+        dates = list(dates)
+        self.columns = list(columns)
+        self.groups = [(dates[i:i + OBSERVED_DATES], Observation())
+                       for i in range(0, len(dates), OBSERVED_DATES)]
+
+    def observe(self, df: DataFrame) -> DataFrame:
+        for dates, seen in self.groups:
+            hashed = f"CAST(xxhash64({', '.join(self.columns)}) AS DECIMAL(38,0))"
+            metrics = [F.expr(e) for i, d in enumerate(dates) for own in [f"process_date = DATE'{d}'"]
+                       for e in (f"count_if({own}) AS n{i}",
+                                 f"sum(CASE WHEN {own} THEN {hashed} END) AS h{i}")]
+            df = df.observe(seen, *metrics)
+        return df
+
+    def by_date(self) -> dict[str, dict]:
+        """After the write: date -> row_count and digest, for dates that have rows."""
+        found = {}
+        for dates, seen in self.groups:
+            got = seen.get
+            found |= {d: {"row_count": got[f"n{i}"], "digest": str(got[f"h{i}"])}
+                      for i, d in enumerate(dates) if got[f"n{i}"]}
+        return found
+
+
 def changed_dates(before: DataFrame, after: DataFrame) -> DataFrame:
     """(process_date, row_count, unchanged) of two :func:`layer_digest` results."""
     old = before.select("process_date", F.struct("row_count", "digest").alias("old"))

@@ -23,7 +23,8 @@ WITH raw AS (
               WHEN event_id % 43 = 0 THEN CAST(ts - INTERVAL 1 DAY AS VARCHAR)
               ELSE CAST(ts AS VARCHAR) END AS event_timestamp,
          CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 67 = 0 THEN '12.3.4'
-              WHEN event_id % 79 = 0 THEN 'NaN' WHEN event_id % 73 = 0 THEN '1e25'
+              WHEN event_id % 79 = 0 THEN 'NaN' WHEN event_id % 997 = 0 THEN '1e25'
+              WHEN event_id % 73 = 0 THEN '1e-9'
               WHEN event_id % 83 = 0 THEN '-5.25' WHEN event_id % 23 = 0 THEN '9999.125'
               WHEN event_type = 'purchase' THEN CAST(value AS VARCHAR) ELSE '0.0' END AS amount_text,
          CAST(ts AS DATE) AS process_date
@@ -31,7 +32,7 @@ WITH raw AS (
 bronze AS (
   SELECT *, TRY_CAST(user_text AS INT) AS user_id, TRY_CAST(product_text AS INT) AS product_id,
          TRY_CAST(amount_text AS DOUBLE) AS amount,
-         TRY_CAST(amount_text AS DECIMAL(30,8)) AS money
+         TRY_CAST(amount_text AS DECIMAL(38,9)) AS money
   FROM raw),
 parsed AS (SELECT *, TRY_CAST(event_timestamp AS TIMESTAMP) AS ts_parsed FROM bronze),
 silver AS (
@@ -305,6 +306,57 @@ UNION ALL SELECT MAX(process_date) + 1, '0 stopped', CAST(0 AS BIGINT) FROM bron
 """)
 
 
+_METRIC_DATES = """
+, ma AS (SELECT event_date, COUNT(DISTINCT user_id) AS users, SUM(money) AS rev
+         FROM silver GROUP BY event_date),
+mp AS (SELECT event_date, product_id, SUM(money) AS r FROM silver GROUP BY event_date, product_id),
+mk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_date
+                                    ORDER BY r DESC NULLS LAST, product_id) AS rn FROM mp),
+metric AS (SELECT ma.event_date AS metric_date, CAST(users AS INT) AS daily_active_users,
+                  CAST(rev AS DOUBLE) AS total_revenue, product_id AS top_product_id,
+                  CAST(r AS DOUBLE) AS top_product_revenue
+           FROM ma JOIN mk ON ma.event_date = mk.event_date AND rn = 1)
+"""
+_reg("metric_dates", _METRIC_DATES + "SELECT * FROM metric")
+_reg("metric_kpi", _METRIC_DATES + """
+SELECT metric_date, daily_active_users, total_revenue,
+       COALESCE(top_product_revenue, CAST(0.0 AS DOUBLE)) AS top_product_revenue
+FROM metric ORDER BY metric_date DESC LIMIT 1
+""")
+_reg("metric_dau_series", _METRIC_DATES + """
+SELECT metric_date, daily_active_users FROM metric ORDER BY metric_date
+""")
+_reg("metric_revenue_series", _METRIC_DATES + """
+SELECT metric_date, total_revenue FROM metric ORDER BY metric_date
+""")
+_reg("late_files_gold", GOLD_OUT)
+_reg("resumed_backfill", GOLD_OUT)
+_reg("lost_commit", """
+SELECT 'lost' AS state, process_date, metric_date, total_revenue FROM mart
+UNION ALL SELECT 'done again', process_date, metric_date, CAST(-1 AS DOUBLE) FROM mart
+""")
+
+
+_reg("header_report", """
+SELECT DISTINCT process_date,
+       CASE day(process_date) % 7
+         WHEN 0 THEN 'amount,event_timestamp,product_id,event_type,user_id,event_id'
+         WHEN 3 THEN 'event_id,user_id,event_type,product_id,event_timestamp,amount,source'
+         WHEN 5 THEN 'event_id,user_id,product_id,event_timestamp,amount'
+         ELSE 'event_id,user_id,event_type,product_id,event_timestamp,amount' END AS header,
+       CASE WHEN day(process_date) % 7 = 5 THEN 'event_type' ELSE '' END AS missing,
+       CASE WHEN day(process_date) % 7 = 3 THEN 'source' ELSE '' END AS extra,
+       day(process_date) % 7 = 0 AS reordered, day(process_date) % 7 NOT IN (0, 3, 5) AS passed
+FROM bronze
+""")
+_reg("bronze_by_name", """
+SELECT process_date, event_id, user_id,
+       CASE WHEN day(process_date) % 7 <> 5 THEN event_type END AS event_type, product_id,
+       event_timestamp, amount
+FROM bronze
+""")
+
+
 def _draw(salt: str) -> str:
     return (f"CAST('0x' || substr(md5('{FIXED_DATE}:{salt}:' || CAST(event_id AS VARCHAR)), 1, 8)"
             f" AS BIGINT)")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from daybook.operators import dashboard, generate, gold, quality, silver
 from daybook.plans import fixture, pipeline, warehouse
 from daybook.schema import (BRONZE_COLUMNS, GOLD_COLUMNS, MART_COLUMNS, SILVER_COLUMNS,
                             SILVER_SCHEMA)
-from daybook.session import configure
-from daybook.sources import bronze, layers, mart
+from daybook.session import configure, scratch_dir
+from daybook.sources import bronze, file_index, headers, layers, mart, versions
 
 GOLD_KEYS = pipeline.GOLD_KEYS
 
@@ -198,12 +199,78 @@ def empty_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, _ = warehouse.fresh_layers(spark, sf_dir)
     target = pipeline.Paths(bronze=base.bronze, silver=base.silver, gold=base.gold,
                             mart=paths.mart)
-    states = []
+    states = None
     for state, gold_root in (("loaded", base.gold), ("cleared", paths.gold)):
         pipeline.load(spark, replace(target, gold=gold_root), dates)
-        page = dashboard.page(mart.mart_view(spark, target.mart))
-        states.append((state, len(page["table"]), page["message"] == dashboard.EMPTY_MESSAGE))
-    return spark.createDataFrame(states, "state string, row_count long, message_shown boolean")
+        # the view follows the commit it was made at, so the next load does not change it
+        found = dashboard.status(mart.mart_view(spark, target.mart)).select(
+            F.lit(state).alias("state"), "row_count",
+            (F.col("message") == dashboard.EMPTY_MESSAGE).alias("message_shown"))
+        found = found.fillna(False, ["message_shown"])
+        states = found if states is None else states.unionByName(found)
+    return states
+
+
+# --- Metric dates over all arrivals, late files, commits -----------------------------------
+
+def _metric_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, _ = warehouse.build(spark, sf_dir)
+    return pipeline.metric_dates(spark, paths)
+
+
+def metric_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each metric date over all arrivals, merged from the stored parts."""
+    return _metric_dates(spark, sf_dir)
+
+
+def metric_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.latest(_metric_dates(spark, sf_dir))
+
+
+def metric_dau_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.series(_metric_dates(spark, sf_dir), "daily_active_users")
+
+
+def metric_revenue_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.series(_metric_dates(spark, sf_dir), "total_revenue")
+
+
+def late_files_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after every date's files came in two deliveries, the second taken in as late files."""
+    paths = pipeline.Paths.under(scratch_dir(spark, "late"))
+    raw, late = fixture.raw(spark, sf_dir), F.xxhash64("event_id", "user_id") % 5 == 0
+    bronze.write_bronze(raw.where(~late), paths.bronze, mixed_dates=True)
+    dates = warehouse.bronze_dates(spark, paths.bronze)
+    pipeline.run_dates(spark, paths, dates)
+    bronze.add_files(raw.where(late), paths.bronze)
+    pipeline.apply_late_files(spark, paths)
+    return pipeline.gold_for(spark, paths).select(*GOLD_COLUMNS)
+
+
+def lost_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader of the mart finds after a load whose commit record was cut off, and after
+    the load was done again: (state, metric_date, process_date, total_revenue)."""
+    base, dates = warehouse.build(spark, sf_dir)
+    paths, _ = warehouse.fresh_layers(spark, sf_dir)
+    target = replace(paths, silver=base.silver, gold=base.gold)
+    pipeline.load(spark, target, dates)
+    changed = pipeline.gold_for(spark, base, dates).withColumn("total_revenue", F.lit(-1.0))
+    rows = mart.mart_rows_from_gold(changed)
+    versions.lose_commit(spark, target.mart, layers.write_version(rows, target.mart))
+    states = [("lost", mart.read_mart(spark, target.mart))]
+    layers.replace_dates(spark, rows, target.mart, dates)
+    states.append(("done again", mart.read_mart(spark, target.mart)))
+    columns = ["process_date", "metric_date", "total_revenue"]
+    return reduce(DataFrame.unionByName,
+                  [df.select(F.lit(state).alias("state"), *columns) for state, df in states])
+
+
+def resumed_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of a backfill that stopped after Silver and was resumed."""
+    paths, dates = warehouse.fresh_layers(spark, sf_dir)
+    pipeline.run_silver(spark, paths, dates)
+    pipeline.backfill(spark, paths, min(dates), max(dates), resume=True)
+    return pipeline.gold_for(spark, paths).select(*GOLD_COLUMNS)
 
 
 # --- Gates ----------------------------------------------------------------------------------
@@ -224,12 +291,36 @@ def bronze_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Bronze gate for every day from before the first to after the last arrival date."""
     paths, dates = warehouse.build(spark, sf_dir)
     day = datetime.timedelta(days=1)
-    asked = pipeline.date_range(
+    return file_index.present(
+        file_index.known_files(spark, paths.files),
         (datetime.date.fromisoformat(min(dates)) - day).isoformat(),
         (datetime.date.fromisoformat(max(dates)) + day).isoformat())
-    have, _ = bronze.present_dates(spark, paths.bronze, asked)
-    return spark.createDataFrame([(datetime.date.fromisoformat(d), d in set(have)) for d in asked],
-                                 "process_date date, present boolean")
+
+
+def _odd_headers(spark: SparkSession, sf_dir: str) -> pipeline.Paths:
+    """Bronze of the given events whose files have other headers on some days of the month."""
+    paths = pipeline.Paths.under(scratch_dir(spark, "headers"))
+    raw, day = fixture.raw(spark, sf_dir), F.dayofmonth("process_date") % 7
+    kinds = {0: BRONZE_COLUMNS[::-1], 3: [*BRONZE_COLUMNS, "source"],
+             5: [c for c in BRONZE_COLUMNS if c != "event_type"]}
+    bronze.write_bronze(raw.where(~day.isin(*kinds)), paths.bronze, mixed_dates=True)
+    for k, columns in kinds.items():
+        rows = raw.where(day == k).withColumn("source", F.lit("app"))
+        bronze.add_files(rows, paths.bronze, columns)
+    return paths
+
+
+def header_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every Bronze file's header against the declared columns, one row a date and header."""
+    found = pipeline.header_report(spark, _odd_headers(spark, sf_dir))
+    lists = [F.array_join(c, ",").alias(c) for c in ("header", "missing", "extra")]
+    return found.select("process_date", *lists, "reordered", "passed").distinct()
+
+
+def bronze_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows of files with their columns in any order, or one missing or too many."""
+    paths = _odd_headers(spark, sf_dir)
+    return headers.read_by_name(spark, paths.bronze).select("process_date", *BRONZE_COLUMNS)
 
 
 def gate_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,6 +455,15 @@ _QUERIES = {
     "bronze_present": bronze_present,
     "gate_order": gate_order,
     "idempotency": idempotency,
+    "metric_dates": metric_dates,
+    "metric_kpi": metric_kpi,
+    "metric_dau_series": metric_dau_series,
+    "metric_revenue_series": metric_revenue_series,
+    "late_files_gold": late_files_gold,
+    "lost_commit": lost_commit,
+    "resumed_backfill": resumed_backfill,
+    "header_report": header_report,
+    "bronze_by_name": bronze_by_name,
 }
 
 

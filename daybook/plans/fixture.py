@@ -25,7 +25,8 @@ REPEATED_ID_EVERY = 17
 NULL_AMOUNT_EVERY = 53
 BAD_AMOUNT_EVERY = 67
 NAN_AMOUNT_EVERY = 79
-HUGE_AMOUNT_EVERY = 73
+HUGE_AMOUNT_EVERY = 997
+TINY_AMOUNT_EVERY = 73
 NEGATIVE_AMOUNT_EVERY = 83
 TIED_AMOUNT_EVERY = 23
 BAD_USER_TEXT = "user-x"
@@ -33,6 +34,7 @@ BAD_PRODUCT_TEXT = "none"
 BAD_TIMESTAMP_TEXT = "garbage"
 BAD_AMOUNT_TEXT = "12.3.4"
 HUGE_AMOUNT_TEXT = "1e25"
+TINY_AMOUNT_TEXT = "1e-9"
 NEGATIVE_AMOUNT_TEXT = "-5.25"
 TIED_AMOUNT_TEXT = "9999.125"
 
@@ -67,6 +69,7 @@ def raw_from_events(events: DataFrame) -> DataFrame:
          .when(every(BAD_AMOUNT_EVERY), F.lit(BAD_AMOUNT_TEXT))
          .when(every(NAN_AMOUNT_EVERY), F.lit("NaN"))
          .when(every(HUGE_AMOUNT_EVERY), F.lit(HUGE_AMOUNT_TEXT))
+         .when(every(TINY_AMOUNT_EVERY), F.lit(TINY_AMOUNT_TEXT))
          .when(every(NEGATIVE_AMOUNT_EVERY), F.lit(NEGATIVE_AMOUNT_TEXT))
          .when(every(TIED_AMOUNT_EVERY), F.lit(TIED_AMOUNT_TEXT))
          .when(F.col("event_type") == "purchase", F.col("value").cast("string"))

@@ -12,12 +12,15 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.operators import gold as gold_ops
+from daybook.operators import parts, quality
 from daybook.operators import silver as silver_ops
-from daybook.schema import GOLD_COLUMNS, GOLD_SCHEMA, MART_COLUMNS, SILVER_SCHEMA
+from daybook.schema import (GOLD_COLUMNS, GOLD_SCHEMA, MART_COLUMNS, SILVER_COLUMNS,
+                            SILVER_SCHEMA)
 from daybook.session import configure, session_sized_for
-from daybook.sources import bronze, fs, layers, mart
+from daybook.sources import bronze, file_index, headers, layers, mart, versions
 
 log = logging.getLogger("daybook.pipeline")
 
@@ -43,6 +46,19 @@ class Paths:
                    gold=f"{root}/gold/daily_metrics",
                    mart=f"{root}/mart/daily_metrics")
 
+    @property
+    def files(self) -> str:
+        """The index of the Bronze files that were taken in."""
+        return f"{self.silver.rstrip('/')}_files"
+
+    @property
+    def revenue_parts(self) -> str:
+        return f"{self.gold.rstrip('/')}_parts/revenue"
+
+    @property
+    def user_parts(self) -> str:
+        return f"{self.gold.rstrip('/')}_parts/users"
+
 
 @dataclass
 class RunResult:
@@ -50,6 +66,8 @@ class RunResult:
     missing: list[str] = field(default_factory=list)
     cleared_silver: list[str] = field(default_factory=list)
     cleared_gold: list[str] = field(default_factory=list)
+    reused_silver: list[str] = field(default_factory=list)
+    reused_gold: list[str] = field(default_factory=list)
 
 
 def normalize_dates(dates) -> list[str]:
@@ -75,64 +93,219 @@ def gold_for(spark: SparkSession, paths: Paths, dates=None) -> DataFrame:
     return layers.read_layer(spark, paths.gold, GOLD_SCHEMA, dates)
 
 
-def silver_plan(spark: SparkSession, paths: Paths, dates, rebalance: bool = False) -> DataFrame:
+def silver_plan(spark: SparkSession, paths: Paths, dates, rebalance: bool = False,
+                by_name: bool = False) -> DataFrame:
     """Cleaned Bronze of ``dates``: one scan for any number of dates, no shuffle.
 
     A task writes a file for each date it reads, so Silver has at most as many files as
     Bronze has files and splits. ``rebalance`` brings the rows of a date together first
     (AQE splits large dates and merges small ones): fewer files where Bronze has very many
-    small ones, for the price of one shuffle of all rows.
+    small ones, for the price of one shuffle of all rows. ``by_name`` binds columns by each
+    file's header instead of by position.
     """
-    cleaned = silver_ops.transform_to_silver(bronze.read_bronze(spark, paths.bronze, dates))
+    read = headers.read_by_name if by_name else bronze.read_bronze
+    cleaned = silver_ops.transform_to_silver(read(spark, paths.bronze, dates))
     return cleaned.hint("rebalance", "process_date") if rebalance else cleaned
 
 
+def revenue_parts_for(spark: SparkSession, paths: Paths, dates=None) -> DataFrame:
+    """Stored revenue parts of the arrival dates (all when None)."""
+    return layers.read_layer(spark, paths.revenue_parts, parts.REVENUE_SCHEMA, dates)
+
+
+def user_sets_for(spark: SparkSession, paths: Paths, dates=None) -> DataFrame:
+    """Stored user sets of the arrival dates (all when None)."""
+    return layers.read_layer(spark, paths.user_parts, parts.USERS_SCHEMA, dates)
+
+
+def parts_plans(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(revenue parts, user sets) of Silver rows, a file or more for each arrival date."""
+    return (gold_ops.revenue_parts(silver, GOLD_KEYS).hint("rebalance", "process_date"),
+            parts.user_sets(silver, GOLD_KEYS).hint("rebalance", "process_date"))
+
+
 def gold_plan(spark: SparkSession, paths: Paths, dates) -> DataFrame:
-    """Gold of the Silver rows of ``dates``: a row per date pair, one file per arrival date."""
-    daily = gold_ops.aggregate_to_gold(silver_for(spark, paths, dates), GOLD_KEYS)
+    """Gold from the stored parts of ``dates``: a row per date pair, one file per arrival date."""
+    daily = parts.arrival_gold(revenue_parts_for(spark, paths, dates), user_sets_for(spark, paths, dates))
     return daily.repartition("process_date")
 
 
-def run_dates(spark: SparkSession, paths: Paths, dates, rebalance: bool = False) -> RunResult:
-    """Bronze → Silver → Gold for many arrival dates: one Silver job, one Gold job.
+def metric_dates(spark: SparkSession, paths: Paths) -> DataFrame:
+    """One row for each metric date over all its arrival dates, from the stored parts."""
+    return parts.metric_dates(revenue_parts_for(spark, paths), user_sets_for(spark, paths))
+
+
+def _made_from(spark: SparkSession, root: str) -> dict[str, str | None]:
+    return {d: e.made_from for d, e in versions.read_state(spark, root).dates.items()}
+
+
+def _unchanged_bronze(spark: SparkSession, paths: Paths, seen: dict) -> None:
+    """Raise if files came or went while they were read: rows and index would not agree."""
+    now = file_index.delivered(file_index.list_files(spark, paths.bronze, list(seen)))
+    if now != seen:
+        changed = sorted(d for d in seen if now.get(d) != seen[d])
+        raise GateError(f"Bronze files changed during the run, nothing was replaced: {changed}")
+
+
+def _observed(df: DataFrame, dates, columns, check=None):
+    """(df, notes): rows and digest of each date, taken while ``df`` is written.
+
+    ``notes`` runs ``check`` first, if given, and gives the facts that go into the commit.
+    """
+    digest = quality.WriteDigest(dates, columns)
+
+    def notes() -> dict[str, dict]:
+        if check:
+            check()
+        return digest.by_date()
+
+    return digest.observe(df), notes
+
+
+def _write_gold(spark: SparkSession, paths: Paths, dates, silver: DataFrame | None,
+                made_from: dict[str, str]) -> list[str]:
+    """Parts of ``silver`` (those stored, if None) and the Gold rows they make."""
+    if silver is not None:
+        revenue, users = parts_plans(silver)
+        layers.replace_dates(spark, revenue, paths.revenue_parts, dates, made_from=made_from)
+        layers.replace_dates(spark, users, paths.user_parts, dates, made_from=made_from)
+    rows, notes = _observed(gold_plan(spark, paths, dates), dates, GOLD_COLUMNS[1:])
+    return layers.replace_dates(spark, rows, paths.gold, dates, made_from=made_from, notes=notes)
 
-    Dates without Bronze files are reported in ``missing`` and skipped. Both jobs run in a
-    session of their own, whose shuffle partitions follow the input's size. A Bronze file
-    with a wrong header fails the Silver job before anything is replaced.
+
+def run_silver(spark: SparkSession, paths: Paths, dates, rebalance: bool = False,
+               resume: bool = False, by_name: bool = False) -> tuple[RunResult, dict, SparkSession]:
+    """Bronze → Silver: the first half of :func:`run_dates`.
+
+    Returns the result so far, what each date has (``file_index.Delivered``), and the session
+    of the run, whose shuffle partitions follow the input's size.
     """
     configure(spark)
-    have, missing = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
+    asked = normalize_dates(dates)
+    listed = file_index.list_files(spark, paths.bronze, asked)
+    seen = file_index.delivered(listed)
+    have, missing = [d for d in asked if d in seen], [d for d in asked if d not in seen]
     result = RunResult(dates=have, missing=missing)
     if missing:
         log.warning("no Bronze files for %d date(s): %s", len(missing), missing)
     if not have:
-        return result
-    sizes = fs.map_paths(lambda p: fs.content_size(spark, p),
-                         [bronze.date_path(paths.bronze, d) for d in have])
-    input_bytes = sum(b for b, _ in sizes)
+        return result, seen, spark
+    input_bytes = sum(x.bytes for x in seen.values())
     own = configure(session_sized_for(spark, input_bytes))
     log.info("run %d date(s) %s..%s: %d Bronze bytes in %d files, %s shuffle partitions",
-             len(have), have[0], have[-1], input_bytes, sum(n for _, n in sizes),
+             len(have), have[0], have[-1], input_bytes, sum(x.files for x in seen.values()),
              own.conf.get("spark.sql.shuffle.partitions"))
+    if resume:
+        done = _made_from(spark, paths.silver)
+        result.reused_silver = [d for d in have if done.get(d) == seen[d].fingerprint]
+    todo = [d for d in have if d not in result.reused_silver]
+    if todo:
+        rows, notes = _observed(silver_plan(own, paths, todo, rebalance, by_name), todo, SILVER_COLUMNS,
+                                lambda: _unchanged_bronze(own, paths, {d: seen[d] for d in todo}))
+        try:
+            with bronze.header_errors():
+                result.cleared_silver = layers.replace_dates(
+                    own, rows, paths.silver, todo, notes=notes,
+                    made_from={d: seen[d].fingerprint for d in todo})
+        except bronze.HeaderError as e:
+            raise GateError(f"Bronze header check failed: {e}") from e
+        file_index.remember(own, listed.where(F.col("process_date").cast("string").isin(todo)),
+                            paths.files, todo)
+    return result, seen, own
+
+
+def run_dates(spark: SparkSession, paths: Paths, dates, rebalance: bool = False,
+              resume: bool = False, by_name: bool = False) -> RunResult:
+    """Bronze → Silver → parts → Gold for many arrival dates: one job a table.
+
+    Dates without Bronze files are reported in ``missing`` and skipped. A Bronze file with a
+    wrong header, or files that change while they are read, fail the run before anything is
+    replaced. The commits name the files a date was made from: with ``resume`` a date whose
+    Silver (or parts and Gold) was made from the files that are there is not made again, so
+    a run that stopped goes on where it stopped. With ``by_name`` files may have their columns
+    in any order, or some missing (see ``sources.headers``).
+    """
+    result, seen, own = run_silver(spark, paths, dates, rebalance, resume, by_name)
+    files = {d: x.fingerprint for d, x in seen.items()}
+    if resume:
+        steps = [_made_from(spark, p) for p in (paths.revenue_parts, paths.user_parts, paths.gold)]
+        result.reused_gold = [d for d in result.dates if all(s.get(d) == files[d] for s in steps)]
+    todo = [d for d in result.dates if d not in result.reused_gold]
+    if todo:
+        result.cleared_gold = _write_gold(own, paths, todo, silver_for(own, paths, todo),
+                                          {d: files[d] for d in todo})
+    log.info("cleared Silver %s, Gold %s", result.cleared_silver, result.cleared_gold)
+    return result
+
+
+def apply_late_files(spark: SparkSession, paths: Paths, dates=None) -> RunResult:
+    """Take in the Bronze files that came since their dates were run, and only those.
+
+    The new files' rows and parts are added beside what their dates have, and Gold of those
+    dates is made by merging the stored parts: neither Bronze nor Silver is read again. A date
+    that was not run yet, whose known files changed or went, or whose tables do not agree
+    (a run stopped between them) is run in full. Without new files nothing is written.
+    """
+    configure(spark)
+    asked = None if dates is None else normalize_dates(dates)
+    listed = file_index.list_files(spark, paths.bronze, asked)
+    known = file_index.known_files(spark, paths.files, asked)
+    late = file_index.late_files(listed, known)
+    by_date = {r["process_date"].isoformat(): r["changed"] for r in
+               late.groupBy("process_date").agg(F.bool_or("changed").alias("changed")).collect()}
+    known_as = file_index.delivered(known)
+    tables = [_made_from(spark, p) for p in (paths.silver, paths.revenue_parts, paths.user_parts)]
+    agrees = {d for d, x in known_as.items() if all(t.get(d) == x.fingerprint for t in tables)}
+    added = sorted(d for d, changed in by_date.items() if d in agrees and not changed)
+    whole = sorted((by_date.keys() | (known_as.keys() - agrees)) - set(added))
+    gold = _made_from(spark, paths.gold)
+    stale = sorted(d for d in agrees - by_date.keys() if gold.get(d) != known_as[d].fingerprint)
+    result = run_dates(spark, paths, whole) if whole else RunResult(dates=[])
+    if stale:  # a run stopped before Gold
+        _write_gold(spark, paths, stale, None, {d: known_as[d].fingerprint for d in stale})
+        result.dates += stale
+    if not added:
+        return result
+    seen = {d: x for d, x in file_index.delivered(listed).items() if d in added}
+    files = {d: x.fingerprint for d, x in seen.items()}
+    new = late.where(F.col("process_date").cast("string").isin(added)).select(
+        "process_date", "path", "length", "modified")
+    names = [r["path"] for r in new.select("path").collect()]  # the new files of this call
+    own = configure(session_sized_for(spark, sum(x.bytes for x in seen.values())))
     try:
         with bronze.header_errors():
-            result.cleared_silver = layers.replace_dates(
-                own, silver_plan(own, paths, have, rebalance), paths.silver, have)
+            rows = silver_ops.transform_to_silver(bronze.read_files(own, paths.bronze, names))
+            written = layers.write_version(rows, paths.silver)
     except bronze.HeaderError as e:
         raise GateError(f"Bronze header check failed: {e}") from e
-    result.cleared_gold = layers.replace_dates(own, gold_plan(own, paths, have), paths.gold, have)
-    log.info("cleared Silver %s, Gold %s", result.cleared_silver, result.cleared_gold)
+    _unchanged_bronze(own, paths, seen)
+    # a file without a good row adds no folder, but its date is made from it all the same
+    folders = {d: [written[d]] if d in written else [] for d in added}
+    new_rows = layers.read_layer(own, paths.silver, SILVER_SCHEMA, folders=list(written.values()))
+    revenue, users = parts_plans(new_rows)
+    parts_written = [(paths.silver, folders)]
+    for root, plan in ((paths.revenue_parts, revenue), (paths.user_parts, users)):
+        at = layers.write_version(plan, root)
+        parts_written.append((root, {d: [at[d]] if d in at else [] for d in added}))
+    for root, by in parts_written:
+        versions.commit(own, root, {d: versions.Entry(f, files[d]) for d, f in by.items()}, append=True)
+    file_index.remember(own, listed.where(F.col("process_date").cast("string").isin(added)),
+                        paths.files, added)
+    result.cleared_gold += _write_gold(own, paths, added, None, files)
+    result.dates += added
     return result
 
 
 def plans_for(spark: SparkSession, paths: Paths, dates) -> dict[str, DataFrame]:
     """The Silver and Gold DataFrames a run of ``dates`` would write (not executed).
 
-    Gold is planned over the current Silver of those dates; for ``explain()``.
+    Parts and Gold are planned over the current Silver and parts of those dates; for ``explain()``.
     """
     configure(spark)
     have, _ = bronze.present_dates(spark, paths.bronze, normalize_dates(dates))
-    return {"silver": silver_plan(spark, paths, have), "gold": gold_plan(spark, paths, have)}
+    revenue, users = parts_plans(silver_for(spark, paths, have))
+    return {"silver": silver_plan(spark, paths, have), "revenue parts": revenue, "user sets": users,
+            "gold": gold_plan(spark, paths, have)}
 
 
 def daily_run(spark: SparkSession, paths: Paths, date: str) -> RunResult:
@@ -141,9 +314,13 @@ def daily_run(spark: SparkSession, paths: Paths, date: str) -> RunResult:
     return run_dates(spark, paths, [date])
 
 
-def backfill(spark: SparkSession, paths: Paths, start: str, end: str) -> RunResult:
-    """All arrival dates from ``start`` to ``end`` in one job per layer."""
-    return run_dates(spark, paths, date_range(start, end))
+def backfill(spark: SparkSession, paths: Paths, start: str, end: str,
+             resume: bool = False) -> RunResult:
+    """All arrival dates from ``start`` to ``end`` in one job per layer.
+
+    With ``resume``, dates that an earlier run has finished are not made again.
+    """
+    return run_dates(spark, paths, date_range(start, end), resume=resume)
 
 
 def load(spark: SparkSession, paths: Paths, dates, jdbc_url: str | None = None,
@@ -158,7 +335,8 @@ def load(spark: SparkSession, paths: Paths, dates, jdbc_url: str | None = None,
         from daybook.sources import jdbc
         jdbc.load_mart_jdbc(spark, gold_for(spark, paths, dates), jdbc_url, dates, jdbc_table,
                             jdbc_props)
-    cleared = mart.load_mart(spark, gold_for(spark, paths, dates), paths.mart, dates)
+    rows, notes = _observed(mart.mart_rows_from_gold(gold_for(spark, paths, dates)), dates, MART_COLUMNS)
+    cleared = layers.replace_dates(spark, rows, paths.mart, dates, notes=notes)
     log.info("mart loaded for %d date(s); cleared %s", len(dates), cleared)
     return cleared
 
@@ -191,43 +369,41 @@ def check_mart_count(spark: SparkSession, paths: Paths, date: str,
     return n
 
 
-def layer_digests(spark: SparkSession, paths: Paths, dates) -> dict[str, DataFrame]:
-    """Count and hash per arrival date of Silver, Gold and mart (without the load time)."""
-    from daybook.operators import quality
-    stored = mart.read_mart(spark, paths.mart, dates)
-    return {"silver": quality.layer_digest(silver_for(spark, paths, dates)),
-            "gold": quality.layer_digest(gold_for(spark, paths, dates)),
-            "mart": quality.layer_digest(stored, MART_COLUMNS)}
-
-
 def rerun_report(spark: SparkSession, paths: Paths, dates) -> DataFrame:
     """Run and load ``dates`` again: (layer, process_date, row_count, unchanged).
 
-    The digests of before are checkpointed to the shared folder (a rerun replaces the
-    files they came from); they have one row per date and layer.
+    Compares the digests that stand in the commits of before and after, which were taken
+    while the rows were written. No layer is read for it.
     """
     from functools import reduce
-    from pyspark.sql import functions as F
-    from daybook.operators import quality
-    from daybook.session import checkpoint_root
-    checkpoint_root(spark)
     dates = list(dates)
-    before = {k: d.checkpoint(eager=True) for k, d in layer_digests(spark, paths, dates).items()}
+    roots = {"silver": paths.silver, "gold": paths.gold, "mart": paths.mart}
+    before = {k: versions.read_state(spark, r).number for k, r in roots.items()}
     done = run_dates(spark, paths, dates)
     load(spark, paths, done.dates)
-    parts = [quality.changed_dates(before[k], d).select(F.lit(k).alias("layer"), "*")
-             for k, d in layer_digests(spark, paths, dates).items()]
-    return reduce(DataFrame.unionByName, parts)
+    of_dates = F.col("process_date").cast("string").isin(normalize_dates(dates))
+
+    def digests(layer: str, number: int) -> DataFrame:
+        return versions.state_frame(spark, roots[layer], number).where(of_dates)
+
+    return reduce(DataFrame.unionByName, [
+        quality.changed_dates(digests(k, n), digests(k, versions.read_state(spark, roots[k]).number))
+        .select(F.lit(k).alias("layer"), "*") for k, n in before.items()])
 
 
 def verify_idempotent(spark: SparkSession, paths: Paths, dates) -> dict[str, int]:
     """Run and load the dates again; per layer, the number of dates whose rows changed."""
-    from pyspark.sql import functions as F
     counts = (rerun_report(spark, paths, dates).groupBy("layer")
               .agg(F.count_if(~F.col("unchanged")).alias("n")).collect())  # three rows
     return {layer: 0 for layer in ("silver", "gold", "mart")} | {r["layer"]: r["n"] for r in counts}
 
 
+def header_report(spark: SparkSession, paths: Paths, dates=None) -> DataFrame:
+    """A row for each Bronze file: its header and what differs from the declared columns (Q8)."""
+    listed = file_index.list_files(spark, paths.bronze, None if dates is None else normalize_dates(dates))
+    return headers.header_report(headers.read_headers(spark, paths.bronze, listed))
+
+
 # The report checks a run must pass; the others are reported, not enforced.
 REQUIRED_CHECKS = ("bronze_rows", "silver_rows", "gold_rows", "rows_reconciled",
                    "silver_null_keys", "amount_summable")
@@ -235,7 +411,6 @@ REQUIRED_CHECKS = ("bronze_rows", "silver_rows", "gold_rows", "rows_reconciled",
 
 def quality_report(spark: SparkSession, paths: Paths, dates=None):
     """The per-date quality report over all four layers (see operators.quality.report)."""
-    from daybook.operators import quality
     if dates is not None:
         dates = normalize_dates(dates)
     return quality.report(bronze.read_bronze_checked(spark, paths.bronze, dates),
@@ -248,7 +423,6 @@ def check_report(spark: SparkSession, paths: Paths, dates, required=REQUIRED_CHE
 
     Collects only the failed rows of the required checks (at most dates × checks).
     """
-    from pyspark.sql import functions as F
     dates = list(dates)
     rep = quality_report(spark, paths, dates)
     failed = (rep.where(F.col("check").isin(list(required)) & ~F.col("passed"))

@@ -84,6 +84,16 @@ def read_bronze(spark: SparkSession, root: str, dates: Iterable[str] | str | Non
     return _load(spark, root, dates, BRONZE_SCHEMA)
 
 
+def read_files(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
+    """Typed Bronze rows of the files of these names below the root."""
+    if not names:
+        return spark.createDataFrame([], _schema(BRONZE_SCHEMA)).withColumnRenamed(
+            BRONZE_PARTITION, "process_date")
+    at = root.rstrip("/")
+    return (_reader(spark, BRONZE_SCHEMA).option("basePath", at).csv([f"{at}/{n}" for n in names])
+            .withColumnRenamed(BRONZE_PARTITION, "process_date"))
+
+
 def read_bronze_checked(spark: SparkSession, root: str, dates=None) -> DataFrame:
     """Typed Bronze plus ``_raw_record``: the raw line of every row in which a typed
     field failed to convert (NULL otherwise). Same typed values as
@@ -106,10 +116,22 @@ def write_bronze(df: DataFrame, root: str, mixed_dates: bool = False) -> None:
     Values are written as they are: Spark's CSV writer trims surrounding spaces
     unless told not to, and the reader (which does not trim) must get them back.
     """
-    out = df.select(*BRONZE_COLUMNS, F.col("process_date").alias(BRONZE_PARTITION))
+    _write(df, root, "overwrite", mixed_dates)
+
+
+def add_files(df: DataFrame, root: str, columns=None) -> None:
+    """Land further files beside those that the arrival dates have (a late delivery).
+
+    ``columns`` are the file's columns in order, where they differ from the declared ones.
+    """
+    _write(df, root, "append", True, columns or BRONZE_COLUMNS)
+
+
+def _write(df: DataFrame, root: str, mode: str, mixed_dates: bool, columns=BRONZE_COLUMNS) -> None:
+    out = df.select(*columns, F.col("process_date").alias(BRONZE_PARTITION))
     if mixed_dates:
         out = out.hint("rebalance", BRONZE_PARTITION)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .partitionBy(BRONZE_PARTITION).csv(root))

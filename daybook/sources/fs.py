@@ -85,3 +85,51 @@ def delete(spark: SparkSession, path: str) -> bool:
     """Delete ``path`` and everything below it."""
     fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True))
+
+
+def match(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths that a glob pattern names."""
+    fs, p = _fs_path(spark, pattern)
+    return sorted(st.getPath().toString() for st in fs.globStatus(p) or [])
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file (a record of this package); None when absent."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file; False if there is one of this name already."""
+    fs, p = _fs_path(spark, path)
+    try:
+        stream = fs.create(p, False)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e) or "already exists" in str(e).lower():
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return True
+
+
+def same_path(a: str, b: str) -> bool:
+    """Whether two path texts name the same place (``file:/x`` and ``file:///x``)."""
+    def plain(path: str) -> str:
+        return path.replace(":///", ":/").removeprefix("file:").rstrip("/")
+    return plain(a) == plain(b)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system's scheme."""
+    fs, p = _fs_path(spark, path)
+    return fs.makeQualified(p).toString()

@@ -1,21 +1,15 @@
 """Silver, Gold and mart tables: Parquet laid out as ``year=/month=/day=`` of the
 arrival date, replaced per date.
 
-Replace semantics: a write replaces exactly the arrival dates present in the
-data (dynamic partition overwrite). New files are staged first, so a job that fails
-before its commit leaves the old date as it was. The commit itself is not atomic: it
-deletes a date's old files and then moves the new ones in, date by date, and an object
-store copies instead of moving. A reader in that moment, or a driver lost in it, can
-find a date empty or in part; a rerun of the date puts it right. Readers that need
-more should go through a table format with snapshots, or the JDBC mart, which replaces
-dates in one transaction. A requested date whose rerun produced no rows must also end
-up empty; dynamic overwrite leaves such a partition alone, so it is removed explicitly
-after the commit.
+Replace semantics: a write replaces exactly the dates it names, all of them in one commit
+(see ``versions``). A reader in that moment, and one after a driver that was lost in it, finds
+the old rows of every date or the new ones. A requested date whose rerun produced no rows ends
+up empty. Appending adds a folder to a date and leaves those it has alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +17,7 @@ from pyspark.sql import types as T
 
 from daybook.functions import layout_columns, process_date_from_layout
 from daybook.schema import LAYOUT_COLUMNS
-from daybook.sources import fs
+from daybook.sources import fs, versions
 
 
 # Silver is the largest layer and is read again by Gold and the reports; zstd
@@ -32,68 +26,91 @@ from daybook.sources import fs
 PARQUET_CODEC = "zstd"
 
 
-def partition_path(root: str, date: str) -> str:
+def date_layout(date: str) -> str:
     """The ``year=/month=/day=`` folder of one arrival date (zero-padded)."""
-    y, m, d = date[:4], date[5:7], date[8:10]
-    return f"{root.rstrip('/')}/year={y}/month={m}/day={d}"
+    return f"year={date[:4]}/month={date[5:7]}/day={date[8:10]}"
 
 
-def write_layer(df: DataFrame, root: str, date_col: str = "process_date") -> None:
-    """Write ``df`` below ``root``, replacing the arrival dates it contains."""
+def _date_of(path: str) -> str:
+    return "-".join(part.split("=", 1)[1] for part in path.split("/")[-3:])
+
+
+def date_folders(spark: SparkSession, root: str, date: str) -> list[str]:
+    """Paths of the folders that hold a date's rows now."""
+    entry = versions.read_state(spark, root).dates.get(date)
+    return [f"{versions.data_root(root)}/{f}" for f in entry.folders] if entry else []
+
+
+def write_version(df: DataFrame, root: str, date_col: str = "process_date") -> dict[str, str]:
+    """Write ``df`` under a new version that no reader sees yet: date -> folder."""
+    version = versions.new_version()
     out = df.withColumns(layout_columns(date_col)).drop(date_col)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", PARQUET_CODEC)
-        .partitionBy(*LAYOUT_COLUMNS).parquet(root))
+    at = f"{versions.data_root(root)}/{version}"
+    (out.write.option("compression", PARQUET_CODEC).partitionBy(*LAYOUT_COLUMNS).parquet(at))
+    found = [_date_of(p) for p in fs.match(df.sparkSession, f"{at}/year=*/month=*/day=*")]
+    return {d: f"{version}/{date_layout(d)}" for d in found}
 
 
 def replace_dates(spark: SparkSession, df: DataFrame, root: str, dates: Iterable[str],
-                  date_col: str = "process_date") -> list[str]:
+                  date_col: str = "process_date", made_from: dict[str, str] | None = None,
+                  notes: Callable[[], dict[str, dict]] | None = None) -> list[str]:
     """Write ``df`` and make every date in ``dates`` hold exactly its new rows.
 
-    Returns the dates that were cleared because the new data had no row for them.
-    The commit of a dynamic overwrite empties every partition it writes before
-    moving the new files in, so a partition still holding a file it held before
-    the write was not rewritten. One file name per date is remembered: the check
-    costs one metadata call per date, whatever the number of files.
+    Dates of the data that are not in ``dates`` are replaced as well. Returns the dates that
+    had rows and have none now. ``made_from`` names by date what the rows were made from and
+    ``notes``, asked between the write and the commit, gives facts about them; both stand in
+    the commit. If ``notes`` raises, nothing is replaced.
     """
-    dates = list(dict.fromkeys(dates))
-    before = fs.map_paths(lambda p: fs.first_data_file(spark, p),
-                          [partition_path(root, d) for d in dates])
-    write_layer(df, root, date_col)
-    still = fs.map_paths(lambda f: f is not None and fs.exists(spark, f), before)
-    cleared = [d for d, stale in zip(dates, still) if stale]
-    fs.map_paths(lambda d: fs.delete(spark, partition_path(root, d)), cleared)
-    return cleared
+    written = write_version(df, root, date_col)
+    told = notes() if notes else {}
+    made_from = made_from or {}
+    old = versions.read_state(spark, root).dates
+    changes: dict[str, versions.Entry | None] = {
+        d: versions.Entry([f], made_from.get(d), told.get(d, {})) for d, f in written.items()}
+    for d in dates:
+        if d not in written:  # without rows; what it was made from is kept all the same
+            changes[d] = versions.Entry([], made_from[d], told.get(d, {})) if d in made_from else None
+    versions.commit(spark, root, changes)
+    return [d for d, entry in changes.items()
+            if d in old and old[d].folders and not (entry and entry.folders)]
+
+
+def write_layer(df: DataFrame, root: str, date_col: str = "process_date") -> None:
+    """Write ``df`` below ``root``, replacing the arrival dates it contains."""
+    replace_dates(df.sparkSession, df, root, [], date_col)
 
 
 def read_layer(spark: SparkSession, root: str, schema: T.StructType,
-               dates: Iterable[str] | str | None = None) -> DataFrame:
-    """Rows of the layer plus ``process_date``.
+               dates: Iterable[str] | str | None = None,
+               folders: list[str] | None = None) -> DataFrame:
+    """Rows of the layer plus ``process_date``; of ``folders``, if given, whatever their date.
 
     With ``dates`` only those partition directories are listed and read; without,
     the whole table is read and ``process_date`` filters prune partitions.
     """
     if isinstance(dates, str):
         dates = [dates]
-    # The directory text "01" is typed as the integer 1 by the schema.
-    full = T.StructType(schema.fields + [T.StructField(c, T.IntegerType(), True)
-                                         for c in LAYOUT_COLUMNS])
-    reader = spark.read.schema(full)
-    if dates is None:
-        df = reader.parquet(root) if fs.exists(spark, root) else None
-    else:
-        paths = list(dict.fromkeys(partition_path(root, d) for d in dates))  # each folder once
-        present = [p for p, ok in zip(paths, fs.map_paths(lambda p: fs.exists(spark, p), paths))
-                   if ok]
-        df = reader.option("basePath", root).parquet(*present) if present else None
-    if df is None:
-        df = spark.createDataFrame([], full)
-    return df.withColumn("process_date", process_date_from_layout()).drop(*LAYOUT_COLUMNS)
+    return _read(spark, root, schema, T.IntegerType(), dates, folders).withColumn(
+        "process_date", process_date_from_layout()).drop(*LAYOUT_COLUMNS)
+
+
+def _read(spark: SparkSession, root: str, schema: T.StructType, layout: T.DataType,
+          dates: Iterable[str] | None = None, folders: list[str] | None = None) -> DataFrame:
+    # The directory text "01" is typed by the schema.
+    full = T.StructType(schema.fields + [T.StructField(versions.VERSION_COLUMN, T.StringType(), True)]
+                        + [T.StructField(c, layout, True) for c in LAYOUT_COLUMNS])
+    if folders is None:
+        held = versions.read_state(spark, root).dates
+        asked = held if dates is None else dict.fromkeys(dates)  # each date once
+        folders = [f for d in asked if d in held for f in held[d].folders]
+    base = versions.data_root(root)
+    paths = [f"{base}/{f}" for f in folders]
+    df = (spark.read.schema(full).option("basePath", base).parquet(*paths) if paths
+          else spark.createDataFrame([], full))
+    return df.drop(versions.VERSION_COLUMN)
 
 
 def read_layout(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Rows with the raw ``year/month/day`` partition text kept (as written)."""
-    full = T.StructType(schema.fields + [T.StructField(c, T.StringType(), True)
-                                         for c in LAYOUT_COLUMNS])
-    return spark.read.schema(full).parquet(root).withColumn(
+    return _read(spark, root, schema, T.StringType()).withColumn(
         "process_date", F.to_date(F.concat_ws("-", *LAYOUT_COLUMNS)))

@@ -1,9 +1,8 @@
 """The metrics mart: one row per (arrival date, metric date), replaceable per date.
 
 Stored as a Parquet table partitioned by arrival date. Loading a date replaces
-that date's rows (delete + insert, as one dynamic partition overwrite, see
-``layers`` for what readers may see meanwhile); loading an empty Gold for a date
-clears it. Dashboards read every row: a metric date has a row for each arrival date
+that date's rows (delete + insert in one commit, see ``versions``); loading an empty
+Gold for a date clears it. Dashboards read every row: a metric date has a row for each arrival date
 that brought events of it, so late events show up beside the date's own delivery.
 """
 
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schema import MART_COLUMNS, MART_STORED_SCHEMA
-from daybook.sources import layers
+from daybook.sources import fs, layers, versions
 
 
 def mart_rows_from_gold(gold: DataFrame) -> DataFrame:
@@ -68,17 +67,52 @@ def create_table(spark: SparkSession, root: str, name: str = STORED_TABLE) -> st
     cols = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}"
                      for f in MART_STORED_SCHEMA.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}, year INT, month INT, day INT) "
-              f"USING parquet PARTITIONED BY (year, month, day) LOCATION '{root}'")
+              f"USING parquet PARTITIONED BY (year, month, day) "
+              f"LOCATION '{versions.data_root(root)}'")
     return refresh_table(spark, name)
 
 
 def refresh_table(spark: SparkSession, name: str = STORED_TABLE) -> str:
-    """Sync the catalog's partition list with the folders (new, replaced or cleared dates)."""
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    """Point the catalog's partitions to the folders of the newest commit.
+
+    Dates that are gone or stand in another folder now are dropped and added anew; those
+    that stayed are left alone. One statement for all of a kind.
+    """
+    base = _location(spark, name)
+    held = {d: e.folders for d, e in versions.read_state(spark, base.removesuffix("/data")).dates.items()}
+    if any(len(f) != 1 for f in held.values()):
+        raise ValueError("a catalog partition has one folder: load the mart per date")
+    wanted = {_partition(d): f"{base}/{f[0]}" for d, f in held.items()}
+    known = {}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():  # one row a date
+        spec = tuple(int(part.split("=")[1]) for part in row[0].split("/"))
+        known[spec] = _location(spark, name, spec)
+    same = {s for s, at in known.items() if s in wanted and fs.same_path(at, wanted[s])}
+    gone, new = known.keys() - same, wanted.keys() - same
+    if gone:
+        spark.sql(f"ALTER TABLE {name} DROP " + ", ".join(f"PARTITION ({_spec(s)})" for s in gone))
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD " + " ".join(
+            f"PARTITION ({_spec(s)}) LOCATION '{wanted[s]}'" for s in sorted(new)))
     spark.catalog.refreshTable(name)
     return name
 
 
+def _partition(date: str) -> tuple[int, int, int]:
+    return int(date[:4]), int(date[5:7]), int(date[8:10])
+
+
+def _spec(partition: tuple[int, int, int]) -> str:
+    return "year={}, month={}, day={}".format(*partition)
+
+
+def _location(spark: SparkSession, name: str, partition: tuple[int, int, int] | None = None) -> str:
+    """Folder of the table, or of one of its partitions."""
+    which = f"{name} PARTITION ({_spec(partition)})" if partition else name
+    rows = spark.sql(f"DESCRIBE EXTENDED {which}").collect()
+    return next((r[1] for r in rows if r[0] == "Location"), "").rstrip("/")
+
+
 def create_dashboard_view(spark: SparkSession, table: str = STORED_TABLE,
                           view: str = "daily_metrics") -> str:
     """The dashboard's table, all rows, as a SQL view over the catalog table."""

@@ -293,26 +293,25 @@ def test_replacing_a_date_from_its_own_rows(spark, root):
     assert [r.event_id for r in pipeline.silver_for(spark, paths, ["2026-02-16"]).collect()] \
         == ["a"]
     # The layout is derived from process_date again, so no unpadded twin folder appears.
-    from daybook.sources import fs
-    assert fs.subdirs(spark, f"{paths.silver}/year=2026") == ["month=02"]
-    assert fs.subdirs(spark, f"{paths.silver}/year=2026/month=02") == ["day=16"]
+    (folder,) = layers.date_folders(spark, paths.silver, "2026-02-16")
+    assert folder.endswith("/year=2026/month=02/day=16")
 
 
 def test_layout_across_a_year_boundary(spark, root):
     import datetime as dt
-    from daybook.sources import fs, layers
+    from daybook.sources import layers
     paths = pipeline.Paths.under(root)
     for day in ["2025-12-31", "2026-01-01"]:
         write_csv(bronze.date_path(paths.bronze, day), "a.csv",
                   HEADER + f"a,1,view,10,{day}T23:59:59,1.5\n")
     res = pipeline.backfill(spark, paths, "2025-12-31", "2026-01-01")
     assert res.dates == ["2025-12-31", "2026-01-01"]
-    assert fs.exists(spark, f"{paths.silver}/year=2025/month=12/day=31")
-    assert fs.exists(spark, f"{paths.silver}/year=2026/month=01/day=01")
+    for day, at in (("2025-12-31", "year=2025/month=12/day=31"), ("2026-01-01", "year=2026/month=01/day=01")):
+        (folder,) = layers.date_folders(spark, paths.silver, day)
+        assert folder.endswith(at)
     got = sorted((r.process_date, r.event_date) for r in pipeline.gold_for(spark, paths).collect())
     assert got == [(dt.date(2025, 12, 31), dt.date(2025, 12, 31)),
                    (dt.date(2026, 1, 1), dt.date(2026, 1, 1))]
-    assert layers.partition_path(paths.gold, "2026-01-01").endswith("year=2026/month=01/day=01")
 
 
 def test_folder_with_only_a_success_marker_is_missing(spark, root):

@@ -305,7 +305,8 @@ def test_gold_and_mart_hold_one_file_per_date(spark, landed):
     pipeline.run_dates(spark, p, dates)
     pipeline.load(spark, p, dates)
     for root in (p.gold, p.mart):
-        counts = {len(fs.data_files(spark, layers.partition_path(root, d))) for d in dates}
+        counts = {len(fs.data_files(spark, f)) for d in dates
+                  for f in layers.date_folders(spark, root, d)}
         assert counts == {1}, root
     plan = mart.mart_rows_from_gold(pipeline.gold_for(spark, p))._jdf.queryExecution() \
         .executedPlan().toString()

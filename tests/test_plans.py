@@ -34,8 +34,10 @@ def test_gold_shuffles_only_preaggregated_rows(spark, wh):
     g = gold.aggregate_to_gold(pipeline.silver_for(spark, paths, dates), pipeline.GOLD_KEYS)
     plan = _plan(g)
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    # (keys, user) and (keys) for distinct users; (keys, product) and (keys) for revenue.
-    assert len(exchanges) == 4
+    # Distinct users: (keys, user), then (keys). Revenue: (keys, product, bin) over Silver rows,
+    # then (keys, product) and (keys) for the top product, (keys, bin) and (keys) for the total.
+    # The plan lists (keys, product, bin) for both; it runs once (a reused exchange).
+    assert len(exchanges) == 8 and sum("bin" in e and "product_id" in e for e in exchanges) == 2
     assert any("user_id" in e for e in exchanges) and any("product_id" in e for e in exchanges)
     # Every exchange over scan rows is fed by a partial aggregate.
     for block in re.split(r"Exchange hashpartitioning", plan)[1:]:
@@ -44,6 +46,21 @@ def test_gold_shuffles_only_preaggregated_rows(spark, wh):
     assert schemas and all(len(s.split(",")) <= 3 for s in schemas)
 
 
+def test_parts_are_aggregated_before_their_only_shuffle(spark, wh):
+    paths, dates = wh
+    for df in pipeline.parts_plans(pipeline.silver_for(spark, paths, dates)):
+        plan = _plan(df)
+        keyed = re.findall(r"Exchange hashpartitioning\(([^)]*)\), ENSURE", plan)
+        assert len(keyed) == 1 and "process_date" in keyed[0]
+        below = plan.split("ENSURE_REQUIREMENTS")[-1]
+        assert "partial_" in below and "user_id" not in keyed[0]
+
+
+def test_metric_dates_read_no_silver(spark, wh):
+    plan = _plan(pipeline.metric_dates(spark, wh[0]))
+    assert wh[0].silver not in plan and "_parts/users" in plan and "_parts/revenue" in plan
+
+
 def test_single_date_read_lists_one_partition(spark, wh):
     paths, dates = wh
     plan = _plan(pipeline.silver_for(spark, paths, [dates[0]]))
@@ -76,7 +93,8 @@ def test_backfill_of_small_dates_writes_bounded_silver_files(spark, root):
     pipeline.run_dates(spark, paths, dates)
 
     def files():
-        return [len(fs.data_files(spark, layers.partition_path(paths.silver, d))) for d in dates]
+        return [len(fs.data_files(spark, f)) for d in dates
+                for f in layers.date_folders(spark, paths.silver, d)]
 
     assert max(files()) <= 4
     before = pipeline.silver_for(spark, paths, dates).count()

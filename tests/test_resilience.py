@@ -43,7 +43,8 @@ layers.replace_dates(spark, silver.transform_to_silver(
 from daybook.schema import SILVER_SCHEMA
 a = layers.read_layer(spark, clean_root, SILVER_SCHEMA, [DAY])
 b = layers.read_layer(spark, flaky_root, SILVER_SCHEMA, [DAY])
-files = [n for n, _ in fs.data_files(spark, layers.partition_path(flaky_root, DAY))]
+(folder,) = layers.date_folders(spark, flaky_root, DAY)
+files = [n for n, _ in fs.data_files(spark, folder)]
 from daybook.operators import gold
 keys = ["process_date", "event_date"]
 g_clean = gold.aggregate_to_gold(a, keys)
@@ -55,8 +56,8 @@ gold_same = sorted(map(tuple, g_clean.collect())) == sorted(
     map(tuple, g_back.select(*g_clean.columns).collect()))
 print(json.dumps({"clean": a.count(), "flaky": b.count(),
                   "diff": a.exceptAll(b).count() + b.exceptAll(a).count(),
-                  "leftovers": fs.subdirs(spark, flaky_root + "/year=2026/month=01/day=12"),
-                  "staging": [d for d in fs.subdirs(spark, flaky_root) if d.startswith(".spark")],
+                  "leftovers": fs.subdirs(spark, folder),
+                  "staging": fs.subdirs(spark, folder.split("/year=")[0] + "/_temporary"),
                   "files": len(files), "gold_same": gold_same}))
 '''
 
