@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.centroids import finite, scaled
-from daybook.llm.common import materialize, session_of, shuffle_partitions
+from daybook.llm.common import materialize, session_of
 
 SCALE = 256
 POSITIVES = 5
@@ -365,7 +365,9 @@ def _search(index, anchors: DataFrame, windows, per_leaf, schema: str) -> DataFr
     chunks = max(1, -(-anchors.count() // ANCHORS_AT_ONCE))
     probes = anchors.coalesce(chunks).mapInArrow(
         probe, "leaf int, slice int, anchors binary, queries binary")
-    return blocks.join(probes, ["leaf", "slice"]).drop("leaf", "slice").mapInArrow(meet, schema)
+    # neither side has a proven bound, whatever Spark makes of the sizes of packed rows
+    return (blocks.join(probes.hint("merge"), ["leaf", "slice"]).drop("leaf", "slice")
+            .mapInArrow(meet, schema))
 
 
 def alive_rank(who: np.ndarray) -> np.ndarray:
