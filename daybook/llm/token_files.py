@@ -7,7 +7,7 @@ number of ids). All batches but a file's last hold ``BATCH_SEQUENCES`` sequences
 i is row ``i % BATCH_SEQUENCES`` of batch ``i // BATCH_SEQUENCES``: a memory map finds it
 without reading or copying anything else. Nothing is compressed.
 
-Files follow ascending document ids (null ids first, equal ids by text). Ids are stored in
+Files follow ascending document ids (null ids first, equal ids by a hash of their text). Ids are stored in
 the smallest unsigned type that holds the vocabulary.
 """
 
@@ -29,6 +29,7 @@ from daybook.llm.tokens import END_ID, encoder
 
 SEQ_LEN = 2048
 BATCH_SEQUENCES = 64
+MOST_READERS = 20_000
 
 _MANIFEST = "part int, name string, n_docs long, n_tokens long, n_sequences long"
 _DOC_SCHEMA = pa.schema([("doc_id", pa.int64()), ("offset", pa.int64()),
@@ -119,8 +120,11 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, seq_len: in
             "part": pa.array([part], pa.int32()), "name": [name], "n_docs": [len(entries)],
             "n_tokens": [out.n_tokens], "n_sequences": [out.n_sequences]})
 
-    ordered = (id_and_text(docs).repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", "text"))
+    # the hash and the row number split an id, or a text, that very many rows share
+    keyed = id_and_text(docs).withColumns({"text_hash": F.xxhash64("text"),
+                                           "row": F.monotonically_increasing_id()})
+    order = ["doc_id", "text_hash", "row"]
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     path = f"{out_dir.rstrip('/')}/manifest"
     ordered.mapInArrow(write, _MANIFEST).write.parquet(path)
     return docs.sparkSession.read.schema(_MANIFEST).parquet(path)
@@ -171,13 +175,15 @@ def read_documents(spark: SparkSession, out_dir: str) -> DataFrame:
     """Per document, from the files alone: place among all ids, count and crc32 of its ids.
 
     A file's first place is the sum of the id counts of the files before it, a window over
-    the manifest (a row for each file). Files are read by separate tasks.
+    the manifest (a row for each file). The files are dealt to as many tasks as there are
+    files, up to ``MOST_READERS``: a number of partitions that is asked for stays, while AQE
+    would merge a shuffle of so few and small rows into one task.
     """
     manifest = spark.read.schema(_MANIFEST).parquet(f"{out_dir.rstrip('/')}/manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("part", "name", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))
                             .cast("long").alias("first"))
-    files = files.repartition(F.col("part"))
+    files = files.repartitionByRange(max(1, min(manifest.count(), MOST_READERS)), "part")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _filesystem(out_dir)
