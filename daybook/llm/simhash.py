@@ -143,7 +143,7 @@ def keep_one(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS)
     """``docs``, all columns, with one row of each group of linked rows: that of the least id.
 
     A group without any id keeps the row of the least text hash. Repeated rows of the kept id
-    and text count once (the least of them by text, then the other columns).
+    and text count once (the first of them); other columns may be of any type.
     """
     names, text_hash = docs.columns, F.xxhash64(F.coalesce("text", F.lit("")))
     session_of(docs)
@@ -166,10 +166,12 @@ def keep_one(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS)
             .select("first.*"))
     # a null id joins as 0 beside its flag
     keys = [F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), text_hash]
+    # the text and the row's number decide between rows of one key, whatever other columns hold
     marked = docs.select(*[k.alias(f"_k{i}") for i, k in enumerate(keys)],
-                         F.struct("text", *[c for c in names if c != "text"]).alias("_row"))
+                         F.struct(F.coalesce("text", F.lit("")), F.monotonically_increasing_id()).alias("_order"),
+                         F.struct(*names).alias("_row"))
     wanted = kept.select(F.col("no_id").alias("_k0"), F.coalesce("doc_id", F.lit(0)).alias("_k1"),
                          F.col("text_hash").alias("_k2"))
     by = ["_k0", "_k1", "_k2"]
-    one = marked.join(wanted, by, "left_semi").groupBy(*by).agg(F.min("_row").alias("_row"))
+    one = marked.join(wanted, by, "left_semi").groupBy(*by).agg(F.min_by("_row", "_order").alias("_row"))
     return one.select(*[F.col("_row")[c].alias(c) for c in names])
