@@ -7,6 +7,13 @@ words count together (an insult and a group's name) where neither does alone.
 The machine is fitted on a bounded sample of labelled rows, at most ``PER_CLASS`` of each
 label, those with the smallest id hashes; scoring covers every row. Weights have a fixed size
 (slots times factors), so they are broadcast.
+
+Every slot of the sample has a weight and factors. Weights come first: a slot moves as freely
+as its own evidence (chi-square of its texts against the labels) allows, so a word of one or
+two texts hardly does, however many there are. Factors then learn what the weights leave
+unexplained. How much evidence counts, how strongly factors are held, and for how many
+passes they help, is chosen on a part of the training rows that those fits leave out; the
+fits run as Spark tasks.
 """
 
 from __future__ import annotations
@@ -26,11 +33,18 @@ from daybook.llm.common import BATCH_ROWS, crc32_mod, id_and_text, rows_of, sess
 SLOTS = 1 << 18
 FACTORS = 4
 PER_CLASS = 6_000
-# Sampled texts that a slot's factors need to count by half: a term of few texts cannot pair
-# up with the rest of its text and so learn that text by heart.
-TRUST_TEXTS = 100
+# Chi-squares at which a slot moves at half pace, and pulls on factors, that are tried.
+EVIDENCE = (10.0, 30.0, 100.0)
+HOLDS = (5e-4, 4e-3)
+# Of the training rows, one in so many judges the settings.
+INNER_FOLDS = 4
+# Factors learn for so many epochs at least; trials end after as many that do not help.
+PATIENCE = 6
+# Sampled texts that a slot's factors need to count by half.
+TRUST_TEXTS = 30
 STEMS = (4, 6)
-EPOCHS = 12
+WEIGHT_EPOCHS = 24
+EPOCHS = 24
 MINI_BATCH = 64
 _MARKS = ".,;:!?|()[]{}<>\"'`*#"
 # Words whose slots a worker keeps.
@@ -84,79 +98,212 @@ class Machine:
         return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, self.margin(slots)))))
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float, factors: int = FACTORS,
-        epochs: int = EPOCHS, rate: float = 0.3, lasso: float = 3e-4,
-        group_lasso: float = 5e-4, seed: int = 11) -> Machine:
-    """Fit by AdaGrad on the logistic loss; ``prior`` is the share of label 1 to reckon with.
-
-    Every slot of the texts has a weight and factors. In every step, also where no text of
-    the batch has the slot, weights are drawn to zero by ``lasso`` and a slot's factors as a
-    group by ``group_lasso``: what a slot keeps is what its texts bear out. Without texts,
-    or with one label only, the machine is the prior alone.
+@dataclass(frozen=True)
+class Settings:
+    evidence: float = 30.0
+    hold: float = 5e-4
+    pair_epochs: int = EPOCHS
+
+
+class _Rows:
+    """Texts as numbers of the slots they have together, with sums by text."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.index = np.concatenate([np.zeros(0, np.int64), *texts]).astype(np.int64)
+
+    def batch(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(slots, number of the text within the batch) of the texts ``which``."""
+        sizes = self.sizes[which]
+        owner = np.repeat(np.arange(len(which)), sizes)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return self.index[np.repeat(self.starts[which], sizes) + inside], owner
+
+
+def _sums(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    if values.ndim == 1:
+        return np.bincount(owner, values, n)
+    return np.stack([np.bincount(owner, column, n) for column in values.T], 1)
+
+
+def evidence_of(rows: _Rows, labels: np.ndarray, n_slots: int) -> np.ndarray:
+    """Chi-square of each slot: how far its toxic texts are from the share of all texts."""
+    n, share = len(labels), labels.mean()
+    seen = np.bincount(rows.index, minlength=n_slots).astype(float)
+    bad = np.bincount(rows.index, np.repeat(labels, rows.sizes), n_slots)
+    spread = seen * share * (1 - share) * np.maximum(1 - seen / n, 1e-9)
+    return (bad - seen * share) ** 2 / np.maximum(spread, 1e-9)
+
+
+def fit_weights(rows: _Rows, labels: np.ndarray, n_slots: int, evidence: float,
+                epochs: int = WEIGHT_EPOCHS, rate: float = 0.5, lasso: float = 1e-5,
+                seed: int = 11) -> tuple[float, np.ndarray]:
+    """(w0, w) by AdaGrad with lasso on the logistic loss, each slot at the pace of its evidence."""
+    chi = evidence_of(rows, labels, n_slots)
+    pace = chi ** 2 / (chi ** 2 + evidence ** 2)
+    share, rng = labels.mean(), np.random.default_rng(seed)
+    w, g, w0 = np.zeros(n_slots), np.full(n_slots, 1e-6), math.log(share / (1 - share))
+    for _ in range(epochs):
+        order = rng.permutation(len(labels))
+        for at in range(0, len(order), MINI_BATCH):
+            which = order[at:at + MINI_BATCH]
+            index, owner = rows.batch(which)
+            margin = w0 + _sums(w[index] * pace[index], owner, len(which))
+            miss = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[which]
+            slots, inverse = np.unique(index, return_inverse=True)
+            step = np.bincount(inverse, miss[owner], len(slots)) * pace[slots] / len(which)
+            g[slots] += step ** 2
+            stride = rate / np.sqrt(g[slots])
+            moved = w[slots] - stride * step
+            w[slots] = np.sign(moved) * np.maximum(np.abs(moved) - stride * lasso, 0)
+            w0 -= 0.1 * rate * miss.mean()
+    return w0, w * pace
+
+
+def fit_factors(rows: _Rows, labels: np.ndarray, base: np.ndarray, n_slots: int, hold: float,
+                epochs: int, factors: int = FACTORS, rate: float = 0.3, seed: int = 11, each=None
+                ) -> np.ndarray:
+    """Factors that explain what the margins ``base`` leave of the labels.
+
+    A slot's factors are drawn to zero as a group by ``hold`` in every step, also where no
+    text of the batch has the slot. ``each`` gets the factors after every epoch, and ends the
+    fit by a true answer.
     """
-    prior = min(max(prior, 1e-4), 1 - 1e-4)
-    machine = Machine(math.log(prior / (1 - prior)), np.zeros(SLOTS, np.float32),
-                      np.zeros((SLOTS, factors), np.float32))
-    labels = np.asarray(labels, np.float64)
-    if len(texts) == 0 or labels.min() == labels.max():
-        return machine
-    seen = np.bincount(np.concatenate(texts), minlength=SLOTS)
-    active = np.flatnonzero(seen)
-    place = np.full(SLOTS, -1)
-    place[active] = np.arange(len(active))
-    rows = [place[t] for t in texts]
-    trust = (seen[active] / (seen[active] + TRUST_TEXTS))[:, None]
+    seen = np.bincount(rows.index, minlength=n_slots)
+    trust = (seen / (seen + TRUST_TEXTS))[:, None]
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(active)), rng.normal(0, 0.05, (len(active), factors))
-    gw, gv = np.full(len(active), 1e-3), np.full(len(active), 1e-3)
-    step, drawn = 0, np.zeros(len(active), np.int64)  # steps whose lasso a slot has had
-    share = labels.mean()
-    w0 = math.log(share / (1 - share))
+    v, g = rng.normal(0, 0.05, (n_slots, factors)), np.full(n_slots, 1e-3)
+    step, drawn = 0, np.zeros(n_slots, np.int64)  # steps whose pull a slot has had
 
     def draw(slots: np.ndarray) -> None:
         due = step - drawn[slots]
-        pull = rate / np.sqrt(gw[slots]) * lasso * due
-        w[slots] = np.sign(w[slots]) * np.maximum(np.abs(w[slots]) - pull, 0)
         length = np.sqrt((v[slots] ** 2).sum(1)) + 1e-12
-        pull = rate / np.sqrt(gv[slots]) * group_lasso * due
-        v[slots] *= np.maximum(1 - pull / length, 0)[:, None]
+        v[slots] *= np.maximum(1 - rate / np.sqrt(g[slots]) * hold * due / length, 0)[:, None]
         drawn[slots] = step
 
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(labels))
         for at in range(0, len(order), MINI_BATCH):
-            batch = [i for i in order[at:at + MINI_BATCH] if len(rows[i])]
-            if not batch:
-                continue
-            index = np.concatenate([rows[i] for i in batch])
-            sizes = np.array([len(rows[i]) for i in batch])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            which = order[at:at + MINI_BATCH]
+            index, owner = rows.batch(which)
             slots, inverse = np.unique(index, return_inverse=True)
             draw(slots)
             vx = v[index] * trust[index]
-            sums = np.add.reduceat(vx, starts)
-            margin = (w0 + np.add.reduceat(w[index], starts) + 0.5 * (
-                (sums ** 2).sum(1) - np.add.reduceat((vx ** 2).sum(1), starts)))
-            miss = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[batch]
-            miss_at = np.repeat(miss, sizes)
-            by_slot = np.argsort(inverse, kind="stable")
-            heads = np.searchsorted(inverse[by_slot], np.arange(len(slots)))
-            step_w = np.add.reduceat(miss_at[by_slot], heads) / len(batch)
-            step_v = miss_at[:, None] * trust[index] * (np.repeat(sums, sizes, axis=0) - vx)
-            step_v = np.add.reduceat(step_v[by_slot], heads) / len(batch)
-            gw[slots] += step_w ** 2
-            gv[slots] += (step_v ** 2).sum(1)
-            w[slots] -= rate / np.sqrt(gw[slots]) * step_w
-            v[slots] -= (rate / np.sqrt(gv[slots]))[:, None] * step_v
-            w0 -= 0.1 * rate * miss.mean()
+            sums = _sums(vx, owner, len(which))
+            margin = base[which] + 0.5 * ((sums ** 2).sum(1) - _sums((vx ** 2).sum(1), owner, len(which)))
+            miss = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[which]
+            move = _sums(miss[owner][:, None] * trust[index] * (sums[owner] - vx), inverse, len(slots))
+            move /= len(which)
+            g[slots] += (move ** 2).sum(1)
+            v[slots] -= (rate / np.sqrt(g[slots]))[:, None] * move
             step += 1
-    draw(np.arange(len(active)))
+        draw(np.arange(n_slots))
+        if each and each(v * trust):
+            break
+    return v * trust
+
+
+def _margins(rows: _Rows, w0: float, w: np.ndarray) -> np.ndarray:
+    return w0 + _sums(w[rows.index], np.repeat(np.arange(len(rows.sizes)), rows.sizes), len(rows.sizes))
+
+
+def _pairs(rows: _Rows, v: np.ndarray) -> np.ndarray:
+    owner, n = np.repeat(np.arange(len(rows.sizes)), rows.sizes), len(rows.sizes)
+    vx = v[rows.index]
+    return 0.5 * ((_sums(vx, owner, n) ** 2).sum(1) - _sums((vx ** 2).sum(1), owner, n))
+
+
+def _loss(margins: np.ndarray, labels: np.ndarray) -> float:
+    return float(np.mean(np.logaddexp(0, margins) - labels * margins))
+
+
+def _compact(texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The slots that occur, and the texts by their numbers among them."""
+    active = np.unique(np.concatenate([np.zeros(0, np.int64), *texts]))
+    return active, [np.searchsorted(active, t) for t in texts]
+
+
+def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float, factors: int = FACTORS,
+        settings: Settings = Settings()) -> Machine:
+    """Weights, then factors; ``prior`` is the share of label 1 to reckon with.
+
+    Without texts, or with one label only, the machine is the prior alone.
+    """
+    prior = min(max(prior, 1e-4), 1 - 1e-4)
+    machine = Machine(math.log(prior / (1 - prior)), np.zeros(SLOTS, np.float32),
+                      np.zeros((SLOTS, factors), np.float32))
+    labels = np.asarray(labels, np.float64)
+    if len(texts) == 0 or labels.min() == labels.max():
+        return machine
+    active, numbered = _compact(texts)
+    rows = _Rows(numbered)
+    w0, w = fit_weights(rows, labels, len(active), settings.evidence)
+    v = np.zeros((len(active), factors))
+    if settings.pair_epochs:
+        v = fit_factors(rows, labels, _margins(rows, w0, w), len(active), settings.hold,
+                        settings.pair_epochs, factors)
     # the sample's label share is not that of all labelled rows
+    share = labels.mean()
     machine.w0 = w0 + math.log(prior / (1 - prior)) - math.log(share / (1 - share))
-    machine.w[active], machine.v[active] = w, v * trust
+    machine.w[active], machine.v[active] = w, v
     return machine
 
 
+def _trial(texts: list[np.ndarray], labels: np.ndarray, held: np.ndarray, evidence: float,
+           hold: float | None) -> tuple[float, int]:
+    """(loss on the rows ``held``, epochs of factors with that loss) of a fit on the others.
+
+    Without ``hold`` only weights are fitted.
+    """
+    active, numbered = _compact(texts)
+    inner, judge = ([t for t, h in zip(numbered, held) if h == kind] for kind in (False, True))
+    rows, rest, y, judged_y = _Rows(inner), _Rows(judge), labels[~held], labels[held]
+    w0, w = fit_weights(rows, y, len(active), evidence)
+    base = _margins(rest, w0, w)
+    losses = [_loss(base, judged_y)]
+    if hold is not None:
+        def judge_epoch(v: np.ndarray) -> bool:
+            losses.append(_loss(base + _pairs(rest, v), judged_y))
+            return len(losses) - 1 - int(np.argmin(losses)) >= PATIENCE
+
+        fit_factors(rows, y, _margins(rows, w0, w), len(active), hold, EPOCHS, each=judge_epoch)
+    best = int(np.argmin(losses))
+    return losses[best], best
+
+
+def choose(spark, ids: list[int], texts: list[np.ndarray], labels: np.ndarray) -> Settings:
+    """Settings by the loss on one in ``INNER_FOLDS`` of these rows, which the trials leave out.
+
+    First the evidence, weights alone; then the pull on factors and the epochs they help: if
+    none does, the strongest pull, which leaves factors only where texts insist. Every trial is a Spark task over the broadcast sample. Rows too few or too
+    alike to tell get the defaults.
+    """
+    labels = np.asarray(labels, np.float64)
+    held = np.array([zlib.crc32(f"inner {i}".encode()) % INNER_FOLDS == 0 for i in ids], bool)
+    if min((labels[held] == k).sum() for k in (0, 1)) < 2 or min(
+            (labels[~held] == k).sum() for k in (0, 1)) < 2:
+        return Settings()
+    shared = spark.sparkContext.broadcast((texts, labels, held))
+
+    def tried(trials: list[tuple]) -> list[tuple]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for evidence, hold in rows_of(batches, "evidence", "hold"):
+                loss, epochs = _trial(*shared.value, evidence, hold)
+                yield pa.RecordBatch.from_pydict({
+                    "evidence": [evidence], "hold": pa.array([hold], pa.float64()),
+                    "loss": [loss], "epochs": pa.array([epochs], pa.int32())})
+
+        df = spark.createDataFrame(trials, "evidence double, hold double").repartition(len(trials))
+        found = df.mapInArrow(run, "evidence double, hold double, loss double, epochs int")
+        return sorted((r["loss"], r["evidence"], r["hold"] or 0.0, r["epochs"]) for r in found.collect())
+
+    _, evidence, _, _ = tried([(e, None) for e in EVIDENCE])[0]
+    _, _, hold, epochs = tried([(evidence, h) for h in HOLDS])[0]
+    shared.destroy()
+    return Settings(evidence, hold if epochs else max(HOLDS), max(epochs, PATIENCE))
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
           per_class: int = PER_CLASS) -> Machine:
     """Fit on the labelled rows for which ``usable`` (over doc_id) holds.
@@ -199,8 +346,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None,
              .groupBy("doc_id").agg(F.min(F.struct("text_hash", "toxic", "slots")).alias("row"))
              .select("doc_id", "row.toxic", "row.slots").collect())
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), bytes(r["slots"])))
-    return fit([np.frombuffer(r["slots"], "<i4").astype(np.int64) for r in found],
-               np.array([r["toxic"] for r in found]), counts.get(1, 0) / total if total else 0.5)
+    texts = [np.frombuffer(r["slots"], "<i4").astype(np.int64) for r in found]
+    marks = np.array([r["toxic"] for r in found])
+    settings = choose(docs.sparkSession, [r["doc_id"] for r in found], texts, marks)
+    return fit(texts, marks, counts.get(1, 0) / total if total else 0.5, settings=settings)
 
 
 def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
