@@ -31,7 +31,7 @@ def main(argv=None) -> dict:
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("command", choices=["run", "backfill", "generate", "load", "ingest",
                                         "explain", "report", "check-bronze", "transform",
-                                        "check-layers", "check-mart"])
+                                        "check-layers", "check-mart", "late", "headers", "vacuum"])
     ap.add_argument("--root", required=True, help="lake root (bronze/, silver/, gold/, mart/)")
     ap.add_argument("--bronze-root", default=None, help="Bronze landing folder if elsewhere")
     ap.add_argument("--process-date")
@@ -40,6 +40,7 @@ def main(argv=None) -> dict:
     ap.add_argument("--rows", type=int, default=1_000_000)
     ap.add_argument("--generate", type=int, default=0, help="generate N events before a run")
     ap.add_argument("--load", action="store_true", help="backfill: also load the mart")
+    ap.add_argument("--resume", action="store_true", help="backfill: skip what an earlier run finished")
     ap.add_argument("--checkpoint", default=None, help="ingest: stream checkpoint folder")
     ap.add_argument("--jdbc-url", default=None, help="also load this database")
     ap.add_argument("--jdbc-table", default="daily_metrics")
@@ -53,7 +54,7 @@ def main(argv=None) -> dict:
     from daybook.operators import generate
     from daybook.plans import pipeline
     from daybook.session import get_session
-    from daybook.sources import bronze
+    from daybook.sources import bronze, versions
     from daybook.streaming import ingest
 
     spark = get_session(app=f"daybook-{args.command}", master=args.master)
@@ -78,10 +79,23 @@ def main(argv=None) -> dict:
         out.update(date=args.process_date, silver_rows=steps["layers"]["silver"],
                    gold_rows=steps["layers"]["gold"], mart_rows=steps["mart_rows"])
     elif args.command == "backfill":
-        res = pipeline.backfill(spark, paths, args.start, args.end)
+        res = pipeline.backfill(spark, paths, args.start, args.end, resume=args.resume)
         if args.load and res.dates:
             pipeline.load(spark, paths, res.dates, **jdbc)
         out.update(dates=res.dates, missing=res.missing, cleared=res.cleared_gold)
+    elif args.command == "late":
+        res = pipeline.apply_late_files(spark, paths)
+        if res.dates:
+            pipeline.load(spark, paths, res.dates, **jdbc)
+        out.update(dates=res.dates, cleared=res.cleared_gold)
+    elif args.command == "headers":
+        bad = pipeline.header_report(spark, paths).where("NOT passed")
+        out.update(files=bad.count())
+        bad.show(100, truncate=False)
+    elif args.command == "vacuum":
+        out.update({name: len(versions.vacuum(spark, at)) for name, at in (
+            ("silver", paths.silver), ("gold", paths.gold), ("mart", paths.mart),
+            ("files", paths.files), ("revenue_parts", paths.revenue_parts), ("user_parts", paths.user_parts))})
     elif args.command == "generate":
         gen(spark, paths, args.process_date)
         out.update(date=args.process_date, rows=args.rows)

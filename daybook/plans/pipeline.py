@@ -20,7 +20,7 @@ from daybook.operators import silver as silver_ops
 from daybook.schema import (GOLD_COLUMNS, GOLD_SCHEMA, MART_COLUMNS, SILVER_COLUMNS,
                             SILVER_SCHEMA)
 from daybook.session import configure, session_sized_for
-from daybook.sources import bronze, file_index, headers, layers, mart, versions
+from daybook.sources import bronze, file_index, fs, headers, layers, mart, versions
 
 log = logging.getLogger("daybook.pipeline")
 
@@ -162,13 +162,24 @@ def _observed(df: DataFrame, dates, columns, check=None):
     return digest.observe(df), notes
 
 
-def _write_gold(spark: SparkSession, paths: Paths, dates, silver: DataFrame | None,
-                made_from: dict[str, str]) -> list[str]:
-    """Parts of ``silver`` (those stored, if None) and the Gold rows they make."""
-    if silver is not None:
-        revenue, users = parts_plans(silver)
-        layers.replace_dates(spark, revenue, paths.revenue_parts, dates, made_from=made_from)
-        layers.replace_dates(spark, users, paths.user_parts, dates, made_from=made_from)
+def _remember_files(spark: SparkSession, paths: Paths, made_from: dict[str, str]) -> None:
+    """Bring the index to the files that the dates' Silver was made from, where it differs."""
+    known = _made_from(spark, paths.files)
+    dates = [d for d, x in made_from.items() if known.get(d) != x]
+    if dates:
+        files = file_index.list_files(spark, paths.bronze, dates)
+        file_index.remember(spark, files, paths.files, {d: made_from[d] for d in dates})
+
+
+def _write_parts(spark: SparkSession, paths: Paths, dates, silver: DataFrame,
+                 made_from: dict[str, str]) -> None:
+    """Both tables of parts of ``silver``: jobs that don't wait for each other."""
+    tables = zip((paths.revenue_parts, paths.user_parts), parts_plans(silver))
+    fs.map_paths(lambda t: layers.replace_dates(spark, t[1], t[0], dates, made_from=made_from), tables)
+
+
+def _write_gold(spark: SparkSession, paths: Paths, dates, made_from: dict[str, str]) -> list[str]:
+    """The Gold rows that the stored parts of ``dates`` make."""
     rows, notes = _observed(gold_plan(spark, paths, dates), dates, GOLD_COLUMNS[1:])
     return layers.replace_dates(spark, rows, paths.gold, dates, made_from=made_from, notes=notes)
 
@@ -209,8 +220,6 @@ def run_silver(spark: SparkSession, paths: Paths, dates, rebalance: bool = False
                     made_from={d: seen[d].fingerprint for d in todo})
         except bronze.HeaderError as e:
             raise GateError(f"Bronze header check failed: {e}") from e
-        file_index.remember(own, listed.where(F.col("process_date").cast("string").isin(todo)),
-                            paths.files, todo)
     return result, seen, own
 
 
@@ -231,9 +240,13 @@ def run_dates(spark: SparkSession, paths: Paths, dates, rebalance: bool = False,
         steps = [_made_from(spark, p) for p in (paths.revenue_parts, paths.user_parts, paths.gold)]
         result.reused_gold = [d for d in result.dates if all(s.get(d) == files[d] for s in steps)]
     todo = [d for d in result.dates if d not in result.reused_gold]
+    made_from = {d: files[d] for d in todo}
+    jobs = [lambda: _remember_files(own, paths, {d: files[d] for d in result.dates})]
+    if todo:
+        jobs.append(lambda: _write_parts(own, paths, todo, silver_for(own, paths, todo), made_from))
+    fs.map_paths(lambda job: job(), jobs)
     if todo:
-        result.cleared_gold = _write_gold(own, paths, todo, silver_for(own, paths, todo),
-                                          {d: files[d] for d in todo})
+        result.cleared_gold = _write_gold(own, paths, todo, made_from)
     log.info("cleared Silver %s, Gold %s", result.cleared_silver, result.cleared_gold)
     return result
 
@@ -262,7 +275,7 @@ def apply_late_files(spark: SparkSession, paths: Paths, dates=None) -> RunResult
     stale = sorted(d for d in agrees - by_date.keys() if gold.get(d) != known_as[d].fingerprint)
     result = run_dates(spark, paths, whole) if whole else RunResult(dates=[])
     if stale:  # a run stopped before Gold
-        _write_gold(spark, paths, stale, None, {d: known_as[d].fingerprint for d in stale})
+        _write_gold(spark, paths, stale, {d: known_as[d].fingerprint for d in stale})
         result.dates += stale
     if not added:
         return result
@@ -289,9 +302,8 @@ def apply_late_files(spark: SparkSession, paths: Paths, dates=None) -> RunResult
         parts_written.append((root, {d: [at[d]] if d in at else [] for d in added}))
     for root, by in parts_written:
         versions.commit(own, root, {d: versions.Entry(f, files[d]) for d, f in by.items()}, append=True)
-    file_index.remember(own, listed.where(F.col("process_date").cast("string").isin(added)),
-                        paths.files, added)
-    result.cleared_gold += _write_gold(own, paths, added, None, files)
+    _remember_files(own, paths, files)
+    result.cleared_gold += _write_gold(own, paths, added, files)
     result.dates += added
     return result
 

@@ -38,7 +38,8 @@ class Delivered:
 def list_files(spark: SparkSession, bronze_root: str, dates: Iterable[str] | None = None) -> DataFrame:
     """The files that lie in the date folders now; contents are not read.
 
-    Names that start with ``_`` or ``.`` are not data. A date without a folder has no rows.
+    Names that start with ``_`` or ``.`` and files of no bytes are not data. A date without a
+    folder has no rows.
     """
     root, asked = bronze_root.rstrip("/"), None if dates is None else set(dates)
     names = [n for n in fs.subdirs(spark, root) if n.startswith(f"{BRONZE_PARTITION}=")]
@@ -65,9 +66,10 @@ def delivered(files: DataFrame) -> dict[str, Delivered]:
             for r in fingerprints(files).collect()}
 
 
-def remember(spark: SparkSession, files: DataFrame, index_root: str, dates: Iterable[str]) -> None:
-    """Keep ``files`` as what the dates were made from, in place of what they had."""
-    layers.replace_dates(spark, files.hint("rebalance", "process_date"), index_root, list(dates))
+def remember(spark: SparkSession, files: DataFrame, index_root: str, made_from: dict[str, str]) -> None:
+    """Keep ``files`` as what the dates (with their fingerprints) were made from."""
+    layers.replace_dates(spark, files.hint("rebalance", "process_date"), index_root, list(made_from),
+                         made_from=made_from)
 
 
 def known_files(spark: SparkSession, index_root: str, dates: Iterable[str] | None = None) -> DataFrame:

@@ -38,7 +38,7 @@ def first_line(path: str) -> str:
 def read_headers(spark: SparkSession, bronze_root: str, files: DataFrame) -> DataFrame:
     """(process_date, path, header) of every file: the names its first line has.
 
-    An empty file has an empty list. Files are dealt to tasks by path.
+    Files are dealt to tasks by path. (A file of no bytes is not listed at all.)
     """
     root = fs.qualified(spark, bronze_root.rstrip("/"))
 

@@ -1,18 +1,19 @@
-"""Pick up newly landed Bronze files and rebuild their arrival dates.
+"""Pick up newly landed Bronze files and bring their arrival dates up to date.
 
 The reference runs its pipeline once a day for the date that just landed. Here a
 file stream over the Bronze folder notices new files (only their paths: the
 ``binaryFile`` source with ``content`` pruned reads no data), and every
-micro-batch re-runs the batch pipeline for the arrival dates that received
-files. The stream's checkpoint records which files were handled, so each file
-triggers work once; the per-date replace makes a retried batch harmless. With
+micro-batch takes in the new files of the arrival dates that received some: a date that
+was run before gets the parts of those files merged into its Gold, a new one is run. The
+stream's checkpoint records which files triggered work, and the table of files taken in makes
+a retried batch harmless. With
 ``availableNow`` the query processes everything that has landed and stops,
 which is the daily job; with a processing-time trigger it keeps running.
 
 Costs to keep in mind at scale: the file source lists the folder on every
 trigger (``max_file_age`` bounds which files count as new, not the listing), and
-a batch rebuilds each touched date in full, so a trigger interval close to the
-landing cadence of a date (daily with ``availableNow``) does the least work.
+every batch adds a folder to the tables of each date it touches. A run of the date
+(``run_dates``) brings them back to one.
 """
 
 from __future__ import annotations
@@ -55,9 +56,9 @@ def _run_batch(paths: pipeline.Paths, load: bool):
         if not dates:
             return
         spark = batch.sparkSession
-        result = pipeline.run_dates(spark, paths, dates)
-        if load and result.dates:
-            pipeline.load(spark, paths, result.dates)
+        pipeline.apply_late_files(spark, paths, dates)
+        if load:  # all dates of the batch: one that is done again may have stopped before the load
+            pipeline.load(spark, paths, dates)
     return run
 
 

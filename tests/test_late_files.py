@@ -169,7 +169,7 @@ def test_files_that_change_during_a_run_stop_it(spark, monkeypatch):
 def test_backfill_goes_on_where_it_stopped(spark, monkeypatch):
     paths = landed(spark)
     with monkeypatch.context() as m:
-        m.setattr(pipeline, "_write_gold", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        m.setattr(pipeline, "_write_parts", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             pipeline.backfill(spark, paths, DATES[0], DATES[1])
     silver = versions.read_state(spark, paths.silver).dates

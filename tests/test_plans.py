@@ -37,7 +37,7 @@ def test_gold_shuffles_only_preaggregated_rows(spark, wh):
     # Distinct users: (keys, user), then (keys). Revenue: (keys, product, bin) over Silver rows,
     # then (keys, product) and (keys) for the top product, (keys, bin) and (keys) for the total.
     # The plan lists (keys, product, bin) for both; it runs once (a reused exchange).
-    assert len(exchanges) == 8 and sum("bin" in e and "product_id" in e for e in exchanges) == 2
+    assert len(exchanges) == 8 and sum("_groupingexpression" in e and "product_id" in e for e in exchanges) == 2
     assert any("user_id" in e for e in exchanges) and any("product_id" in e for e in exchanges)
     # Every exchange over scan rows is fed by a partial aggregate.
     for block in re.split(r"Exchange hashpartitioning", plan)[1:]:
@@ -57,8 +57,8 @@ def test_parts_are_aggregated_before_their_only_shuffle(spark, wh):
 
 
 def test_metric_dates_read_no_silver(spark, wh):
-    plan = _plan(pipeline.metric_dates(spark, wh[0]))
-    assert wh[0].silver not in plan and "_parts/users" in plan and "_parts/revenue" in plan
+    files = pipeline.metric_dates(spark, wh[0]).inputFiles()
+    assert files and {f.split("_parts/")[1].split("/")[0] for f in files} == {"users", "revenue"}
 
 
 def test_single_date_read_lists_one_partition(spark, wh):
