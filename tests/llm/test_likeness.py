@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
-from daybook.llm import catalog, decontamination, fingerprints, simhash
+from daybook.llm import catalog, decontamination, fingerprints, simhash, toxicity
 from daybook.llm.components import components
+from daybook.llm.tokens import tokenizer_path
 from llm_cases import empty, messy, sentence, texts
 
 
@@ -95,6 +97,12 @@ def test_keep_one_of_each_group(spark):
         assert r.doc_id == groups[f"{plain_simhash(r.text):016x}"]
 
 
+def test_keep_one_with_columns_that_have_no_order(spark):
+    docs = messy(spark).withColumn("props", F.create_map(F.lit("k"), F.col("doc_id")))
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema and kept.count() == simhash.keep_one(messy(spark)).count()
+
+
 def shingles(text):
     words = [w for w in (text or "").lower().translate(
         {ord(c): " " for c in "\t\n\x0b\x0c\r"}).split(" ") if w]
@@ -242,6 +250,66 @@ def test_pipeline_stages(spark):
     assert pieces.select("doc_id").distinct().count() == counts[3]
 
 
+def plain_without_repeats(rows):
+    """Texts without the bytes of 50-byte strings that a document of a smaller id has."""
+    first = {}
+    for doc_id, text in rows:
+        data = text.encode()
+        for i in range(len(data) - 49):
+            window = data[i:i + 50]
+            first[window] = min(first.get(window, doc_id), doc_id)
+    out = []
+    for doc_id, text in rows:
+        data, gone = text.encode(), set()
+        for i in range(len(data) - 49):
+            if first[data[i:i + 50]] < doc_id:
+                gone |= set(range(i, i + 50))
+        out.append((doc_id, bytes(b for i, b in enumerate(data) if i not in gone).decode("utf-8", "ignore")))
+    return out
+
+
+def plain_coverage(text, item):
+    """Share of an item's words that greedy tiles of five words or more cover."""
+    a, b = decontamination.words_of(text), decontamination.words_of(item)
+    least = min(5, len(b))
+    runs = {tuple(b[j:j + least]) for j in range(len(b) - least + 1)}
+    if not b or not any(tuple(a[i:i + least]) in runs for i in range(len(a) - least + 1)):
+        return 0.0
+    return sum(t[0] for t in brute_tiles(a, b, least)) / len(b)
+
+
+def test_pipeline_equals_plain_python(spark):
+    """What run() packs, recomputed stage by stage; of the model only its weights are Spark's."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    rows = [(r.doc_id, r.text or "") for r in docs.orderBy("doc_id").collect()]
+    machine, terms = toxicity.train(docs, labels), toxicity._Terms()
+    rows = [r for r in rows if machine.score(terms.of(r[1])) < 0.5]
+    component = plain_components([plain_simhash(t) for _, t in rows], 2)
+    least = {}
+    for doc_id, text in rows:
+        root = component[plain_simhash(text)]
+        least[root] = min(least.get(root, doc_id), doc_id)
+    rows = plain_without_repeats([r for r in rows if r[0] in set(least.values())])
+    items = [r.text or "" for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    rows = [r for r in rows if all(plain_coverage(r[1], item) < 0.5 for item in items)]
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 2] for i, t in rows}
+    got = {}
+    for r in corpus_pipeline.run(spark, SF_SMALL).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert got.keys() == want.keys() and 100 < len(want) < 200
+    for doc_id, pieces in got.items():
+        at = 0
+        for p in sorted(pieces, key=lambda r: r.start):
+            ids = want[doc_id][at:at + p.length]
+            assert p.start == at and p.doc_tokens == len(want[doc_id])
+            assert p.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+            at += p.length
+        assert at == len(want[doc_id])
+
+
 def test_pipeline_on_messy_rows(spark):
     docs = messy(spark)
     for name, stage in corpus_pipeline.STAGES:
@@ -252,5 +320,5 @@ def test_pipeline_on_messy_rows(spark):
 
 def test_every_operator_has_a_query(spark):
     names = [n.split("_")[0] for n in catalog.queries()]
-    assert names == [f"op{i}" for i in range(1, 11)]
+    assert names == [f"op{i}" for i in range(1, 14)]
     assert set(catalog.oracle_sql()) <= set(catalog.queries())

@@ -117,7 +117,8 @@ def test_pairs_of_terms_are_learned(spark):
     terms = toxicity._Terms()
     slots = [terms.of(t) for _, t in rows]
     train, test = range(0, 2400), range(2400, 3000)
-    machine = toxicity.fit([slots[i] for i in train], y[:2400], y[:2400].mean(), epochs=30)
+    machine = toxicity.fit([slots[i] for i in train], y[:2400], y[:2400].mean(),
+                           settings=toxicity.Settings(pair_epochs=30))
     right = np.mean([(machine.score(slots[i]) >= 0.5) == y[i] for i in test])
     linear = toxicity.Machine(machine.w0, machine.w, machine.v * 0)
     assert right > 0.95
@@ -152,12 +153,53 @@ def test_rare_pair_among_many_terms_is_learned():
     assert max(called_toxic("jerk"), called_toxic("tribe"), called_toxic()) < 0.02
 
 
+def test_margin_is_the_sum_over_pairs():
+    rng = np.random.default_rng(3)
+    machine = toxicity.Machine(0.3, rng.normal(size=50), rng.normal(size=(50, 4)))
+    for slots in ([], [4], [1, 7, 30, 31, 49]):
+        pairs = sum(machine.v[i] @ machine.v[j] for i in slots for j in slots if i < j)
+        want = 0.3 + sum(machine.w[i] for i in slots) + pairs
+        assert abs(machine.margin(np.array(slots, int)) - want) < 1e-9
+    rows = toxicity._Rows([np.array(s, int) for s in ([1, 7, 30], [], [4, 49])])
+    margins = toxicity._margins(rows, machine.w0, machine.w) + toxicity._pairs(rows, machine.v)
+    assert np.allclose(margins, [machine.margin(np.array(s, int)) for s in ([1, 7, 30], [], [4, 49])])
+
+
+def test_held_out_folds_of_the_given_tables(spark):
+    """Each fold scored by a machine, settings included, that saw the other four only."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = docs.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").orderBy("doc_id").collect()
+    terms = toxicity._Terms()
+    texts, y = [terms.of(r["text"]) for r in rows], np.array([r["toxic"] for r in rows])
+    ids = [r["doc_id"] for r in rows]
+    fold = np.array([zlib.crc32(str(i).encode()) % 5 for i in ids])
+    areas, found = [], []
+    for k in range(5):
+        train, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        mine = [texts[i] for i in train]
+        settings = toxicity.choose(spark, [ids[i] for i in train], mine, y[train])
+        machine = toxicity.fit(mine, y[train], y[train].mean(), settings=settings)
+        scores = np.array([machine.score(texts[i]) for i in test])
+        toxic, clean = scores[y[test] == 1], scores[y[test] == 0]
+        areas.append(np.mean((toxic[:, None] > clean) + 0.5 * (toxic[:, None] == clean)))
+        found.append(((scores >= 0.5) & (y[test] == 1)).sum())
+    assert np.mean(areas) > 0.93 and sum(found) > 0.5 * y.sum()
+
+
+def test_settings_of_few_or_alike_rows_are_the_defaults(spark):
+    texts = [np.array([1, 2]), np.array([3])]
+    assert toxicity.choose(spark, [1, 2], texts, np.array([0, 1])) == toxicity.Settings()
+    assert toxicity.choose(spark, [], [], np.array([])) == toxicity.Settings()
+    assert toxicity.choose(spark, list(range(40)), texts * 20, np.zeros(40)) == toxicity.Settings()
+
+
 def test_repeated_id_gives_the_fit_one_row(spark, monkeypatch):
     rows = [(i, f"words of {i} {'nasty' if i % 2 else 'kind'}") for i in range(20)]
     hot = [(3, f"another text {i % 7}") for i in range(1500)]
     marks = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
     seen = []
-    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, prior: seen.append(
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, prior, settings: seen.append(
         sorted((bytes(t), int(y)) for t, y in zip(texts, labels))))
     for partitions in (1, 5):
         toxicity.train(messy(spark, rows + hot, partitions), marks)

@@ -7,6 +7,8 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from daybook.llm import packing, token_files
 from daybook.llm.tokens import Encoder, encoder, tokenizer_path
@@ -16,6 +18,23 @@ from llm_cases import empty, messy, texts
 PATH = tokenizer_path()
 
 
+def test_files_are_read_by_many_tasks_and_a_hot_id_is_split(spark):
+    """An id on a third of the rows, half of them one text: no file holds most of it."""
+    rows = [(7 if i % 3 == 0 else i, "the same words" if i % 6 == 0 else f"words of {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = scratch_dir(spark, "hot")
+        manifest = token_files.write_token_files(docs, out, PATH, seq_len=64).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    assert len(manifest) >= 6 and max(m["n_docs"] for m in manifest) < 0.3 * len(rows)
+    read = token_files.read_documents(spark, out)  # under the session's own settings
+    by_task = read.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(by_task) >= len(manifest) - 2 and sum(r["count"] for r in by_task) == len(rows)
+
+
 @pytest.fixture(scope="module")
 def plain():
     from tokenizers import Tokenizer
@@ -40,7 +59,11 @@ def crc(ids) -> int:
 def test_token_files_round_trip(spark, plain):
     out = scratch_dir(spark, "tok")
     manifest = token_files.write_token_files(messy(spark), out, PATH, seq_len=64).collect()
-    rows = sorted(texts(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    def text_hash(t):
+        h = xxhash.xxh64_intdigest(t or "", 42)
+        return h - (1 << 64) if h >> 63 else h
+
+    rows = sorted(texts(), key=lambda r: (r[0] is not None, r[0] or 0, text_hash(r[1])))
     want, at = [], 0
     for doc_id, text in rows:
         ids = plain(text)
