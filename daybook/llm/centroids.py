@@ -53,11 +53,11 @@ def scaled(vector: Column, scale: int, limit: int = LIMIT) -> Column:
         F.lit(-limit), F.least(F.lit(limit), F.floor(F.lit(float(scale)) * x))).cast("long"))
 
 
-def first_by_hash(vectors: DataFrame, n: int, prefix: str) -> np.ndarray:
+def first_by_hash(vectors: DataFrame, n: int, prefix: str, dims: int) -> np.ndarray:
     """The ``n`` vectors of smallest sha256 of ``<prefix>:<vec_id>`` (a null id as empty text)."""
     name = F.concat(F.lit(f"{prefix}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
     rows = vectors.orderBy(F.sha2(F.encode(name, "UTF-8"), 256), "vec_id", "vector").limit(n).collect()
-    return np.array([r["vector"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["vector"] for r in rows], np.int64).reshape(len(rows), dims)
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -198,8 +198,8 @@ def cluster(vectors: DataFrame, k: int = CLUSTERS, rounds: int = ROUNDS, dims: i
     kept = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), column.alias("vector")).where(
         (F.size("vector") == dims) & finite(F.col("vector")))
     kept = kept.select("vec_id", scaled(F.col("vector"), scale).alias("vector"))
-    centroids = first_by_hash(kept, k, str(seed)).reshape(-1, dims)
-    pivots = choose_pivots(first_by_hash(kept, PIVOT_CANDIDATES, f"pivot-{seed}").reshape(-1, dims))
+    centroids = first_by_hash(kept, k, str(seed), dims)
+    pivots = choose_pivots(first_by_hash(kept, PIVOT_CANDIDATES, f"pivot-{seed}", dims))
     out = "vec_id long, cluster int, distance long"
     if not len(centroids):
         assigned, by_cluster = spark.createDataFrame([], out), {}

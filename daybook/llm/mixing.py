@@ -249,7 +249,8 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, weights=WEI
     """
     sized, plan = _planned(docs, block_words, weights, factor, most_times)
     slots = slot_blocks(plan, shard_slots, seed).select("s", "block", "words")
-    inside = F.greatest(F.lit(0), F.least(F.col("at") + F.col("length"), F.col("words")) - F.col("at"))
+    words = F.coalesce("words", F.lit(0))  # no slot takes the block
+    inside = F.greatest(F.lit(0), F.least(F.col("at") + F.col("length"), words) - F.col("at"))
     taken = (pieces(sized, plan, block_words).join(slots, ["s", "block"], "left")
              .groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("s").alias("s"),
                                  F.first("size").alias("size"),
