@@ -106,12 +106,25 @@ class Settings:
 
 
 class _Rows:
-    """Texts as numbers of the slots they have together, with sums by text."""
+    """Texts as slot numbers one after another, with sums by text."""
 
-    def __init__(self, texts: list[np.ndarray]):
-        self.sizes = np.array([len(t) for t in texts], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.index = np.concatenate([np.zeros(0, np.int64), *texts]).astype(np.int64)
+    def __init__(self, index: np.ndarray, sizes: np.ndarray):
+        self.index, self.sizes = index.astype(np.int32), sizes
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray]) -> "_Rows":
+        return cls(np.concatenate([np.zeros(0, np.int32), *texts]),
+                   np.array([len(t) for t in texts], np.int64))
+
+    def part(self, which: np.ndarray) -> "_Rows":
+        """The texts for which ``which`` is true."""
+        return _Rows(self.index[np.repeat(which, self.sizes)], self.sizes[which])
+
+    def numbered(self) -> tuple[np.ndarray, "_Rows"]:
+        """The slots that occur, and the texts by their numbers among them."""
+        active = np.unique(self.index)
+        return active, _Rows(np.searchsorted(active, self.index), self.sizes)
 
     def batch(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(slots, number of the text within the batch) of the texts ``which``."""
@@ -120,6 +133,12 @@ class _Rows:
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         return self.index[np.repeat(self.starts[which], sizes) + inside], owner
 
+    def each(self, of_batch, at_once: int = 256) -> np.ndarray:
+        """``of_batch(slots, owner, n)`` for all texts, some at a time: bounds what is held."""
+        parts = [np.arange(a, min(a + at_once, len(self.sizes)))
+                 for a in range(0, len(self.sizes), at_once)]
+        return np.concatenate([np.zeros(0), *[of_batch(*self.batch(p), len(p)) for p in parts]])
+
 
 def _sums(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     if values.ndim == 1:
@@ -131,7 +150,7 @@ def evidence_of(rows: _Rows, labels: np.ndarray, n_slots: int) -> np.ndarray:
     """Chi-square of each slot: how far its toxic texts are from the share of all texts."""
     n, share = len(labels), labels.mean()
     seen = np.bincount(rows.index, minlength=n_slots).astype(float)
-    bad = np.bincount(rows.index, np.repeat(labels, rows.sizes), n_slots)
+    bad = np.bincount(rows.part(labels > 0).index, minlength=n_slots)
     spread = seen * share * (1 - share) * np.maximum(1 - seen / n, 1e-9)
     return (bad - seen * share) ** 2 / np.maximum(spread, 1e-9)
 
@@ -205,25 +224,20 @@ def fit_factors(rows: _Rows, labels: np.ndarray, base: np.ndarray, n_slots: int,
 
 
 def _margins(rows: _Rows, w0: float, w: np.ndarray) -> np.ndarray:
-    return w0 + _sums(w[rows.index], np.repeat(np.arange(len(rows.sizes)), rows.sizes), len(rows.sizes))
+    return w0 + rows.each(lambda index, owner, n: _sums(w[index], owner, n))
 
 
 def _pairs(rows: _Rows, v: np.ndarray) -> np.ndarray:
-    owner, n = np.repeat(np.arange(len(rows.sizes)), rows.sizes), len(rows.sizes)
-    vx = v[rows.index]
-    return 0.5 * ((_sums(vx, owner, n) ** 2).sum(1) - _sums((vx ** 2).sum(1), owner, n))
+    def of(index: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+        vx = v[index]
+        return 0.5 * ((_sums(vx, owner, n) ** 2).sum(1) - _sums((vx ** 2).sum(1), owner, n))
+    return rows.each(of)
 
 
 def _loss(margins: np.ndarray, labels: np.ndarray) -> float:
     return float(np.mean(np.logaddexp(0, margins) - labels * margins))
 
 
-def _compact(texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The slots that occur, and the texts by their numbers among them."""
-    active = np.unique(np.concatenate([np.zeros(0, np.int64), *texts]))
-    return active, [np.searchsorted(active, t) for t in texts]
-
-
 def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float, factors: int = FACTORS,
         settings: Settings = Settings()) -> Machine:
     """Weights, then factors; ``prior`` is the share of label 1 to reckon with.
@@ -236,8 +250,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float, factors: int
     labels = np.asarray(labels, np.float64)
     if len(texts) == 0 or labels.min() == labels.max():
         return machine
-    active, numbered = _compact(texts)
-    rows = _Rows(numbered)
+    active, rows = _Rows.of(texts).numbered()
     w0, w = fit_weights(rows, labels, len(active), settings.evidence)
     v = np.zeros((len(active), factors))
     if settings.pair_epochs:
@@ -250,15 +263,15 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, prior: float, factors: int
     return machine
 
 
-def _trial(texts: list[np.ndarray], labels: np.ndarray, held: np.ndarray, evidence: float,
+def _trial(texts: _Rows, labels: np.ndarray, held: np.ndarray, evidence: float,
            hold: float | None) -> tuple[float, int]:
     """(loss on the rows ``held``, epochs of factors with that loss) of a fit on the others.
 
     Without ``hold`` only weights are fitted.
     """
-    active, numbered = _compact(texts)
-    inner, judge = ([t for t, h in zip(numbered, held) if h == kind] for kind in (False, True))
-    rows, rest, y, judged_y = _Rows(inner), _Rows(judge), labels[~held], labels[held]
+    active, numbered = texts.numbered()
+    rows, rest, y, judged_y = numbered.part(~held), numbered.part(held), labels[~held], labels[held]
+    del numbered
     w0, w = fit_weights(rows, y, len(active), evidence)
     base = _margins(rest, w0, w)
     losses = [_loss(base, judged_y)]
@@ -284,7 +297,7 @@ def choose(spark, ids: list[int], texts: list[np.ndarray], labels: np.ndarray) -
     if min((labels[held] == k).sum() for k in (0, 1)) < 2 or min(
             (labels[~held] == k).sum() for k in (0, 1)) < 2:
         return Settings()
-    shared = spark.sparkContext.broadcast((texts, labels, held))
+    shared = spark.sparkContext.broadcast((_Rows.of(texts), labels, held))
 
     def tried(trials: list[tuple]) -> list[tuple]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
