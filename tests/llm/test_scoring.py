@@ -160,7 +160,7 @@ def test_margin_is_the_sum_over_pairs():
         pairs = sum(machine.v[i] @ machine.v[j] for i in slots for j in slots if i < j)
         want = 0.3 + sum(machine.w[i] for i in slots) + pairs
         assert abs(machine.margin(np.array(slots, int)) - want) < 1e-9
-    rows = toxicity._Rows([np.array(s, int) for s in ([1, 7, 30], [], [4, 49])])
+    rows = toxicity._Rows.of([np.array(s, int) for s in ([1, 7, 30], [], [4, 49])])
     margins = toxicity._margins(rows, machine.w0, machine.w) + toxicity._pairs(rows, machine.v)
     assert np.allclose(margins, [machine.margin(np.array(s, int)) for s in ([1, 7, 30], [], [4, 49])])
 
