@@ -2,8 +2,11 @@
 
     run       [--process-date D] [--generate N] gated daily run: Bronze check, transform,
                                                 checks, load; the date defaults to yesterday
-    backfill  --start D --end D [--load]        all dates in one job per layer; missing dates
+    backfill  --start D --end D [--load] [--resume]   all dates in one job per layer; missing dates
                                                 are reported
+    late                                        take in files that came since their dates were run
+    headers                                     files whose header differs from the declared columns
+    vacuum                                      remove what old commits of the tables name
     generate  --process-date D --rows N         synthetic Bronze for a date
     load      --process-date D                  publish Gold of a date to the mart
     check-bronze, transform, check-layers, check-mart   --process-date D: one step of a run
